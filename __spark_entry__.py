@@ -12,6 +12,7 @@ as sorted comma-joined strings.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +29,9 @@ from tidewatch.plans.pipeline import write_kpi_daily, write_window_table
 from tidewatch.plans.state import StateStore
 from tidewatch.schema import SLIDE_DAYS
 from tidewatch.session import configure, scratch_path
+from tidewatch.sources import load_table as _tbl
 from tidewatch.sources import tx
+from tidewatch import streaming as ST
 from tidewatch.sources.fixture_sql import with_tx
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -259,9 +262,56 @@ def q_kpi_daily_roundtrip(spark, d):
     return spark.read.parquet(path)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from tidewatch.streaming import registered as streaming_queries
+# -- streaming ---------------------------------------------------------------
+
+def _event_stream(spark, d):
+    """``events`` staged as four weekly files, read one file per trigger."""
+    rows = ST.events_as_tx(_tbl(spark, d, "events"))
+    first = rows.agg(F.min("jour_bloc")).first()[0]   # one value, to cut the chunks
+    src = ST.stage_chunks(spark, rows, scratch_path(spark, "events-src"), "horodatage_bloc",
+                          ST.week_edges(first, 4))
+    return ST.read_file_stream(spark, src, ST.EVENT_TX_SCHEMA, 1)
+
+
+def _drain(spark, df, mode="append"):
+    sink = scratch_path(spark, "sink")
+    ST.run_available_now(df, sink, scratch_path(spark, "ckpt"), mode)
+    return spark.read.parquet(sink)
+
+
+def q_stream_kpi_daily(spark, d):
+    s = _event_stream(spark, d)
+    return _drain(spark, ST.daily_kpis_stream(s, "1 day", ST.EVENT_DAILY_KEYS))
 
+
+def q_stream_active_addresses(spark, d):
+    return _drain(spark, ST.active_addresses_stream(_event_stream(spark, d), "1 day"))
+
+
+def q_stream_kpi_daily_live(spark, d):
+    s = _event_stream(spark, d)
+    table = scratch_path(spark, "live")
+    q = ST.write_live(ST.daily_kpis_stream(s, "1 day", ST.EVENT_DAILY_KEYS), table,
+                      scratch_path(spark, "ckpt"))
+    q.awaitTermination()
+    return spark.read.parquet(table)
+
+
+def q_stream_kpi_sliding(spark, d):
+    """RW-7 on ``tx`` staged as one file per year (oldest first)."""
+    raw = _tx(spark, d)
+    s = _state(raw).first()   # window() needs literal durations
+    rows = ST.tx_as_stream_rows(raw)
+    years = rows.agg(F.min("horodatage_bloc"), F.max("horodatage_bloc")).first()
+    src = ST.stage_chunks(spark, rows, scratch_path(spark, "tx-src"), "horodatage_bloc",
+                          ST.year_edges(years[0].year, years[1].year))
+    stream = ST.read_file_stream(spark, src, rows.schema, 1)
+    width = (s["end_date"] - s["start_date"]).days + 1
+    offset = (s["start_date"] - _dt.date(1970, 1, 1)).days % STEP
+    return _drain(spark, ST.sliding_kpis_stream(stream, width, STEP, offset, s["start_date"], "1 day"))
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q = {
         "tx_window": q_tx_window,
         "tx_value_bch": q_tx_value_bch,
@@ -303,7 +353,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "window_table_roundtrip": q_window_table_roundtrip,
         "kpi_daily_roundtrip": q_kpi_daily_roundtrip,
     }
-    q.update(streaming_queries())
+    q.update({
+        "stream_kpi_daily": q_stream_kpi_daily,
+        "stream_active_addresses": q_stream_active_addresses,
+        "stream_kpi_sliding": q_stream_kpi_sliding,
+        "stream_kpi_daily_live": q_stream_kpi_daily_live,
+    })
     return q
 
 
@@ -380,9 +435,32 @@ c AS (SELECT w.slide, min(t.day) AS mn, max(t.day) AS mx, count(*) AS cnt
       FROM wins w JOIN tx t ON t.day BETWEEN w.ws AND w.we GROUP BY w.slide)""")
 
 
-def oracle_sql() -> dict[str, str]:
-    from tidewatch.streaming import registered_sql as streaming_sql
+_EV = """ev AS (
+  SELECT CAST(CAST(ts AS TIMESTAMP) AS DATE) AS day, CAST(ROUND(value * 100) AS BIGINT) * 1000000 AS output_value,
+    CAST(NULL AS BIGINT) AS input_value, CAST(NULL AS BOOLEAN) AS is_coinbase,
+    CAST(NULL AS BIGINT) AS input_count, CAST(NULL AS BIGINT) AS output_count, user_id
+  FROM events)"""
+_CLOSED_DAY = "HAVING CAST(day + 1 AS TIMESTAMP) <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY"
+_EV_KEYS = [(k, dict(O.DAILY)[k]) for k in ["count", "volume", "mean", "median", "whale_ratio"]]
+_STREAM_DAILY = ("WITH " + _EV + f"""
+SELECT day AS jour, {O.finish(_EV_KEYS)} FROM (SELECT day, {O.PARTIALS_SQL} FROM ev GROUP BY day {{having}})""")
+_STREAM_ADDR = "WITH " + _EV + """
+SELECT day AS jour, count(DISTINCT 'A' || CAST(user_id AS VARCHAR)) AS adresses_actives_jour FROM ev
+GROUP BY day """ + _CLOSED_DAY
+_STREAM_SLIDING = with_tx(f"""
+SELECT CAST(g.slide AS INTEGER) AS slide, st.s + {STEP} * CAST(g.slide AS INTEGER) AS new_start,
+  st.e + {STEP} * CAST(g.slide AS INTEGER) AS new_end, {O.finish(O.GLOBAL)}
+FROM g JOIN st ON TRUE
+WHERE CAST(st.e + {STEP} * CAST(g.slide AS INTEGER) + 1 AS TIMESTAMP)
+      <= (SELECT max(block_timestamp) FROM tx) - INTERVAL 1 DAY""", O.base_state_cte(BASE_MONTH) + f""",
+ks AS (SELECT t.*, unnest(generate_series(
+          CAST(ceil((date_diff('day', st.s, t.day) - date_diff('day', st.s, st.e)) / {STEP}.0) AS BIGINT),
+          CAST(floor(date_diff('day', st.s, t.day) / {STEP}.0) AS BIGINT))) AS slide
+       FROM tx t JOIN st ON TRUE),
+g AS (SELECT slide, {O.PARTIALS_SQL} FROM ks GROUP BY slide)""")
 
+
+def oracle_sql() -> dict[str, str]:
     daily_keys = {"tx_count_daily": "count", "volume_daily": "volume", "avg_value_daily": "mean",
                   "median_value_daily": "median", "complexity_daily": "complexity",
                   "velocity_daily": "velocity", "coinbase_share_daily": "coinbase",
@@ -462,5 +540,10 @@ SELECT slide AS version, ws AS start_date, we AS end_date, {STEP} AS start_shift
     }
     for key, k in daily_keys.items():
         sql[key] = _daily_one(k)
-    sql.update(streaming_sql())
+    sql.update({
+        "stream_kpi_daily": _STREAM_DAILY.format(having=_CLOSED_DAY),
+        "stream_kpi_daily_live": _STREAM_DAILY.format(having=""),
+        "stream_active_addresses": _STREAM_ADDR,
+        "stream_kpi_sliding": _STREAM_SLIDING,
+    })
     return sql

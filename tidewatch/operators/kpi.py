@@ -40,9 +40,11 @@ def _col_or(window: DataFrame, name: str, fallback: Column) -> Column:
     return F.col(name) if name in window.columns else fallback
 
 
-def measures(window: DataFrame) -> DataFrame:
-    """The per-transaction columns the KPIs read (column-pruned scan)."""
+def measures(window: DataFrame, keep=()) -> DataFrame:
+    """The per-transaction columns the KPIs read (column-pruned scan);
+    ``keep`` passes extra columns through (e.g. the event time of a stream)."""
     return window.select(
+        *keep,
         _col_or(window, WINDOW_DAY, F.to_date("horodatage_bloc")).alias("jour"),
         _col_or(window, OUT_SAT, sat_of_coin(F.col("valeur_sorties"))).alias("out_sat"),
         _col_or(window, IN_SAT, sat_of_coin(F.col("valeur_entrees"))).alias("in_sat"),
@@ -69,7 +71,7 @@ def median_agg(accuracy: int = MEDIAN_ACCURACY) -> Column:
 
 
 # KPI name → expression over the partial columns.
-def _finishers() -> dict[str, Column]:
+def finishers() -> dict[str, Column]:
     n, so, co = F.col("n"), F.col("sum_out"), F.col("cnt_out")
     return {
         "count": n,
@@ -93,12 +95,12 @@ GLOBAL_NAMES = dict(zip(
 
 
 def daily_columns(keys=DAILY_NAMES) -> list[Column]:
-    fin = _finishers()
+    fin = finishers()
     return [fin[k].alias(name) for k, name in keys.items()]
 
 
 def global_columns(keys=GLOBAL_NAMES) -> list[Column]:
-    fin = _finishers()
+    fin = finishers()
     return [fin[k].alias(name) for k, name in keys.items()]
 
 
@@ -136,7 +138,7 @@ def _daily_one(window: DataFrame, key: str, names, median: bool = False,
                accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
     aggs = partial_aggs(names) + ([median_agg(accuracy)] if median else [])
     return (measures(window).groupBy("jour").agg(*aggs)
-            .select("jour", _finishers()[key].alias(DAILY_NAMES[key])))
+            .select("jour", finishers()[key].alias(DAILY_NAMES[key])))
 
 
 def tx_count_daily(window: DataFrame) -> DataFrame:
@@ -173,7 +175,7 @@ def whale_ratio_daily(window: DataFrame) -> DataFrame:
 
 def whale_volume_global(window: DataFrame) -> DataFrame:
     return (measures(window).agg(*partial_aggs(["sum_whale"]))
-            .select(_finishers()["whale_volume"].alias("whale_volume_global")))
+            .select(finishers()["whale_volume"].alias("whale_volume_global")))
 
 
 def whale_transactions(window: DataFrame) -> DataFrame:
