@@ -25,7 +25,7 @@ from tidewatch.plans import checks as CK
 from tidewatch.plans import oracle_sql as O
 from tidewatch.plans import slides as SL
 from tidewatch.plans import windows as WN
-from tidewatch.plans.pipeline import write_kpi_daily, write_window_table
+from tidewatch.plans.pipeline import read_kpi_daily, write_kpi_daily, write_window_table
 from tidewatch.plans.state import StateStore
 from tidewatch.schema import SLIDE_DAYS
 from tidewatch.session import configure, scratch_path
@@ -259,7 +259,7 @@ def q_window_table_roundtrip(spark, d):
 def q_kpi_daily_roundtrip(spark, d):
     path = scratch_path(spark, "kpi_daily")
     write_kpi_daily(K.kpi_daily(_window(spark, d)), path)
-    return spark.read.parquet(path)
+    return read_kpi_daily(spark, path)
 
 
 # -- streaming ---------------------------------------------------------------

@@ -1,0 +1,71 @@
+import datetime as dt
+
+from conftest import make_raw, slot
+from pyspark.sql import functions as F
+
+from tidewatch.operators import extract_window, project_window
+from tidewatch.operators.addresses import address_edges
+
+
+def _addr(df, h):
+    r = df.filter(F.col("hachage_transaction") == h).first()
+    return sorted(r["input_addresses"]), sorted(r["output_addresses"])
+
+
+def test_address_denesting_edge_cases(spark):
+    raw = make_raw(spark, [
+        {"hash": "null_inputs", "inputs": None, "outputs": [slot("X")]},
+        {"hash": "empty_inputs", "inputs": [], "outputs": []},
+        {"hash": "null_list", "inputs": [slot(None), slot("A")], "outputs": [slot(None)]},
+        {"hash": "null_addr", "inputs": [slot("A", None)], "outputs": [slot(None, None)]},
+        {"hash": "dups", "inputs": [slot("A", "B"), slot("B", "A")], "outputs": [slot("A"), slot("C")]},
+    ])
+    w = project_window(raw)
+    assert _addr(w, "null_inputs") == ([], ["X"])
+    assert _addr(w, "empty_inputs") == ([], [])
+    assert _addr(w, "null_list") == (["A"], [])
+    assert _addr(w, "null_addr") == (["A"], [])
+    assert _addr(w, "dups") == (["A", "B"], ["A", "C"])
+    # never NULL arrays
+    assert w.filter(F.col("input_addresses").isNull() | F.col("output_addresses").isNull()).count() == 0
+
+
+def test_satoshi_conversion_and_nulls(spark):
+    raw = make_raw(spark, [{"hash": "a", "out_sat": 12_345_678_901, "in_sat": None},
+                           {"hash": "b", "out_sat": None}])
+    rows = {r["hachage_transaction"]: r for r in project_window(raw).collect()}
+    assert rows["a"]["valeur_sorties"] == 123.45678901
+    assert rows["a"]["valeur_entrees"] is None
+    assert rows["b"]["valeur_sorties"] is None
+    assert rows["a"]["valeur_sorties_sat"] == 12_345_678_901
+
+
+def test_window_edges_half_open(spark):
+    raw = make_raw(spark, [
+        {"hash": "before", "ts": dt.datetime(2020, 1, 31, 23, 59, 59)},
+        {"hash": "first", "ts": dt.datetime(2020, 2, 1, 0, 0, 0)},
+        {"hash": "last", "ts": dt.datetime(2020, 3, 3, 23, 59, 59)},
+        {"hash": "after", "ts": dt.datetime(2020, 3, 4, 0, 0, 0)},
+    ])
+    got = {r[0] for r in extract_window(raw, "2020-02-01", "2020-03-03")
+           .select("hachage_transaction").collect()}
+    assert got == {"first", "last"}
+
+
+def test_window_across_year_boundary(spark):
+    raw = make_raw(spark, [{"hash": f"d{i}", "ts": dt.datetime(2019, 12, 28) + dt.timedelta(days=i)}
+                           for i in range(10)])
+    w = extract_window(raw, "2019-12-30", "2020-01-02")
+    assert sorted(r[0] for r in w.select("hachage_transaction").collect()) == ["d2", "d3", "d4", "d5"]
+
+
+def test_null_state_selects_nothing(spark):
+    raw = make_raw(spark, [{"hash": "x"}])
+    assert extract_window(raw, None, None).count() == 0
+
+
+def test_address_edges_keep_duplicates(spark):
+    raw = make_raw(spark, [{"hash": "t", "inputs": [slot("A", "A", index=1), slot(None, index=2)],
+                            "outputs": [slot("B", None, index=0)]}])
+    rows = sorted(tuple(r) for r in address_edges(raw).collect())
+    assert rows == [("t", "in", 1, "A"), ("t", "in", 1, "A"), ("t", "out", 0, "B")]

@@ -5,7 +5,7 @@ Layout under ``root`` (a shared folder; by default inside the session's
 
     state/version=N/                 one row (start_date, end_date)
     window/version=N/jour_bloc=D/    window table of state N
-    kpi_daily/version=N/jour=D/      daily KPI table of state N
+    kpi_daily/version=N/mois=M/      daily KPI table of state N
     kpi_global/version=N/            one row
     slides/version=N/...             multi-slide outputs (run_slides)
 
@@ -43,8 +43,21 @@ def write_window_table(window: DataFrame, path: str) -> None:
 
 
 def write_kpi_daily(daily: DataFrame, path: str) -> None:
-    """SNK-2: one file per day (the aggregate is already partitioned by day)."""
-    daily.write.mode("overwrite").partitionBy("jour").parquet(path)
+    """SNK-2: the daily KPI table, partitioned by month (``mois``) and
+    sorted by ``jour`` inside each file.
+
+    The table holds one row per day, so day folders would be one-row files
+    (thousands of them over a long history); month folders keep files few
+    while a filter on ``jour`` still skips row groups by min/max.  The
+    shuffle by month moves at most 31 rows per key."""
+    (daily.withColumn("mois", F.trunc("jour", "MM")).repartition("mois")
+     .sortWithinPartitions("jour").write.mode("overwrite").partitionBy("mois").parquet(path))
+
+
+def read_kpi_daily(spark: SparkSession, path: str) -> DataFrame:
+    """Read back a daily KPI table with the contract columns only."""
+    from tidewatch.schema import DAILY_KPIS
+    return spark.read.parquet(path).select(*DAILY_KPIS)
 
 
 def write_kpi_global(glob: DataFrame, path: str) -> None:
