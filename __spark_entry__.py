@@ -81,8 +81,7 @@ def _flags(df: DataFrame, *names) -> DataFrame:
 def entry(spark: SparkSession) -> DataFrame:
     """Daily KPIs (D1..D9) of the base window of sf0.001."""
     raw = _tx(spark, SMOKE_DIR)
-    st = _state(raw)
-    window = ex.extract_window(raw, st.select("start_date").scalar(), st.select("end_date").scalar())
+    window = ex.extract_window(raw, *WN.state_bounds(_state(raw)))
     return K.kpi_daily(window)
 
 
@@ -128,8 +127,7 @@ def q_filter_ts_halfopen(spark, d):
 def q_window_extract(spark, d):
     """RW-2: slide 1 from the state, bounds as scalar subqueries."""
     raw = _tx(spark, d)
-    nxt = WN.advance_state(_state(raw), STEP)
-    w = ex.extract_window(raw, nxt.select("start_date").scalar(), nxt.select("end_date").scalar())
+    w = ex.extract_window(raw, *WN.state_bounds(WN.advance_state(_state(raw), STEP)))
     return _canonical(w)
 
 

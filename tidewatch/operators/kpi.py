@@ -74,7 +74,7 @@ def median_agg(accuracy: int = MEDIAN_ACCURACY) -> Column:
 def finishers() -> dict[str, Column]:
     n, so, co = F.col("n"), F.col("sum_out"), F.col("cnt_out")
     return {
-        "count": n,
+        "count": F.coalesce(n, F.lit(0).cast("bigint")),   # 0 for an empty window
         "volume": sat_to_coin(so.cast("double")),
         "mean": sat_to_coin(F.try_divide(so.cast("double"), co)),
         "median": sat_to_coin(F.col("med_sat")),

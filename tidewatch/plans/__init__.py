@@ -7,5 +7,6 @@ from tidewatch.plans.slides import (  # noqa: F401
 )
 from tidewatch.plans.state import StateStore  # noqa: F401
 from tidewatch.plans.windows import (  # noqa: F401
-    advance_state, latest_state, slides_until, state_from_data, state_row, window_list,
+    advance_state, latest_state, slides_until, state_bounds, state_from_data, state_row,
+    window_list,
 )

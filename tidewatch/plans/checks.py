@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import slide_range
 from tidewatch.operators.kpi import measures
-from tidewatch.plans.windows import window_list
+from tidewatch.plans.windows import state_bounds, window_list
 from tidewatch.schema import SLIDE_DAYS
 
 
@@ -44,17 +44,15 @@ def check_window_verdict(window: DataFrame, state: DataFrame) -> DataFrame:
     """CK-3: contents against the state bounds.  Gaps are reported in days
     (a sparse first or last day is legitimate); ``non_empty`` and
     ``in_bounds`` are the pass conditions."""
-    c = check_window_contents(window).select(
-        state.select("start_date").scalar().alias("start_date"),
-        state.select("end_date").scalar().alias("end_date"), "*")
+    start, end = state_bounds(state)
+    c = check_window_contents(window).select(start.alias("start_date"), end.alias("end_date"), "*")
     return c.select("*", *_verdict(c, "start_date", "end_date"))
 
 
 def check_slides(window: DataFrame, state: DataFrame, n_slides, step_days: int = SLIDE_DAYS) -> DataFrame:
     """CK-2 + CK-3 for every slide 1..n of a (multi-slide) window table, in
     one job: day counts expanded to slides, then one row per slide."""
-    start = state.select("start_date").scalar()
-    end = state.select("end_date").scalar()
+    start, end = state_bounds(state)
     days = measures(window).groupBy("jour").agg(F.count(F.lit(1)).alias("n"))
     per = (days.select(F.explode(slide_range(F.col("jour"), start, end, step_days, 1, n_slides))
                        .alias("slide"), "jour", "n")

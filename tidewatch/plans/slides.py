@@ -1,15 +1,19 @@
 """Many slides in one job (RW-3), the event-time sliding form (RW-4).
 
-Instead of re-reading the source once per slide, each day is expanded into
-the slides whose window contains it (``slide_range``: at most
-ceil(width/step) rows per day, pure arithmetic, no range join):
-
-* additive KPIs: day partials → expand → sum per slide;
-* median: transaction values → expand → one mergeable sketch per slide;
-* distinct addresses: distinct (day, address) first → expand → distinct
-  count per slide (shuffle keyed by (slide, address)).
-
-Empty windows are kept by a left join from the window list.
+Instead of re-reading the source once per slide, each transaction row is
+expanded into the slides whose window contains its day (``slide_range``:
+at most ceil(width/step) slides per day, pure arithmetic, no range join,
+nothing broadcast):
+
+* counts, satoshi sums and the median sketch: one aggregation keyed by
+  slide over the expanded rows; the partial aggregation collapses each
+  task's rows to one buffer per slide before the shuffle;
+* distinct addresses: (day, address) pairs expanded to (slide, address),
+  de-duplicated (shuffle keyed by slide and address, so a heavy window is
+  spread over all tasks), then counted per slide.
+
+Empty windows are kept by a left join from the window list (one row per
+slide).
 """
 
 from __future__ import annotations
@@ -23,14 +27,14 @@ from tidewatch.functions.columns import as_date, slide_range
 from tidewatch.operators.addresses import daily_address_set
 from tidewatch.operators.extract import extract_window, project_window
 from tidewatch.operators.kpi import (
-    PARTIALS, day_partials, global_columns, kpi_daily, measures, median_agg, merge_aggs,
+    global_columns, kpi_daily, measures, median_agg, partial_aggs,
 )
-from tidewatch.plans.windows import slides_until, window_list
+from tidewatch.plans.windows import slides_until, state_bounds, window_list
 from tidewatch.schema import MEDIAN_ACCURACY, RAW_MONTH, RAW_TS, SLIDE_DAYS
 
 
 def _bounds(state: DataFrame):
-    return (state.select("start_date").scalar(), state.select("end_date").scalar())
+    return state_bounds(state)
 
 
 def slides_window(raw: DataFrame, state: DataFrame, n_slides: int | None,
@@ -51,6 +55,18 @@ def _n(window: DataFrame, state: DataFrame, n_slides, step_days) -> Column:
     return F.lit(n_slides)
 
 
+def _slide_kpis(w: DataFrame, expand: Column, median_accuracy: int) -> tuple[DataFrame, DataFrame]:
+    """Per-slide partials + median, and per-slide distinct addresses."""
+    tx_rows = measures(w).select(expand, "out_sat", "in_sat", "cb", "cnt_in", "cnt_out")
+    kpis = tx_rows.groupBy("slide").agg(*partial_aggs(), median_agg(median_accuracy))
+    pairs = w.select(F.col("jour_bloc").alias("jour") if "jour_bloc" in w.columns
+                     else F.to_date("horodatage_bloc").alias("jour"),
+                     F.explode(F.array_union("input_addresses", "output_addresses")).alias("adresse"))
+    addrs = (pairs.select(expand, "adresse").groupBy("slide")
+             .agg(F.count_distinct("adresse").alias("n_addr")))
+    return kpis, addrs
+
+
 def kpi_global_slides(raw: DataFrame, state: DataFrame, n_slides: int | None = 15,
                       step_days: int = SLIDE_DAYS, median_accuracy: int = MEDIAN_ACCURACY,
                       window: DataFrame | None = None) -> DataFrame:
@@ -62,17 +78,9 @@ def kpi_global_slides(raw: DataFrame, state: DataFrame, n_slides: int | None = 1
     start, end = _bounds(state)
     n = _n(w, state, n_slides, step_days)
     expand = F.explode(slide_range(F.col("jour"), start, end, step_days, 1, n)).alias("slide")
-
-    parts = day_partials(w).select(expand, *PARTIALS)
-    additive = parts.groupBy("slide").agg(*merge_aggs())
-    med = (measures(w).select(expand, "out_sat")
-           .groupBy("slide").agg(median_agg(median_accuracy)))
-    addrs = (daily_address_set(w).select(expand, "adresse")
-             .groupBy("slide").agg(F.count_distinct("adresse").alias("n_addr")))
-
+    kpis, addrs = _slide_kpis(w, expand, median_accuracy)
     wins = window_list(state, n, step_days).select("slide", "new_start", "new_end")
-    return (wins.join(additive, "slide", "left").join(med, "slide", "left")
-            .join(addrs, "slide", "left")
+    return (wins.join(kpis, "slide", "left").join(addrs, "slide", "left")
             .select("slide", "new_start", "new_end", *global_columns(),
                     F.coalesce("n_addr", F.lit(0).cast("bigint")).alias("adresses_actives_global")))
 
@@ -101,22 +109,19 @@ def kpi_sliding_eventtime(window: DataFrame, start_day, end_day, step_days: int
     the ones that start before ``start``; ``slide`` numbers them relative to
     the state (0 = the state window).  ``start_day``/``end_day`` must be
     Python dates or ISO strings: ``window()`` takes literal durations.
-    Additive measures go through day partials, so ``window()`` expands days,
-    not transactions; only the median sketch reads transaction rows."""
+    Address pairs are de-duplicated per day before ``window()`` expands
+    them."""
     s = _dt.date.fromisoformat(str(start_day))
     e = _dt.date.fromisoformat(str(end_day))
     width = (e - s).days + 1
     offset = (s - _dt.date(1970, 1, 1)).days % step_days
 
-    def win() -> Column:
-        return F.window(F.col("jour").cast("timestamp"), f"{width} days",
-                        f"{step_days} days", f"{offset} days").alias("w")
-
-    additive = day_partials(window).groupBy(win()).agg(*merge_aggs())
-    med = measures(window).groupBy(win()).agg(median_agg(median_accuracy))
-    addrs = daily_address_set(window).groupBy(win()).agg(
-        F.count_distinct("adresse").alias("n_addr"))
-    out = additive.join(med, "w", "left").join(addrs, "w", "left")
+    win = F.window(F.col("jour").cast("timestamp"), f"{width} days",
+                   f"{step_days} days", f"{offset} days").alias("w")
+    kpis = measures(window).groupBy(win).agg(*partial_aggs(), median_agg(median_accuracy))
+    pairs = daily_address_set(window)
+    addrs = pairs.groupBy(win).agg(F.count_distinct("adresse").alias("n_addr"))
+    out = kpis.join(addrs, "w", "left")
     ws = F.to_date(F.col("w.start"))
     return out.select(
         (F.datediff(ws, as_date(s)) / F.lit(step_days)).cast("int").alias("slide"),

@@ -64,10 +64,17 @@ def window_list(state: DataFrame, n_slides: int | Column, step_days: int = SLIDE
         ts_lower(ns).alias("ts_lo"), ts_upper(ne).alias("ts_hi"))
 
 
+def state_bounds(state: DataFrame):
+    """``(start, end)`` of a one-row state as Columns backed by a single
+    scalar subquery (one job, reused wherever the bounds appear)."""
+    b = state.select(F.struct("start_date", "end_date").alias("b")).scalar()
+    return b.getField("start_date"), b.getField("end_date")
+
+
 def slides_until(raw_or_window: DataFrame, state: DataFrame, step_days: int = SLIDE_DAYS,
                  ts_col: str = RAW_TS) -> Column:
     """Number of slides whose window starts on or before the last day with
     data: ``floor((max_day - start) / step)``, as a scalar subquery."""
     last = raw_or_window.agg(F.max(F.to_date(ts_col)).alias("d")).scalar()
-    start = state.select("start_date").scalar()
+    start = state_bounds(state)[0]
     return F.floor(F.datediff(last, start) / F.lit(step_days)).cast("int")
