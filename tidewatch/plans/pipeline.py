@@ -135,6 +135,16 @@ class Pipeline:
         self.state.write(advance_state(state, self.step, n_slides), nxt)
         return nxt
 
+    # -- PL-4 -------------------------------------------------------------
+    def refresh_kpis(self, version: int | None = None) -> int:
+        """Recompute both KPI tables from a stored window table, without
+        sliding (for instance after a correction of the KPI definitions)."""
+        v = self.state.current_version() if version is None else version
+        window = self.read("window", v)
+        write_kpi_daily(kpi_daily(window, self.accuracy), self.path("kpi_daily", v))
+        write_kpi_global(kpi_global(window, self.accuracy), self.path("kpi_global", v))
+        return v
+
     # -- checks -----------------------------------------------------------
     def verdict(self) -> DataFrame:
         """CK-3 on the current window table."""

@@ -49,20 +49,22 @@ def tx_as_stream_rows(raw: DataFrame) -> DataFrame:
 
 
 def stage_chunks(spark: SparkSession, rows: DataFrame, path: str, time_col: str,
-                 edges: list) -> str:
+                 edges: list, files_per_chunk: int = 1) -> str:
     """Write ``rows`` as one file per time chunk ``[edges[i], edges[i+1])``,
     oldest chunk first.
 
     A file-stream source takes files in modification-time order; writing
     chunk by chunk makes that order follow event time, so with
-    ``maxFilesPerTrigger=1`` every micro-batch is one chunk and no row
-    arrives behind the watermark because of file order.  (Test staging: a
-    production stream already lands files or messages in arrival order.)"""
+    ``maxFilesPerTrigger = files_per_chunk`` every micro-batch is one whole
+    chunk and no row arrives behind the watermark because of file order.
+    Each chunk is spread round-robin over ``files_per_chunk`` writer tasks
+    (a chunk needs at least that many rows).  This is test staging: a
+    production stream already lands files or messages in arrival order."""
     for i in range(len(edges) - 1):
         lo, hi = edges[i], edges[i + 1]
         part = rows.filter((F.col(time_col) >= F.lit(lo).cast("timestamp"))
                            & (F.col(time_col) < F.lit(hi).cast("timestamp")))
-        part.coalesce(1).write.mode("append").parquet(path)
+        part.repartition(files_per_chunk).write.mode("append").parquet(path)
     return path
 
 
