@@ -80,6 +80,7 @@ def _flags(df: DataFrame, *names) -> DataFrame:
 
 def entry(spark: SparkSession) -> DataFrame:
     """Daily KPIs (D1..D9) of the base window of sf0.001."""
+    configure(spark)
     raw = _tx(spark, SMOKE_DIR)
     window = ex.extract_window(raw, *WN.state_bounds(_state(raw)))
     return K.kpi_daily(window)
@@ -357,7 +358,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_kpi_sliding": q_stream_kpi_sliding,
         "stream_kpi_daily_live": q_stream_kpi_daily_live,
     })
-    return q
+    return {name: _configured(fn) for name, fn in q.items()}
+
+
+def _configured(fn):
+    """Apply the session settings the semantics rely on (UTC days, AQE)
+    before building the plan, whatever session the caller passes."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
 
 
 # -- oracle SQL (DuckDB) -----------------------------------------------------
@@ -425,7 +437,8 @@ ad AS (SELECT ks.slide, count(DISTINCT x.addr) AS na FROM ks JOIN {O.ADDR_UNION}
 _CHECKS = with_tx("""
 SELECT w.slide, w.ws AS start_date, w.we AS end_date, c.mn AS min_date_table, c.mx AS max_date_table,
   coalesce(c.cnt, 0) AS nb_lignes,
-  date_diff('day', w.ws, c.mn) AS start_gap_days, date_diff('day', c.mx, w.we) AS end_gap_days,
+  CAST(date_diff('day', w.ws, c.mn) AS INTEGER) AS start_gap_days,
+  CAST(date_diff('day', c.mx, w.we) AS INTEGER) AS end_gap_days,
   CAST(coalesce(c.cnt, 0) > 0 AS INTEGER) AS non_empty,
   CAST(coalesce(c.mn >= w.ws AND c.mx <= w.we, TRUE) AS INTEGER) AS in_bounds
 FROM wins w LEFT JOIN c ON c.slide = w.slide""", _SLIDES + """,

@@ -53,6 +53,10 @@ def _key(row):
     return tuple((x is None, str(type(x)), x if x is not None else 0) for x in row)
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "date": "DATE",
+                 "string": "VARCHAR", "boolean": "BOOLEAN", "smallint": "SMALLINT"}
+
+
 def compare(spark, con, name, qfn, sql, sf_dir):
     t0 = time.time()
     sdf = qfn(spark, sf_dir)
@@ -68,11 +72,18 @@ def compare(spark, con, name, qfn, sql, sf_dir):
         msg.append(f"columns differ: spark={s_cols} duck={d_cols}")
         return False, "; ".join(msg), t1 - t0, t2 - t1
     order = sorted(s_cols)
+    s_types = dict(sdf.dtypes)
+    d_types = dict(zip(d_cols, [str(d[1]) for d in rel.description]))
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    bad_types = [(c, s_types[c], duck_types.get(c)) for c in order
+                 if SPARK_TO_DUCK.get(s_types[c], s_types[c]) != duck_types.get(c)]
+    if bad_types:
+        msg.append(f"types differ: {bad_types}")
     si = [s_cols.index(c) for c in order]
     di = [d_cols.index(c) for c in order]
     s_n = sorted((tuple(_norm(r[i]) for i in si) for r in s_rows), key=_key)
     d_n = sorted((tuple(_norm(r[i]) for i in di) for r in d_rows), key=_key)
-    ok = True
+    ok = not bad_types
     if len(s_n) != len(d_n):
         ok = False
         msg.append(f"rows spark={len(s_n)} duck={len(d_n)}")
@@ -86,9 +97,6 @@ def compare(spark, con, name, qfn, sql, sf_dir):
                     bad = [(order[i], a[i], b[i]) for i in range(len(a)) if a[i] != b[i]]
                     msg.append(f"diff {bad}")
         msg.append(f"{diffs} differing rows")
-    # type families
-    s_types = dict(sdf.dtypes)
-    d_types = dict(zip(d_cols, [str(d[1]) for d in rel.description]))
     return ok, "; ".join(msg) + f" types={[(c, s_types[c], d_types[c]) for c in order]}" if not ok else "", t1 - t0, t2 - t1
 
 
