@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import slide_range
 from tidewatch.operators.kpi import measures
-from tidewatch.plans.windows import state_bounds, window_list
+from tidewatch.plans.windows import state_bounds, state_row, window_list
 from tidewatch.schema import SLIDE_DAYS
 
 
@@ -49,9 +49,12 @@ def check_window_verdict(window: DataFrame, state: DataFrame) -> DataFrame:
     return c.select("*", *_verdict(c, "start_date", "end_date"))
 
 
-def check_slides(window: DataFrame, state: DataFrame, n_slides, step_days: int = SLIDE_DAYS) -> DataFrame:
+def check_slides(window: DataFrame, state, n_slides, step_days: int = SLIDE_DAYS) -> DataFrame:
     """CK-2 + CK-3 for every slide 1..n of a (multi-slide) window table, in
-    one job: day counts expanded to slides, then one row per slide."""
+    one job: day counts expanded to slides, then one row per slide.
+    ``state`` is a one-row state DataFrame or a ``(start, end)`` pair."""
+    if not isinstance(state, DataFrame):
+        state = state_row(window.sparkSession, state[0], state[1])
     start, end = state_bounds(state)
     days = measures(window).groupBy("jour").agg(F.count(F.lit(1)).alias("n"))
     per = (days.select(F.explode(slide_range(F.col("jour"), start, end, step_days, 1, n_slides))

@@ -122,14 +122,15 @@ class Pipeline:
         computed from it; the state then advances by ``n`` slides."""
         start, end, version = self.state.bounds()
         state = state_row(self.spark, start, end, version)
+        bounds = (start, end)          # literals: pushed to the scan
         out = self.path("slides", version)
-        write_window_table(slides_window(self.raw, state, n_slides, self.step), f"{out}/window")
+        write_window_table(slides_window(self.raw, bounds, n_slides, self.step), f"{out}/window")
         w = self.spark.read.parquet(f"{out}/window")
-        write_kpi_global(kpi_global_slides(self.raw, state, n_slides, self.step, self.accuracy,
+        write_kpi_global(kpi_global_slides(self.raw, bounds, n_slides, self.step, self.accuracy,
                                            window=w), f"{out}/kpi_global")
-        (kpi_daily_slides(self.raw, state, n_slides, self.step, self.accuracy, window=w)
+        (kpi_daily_slides(self.raw, bounds, n_slides, self.step, self.accuracy, window=w)
          .write.mode("overwrite").partitionBy("slide").parquet(f"{out}/kpi_daily"))
-        check_slides(w, state, n_slides, self.step).coalesce(1).write.mode("overwrite") \
+        check_slides(w, bounds, n_slides, self.step).coalesce(1).write.mode("overwrite") \
             .parquet(f"{out}/checks")
         nxt = version + n_slides
         self.state.write(advance_state(state, self.step, n_slides), nxt)

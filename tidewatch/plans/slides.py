@@ -29,18 +29,30 @@ from tidewatch.operators.extract import extract_window, project_window
 from tidewatch.operators.kpi import (
     global_columns, kpi_daily, measures, median_agg, partial_aggs,
 )
-from tidewatch.plans.windows import slides_until, state_bounds, window_list
+from tidewatch.plans.windows import slides_until, state_bounds, state_row, window_list
 from tidewatch.schema import MEDIAN_ACCURACY, RAW_MONTH, RAW_TS, SLIDE_DAYS
 
 
-def _bounds(state: DataFrame):
-    return state_bounds(state)
+def _bounds(state):
+    """Bounds as Columns: literals for a ``(start, end)`` pair (pushed to the
+    Parquet scan and constant-folded into month pruning), one scalar
+    subquery for a state DataFrame (pruned at run time)."""
+    if isinstance(state, DataFrame):
+        return state_bounds(state)
+    return as_date(state[0]), as_date(state[1])
 
 
-def slides_window(raw: DataFrame, state: DataFrame, n_slides: int | None,
+def _state_df(state, spark) -> DataFrame:
+    if isinstance(state, DataFrame):
+        return state
+    return state_row(spark, state[0], state[1])
+
+
+def slides_window(raw: DataFrame, state, n_slides: int | None,
                   step_days: int = SLIDE_DAYS) -> DataFrame:
     """The union of the windows of slides 1..n, extracted once.  With
-    ``n_slides=None`` every slide up to the end of the data."""
+    ``n_slides=None`` every slide up to the end of the data.  ``state`` is
+    a one-row state DataFrame or a ``(start, end)`` pair of dates."""
     start, end = _bounds(state)
     lo = F.date_add(start, step_days)
     if n_slides is None:
@@ -49,9 +61,10 @@ def slides_window(raw: DataFrame, state: DataFrame, n_slides: int | None,
     return extract_window(raw, lo, F.date_add(end, step_days * n_slides))
 
 
-def _n(window: DataFrame, state: DataFrame, n_slides, step_days) -> Column:
+def _n(window: DataFrame, state, n_slides, step_days) -> Column:
     if n_slides is None:
-        return slides_until(window, state, step_days, ts_col="horodatage_bloc")
+        return slides_until(window, _state_df(state, window.sparkSession), step_days,
+                            ts_col="horodatage_bloc")
     return F.lit(n_slides)
 
 
@@ -67,7 +80,7 @@ def _slide_kpis(w: DataFrame, expand: Column, median_accuracy: int) -> tuple[Dat
     return kpis, addrs
 
 
-def kpi_global_slides(raw: DataFrame, state: DataFrame, n_slides: int | None = 15,
+def kpi_global_slides(raw: DataFrame, state, n_slides: int | None = 15,
                       step_days: int = SLIDE_DAYS, median_accuracy: int = MEDIAN_ACCURACY,
                       window: DataFrame | None = None) -> DataFrame:
     """Global KPIs (G1..G9) of slides 1..n in one job: one row per slide,
@@ -79,13 +92,14 @@ def kpi_global_slides(raw: DataFrame, state: DataFrame, n_slides: int | None = 1
     n = _n(w, state, n_slides, step_days)
     expand = F.explode(slide_range(F.col("jour"), start, end, step_days, 1, n)).alias("slide")
     kpis, addrs = _slide_kpis(w, expand, median_accuracy)
-    wins = window_list(state, n, step_days).select("slide", "new_start", "new_end")
+    wins = window_list(_state_df(state, w.sparkSession), n, step_days).select(
+        "slide", "new_start", "new_end")
     return (wins.join(kpis, "slide", "left").join(addrs, "slide", "left")
             .select("slide", "new_start", "new_end", *global_columns(),
                     F.coalesce("n_addr", F.lit(0).cast("bigint")).alias("adresses_actives_global")))
 
 
-def kpi_daily_slides(raw: DataFrame, state: DataFrame, n_slides: int | None = 15,
+def kpi_daily_slides(raw: DataFrame, state, n_slides: int | None = 15,
                      step_days: int = SLIDE_DAYS, median_accuracy: int = MEDIAN_ACCURACY,
                      window: DataFrame | None = None) -> DataFrame:
     """Daily KPI tables of slides 1..n: ``slide`` + the ten daily columns.
