@@ -70,3 +70,19 @@ def test_retry_after_failure_is_idempotent(spark, raw, monkeypatch):
     ref.slide_once()
     a, b = p.read("kpi_global").first(), ref.read("kpi_global").first()
     assert all(a[c] == pytest.approx(b[c]) for c in GLOBAL_KPIS)
+
+
+def test_empty_base_month_gives_null_state_and_empty_window(spark):
+    from conftest import make_raw
+    raw = make_raw(spark, [{"ts": dt.datetime(2020, 3, 5, 1)}])
+    p = Pipeline(spark, raw)
+    p.setup("2020-01-01")
+    assert p.state.bounds() == (None, None, 0)
+    assert p.read("window").count() == 0
+    assert p.read("kpi_daily").count() == 0
+    g = p.read("kpi_global").collect()
+    assert len(g) == 1 and g[0]["nombre_transactions_total"] == 0
+    assert p.slide_once() == 1
+    assert p.state.bounds() == (None, None, 1)
+    v = p.verdict().first()
+    assert not v["non_empty"] and v["nb_lignes"] == 0

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.operators.extract import extract_window
+from tidewatch.operators.extract import extract_window, project_window
 from tidewatch.operators.kpi import kpi_daily, kpi_global
 from tidewatch.plans.checks import check_slides, check_window_verdict
 from tidewatch.plans.slides import kpi_daily_slides, kpi_global_slides, slides_window
@@ -78,9 +78,20 @@ class Pipeline:
     def path(self, table: str, version: int) -> str:
         return f"{self.root}/{table}/version={version}"
 
+    def _schema(self, table: str):
+        """Schema of a stored table, derived from the plan (no job).  Reads
+        use it, so an empty window (NULL state, month without data) reads
+        back as an empty table instead of failing schema inference."""
+        w = project_window(self.raw)
+        if table == "kpi_daily":
+            return kpi_daily(w).withColumn("mois", F.trunc("jour", "MM")).schema
+        if table == "kpi_global":
+            return kpi_global(w).schema
+        return w.schema
+
     def read(self, table: str, version: int | None = None) -> DataFrame:
         v = self.state.current_version() if version is None else version
-        return self.spark.read.parquet(self.path(table, v))
+        return self.spark.read.schema(self._schema(table)).parquet(self.path(table, v))
 
     # -- PL-1 -------------------------------------------------------------
     def setup(self, month) -> int:
@@ -125,7 +136,7 @@ class Pipeline:
         bounds = (start, end)          # literals: pushed to the scan
         out = self.path("slides", version)
         write_window_table(slides_window(self.raw, bounds, n_slides, self.step), f"{out}/window")
-        w = self.spark.read.parquet(f"{out}/window")
+        w = self.spark.read.schema(self._schema("window")).parquet(f"{out}/window")
         write_kpi_global(kpi_global_slides(self.raw, bounds, n_slides, self.step, self.accuracy,
                                            window=w), f"{out}/kpi_global")
         (kpi_daily_slides(self.raw, bounds, n_slides, self.step, self.accuracy, window=w)
