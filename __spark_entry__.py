@@ -272,9 +272,14 @@ def _event_stream(spark, d):
     return ST.read_file_stream(spark, src, ST.EVENT_TX_SCHEMA, 1)
 
 
+def _state_partitions(spark) -> int:
+    """State-store partitions of the stream queries: one per core."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _drain(spark, df, mode="append"):
     sink = scratch_path(spark, "sink")
-    ST.run_available_now(df, sink, scratch_path(spark, "ckpt"), mode)
+    ST.run_available_now(df, sink, scratch_path(spark, "ckpt"), mode, _state_partitions(spark))
     return spark.read.parquet(sink)
 
 
@@ -291,7 +296,7 @@ def q_stream_kpi_daily_live(spark, d):
     s = _event_stream(spark, d)
     table = scratch_path(spark, "live")
     q = ST.write_live(ST.daily_kpis_stream(s, "1 day", ST.EVENT_DAILY_KEYS), table,
-                      scratch_path(spark, "ckpt"))
+                      scratch_path(spark, "ckpt"), state_partitions=_state_partitions(spark))
     q.awaitTermination()
     return spark.read.parquet(table)
 

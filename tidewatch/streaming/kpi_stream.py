@@ -83,20 +83,53 @@ def sliding_kpis_stream(stream: DataFrame, width_days: int, step_days: int, offs
         *[fin[k].alias(GLOBAL_NAMES[k]) for k in keys])
 
 
-def run_available_now(df: DataFrame, sink: str, checkpoint: str, mode: str = "append") -> str:
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _start(df: DataFrame, writer, state_partitions: int | None, state_store: str | None = ROCKSDB):
+    """Start a stream with ``state_partitions`` state-store partitions and
+    the RocksDB state store (state off the JVM heap, spilled to local disk
+    and checkpointed incrementally, so large per-day address sets fit).
+
+    Both are fixed at the first start and kept in the checkpoint; a query
+    snapshots the session settings when it starts, so they are applied
+    only around ``start()``."""
+    conf = df.sparkSession.conf
+    settings = {}
+    if state_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if state_store:
+        settings["spark.sql.streaming.stateStore.providerClass"] = state_store
+    old = {k: conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        conf.set(k, v)
+    try:
+        return writer.start()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                conf.unset(k)
+            else:
+                conf.set(k, v)
+
+
+def run_available_now(df: DataFrame, sink: str, checkpoint: str, mode: str = "append",
+                      state_partitions: int | None = None) -> str:
     """Drain everything available into a Parquet sink and stop.  The
     checkpoint (offsets, commits and state) makes a restart resume where it
     stopped instead of re-emitting."""
-    q = (df.writeStream.format("parquet").outputMode(mode)
+    w = (df.writeStream.format("parquet").outputMode(mode)
          .option("path", sink).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+         .trigger(availableNow=True))
+    q = _start(df, w, state_partitions)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
     return sink
 
 
-def write_live(df: DataFrame, path: str, checkpoint: str, partition_col: str = "jour"):
+def write_live(df: DataFrame, path: str, checkpoint: str, partition_col: str = "jour",
+               state_partitions: int | None = None):
     """RW-8: update-mode stream into a day-partitioned table.  Each
     micro-batch holds the current values of the days it changed; only those
     day partitions are replaced."""
@@ -104,5 +137,6 @@ def write_live(df: DataFrame, path: str, checkpoint: str, partition_col: str = "
         (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition_col).parquet(path))
 
-    return (df.writeStream.outputMode("update").foreachBatch(upsert)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    w = (df.writeStream.outputMode("update").foreachBatch(upsert)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True))
+    return _start(df, w, state_partitions)

@@ -60,6 +60,11 @@ def stage_chunks(spark: SparkSession, rows: DataFrame, path: str, time_col: str,
     Each chunk is spread round-robin over ``files_per_chunk`` writer tasks
     (a chunk needs at least that many rows).  This is test staging: a
     production stream already lands files or messages in arrival order."""
+    # derive the rows once into a table next to the staging folder; each
+    # chunk is then a filtered read of it (timestamp filter pushed down)
+    whole = path.rstrip("/") + "-rows"
+    rows.write.mode("overwrite").parquet(whole)
+    rows = spark.read.parquet(whole)
     for i in range(len(edges) - 1):
         lo, hi = edges[i], edges[i + 1]
         part = rows.filter((F.col(time_col) >= F.lit(lo).cast("timestamp"))
