@@ -1,9 +1,9 @@
 """Daily and global KPIs of a window table.
 
 Every additive measure is kept as an exact partial (counts, and satoshi
-sums as DECIMAL(38,0)), so that day partials can be summed into any window
-without re-reading transactions, and so results do not depend on the order
-of a floating-point sum.  Coins are produced once, at the end.
+sums as DECIMAL(38,0)): partial aggregates merge exactly across tasks,
+days and slides, and results do not depend on the order of a
+floating-point sum.  Coins are produced once, at the end.
 """
 
 from __future__ import annotations
@@ -32,9 +32,6 @@ PARTIALS = {
     "sum_cnt_out": lambda: F.sum("cnt_out"),
 }
 
-# How each partial merges across days (all of them are sums).
-MERGE = {name: (lambda c=name: F.sum(c)) for name in PARTIALS}
-
 
 def _col_or(window: DataFrame, name: str, fallback: Column) -> Column:
     return F.col(name) if name in window.columns else fallback
@@ -58,10 +55,6 @@ def partial_aggs(names=None) -> list[Column]:
     return [PARTIALS[n]().alias(n) for n in (names or PARTIALS)]
 
 
-def merge_aggs(names=None) -> list[Column]:
-    return [MERGE[n]().alias(n) for n in (names or PARTIALS)]
-
-
 def median_agg(accuracy: int = MEDIAN_ACCURACY) -> Column:
     """Median of output values in satoshi: an actual member of the group,
     NULLs skipped.  ``percentile_approx`` is a mergeable sketch whose size
