@@ -35,13 +35,16 @@ def main(argv=None) -> int:
     ap.add_argument("--n", type=int, default=15)
     ap.add_argument("--step-days", type=int, default=SLIDE_DAYS)
     ap.add_argument("--median-accuracy", type=int, default=MEDIAN_ACCURACY)
+    ap.add_argument("--shuffle-partitions", type=int, default=None,
+                    help="initial AQE shuffle partitions, ~1 per 128 MB shuffled")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
     if not (a.raw or a.table):
         ap.error("--raw or --table is required")
 
     spark = get_session(a.master)
-    p = Pipeline(spark, read_raw(spark, a.raw, a.table), a.root, a.step_days, a.median_accuracy)
+    p = Pipeline(spark, read_raw(spark, a.raw, a.table), a.root, a.step_days, a.median_accuracy,
+                 a.shuffle_partitions)
     if a.command == "setup":
         if not a.month:
             ap.error("setup needs --month")

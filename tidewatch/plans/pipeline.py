@@ -28,7 +28,7 @@ from tidewatch.plans.slides import kpi_daily_slides, kpi_global_slides, slides_w
 from tidewatch.plans.state import StateStore
 from tidewatch.plans.windows import advance_state, state_row
 from tidewatch.schema import MEDIAN_ACCURACY, SLIDE_DAYS, WINDOW_DAY
-from tidewatch.session import scratch_path
+from tidewatch.session import scratch_path, set_initial_shuffle_partitions
 
 
 def write_window_table(window: DataFrame, path: str) -> None:
@@ -67,7 +67,12 @@ def write_kpi_global(glob: DataFrame, path: str) -> None:
 
 class Pipeline:
     def __init__(self, spark: SparkSession, raw: DataFrame, root: str | None = None,
-                 step_days: int = SLIDE_DAYS, median_accuracy: int = MEDIAN_ACCURACY):
+                 step_days: int = SLIDE_DAYS, median_accuracy: int = MEDIAN_ACCURACY,
+                 shuffle_partitions: int | None = None):
+        """``shuffle_partitions``: AQE's initial shuffle partition count for
+        the pipeline's jobs (see ``session.set_initial_shuffle_partitions``);
+        None keeps the session's setting."""
+        set_initial_shuffle_partitions(spark, shuffle_partitions)
         self.spark = spark
         self.raw = raw
         self.root = (root or scratch_path(spark, "pipeline")).rstrip("/")

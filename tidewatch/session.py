@@ -78,19 +78,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for os-level checks in tests only)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through Hadoop's FileSystem, so it works on any store."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
-
-
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the sub-folders of ``path`` (empty list when it is missing)."""
     jvm = spark.sparkContext._jvm
@@ -101,5 +88,14 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory()]
 
 
-__all__ = ["get_session", "configure", "work_dir", "scratch_path", "path_exists",
-           "list_dirs", "local_path"]
+def set_initial_shuffle_partitions(spark: SparkSession, n: int | None) -> None:
+    """Start AQE shuffles at ``n`` partitions (AQE then merges small ones
+    down to ``spark.sql.adaptive.advisoryPartitionSizeInBytes``).  Size it
+    from the bytes a job shuffles, about one partition per 128 MB: a month
+    window of 500 GB → ~4,000."""
+    if n:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+
+
+__all__ = ["get_session", "configure", "work_dir", "scratch_path", "list_dirs",
+           "set_initial_shuffle_partitions"]
