@@ -9,12 +9,12 @@ a retry rewrites the same tables.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.plans.windows import advance_state, latest_state, state_from_data
 from tidewatch.schema import SLIDE_DAYS
-from tidewatch.session import list_dirs
 
 
 class StateStore:
@@ -22,21 +22,20 @@ class StateStore:
         self.spark = spark
         self.root = root.rstrip("/")
 
+    def history(self) -> DataFrame:
+        """All versions ``(start_date, end_date, version)`` (``version`` is
+        discovered from the folder names); empty when nothing is stored."""
+        reader = self.spark.read.schema("start_date date, end_date date, version int")
+        try:
+            return reader.parquet(self.root).select("start_date", "end_date", "version")
+        except AnalysisException:      # the folder does not exist yet
+            return self.spark.createDataFrame([], "start_date date, end_date date, version int")
+
     def versions(self) -> list[int]:
-        out = []
-        for name in list_dirs(self.spark, self.root):
-            if name.startswith("version="):
-                out.append(int(name.split("=", 1)[1]))
-        return sorted(out)
+        return sorted(r[0] for r in self.history().select("version").distinct().collect())
 
     def current_version(self) -> int | None:
-        v = self.versions()
-        return v[-1] if v else None
-
-    def history(self) -> DataFrame:
-        """All versions ``(start_date, end_date, version)``."""
-        return (self.spark.read.schema("start_date date, end_date date, version int")
-                .parquet(self.root).select("start_date", "end_date", "version"))
+        return self.history().agg(F.max("version")).first()[0]
 
     def read(self) -> DataFrame:
         """The current state: the row of the highest version."""

@@ -78,16 +78,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def list_dirs(spark: SparkSession, path: str) -> list[str]:
-    """Names of the sub-folders of ``path`` (empty list when it is missing)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return []
-    return [st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory()]
-
-
 def set_initial_shuffle_partitions(spark: SparkSession, n: int | None) -> None:
     """Start AQE shuffles at ``n`` partitions (AQE then merges small ones
     down to ``spark.sql.adaptive.advisoryPartitionSizeInBytes``).  Size it
@@ -97,5 +87,5 @@ def set_initial_shuffle_partitions(spark: SparkSession, n: int | None) -> None:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
 
 
-__all__ = ["get_session", "configure", "work_dir", "scratch_path", "list_dirs",
+__all__ = ["get_session", "configure", "work_dir", "scratch_path",
            "set_initial_shuffle_partitions"]
