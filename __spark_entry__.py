@@ -13,8 +13,15 @@ as sorted comma-joined strings.
 from __future__ import annotations
 
 import datetime as _dt
+import os
+import sys
 from collections.abc import Callable
 
+# importable when this file is loaded by path from another working directory
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
