@@ -308,15 +308,25 @@ def q_stream_kpi_daily_live(spark, d):
     return spark.read.parquet(table)
 
 
-def q_stream_kpi_sliding(spark, d):
-    """RW-7 on ``tx`` staged as one file per year (oldest first)."""
-    raw = _tx(spark, d)
-    s = _state(raw).first()   # window() needs literal durations
+def _tx_stream(spark, raw):
+    """``tx`` rows staged as one file per year (oldest first), one file per trigger."""
     rows = ST.tx_as_stream_rows(raw)
     years = rows.agg(F.min("horodatage_bloc"), F.max("horodatage_bloc")).first()
     src = ST.stage_chunks(spark, rows, scratch_path(spark, "tx-src"), "horodatage_bloc",
                           ST.year_edges(years[0].year, years[1].year))
-    stream = ST.read_file_stream(spark, src, rows.schema, 1)
+    return ST.read_file_stream(spark, src, rows.schema, 1)
+
+
+def q_stream_kpi_daily_tx(spark, d):
+    """RW-5 with every daily KPI (D1..D8) on the ``tx`` stream."""
+    return _drain(spark, ST.daily_kpis_stream(_tx_stream(spark, _tx(spark, d)), "1 day"))
+
+
+def q_stream_kpi_sliding(spark, d):
+    """RW-7 on the ``tx`` stream."""
+    raw = _tx(spark, d)
+    s = _state(raw).first()   # window() needs literal durations
+    stream = _tx_stream(spark, raw)
     width = (s["end_date"] - s["start_date"]).days + 1
     offset = (s["start_date"] - _dt.date(1970, 1, 1)).days % STEP
     return _drain(spark, ST.sliding_kpis_stream(stream, width, STEP, offset, s["start_date"], "1 day"))
@@ -369,6 +379,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_active_addresses": q_stream_active_addresses,
         "stream_kpi_sliding": q_stream_kpi_sliding,
         "stream_kpi_daily_live": q_stream_kpi_daily_live,
+        "stream_kpi_daily_tx": q_stream_kpi_daily_tx,
     })
     return {name: _configured(fn) for name, fn in q.items()}
 
@@ -568,5 +579,8 @@ SELECT slide AS version, ws AS start_date, we AS end_date, {STEP} AS start_shift
         "stream_kpi_daily_live": _STREAM_DAILY.format(having=""),
         "stream_active_addresses": _STREAM_ADDR,
         "stream_kpi_sliding": _STREAM_SLIDING,
+        "stream_kpi_daily_tx": with_tx(f"""
+SELECT day AS jour, {O.finish(O.DAILY)} FROM (SELECT day, {O.PARTIALS_SQL} FROM tx GROUP BY day
+  HAVING CAST(day + 1 AS TIMESTAMP) <= (SELECT max(block_timestamp) FROM tx) - INTERVAL 1 DAY)"""),
     })
     return sql
