@@ -8,9 +8,10 @@ nothing broadcast):
 * counts, satoshi sums and the median sketch: one aggregation keyed by
   slide over the expanded rows; the partial aggregation collapses each
   task's rows to one buffer per slide before the shuffle;
-* distinct addresses: (day, address) pairs expanded to (slide, address),
-  de-duplicated (shuffle keyed by slide and address, so a heavy window is
-  spread over all tasks), then counted per slide.
+* distinct addresses: one shuffle keyed by address carrying the set of
+  days each address is active (map-side de-duplicated, bounded by the
+  calendar), expanded to slides after the shuffle, de-duplicated per
+  (address, slide) on the same partitioning, then counted per slide.
 
 Empty windows are kept by a left join from the window list (one row per
 slide).
@@ -68,15 +69,26 @@ def _n(window: DataFrame, state, n_slides, step_days) -> Column:
     return F.lit(n_slides)
 
 
-def _slide_kpis(w: DataFrame, expand: Column, median_accuracy: int) -> tuple[DataFrame, DataFrame]:
-    """Per-slide partials + median, and per-slide distinct addresses."""
-    tx_rows = measures(w).select(expand, "out_sat", "in_sat", "cb", "cnt_in", "cnt_out")
+def _slide_kpis(w: DataFrame, slides_of, median_accuracy: int) -> tuple[DataFrame, DataFrame]:
+    """Per-slide partials + median, and per-slide distinct addresses.
+
+    ``slides_of(day)`` is the array of slides whose window holds ``day``."""
+    tx_rows = measures(w).select(F.explode(slides_of(F.col("jour"))).alias("slide"),
+                                 "out_sat", "in_sat", "cb", "cnt_in", "cnt_out")
     kpis = tx_rows.groupBy("slide").agg(*partial_aggs(), median_agg(median_accuracy))
-    pairs = w.select(F.col("jour_bloc").alias("jour") if "jour_bloc" in w.columns
-                     else F.to_date("horodatage_bloc").alias("jour"),
+    day = F.col("jour_bloc") if "jour_bloc" in w.columns else F.to_date("horodatage_bloc")
+    pairs = w.select(day.alias("jour"),
                      F.explode(F.array_union("input_addresses", "output_addresses")).alias("adresse"))
-    addrs = (pairs.select(expand, "adresse").groupBy("slide")
-             .agg(F.count_distinct("adresse").alias("n_addr")))
+    # One shuffle keyed by address carrying each address's set of active
+    # days (map-side de-duplicated; at most one entry per calendar day of
+    # the range, however many rows a hot address has).  The expansion to
+    # slides happens after the shuffle, and the (address, slide)
+    # de-duplication reuses the address partitioning.
+    days = pairs.groupBy("adresse").agg(F.collect_set("jour").alias("days"))
+    addr_slides = (days.select("adresse", F.explode("days").alias("jour"))
+                   .select("adresse", F.explode(slides_of(F.col("jour"))).alias("slide"))
+                   .distinct())
+    addrs = addr_slides.groupBy("slide").agg(F.count(F.lit(1)).alias("n_addr"))
     return kpis, addrs
 
 
@@ -90,8 +102,8 @@ def kpi_global_slides(raw: DataFrame, state, n_slides: int | None = 15,
     w = window if window is not None else slides_window(raw, state, n_slides, step_days)
     start, end = _bounds(state)
     n = _n(w, state, n_slides, step_days)
-    expand = F.explode(slide_range(F.col("jour"), start, end, step_days, 1, n)).alias("slide")
-    kpis, addrs = _slide_kpis(w, expand, median_accuracy)
+    kpis, addrs = _slide_kpis(w, lambda d: slide_range(d, start, end, step_days, 1, n),
+                              median_accuracy)
     wins = window_list(_state_df(state, w.sparkSession), n, step_days).select(
         "slide", "new_start", "new_end")
     return (wins.join(kpis, "slide", "left").join(addrs, "slide", "left")
