@@ -322,14 +322,24 @@ def q_stream_kpi_daily_tx(spark, d):
     return _drain(spark, ST.daily_kpis_stream(_tx_stream(spark, _tx(spark, d)), "1 day"))
 
 
-def q_stream_kpi_sliding(spark, d):
-    """RW-7 on the ``tx`` stream."""
-    raw = _tx(spark, d)
+def _sliding_args(raw):
     s = _state(raw).first()   # window() needs literal durations
-    stream = _tx_stream(spark, raw)
     width = (s["end_date"] - s["start_date"]).days + 1
     offset = (s["start_date"] - _dt.date(1970, 1, 1)).days % STEP
-    return _drain(spark, ST.sliding_kpis_stream(stream, width, STEP, offset, s["start_date"], "1 day"))
+    return width, STEP, offset, s["start_date"]
+
+
+def q_stream_kpi_sliding(spark, d):
+    """RW-7 on the ``tx`` stream."""
+    raw = _tx(spark, d)
+    return _drain(spark, ST.sliding_kpis_stream(_tx_stream(spark, raw), *_sliding_args(raw), "1 day"))
+
+
+def q_stream_active_addresses_sliding(spark, d):
+    """RW-7 / G9 on the ``tx`` stream."""
+    raw = _tx(spark, d)
+    return _drain(spark, ST.sliding_active_addresses_stream(_tx_stream(spark, raw),
+                                                            *_sliding_args(raw), "1 day"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -380,6 +390,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_kpi_sliding": q_stream_kpi_sliding,
         "stream_kpi_daily_live": q_stream_kpi_daily_live,
         "stream_kpi_daily_tx": q_stream_kpi_daily_tx,
+        "stream_active_addresses_sliding": q_stream_active_addresses_sliding,
     })
     return {name: _configured(fn) for name, fn in q.items()}
 
@@ -494,6 +505,20 @@ ks AS (SELECT t.*, unnest(generate_series(
 g AS (SELECT slide, {O.PARTIALS_SQL} FROM ks GROUP BY slide)""")
 
 
+_STREAM_SLIDING_ADDR = with_tx(f"""
+SELECT CAST(ad.slide AS INTEGER) AS slide, st.s + {STEP} * CAST(ad.slide AS INTEGER) AS new_start,
+  st.e + {STEP} * CAST(ad.slide AS INTEGER) AS new_end, ad.na AS adresses_actives_global
+FROM ad JOIN st ON TRUE
+WHERE CAST(st.e + {STEP} * CAST(ad.slide AS INTEGER) + 1 AS TIMESTAMP)
+      <= (SELECT max(block_timestamp) FROM tx) - INTERVAL 1 DAY""", O.base_state_cte(BASE_MONTH) + f""",
+ks AS (SELECT t.k, unnest(generate_series(
+          CAST(ceil((date_diff('day', st.s, t.day) - date_diff('day', st.s, st.e)) / {STEP}.0) AS BIGINT),
+          CAST(floor(date_diff('day', st.s, t.day) / {STEP}.0) AS BIGINT))) AS slide
+       FROM tx t JOIN st ON TRUE),
+ad AS (SELECT ks.slide, count(DISTINCT x.addr) AS na FROM ks JOIN {O.ADDR_UNION} x ON x.k = ks.k
+       GROUP BY ks.slide)""")
+
+
 def oracle_sql() -> dict[str, str]:
     daily_keys = {"tx_count_daily": "count", "volume_daily": "volume", "avg_value_daily": "mean",
                   "median_value_daily": "median", "complexity_daily": "complexity",
@@ -579,6 +604,7 @@ SELECT slide AS version, ws AS start_date, we AS end_date, {STEP} AS start_shift
         "stream_kpi_daily_live": _STREAM_DAILY.format(having=""),
         "stream_active_addresses": _STREAM_ADDR,
         "stream_kpi_sliding": _STREAM_SLIDING,
+        "stream_active_addresses_sliding": _STREAM_SLIDING_ADDR,
         "stream_kpi_daily_tx": with_tx(f"""
 SELECT day AS jour, {O.finish(O.DAILY)} FROM (SELECT day, {O.PARTIALS_SQL} FROM tx GROUP BY day
   HAVING CAST(day + 1 AS TIMESTAMP) <= (SELECT max(block_timestamp) FROM tx) - INTERVAL 1 DAY)"""),

@@ -1,6 +1,6 @@
 from tidewatch.streaming.kpi_stream import (  # noqa: F401
     EVENT_DAILY_KEYS, active_addresses_stream, daily_kpis_stream, read_file_stream,
-    run_available_now, sliding_kpis_stream, write_live,
+    run_available_now, sliding_active_addresses_stream, sliding_kpis_stream, write_live,
 )
 from tidewatch.streaming.sources import (  # noqa: F401
     EVENT_TX_SCHEMA, events_as_tx, stage_chunks, tx_as_stream_rows, week_edges, year_edges,

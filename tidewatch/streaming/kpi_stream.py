@@ -113,6 +113,26 @@ def _start(df: DataFrame, writer, state_partitions: int | None, state_store: str
                 conf.set(k, v)
 
 
+def sliding_active_addresses_stream(stream: DataFrame, width_days: int, step_days: int,
+                                    offset_days: int, start_day,
+                                    watermark: str = "1 day") -> DataFrame:
+    """RW-7 / G9: exact distinct addresses of ``width``-day windows sliding
+    by ``step`` days: each row goes to its ≤ ceil(width/step) windows,
+    (window, address) is de-duplicated in state, then counted per window."""
+    win = F.window(TS, f"{width_days} days", f"{step_days} days", f"{offset_days} days")
+    rows = stream.withWatermark(TS, watermark).select(
+        win.alias("w"), "input_addresses", "output_addresses")
+    pairs = rows.select("w", F.explode(F.array_union("input_addresses", "output_addresses"))
+                        .alias("adresse"))
+    counts = pairs.dropDuplicates(["w", "adresse"]).groupBy("w").agg(
+        F.count(F.lit(1)).alias("adresses_actives_global"))
+    ws = F.to_date("w.start")
+    return counts.select(
+        (F.datediff(ws, F.lit(str(start_day)).cast("date")) / F.lit(step_days)).cast("int").alias("slide"),
+        ws.alias("new_start"), F.date_sub(F.to_date("w.end"), 1).alias("new_end"),
+        "adresses_actives_global")
+
+
 def run_available_now(df: DataFrame, sink: str, checkpoint: str, mode: str = "append",
                       state_partitions: int | None = None) -> str:
     """Drain everything available into a Parquet sink and stop.  The
