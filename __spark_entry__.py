@@ -35,7 +35,7 @@ from tidewatch.plans import windows as WN
 from tidewatch.plans.pipeline import read_kpi_daily, write_kpi_daily, write_window_table
 from tidewatch.plans.state import StateStore
 from tidewatch.schema import SLIDE_DAYS
-from tidewatch.session import configure, scratch_path
+from tidewatch.session import configure, default_parallelism, scratch_path
 from tidewatch.sources import load_table as _tbl
 from tidewatch.sources import tx
 from tidewatch import streaming as ST
@@ -281,7 +281,7 @@ def _event_stream(spark, d):
 
 def _state_partitions(spark) -> int:
     """State-store partitions of the stream queries: one per core."""
-    return spark.sparkContext.defaultParallelism
+    return default_parallelism(spark)
 
 
 def _drain(spark, df, mode="append"):

@@ -51,27 +51,43 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None under Spark Connect (no context on the client)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect raises a not-supported error
+        return None
+
+
+_LOCAL_FALLBACK: dict[int, str] = {}
+
+
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for materialised tables, checkpoints and stream state.
 
     Read from ``spark.checkpoint.dir`` (set by the cluster).  Only when it
-    is unset, as in local tests, a fresh local folder is created and
-    registered as the checkpoint folder.
+    is unset, as in local tests, a fresh local folder is created (once per
+    session) and registered as the checkpoint folder.
     """
-    sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and sc is not None:
+        base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
-        current = sc.getCheckpointDir()
-        if current:
-            return current
-        base = tempfile.mkdtemp(prefix="tidewatch-")
-        sc.setCheckpointDir(base)
-        return sc.getCheckpointDir() or base
-    if sc.getCheckpointDir() is None:
+        base = _LOCAL_FALLBACK.setdefault(id(spark), tempfile.mkdtemp(prefix="tidewatch-"))
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
     return base
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Total cores of the cluster (shuffle partitions under Spark Connect)."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of the shared work folder."""
     base = work_dir(spark).rstrip("/")
@@ -87,5 +103,5 @@ def set_initial_shuffle_partitions(spark: SparkSession, n: int | None) -> None:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
 
 
-__all__ = ["get_session", "configure", "work_dir", "scratch_path",
+__all__ = ["get_session", "configure", "work_dir", "scratch_path", "default_parallelism",
            "set_initial_shuffle_partitions"]
