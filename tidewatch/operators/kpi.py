@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from tidewatch.functions.columns import safe_ratio, sat_of_coin, sat_to_coin
 from tidewatch.operators.addresses import active_addresses_daily, active_addresses_global
 from tidewatch.schema import (
-    DAILY_KPIS, GLOBAL_KPIS, IN_SAT, MEDIAN_ACCURACY, OUT_SAT, WHALE_THRESHOLD_SAT, WINDOW_DAY,
+    DAILY_KPIS, GLOBAL_KPIS, IN_SAT, MEDIAN_ACCURACY, MEDIAN_SKETCH_K, OUT_SAT, SKETCH_FANIN,
+    WHALE_THRESHOLD_SAT, WINDOW_DAY,
 )
 
 DEC = "decimal(38,0)"
@@ -56,13 +57,34 @@ def partial_aggs(names=None) -> list[Column]:
 
 
 def median_agg(accuracy: int = MEDIAN_ACCURACY) -> Column:
-    """Median of output values in satoshi: an actual member of the group,
-    NULLs skipped.  ``percentile_approx`` is a mergeable sketch whose size
-    is bounded by ``accuracy``; it is exact for groups of up to roughly
-    ``accuracy`` rows and within ``1/accuracy`` relative rank beyond."""
+    """Streaming median of output values in satoshi (one ``percentile_approx``
+    sketch per open window in the state store): an actual member of the
+    group, NULLs skipped, exact up to about ``accuracy`` values."""
     return F.percentile_approx("out_sat", 0.5, accuracy).alias("med_sat")
 
 
+def aggregate_kpis(rows: DataFrame, keys: list, k: int = MEDIAN_SKETCH_K,
+                   fanin: int = SKETCH_FANIN) -> DataFrame:
+    """All partials plus the median per ``keys``, as a two-level merge.
+
+    Level 1 groups by (keys, map task mod ``fanin``): every map task
+    pre-aggregates its rows into one partial row (counts, DECIMAL sums, one
+    KLL sketch) per key, and the partials of a key are spread over
+    ``fanin`` reducers.  Level 2 merges at most ``fanin`` rows per key.  A
+    key holding a third of all rows therefore never sends one sketch per
+    map task to a single reducer.  The median is the lower middle value
+    (a member of the group), exact while the key has at most ``k`` values;
+    NULL when the key has no value."""
+    part = rows.select("*", F.pmod(F.spark_partition_id(), F.lit(fanin)).alias("_task"))
+    lvl1 = part.groupBy(*keys, "_task").agg(
+        *partial_aggs(), F.expr(f"kll_sketch_agg_bigint(out_sat, {int(k)})").alias("_sk"))
+    lvl2 = lvl1.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in PARTIALS],
+                                   F.expr("kll_merge_agg_bigint(_sk)").alias("_sk"))
+    has_values = F.expr("kll_sketch_get_n_bigint(_sk)") > 0
+    med = F.when(has_values, F.expr("kll_sketch_get_quantile_bigint(_sk, 0.5)"))
+    return lvl2.select(*keys, *PARTIALS, med.cast("bigint").alias("med_sat"))
+
+
 # KPI name → expression over the partial columns.
 def finishers() -> dict[str, Column]:
     n, so, co = F.col("n"), F.col("sum_out"), F.col("cnt_out")
@@ -102,13 +124,13 @@ def day_partials(window: DataFrame, names=None) -> DataFrame:
     return measures(window).groupBy("jour").agg(*partial_aggs(names))
 
 
-def kpi_daily(window: DataFrame, median_accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
+def kpi_daily(window: DataFrame, median_k: int = MEDIAN_SKETCH_K) -> DataFrame:
     """The daily KPI table (D1..D9), one row per day that has transactions.
 
     Two aggregations keyed by day (both partial before the shuffle) and a
     left join on day; both sides are one row per day, so AQE broadcasts
     the address side once its measured size allows it."""
-    daily = measures(window).groupBy("jour").agg(*partial_aggs(), median_agg(median_accuracy))
+    daily = aggregate_kpis(measures(window), ["jour"], median_k)
     addrs = active_addresses_daily(window)
     return (daily.join(addrs, "jour", "left")
             .select("jour", *daily_columns(),
@@ -116,21 +138,19 @@ def kpi_daily(window: DataFrame, median_accuracy: int = MEDIAN_ACCURACY) -> Data
                      .alias("adresses_actives_jour")))
 
 
-def kpi_global(window: DataFrame, median_accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
+def kpi_global(window: DataFrame, median_k: int = MEDIAN_SKETCH_K) -> DataFrame:
     """The global KPI table (G1..G9): exactly one row, also on an empty
     window.  G9 is an uncorrelated scalar subquery (the distinct count over
     the whole window, not a sum of daily counts)."""
-    g = measures(window).agg(*partial_aggs(), median_agg(median_accuracy))
+    g = aggregate_kpis(measures(window), [], median_k)
     addr = active_addresses_global(window)
     return g.select(*global_columns(), addr.scalar().alias("adresses_actives_global"))
 
 
 # -- single-KPI operators (each plans only the aggregates it needs) --------
 
-def _daily_one(window: DataFrame, key: str, names, median: bool = False,
-               accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
-    aggs = partial_aggs(names) + ([median_agg(accuracy)] if median else [])
-    return (measures(window).groupBy("jour").agg(*aggs)
+def _daily_one(window: DataFrame, key: str, names) -> DataFrame:
+    return (measures(window).groupBy("jour").agg(*partial_aggs(names))
             .select("jour", finishers()[key].alias(DAILY_NAMES[key])))
 
 
@@ -146,8 +166,9 @@ def avg_value_daily(window: DataFrame) -> DataFrame:
     return _daily_one(window, "mean", ["sum_out", "cnt_out"])
 
 
-def median_value_daily(window: DataFrame, accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
-    return _daily_one(window, "median", [], median=True, accuracy=accuracy)
+def median_value_daily(window: DataFrame, median_k: int = MEDIAN_SKETCH_K) -> DataFrame:
+    return (aggregate_kpis(measures(window), ["jour"], median_k)
+            .select("jour", finishers()["median"].alias(DAILY_NAMES["median"])))
 
 
 def complexity_daily(window: DataFrame) -> DataFrame:

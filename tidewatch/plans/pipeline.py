@@ -27,7 +27,7 @@ from tidewatch.plans.checks import check_slides, check_window_verdict
 from tidewatch.plans.slides import kpi_daily_slides, kpi_global_slides, slides_window
 from tidewatch.plans.state import StateStore
 from tidewatch.plans.windows import advance_state, state_row
-from tidewatch.schema import MEDIAN_ACCURACY, SLIDE_DAYS, WINDOW_DAY
+from tidewatch.schema import MEDIAN_SKETCH_K, SLIDE_DAYS, WINDOW_DAY
 from tidewatch.session import scratch_path, set_initial_shuffle_partitions
 
 
@@ -67,7 +67,7 @@ def write_kpi_global(glob: DataFrame, path: str) -> None:
 
 class Pipeline:
     def __init__(self, spark: SparkSession, raw: DataFrame, root: str | None = None,
-                 step_days: int = SLIDE_DAYS, median_accuracy: int = MEDIAN_ACCURACY,
+                 step_days: int = SLIDE_DAYS, median_k: int = MEDIAN_SKETCH_K,
                  shuffle_partitions: int | None = None):
         """``shuffle_partitions``: AQE's initial shuffle partition count for
         the pipeline's jobs (see ``session.set_initial_shuffle_partitions``);
@@ -77,7 +77,7 @@ class Pipeline:
         self.raw = raw
         self.root = (root or scratch_path(spark, "pipeline")).rstrip("/")
         self.step = step_days
-        self.accuracy = median_accuracy
+        self.median_k = median_k
         self.state = StateStore(spark, f"{self.root}/state")
 
     def path(self, table: str, version: int) -> str:
@@ -109,8 +109,8 @@ class Pipeline:
     def _build(self, version: int, start, end) -> None:
         write_window_table(extract_window(self.raw, start, end), self.path("window", version))
         window = self.read("window", version)
-        write_kpi_daily(kpi_daily(window, self.accuracy), self.path("kpi_daily", version))
-        write_kpi_global(kpi_global(window, self.accuracy), self.path("kpi_global", version))
+        write_kpi_daily(kpi_daily(window, self.median_k), self.path("kpi_daily", version))
+        write_kpi_global(kpi_global(window, self.median_k), self.path("kpi_global", version))
 
     # -- PL-2 -------------------------------------------------------------
     def slide_once(self) -> int:
@@ -142,9 +142,9 @@ class Pipeline:
         out = self.path("slides", version)
         write_window_table(slides_window(self.raw, bounds, n_slides, self.step), f"{out}/window")
         w = self.spark.read.schema(self._schema("window")).parquet(f"{out}/window")
-        write_kpi_global(kpi_global_slides(self.raw, bounds, n_slides, self.step, self.accuracy,
+        write_kpi_global(kpi_global_slides(self.raw, bounds, n_slides, self.step, self.median_k,
                                            window=w), f"{out}/kpi_global")
-        (kpi_daily_slides(self.raw, bounds, n_slides, self.step, self.accuracy, window=w)
+        (kpi_daily_slides(self.raw, bounds, n_slides, self.step, self.median_k, window=w)
          .write.mode("overwrite").partitionBy("slide").parquet(f"{out}/kpi_daily"))
         check_slides(w, bounds, n_slides, self.step).coalesce(1).write.mode("overwrite") \
             .parquet(f"{out}/checks")
@@ -158,8 +158,8 @@ class Pipeline:
         sliding (for instance after a correction of the KPI definitions)."""
         v = self.state.current_version() if version is None else version
         window = self.read("window", v)
-        write_kpi_daily(kpi_daily(window, self.accuracy), self.path("kpi_daily", v))
-        write_kpi_global(kpi_global(window, self.accuracy), self.path("kpi_global", v))
+        write_kpi_daily(kpi_daily(window, self.median_k), self.path("kpi_daily", v))
+        write_kpi_global(kpi_global(window, self.median_k), self.path("kpi_global", v))
         return v
 
     # -- checks -----------------------------------------------------------

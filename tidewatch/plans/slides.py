@@ -28,10 +28,10 @@ from tidewatch.functions.columns import as_date, slide_range
 from tidewatch.operators.addresses import daily_address_set
 from tidewatch.operators.extract import extract_window, project_window
 from tidewatch.operators.kpi import (
-    global_columns, kpi_daily, measures, median_agg, partial_aggs,
+    aggregate_kpis, global_columns, kpi_daily, measures,
 )
 from tidewatch.plans.windows import slides_until, state_bounds, state_row, window_list
-from tidewatch.schema import MEDIAN_ACCURACY, RAW_MONTH, RAW_TS, SLIDE_DAYS
+from tidewatch.schema import MEDIAN_SKETCH_K, RAW_MONTH, RAW_TS, SLIDE_DAYS
 
 
 def _bounds(state):
@@ -69,13 +69,13 @@ def _n(window: DataFrame, state, n_slides, step_days) -> Column:
     return F.lit(n_slides)
 
 
-def _slide_kpis(w: DataFrame, slides_of, median_accuracy: int) -> tuple[DataFrame, DataFrame]:
+def _slide_kpis(w: DataFrame, slides_of, median_k: int) -> tuple[DataFrame, DataFrame]:
     """Per-slide partials + median, and per-slide distinct addresses.
 
     ``slides_of(day)`` is the array of slides whose window holds ``day``."""
     tx_rows = measures(w).select(F.explode(slides_of(F.col("jour"))).alias("slide"),
                                  "out_sat", "in_sat", "cb", "cnt_in", "cnt_out")
-    kpis = tx_rows.groupBy("slide").agg(*partial_aggs(), median_agg(median_accuracy))
+    kpis = aggregate_kpis(tx_rows, ["slide"], median_k)
     day = F.col("jour_bloc") if "jour_bloc" in w.columns else F.to_date("horodatage_bloc")
     pairs = w.select(day.alias("jour"),
                      F.explode(F.array_union("input_addresses", "output_addresses")).alias("adresse"))
@@ -93,7 +93,7 @@ def _slide_kpis(w: DataFrame, slides_of, median_accuracy: int) -> tuple[DataFram
 
 
 def kpi_global_slides(raw: DataFrame, state, n_slides: int | None = 15,
-                      step_days: int = SLIDE_DAYS, median_accuracy: int = MEDIAN_ACCURACY,
+                      step_days: int = SLIDE_DAYS, median_k: int = MEDIAN_SKETCH_K,
                       window: DataFrame | None = None) -> DataFrame:
     """Global KPIs (G1..G9) of slides 1..n in one job: one row per slide,
     ``slide, new_start, new_end`` + the nine KPI columns.
@@ -103,7 +103,7 @@ def kpi_global_slides(raw: DataFrame, state, n_slides: int | None = 15,
     start, end = _bounds(state)
     n = _n(w, state, n_slides, step_days)
     kpis, addrs = _slide_kpis(w, lambda d: slide_range(d, start, end, step_days, 1, n),
-                              median_accuracy)
+                              median_k)
     wins = window_list(_state_df(state, w.sparkSession), n, step_days).select(
         "slide", "new_start", "new_end")
     return (wins.join(kpis, "slide", "left").join(addrs, "slide", "left")
@@ -112,7 +112,7 @@ def kpi_global_slides(raw: DataFrame, state, n_slides: int | None = 15,
 
 
 def kpi_daily_slides(raw: DataFrame, state, n_slides: int | None = 15,
-                     step_days: int = SLIDE_DAYS, median_accuracy: int = MEDIAN_ACCURACY,
+                     step_days: int = SLIDE_DAYS, median_k: int = MEDIAN_SKETCH_K,
                      window: DataFrame | None = None) -> DataFrame:
     """Daily KPI tables of slides 1..n: ``slide`` + the ten daily columns.
 
@@ -121,13 +121,13 @@ def kpi_daily_slides(raw: DataFrame, state, n_slides: int | None = 15,
     w = window if window is not None else slides_window(raw, state, n_slides, step_days)
     start, end = _bounds(state)
     n = _n(w, state, n_slides, step_days)
-    daily = kpi_daily(w, median_accuracy)
+    daily = kpi_daily(w, median_k)
     expand = F.explode(slide_range(F.col("jour"), start, end, step_days, 1, n)).alias("slide")
     return daily.select(expand, *daily.columns)
 
 
 def kpi_sliding_eventtime(window: DataFrame, start_day, end_day, step_days: int = SLIDE_DAYS,
-                          median_accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
+                          median_k: int = MEDIAN_SKETCH_K) -> DataFrame:
     """RW-4: the same windows through Spark's ``window()`` (width
     ``end-start+1`` days, slide ``step`` days, aligned on ``start``).
 
@@ -144,7 +144,8 @@ def kpi_sliding_eventtime(window: DataFrame, start_day, end_day, step_days: int
 
     win = F.window(F.col("jour").cast("timestamp"), f"{width} days",
                    f"{step_days} days", f"{offset} days").alias("w")
-    kpis = measures(window).groupBy(win).agg(*partial_aggs(), median_agg(median_accuracy))
+    m = measures(window)
+    kpis = aggregate_kpis(m.select(win, *m.columns), ["w"], median_k)
     pairs = daily_address_set(window)
     addrs = pairs.groupBy(win).agg(F.count_distinct("adresse").alias("n_addr"))
     out = kpis.join(addrs, "w", "left")

@@ -12,8 +12,16 @@ WHALE_THRESHOLD_COINS = 100
 WHALE_THRESHOLD_SAT = WHALE_THRESHOLD_COINS * SAT_PER_COIN
 SLIDE_DAYS = 7
 
-# Default median sketch accuracy (relative rank error 1 / accuracy).  The
-# sketch memory is bounded by the accuracy, not by the group size.
+# Median, batch: KLL sketch size parameter k.  Exact while a group holds at
+# most k values, normalised rank error about 1.65 / k beyond; the sketch
+# size is bounded by k, not by the group size.
+MEDIAN_SKETCH_K = 16_384
+# Fan-in of the two-level sketch merge: map tasks are spread over this many
+# first-level reducers per key, so no reducer merges one sketch per task of
+# a hot key.
+SKETCH_FANIN = 64
+
+# Median, streaming: percentile_approx accuracy (state per open window).
 MEDIAN_ACCURACY = 100_000
 
 # Raw transaction table (source).
