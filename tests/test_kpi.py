@@ -88,3 +88,22 @@ def test_invariants_on_fixture(spark):
     bad = d.filter((F.col("whale_ratio_day") > 1) | (F.col("coinbase_inflat") > 1)
                    | (F.col("whale_ratio_day") < 0)).count()
     assert bad == 0
+
+
+def test_two_level_sketch_merge(spark):
+    from tidewatch.operators.kpi import aggregate_kpis
+    rows = (spark.range(0, 20000, numPartitions=16)
+            .select((F.col("id") % 2).alias("g"), (F.col("id") + 1).alias("out_sat"),
+                    F.col("id").alias("in_sat"), F.lit(False).alias("cb"),
+                    F.lit(1).cast("bigint").alias("cnt_in"), F.lit(1).cast("bigint").alias("cnt_out"))
+            .union(spark.createDataFrame([(2, None, 1, False, 1, 1)], "g long, out_sat long, "
+                                         "in_sat long, cb boolean, cnt_in long, cnt_out long")))
+    exact = {r["g"]: r for r in aggregate_kpis(rows, ["g"], k=16384, fanin=64).collect()}
+    one = {r["g"]: r for r in aggregate_kpis(rows, ["g"], k=16384, fanin=1).collect()}
+    # group 0 holds 1,3,...,19999 and group 1 holds 2,4,...,20000: lower middle values
+    assert exact[0]["med_sat"] == 9999 and exact[1]["med_sat"] == 10000
+    assert exact[0]["n"] == 10000 and exact[0]["sum_out"] == sum(range(1, 20001, 2))
+    assert {g: r.asDict() for g, r in exact.items()} == {g: r.asDict() for g, r in one.items()}
+    assert exact[2]["med_sat"] is None and exact[2]["n"] == 1      # no value → NULL median
+    small_k = {r["g"]: r["med_sat"] for r in aggregate_kpis(rows, ["g"], k=200, fanin=8).collect()}
+    assert abs(small_k[0] - 9999) <= 0.02 * 20000                  # rank error ≈ 1.65/k

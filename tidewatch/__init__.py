@@ -5,3 +5,10 @@ from tidewatch.plans import (  # noqa: F401
     Pipeline, StateStore, check_window_verdict, kpi_daily_slides, kpi_global_slides, window_list,
 )
 from tidewatch.session import get_session  # noqa: F401
+from tidewatch.streaming import daily_kpis_stream  # noqa: F401
+
+# Names of the public surface listed in SURVEY §2.10.
+windows = window_list
+kpi_slides = kpi_global_slides
+stream_kpi_daily = daily_kpis_stream
+check_window = check_window_verdict
