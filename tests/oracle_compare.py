@@ -37,7 +37,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.12g}")
+        return repr(v)          # bit-exact: the KPIs use exact integer partials
     if isinstance(v, decimal.Decimal):
         return float(f"{float(v):.12g}")
     if isinstance(v, dt.datetime):
