@@ -36,7 +36,7 @@ def nodes(df) -> list[str]:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from tidewatch.operators import extract_window, kpi_daily, kpi_global
-    from tidewatch.plans import kpi_daily_slides, kpi_global_slides, state_row
+    from tidewatch.plans import kpi_daily_slides, kpi_global_slides
     from tidewatch.session import get_session, scratch_path
     from tidewatch.sources import read_raw, tx, write_raw
 
