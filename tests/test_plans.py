@@ -50,3 +50,11 @@ def test_no_python_udf_in_plan(spark, name):
     plan = _plan(E.queries()[name](spark, SF0001))
     for op in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
         assert op not in plan, (name, op)
+
+
+def test_median_is_merged_in_two_levels(spark, stored_raw):
+    plan = _plan(kpi_daily(extract_window(stored_raw, "1995-03-04", "1995-04-03")))
+    exchanges = [ln for ln in plan.splitlines() if ln.startswith("Arguments: hashpartitioning(")]
+    assert any("jour" in e and "_task" in e for e in exchanges)     # level 1: by (day, map task)
+    assert any(e.startswith("Arguments: hashpartitioning(jour") and "_task" not in e
+               and "adresse" not in e for e in exchanges)           # level 2: by day

@@ -86,3 +86,13 @@ def test_empty_base_month_gives_null_state_and_empty_window(spark):
     assert p.state.bounds() == (None, None, 1)
     v = p.verdict().first()
     assert not v["non_empty"] and v["nb_lignes"] == 0
+
+
+def test_refresh_kpis_rewrites_same_tables(spark, raw):
+    p = Pipeline(spark, raw)
+    p.setup("1995-01-01")
+    before = sorted(tuple(r) for r in p.read("kpi_daily").collect())
+    g_before = p.read("kpi_global").first()
+    assert p.refresh_kpis() == 0
+    assert sorted(tuple(r) for r in p.read("kpi_daily").collect()) == before
+    assert p.read("kpi_global").first() == g_before
