@@ -18,6 +18,8 @@ not from the raw scan.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -118,9 +120,12 @@ class Pipeline:
         then commit the new state."""
         start, end, version = self.state.bounds()
         nxt = version + 1
-        new = advance_state(state_row(self.spark, start, end, version), self.step).first()
-        self._build(nxt, new["start_date"], new["end_date"])
-        self.state.write(state_row(self.spark, new["start_date"], new["end_date"], nxt), nxt)
+        # the new bounds are two dates: shift them on the driver (NULL stays NULL)
+        shift = _dt.timedelta(days=self.step)
+        new_start = start + shift if start is not None else None
+        new_end = end + shift if end is not None else None
+        self._build(nxt, new_start, new_end)
+        self.state.write(state_row(self.spark, new_start, new_end, nxt), nxt)
         return nxt
 
     def run(self, iterations: int) -> int:
