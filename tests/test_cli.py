@@ -16,3 +16,7 @@ def test_cli_setup_slide_verdict(spark, capsys):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out == {"version": 2, "start_date": "1995-01-15", "end_date": "1995-02-13"}
     assert main(["verdict", "--raw", raw, "--root", root]) == 0
+    assert main(["run-slides", "--raw", raw, "--root", root, "--n", "3"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out == {"version": 5, "start_date": "1995-02-05", "end_date": "1995-03-06"}
+    assert main(["refresh", "--raw", raw, "--root", root]) == 0

@@ -29,7 +29,7 @@ from tidewatch.plans.checks import check_slides, check_window_verdict
 from tidewatch.plans.slides import kpi_daily_slides, kpi_global_slides, slides_window
 from tidewatch.plans.state import StateStore
 from tidewatch.plans.windows import advance_state, state_row
-from tidewatch.schema import MEDIAN_SKETCH_K, SLIDE_DAYS, WINDOW_DAY
+from tidewatch.schema import DAILY_KPIS, GLOBAL_KPIS, MEDIAN_SKETCH_K, SLIDE_DAYS, WINDOW_DAY
 from tidewatch.session import scratch_path, set_initial_shuffle_partitions
 
 
@@ -58,7 +58,6 @@ def write_kpi_daily(daily: DataFrame, path: str) -> None:
 
 def read_kpi_daily(spark: SparkSession, path: str) -> DataFrame:
     """Read back a daily KPI table with the contract columns only."""
-    from tidewatch.schema import DAILY_KPIS
     return spark.read.parquet(path).select(*DAILY_KPIS)
 
 
@@ -140,20 +139,34 @@ class Pipeline:
         """Slides 1..n of the current state in one pass: the union of the
         windows is extracted and written once, then the global KPIs of all
         slides, the daily KPIs of all slides and the per-slide checks are
-        computed from it; the state then advances by ``n`` slides."""
+        computed from it.  The last slide's window and KPI tables are then
+        published under the new version (from what was just written, no
+        new scan of the raw table) and the state advances by ``n`` slides."""
         start, end, version = self.state.bounds()
         state = state_row(self.spark, start, end, version)
         bounds = (start, end)          # literals: pushed to the scan
         out = self.path("slides", version)
         write_window_table(slides_window(self.raw, bounds, n_slides, self.step), f"{out}/window")
         w = self.spark.read.schema(self._schema("window")).parquet(f"{out}/window")
-        write_kpi_global(kpi_global_slides(self.raw, bounds, n_slides, self.step, self.median_k,
-                                           window=w), f"{out}/kpi_global")
-        (kpi_daily_slides(self.raw, bounds, n_slides, self.step, self.median_k, window=w)
-         .write.mode("overwrite").partitionBy("slide").parquet(f"{out}/kpi_daily"))
+        glob = kpi_global_slides(self.raw, bounds, n_slides, self.step, self.median_k, window=w)
+        write_kpi_global(glob, f"{out}/kpi_global")
+        daily = kpi_daily_slides(self.raw, bounds, n_slides, self.step, self.median_k, window=w)
+        daily.write.mode("overwrite").partitionBy("slide").parquet(f"{out}/kpi_daily")
         check_slides(w, bounds, n_slides, self.step).coalesce(1).write.mode("overwrite") \
             .parquet(f"{out}/checks")
+
         nxt = version + n_slides
+        shift = _dt.timedelta(days=self.step * n_slides)
+        last_start = start + shift if start is not None else None
+        last_end = end + shift if end is not None else None
+        last_days = F.col(WINDOW_DAY).between(F.lit(last_start).cast("date"),
+                                              F.lit(last_end).cast("date"))
+        write_window_table(w.filter(last_days), self.path("window", nxt))
+        last = F.col("slide") == n_slides
+        write_kpi_global(self.spark.read.schema(glob.schema).parquet(f"{out}/kpi_global")
+                         .filter(last).select(*GLOBAL_KPIS), self.path("kpi_global", nxt))
+        write_kpi_daily(self.spark.read.schema(daily.schema).parquet(f"{out}/kpi_daily")
+                        .filter(last).select(*DAILY_KPIS), self.path("kpi_daily", nxt))
         self.state.write(advance_state(state, self.step, n_slides), nxt)
         return nxt
 
