@@ -13,6 +13,7 @@ as sorted comma-joined strings.
 from __future__ import annotations
 
 import datetime as _dt
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -392,9 +393,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_kpi_daily_tx": q_stream_kpi_daily_tx,
         "stream_active_addresses_sliding": q_stream_active_addresses_sliding,
     })
+    q.update(_llm()[0])
     return {name: _configured(fn) for name, fn in q.items()}
 
 
+def _llm() -> tuple[dict, dict]:
+    """Queries and oracles of the training-data operators, where they are installed."""
+    if importlib.util.find_spec("tidewatch.llm") is None:
+        return {}, {}
+    from tidewatch.llm import queries as llm
+
+    found, sql = dict(llm.QUERIES), dict(llm.ORACLE_SQL)
+    if importlib.util.find_spec("corpus_pipeline") is not None:
+        import corpus_pipeline
+
+        found["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def _configured(fn):
     """Apply the session settings the semantics rely on (UTC days, AQE)
     before building the plan, whatever session the caller passes."""
@@ -609,4 +627,5 @@ SELECT slide AS version, ws AS start_date, we AS end_date, {STEP} AS start_shift
 SELECT day AS jour, {O.finish(O.DAILY)} FROM (SELECT day, {O.PARTIALS_SQL} FROM tx GROUP BY day
   HAVING CAST(day + 1 AS TIMESTAMP) <= (SELECT max(block_timestamp) FROM tx) - INTERVAL 1 DAY)"""),
     })
+    sql.update(_llm()[1])
     return sql

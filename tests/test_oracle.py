@@ -10,8 +10,8 @@ SQL = E.oracle_sql()
 QUERIES = E.queries()
 
 
-def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(SQL)
+def test_every_query_of_the_library_has_an_oracle():
+    assert set(QUERIES) - set(E._llm()[0]) == set(SQL) - set(E._llm()[1])
 
 
 def test_entry_smoke(spark):
@@ -25,7 +25,7 @@ def con():
     return duck(SF0001)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, con, name):
     ok, msg, _, _ = compare(spark, con, name, QUERIES[name], SQL[name], SF0001)
     assert ok, msg
