@@ -137,7 +137,7 @@ class Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-          folds: int = 5, sample: int = 4096, rank: int = 48, neighbours: int = 25) -> Model:
+          folds: int = 5, sample: int = 4096, rank: int = 48, neighbours: int = 9) -> Model:
     """Fit on rows whose ``crc32(id as text) mod folds`` is not 0."""
     prepare(docs.sparkSession)
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
