@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import classifier, mixing, packing, secrets, simhash
+from tidewatch.llm import classifier, kneser_ney, mixing, packing, prefixes, rules, secrets, simhash, urls
 from tidewatch.llm.common import crc_mod, table
 
 #: File of the tokenizer that packing uses.
@@ -27,10 +27,26 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.score(table(spark, sf_dir, "documents"))
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), window=2048, end_id=1)
 
 
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = classifier.train(docs, table(spark, sf_dir, "labels"))
@@ -61,9 +77,13 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_lm_scoring": op2_lm_scoring,
+    "op3_quality_rules": op3_quality_rules,
     "op5_packing": op5_packing,
+    "op6_document_fingerprints": op6_document_fingerprints,
+    "op7_url_filters": op7_url_filters,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_mixing": op9_mixing,
     "op10_secret_scan": op10_secret_scan,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_url_filters": urls.oracle_sql()}
