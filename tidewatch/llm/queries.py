@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import classifier, kneser_ney, mixing, packing, prefixes, rules, secrets, simhash, urls
+from tidewatch.llm import classifier, kneser_ney, mixing, packing, prefixes, rules, secrets, simhash, substrings, urls
 from tidewatch.llm.common import crc_mod, table
 
 #: File of the tokenizer that packing uses.
@@ -35,6 +35,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substrings.remove_repeats(table(spark, sf_dir, "documents"), length=50)
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), window=2048, end_id=1)
 
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_lm_scoring": op2_lm_scoring,
     "op3_quality_rules": op3_quality_rules,
+    "op4_repeated_substrings": op4_repeated_substrings,
     "op5_packing": op5_packing,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_url_filters": op7_url_filters,
