@@ -40,7 +40,7 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def clean_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Put a mark in place of every secret; ``n_chars`` follows the text."""
-    found = secrets.with_spans(docs, secrets.scan(docs))
+    found = secrets.with_spans(docs, materialise(secrets.scan(docs), "spans"))
     spans, text = F.col("secret_spans"), F.col("text")
     out = found.withColumn("text", F.when(spans.isNotNull(), secrets.redacted(text, spans)).otherwise(text))
     if "n_chars" in docs.columns:

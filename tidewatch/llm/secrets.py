@@ -129,7 +129,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if indexed:
         grams = sorted({g for _, r in indexed for q in r.query() for g in q})
         index = materialise(trigram_index(rows, grams), "postings")
-        chosen = candidates(index, [r for _, r in indexed]).select("row_key").distinct()
+        # a stored table of known size: joined without a shuffle of the texts where it is small enough
+        chosen = materialise(candidates(index, [r for _, r in indexed]).select("row_key").distinct(), "candidates")
         parts.append(_scan(rows.join(chosen, "row_key", "left_semi"), indexed))
     if whole:
         parts.append(_scan(rows, whole))
