@@ -44,26 +44,24 @@ GRAM = 24
 #: Strings of one stretch at most: as many as a mask has bits.
 STRETCH = 32
 #: Bytes of text that a task holds at a time, and that a shard is sized for.
-FLUSH, SHARD_BYTES = 8 << 20, 4 << 20
+FLUSH, SHARD_BYTES = 4 << 20, 4 << 20
 _LAST = np.iinfo(np.int64).max
 _CODE = np.random.default_rng(4242).integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 
 
 def _gram_hashes(buf: np.ndarray) -> np.ndarray:
-    """Hash of the ``GRAM`` bytes from each position, by doubling."""
-    have, parts = 1, {1: _CODE[buf]}
-    while have * 2 <= GRAM:
-        h = parts[have]
-        parts[have * 2] = h[:-have] + np.uint64(pow(_BASE, have, 1 << 64)) * h[have:]
+    """Polynomial hash of the ``GRAM`` bytes from each position, by doubling."""
+    h, have, out, done = _CODE[buf], 1, None, 0
+    while have <= GRAM:
+        if GRAM & have:   # the binary digits of GRAM
+            tail = h[done:]
+            out = h if out is None else out[:len(tail)] + np.uint64(pow(_BASE, done, 1 << 64)) * tail[:len(out)]
+            done += have
+        if have * 2 <= GRAM:
+            h = h[:-have] + np.uint64(pow(_BASE, have, 1 << 64)) * h[have:]
         have *= 2
-    out, n = parts[have], have
-    for k in sorted(parts, reverse=True):
-        if n + k <= GRAM:
-            tail = parts[k][n:]
-            out = out[:len(tail)] + np.uint64(pow(_BASE, n, 1 << 64)) * tail[:len(out)]
-            n += k
-    return mix64(out)
+    return out
 
 
 def _least(h: np.ndarray, width: int) -> np.ndarray:
@@ -106,7 +104,7 @@ class Stretches:
         part = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         self.at = np.repeat(start, pieces) + part * STRETCH
         self.n = np.minimum(np.repeat(run, pieces) - part * STRETCH, STRETCH)
-        self.anchor = low[self.at]
+        self.anchor = mix64(low[self.at])   # least hashes are small; the shards need them spread
         self.doc = np.searchsorted(ends, self.at, side="right")
 
 
@@ -262,6 +260,25 @@ def repeated(strings: list[bytes], owners: np.ndarray, length: int) -> list[np.n
     return [found[a:a + n - length + 1] for a, n in zip(first.tolist(), sizes.tolist())]
 
 
+def _smallest_owners(distinct: list[bytes], owners: np.ndarray, length: int) -> list[np.ndarray]:
+    """For each distinct stretch of a shard, the smallest owner of each of its strings."""
+    buf = np.frombuffer(b"".join(distinct), np.uint8)
+    sizes = np.fromiter(map(len, distinct), np.int64, len(distinct))
+    begin = np.cumsum(sizes) - sizes
+    # the anchor again: the least hash of the grams of the first string
+    grams = _gram_hashes(buf)
+    anchor = grams[begin]
+    for k in range(1, length - GRAM + 1):
+        anchor = np.minimum(anchor, grams[begin + k])
+    _, back, n = np.unique(anchor, return_inverse=True, return_counts=True)
+    several = np.flatnonzero(n[back] > 1)
+    out = [np.full(s - length + 1, o) for s, o in zip(sizes.tolist(), owners.tolist())]
+    if len(several):
+        for i, found in zip(several.tolist(), repeated([distinct[i] for i in several.tolist()], owners[several], length)):
+            out[i] = found
+    return out
+
+
 def _sort_shard(length: int, shards: int):
     def run(key, table):
         kind = table.column("kind").to_pylist()
@@ -276,9 +293,9 @@ def _sort_shard(length: int, shards: int):
         for x, o in zip(data, owners.tolist()):
             if least.get(x, _LAST) >= o:
                 least[x] = o
-        distinct = sorted(least)
+        distinct = list(least)
         number = {x: i for i, x in enumerate(distinct)}
-        smallest = repeated(distinct, np.array([least[x] for x in distinct], np.int64), length)
+        smallest = _smallest_owners(distinct, np.fromiter(least.values(), np.int64, len(least)), length)
         flat, size = np.concatenate(smallest), np.fromiter(map(len, smallest), np.int64, len(smallest))
         begin = np.cumsum(size) - size
         which = np.fromiter(map(number.__getitem__, data), np.int64, len(data))
