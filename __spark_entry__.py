@@ -33,12 +33,14 @@ from tidewatch.plans import checks as CK
 from tidewatch.plans import oracle_sql as O
 from tidewatch.plans import slides as SL
 from tidewatch.plans import windows as WN
-from tidewatch.plans.pipeline import read_kpi_daily, write_kpi_daily, write_window_table
+from tidewatch.plans.pipeline import (
+    Pipeline, read_kpi_daily, write_kpi_daily, write_kpi_global, write_window_table,
+)
 from tidewatch.plans.state import StateStore
 from tidewatch.schema import SLIDE_DAYS
 from tidewatch.session import configure, default_parallelism, scratch_path
 from tidewatch.sources import load_table as _tbl
-from tidewatch.sources import tx
+from tidewatch.sources import read_raw, tx, write_raw
 from tidewatch import streaming as ST
 from tidewatch.sources.fixture_sql import with_tx
 
@@ -227,20 +229,6 @@ def q_window_state(spark, d):
     return _flags(CK.check_state(store.history()), "ok")
 
 
-def _history(spark, d) -> DataFrame:
-    raw = _tx(spark, d)
-    st = _state(raw)
-    n = WN.slides_until(raw, st, STEP)
-    later = WN.window_list(st, n, STEP).select(
-        F.col("new_start").alias("start_date"), F.col("new_end").alias("end_date"),
-        F.col("slide").alias("version"))
-    return st.unionByName(later)
-
-
-def q_check_window_advanced(spark, d):
-    return _flags(CK.check_window_advanced(_history(spark, d), STEP), "advanced_ok")
-
-
 def _checks(spark, d):
     raw = _tx(spark, d)
     st = _state(raw)
@@ -249,14 +237,20 @@ def _checks(spark, d):
     return CK.check_slides(w, st, n, STEP)
 
 
-def q_check_window_contents(spark, d):
+def q_check_slides_contents(spark, d):
     return _checks(spark, d).select("slide", "min_date_table", "max_date_table", "nb_lignes")
 
 
-def q_check_window_verdict(spark, d):
+def q_check_slides_verdict(spark, d):
     return _flags(_checks(spark, d), "non_empty", "in_bounds")
 
 
+def q_check_slides_outside(spark, d):
+    """The whole table checked as three slides: the rows outside them show."""
+    raw = _tx(spark, d)
+    return _flags(CK.check_slides(ex.project_window(raw), _state(raw), 3, STEP), "non_empty", "in_bounds")
+
+
 def q_window_table_roundtrip(spark, d):
     path = scratch_path(spark, "window")
     write_window_table(_window(spark, d), path)
@@ -271,13 +265,19 @@ def q_kpi_daily_roundtrip(spark, d):
 
 # -- streaming ---------------------------------------------------------------
 
-def _event_stream(spark, d):
-    """``events`` staged as four weekly files, read one file per trigger."""
-    rows = ST.events_as_tx(_tbl(spark, d, "events"))
-    first = rows.agg(F.min("jour_bloc")).first()[0]   # one value, to cut the chunks
-    src = ST.stage_chunks(spark, rows, scratch_path(spark, "events-src"), "horodatage_bloc",
-                          ST.week_edges(first, 4))
-    return ST.read_file_stream(spark, src, ST.EVENT_TX_SCHEMA, 1)
+def _replay(spark, rows, period, run):
+    """Feed a table to a stream in the order of event time: ``run`` is called
+    with the file stream each time another period (a truncated event time) has
+    arrived, and goes on from its checkpoint.  A period's files are written by
+    all tasks; rows without an event time arrive first."""
+    whole, src = scratch_path(spark, "replay-rows"), scratch_path(spark, "replay-src")
+    schema = rows.schema
+    rows.withColumn("_period", F.date_trunc(period, "horodatage_bloc")).write.partitionBy("_period").parquet(whole)
+    staged = spark.read.parquet(whole)
+    periods = [r[0] for r in staged.select("_period").distinct().orderBy("_period").collect()]   # a handful
+    for p in periods:
+        staged.where(F.col("_period").eqNullSafe(F.lit(p))).select(*schema.names).write.mode("append").parquet(src)
+        run(ST.read_file_stream(spark, src, schema))
 
 
 def _state_partitions(spark) -> int:
@@ -285,42 +285,55 @@ def _state_partitions(spark) -> int:
     return default_parallelism(spark)
 
 
-def _drain(spark, df, mode="append"):
-    sink = scratch_path(spark, "sink")
-    ST.run_available_now(df, sink, scratch_path(spark, "ckpt"), mode, _state_partitions(spark))
+def _live(spark, rows, period, make, keys):
+    """All windows of an aggregating stream, the open ones included."""
+    table, ckpt = scratch_path(spark, "live"), scratch_path(spark, "ckpt")
+
+    def run(stream):
+        ST.write_live(make(stream), table, ckpt, _state_partitions(spark)).awaitTermination()
+
+    _replay(spark, rows, period, run)
+    return ST.read_live(spark, table, keys)
+
+
+def _pairs(spark, rows, period, make):
+    """The sink of an address stream."""
+    sink, ckpt = scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+    _replay(spark, rows, period, lambda stream: ST.run_available_now(
+        make(stream), sink, ckpt, "append", _state_partitions(spark)))
     return spark.read.parquet(sink)
 
 
+def _event_rows(spark, d):
+    return ST.events_as_tx(_tbl(spark, d, "events"))
+
+
 def q_stream_kpi_daily(spark, d):
-    s = _event_stream(spark, d)
-    return _drain(spark, ST.daily_kpis_stream(s, "1 day", ST.EVENT_DAILY_KEYS))
+    """RW-5 on ``events``, a week at a time."""
+    return _live(spark, _event_rows(spark, d), "week",
+                 lambda s: ST.daily_kpis_stream(s, "1 day", ST.EVENT_DAILY_KEYS), ["jour"])
 
 
 def q_stream_active_addresses(spark, d):
-    return _drain(spark, ST.active_addresses_stream(_event_stream(spark, d), "1 day"))
+    """RW-6 on ``events``."""
+    pairs = _pairs(spark, _event_rows(spark, d), "week", ST.daily_address_stream)
+    return ST.count_addresses(pairs, "adresses_actives_jour")
 
 
 def q_stream_kpi_daily_live(spark, d):
-    s = _event_stream(spark, d)
-    table = scratch_path(spark, "live")
-    q = ST.write_live(ST.daily_kpis_stream(s, "1 day", ST.EVENT_DAILY_KEYS), table,
-                      scratch_path(spark, "ckpt"), state_partitions=_state_partitions(spark))
-    q.awaitTermination()
-    return spark.read.parquet(table)
-
-
-def _tx_stream(spark, raw):
-    """``tx`` rows staged as one file per year (oldest first), one file per trigger."""
-    rows = ST.tx_as_stream_rows(raw)
-    years = rows.agg(F.min("horodatage_bloc"), F.max("horodatage_bloc")).first()
-    src = ST.stage_chunks(spark, rows, scratch_path(spark, "tx-src"), "horodatage_bloc",
-                          ST.year_edges(years[0].year, years[1].year))
-    return ST.read_file_stream(spark, src, rows.schema, 1)
+    """RW-8 on ``events``: the whole table in one go."""
+    rows = _event_rows(spark, d)
+    src, table = scratch_path(spark, "src"), scratch_path(spark, "live")
+    rows.write.parquet(src)
+    stream = ST.daily_kpis_stream(ST.read_file_stream(spark, src, rows.schema), "1 day", ST.EVENT_DAILY_KEYS)
+    ST.write_live(stream, table, scratch_path(spark, "ckpt"), _state_partitions(spark)).awaitTermination()
+    return ST.read_live(spark, table, ["jour"])
 
 
 def q_stream_kpi_daily_tx(spark, d):
-    """RW-5 with every daily KPI (D1..D8) on the ``tx`` stream."""
-    return _drain(spark, ST.daily_kpis_stream(_tx_stream(spark, _tx(spark, d)), "1 day"))
+    """RW-5 with every daily KPI (D1..D8) on the ``tx`` stream, a year at a time."""
+    return _live(spark, ST.tx_as_stream_rows(_tx(spark, d)), "year",
+                 lambda s: ST.daily_kpis_stream(s, "1 day"), ["jour"])
 
 
 def _sliding_args(raw):
@@ -333,14 +346,105 @@ def _sliding_args(raw):
 def q_stream_kpi_sliding(spark, d):
     """RW-7 on the ``tx`` stream."""
     raw = _tx(spark, d)
-    return _drain(spark, ST.sliding_kpis_stream(_tx_stream(spark, raw), *_sliding_args(raw), "1 day"))
+    args = _sliding_args(raw)
+    return _live(spark, ST.tx_as_stream_rows(raw), "year",
+                 lambda s: ST.sliding_kpis_stream(s, *args, "1 day"), ["slide"])
 
 
 def q_stream_active_addresses_sliding(spark, d):
     """RW-7 / G9 on the ``tx`` stream."""
     raw = _tx(spark, d)
-    return _drain(spark, ST.sliding_active_addresses_stream(_tx_stream(spark, raw),
-                                                            *_sliding_args(raw), "1 day"))
+    args = _sliding_args(raw)
+    pairs = _pairs(spark, ST.tx_as_stream_rows(raw), "year",
+                   lambda s: ST.sliding_address_stream(s, *args, "1 day"))
+    return ST.count_addresses(pairs, "adresses_actives_global")
+
+
+# -- the pipeline on a stored raw table -----------------------------------------
+
+def _stored_raw(spark, d):
+    """The fixture as a month-partitioned table, read back (SRC-1)."""
+    path = scratch_path(spark, "raw")
+    write_raw(_tx(spark, d), path)
+    return read_raw(spark, path)
+
+
+def q_raw_month_reader(spark, d):
+    """SRC-1, JN-5: slide 1 from the stored table, bounds from the state."""
+    raw = _stored_raw(spark, d)
+    return _canonical(ex.extract_window(raw, *WN.state_bounds(WN.advance_state(_state(raw), STEP))))
+
+
+def q_kpi_global_roundtrip(spark, d):
+    """SNK-3."""
+    path = scratch_path(spark, "kpi_global")
+    write_kpi_global(K.kpi_global(_window(spark, d)), path)
+    return spark.read.parquet(path)
+
+
+def _pipeline(spark, d):
+    p = Pipeline(spark, _stored_raw(spark, d))
+    p.setup(BASE_MONTH)
+    return p
+
+
+def q_pipeline_slide(spark, d):
+    """PL-1, PL-2, RW-2: setup and one slide; every stored daily table."""
+    p = _pipeline(spark, d)
+    p.slide_once()
+    tables = [p.read("kpi_daily", v).select(F.lit(v).alias("slide"), "*") for v in (0, 1)]
+    return tables[0].unionByName(tables[1])
+
+
+def q_pipeline_run_slides(spark, d):
+    """PL-3: the global KPI tables of the versions of 15 slides."""
+    p = _pipeline(spark, d)
+    out = None
+    for v in range(1, p.run_slides(15) + 1):
+        row = p.state.row(v)
+        one = p.read("kpi_global", v).select(F.lit(v).alias("slide"), F.lit(row["start_date"]).alias("new_start"),
+                                             F.lit(row["end_date"]).alias("new_end"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_pipeline_refresh(spark, d):
+    """PL-4: the daily table recomputed from the stored window of slide 1."""
+    p = _pipeline(spark, d)
+    p.slide_once()
+    p.refresh_kpis()
+    return p.read("kpi_daily")
+
+
+def q_check_window_contents(spark, d):
+    """CK-2 on the stored window of slide 1."""
+    p = _pipeline(spark, d)
+    p.slide_once()
+    return CK.check_window_contents(p.read("window"))
+
+
+def q_check_window_verdict(spark, d):
+    """CK-3 on the stored window of slide 1 against its own state, and against
+    that of the base window, which it does not fit."""
+    p = _pipeline(spark, d)
+    p.slide_once()
+    base = p.state.row(0)
+    broken = CK.check_window_verdict(p.read("window"), WN.state_row(spark, base["start_date"], base["end_date"]))
+    out = p.verdict().select(F.lit("own").alias("against"), "*").unionByName(
+        broken.select(F.lit("base").alias("against"), "*"))
+    return _flags(out, "non_empty", "in_bounds")
+
+
+def q_check_window_advanced(spark, d):
+    """CK-4 on the real history of a store: three slides, then two more that were
+    committed as one step, then a step that is a day short."""
+    p = _pipeline(spark, d)
+    p.run_slides(3)
+    p.state.advance(STEP, 2)
+    start, end, version = p.state.bounds()
+    day = _dt.timedelta(days=STEP - 1)
+    p.state.commit(WN.state_row(spark, start + day, end + day, version + 1))
+    return _flags(CK.check_window_advanced(p.state.history(), STEP), "advanced_ok")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -379,6 +483,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "window_state_init": q_window_state_init,
         "window_state_advance": q_window_state_advance,
         "window_state": q_window_state,
+        "check_slides_contents": q_check_slides_contents,
+        "check_slides_verdict": q_check_slides_verdict,
+        "check_slides_outside": q_check_slides_outside,
+        "raw_month_reader": q_raw_month_reader,
+        "kpi_global_roundtrip": q_kpi_global_roundtrip,
+        "pipeline_slide": q_pipeline_slide,
+        "pipeline_run_slides": q_pipeline_run_slides,
+        "pipeline_refresh": q_pipeline_refresh,
         "check_window_contents": q_check_window_contents,
         "check_window_verdict": q_check_window_verdict,
         "check_window_advanced": q_check_window_advanced,
@@ -488,7 +600,7 @@ ad AS (SELECT ks.slide, count(DISTINCT x.addr) AS na FROM ks JOIN {O.ADDR_UNION}
 
 _CHECKS = with_tx("""
 SELECT w.slide, w.ws AS start_date, w.we AS end_date, c.mn AS min_date_table, c.mx AS max_date_table,
-  coalesce(c.cnt, 0) AS nb_lignes,
+  coalesce(c.cnt, 0) AS nb_lignes, CAST(0 AS BIGINT) AS rows_outside,
   CAST(date_diff('day', w.ws, c.mn) AS INTEGER) AS start_gap_days,
   CAST(date_diff('day', c.mx, w.we) AS INTEGER) AS end_gap_days,
   CAST(coalesce(c.cnt, 0) > 0 AS INTEGER) AS non_empty,
@@ -498,24 +610,61 @@ c AS (SELECT w.slide, min(t.day) AS mn, max(t.day) AS mx, count(*) AS cnt
       FROM wins w JOIN tx t ON t.day BETWEEN w.ws AND w.we GROUP BY w.slide)""")
 
 
+# the whole table against three slides
+_OUTSIDE = with_tx(f"""
+SELECT w.slide, w.ws AS start_date, w.we AS end_date, c.mn AS min_date_table, c.mx AS max_date_table,
+  coalesce(c.cnt, 0) AS nb_lignes, o.cnt AS rows_outside,
+  CAST(date_diff('day', w.ws, c.mn) AS INTEGER) AS start_gap_days,
+  CAST(date_diff('day', c.mx, w.we) AS INTEGER) AS end_gap_days,
+  CAST(coalesce(c.cnt, 0) > 0 AS INTEGER) AS non_empty, CAST(o.cnt = 0 AS INTEGER) AS in_bounds
+FROM three w LEFT JOIN c ON c.slide = w.slide CROSS JOIN o""", _SLIDES + """,
+three AS (SELECT * FROM wins WHERE slide <= 3),
+c AS (SELECT w.slide, min(t.day) AS mn, max(t.day) AS mx, count(*) AS cnt
+      FROM three w JOIN tx t ON t.day BETWEEN w.ws AND w.we GROUP BY w.slide),
+o AS (SELECT count(*) AS cnt FROM tx t WHERE NOT EXISTS (SELECT 1 FROM three w WHERE t.day BETWEEN w.ws AND w.we))""")
+
+# the base window (slide 0) and slide 1, day by day
+_KPI_DAILY_PIPELINE = with_tx(f"""
+SELECT w.slide, d.jour, {O.finish(O.DAILY)}, coalesce(a.na, 0) AS adresses_actives_jour
+FROM two w JOIN d ON d.jour BETWEEN w.ws AND w.we LEFT JOIN a ON a.jour = d.jour""", O.base_state_cte(BASE_MONTH) + f""",
+two AS (SELECT CAST(k AS INTEGER) AS slide, st.s + {STEP} * CAST(k AS INTEGER) AS ws, st.e + {STEP} * CAST(k AS INTEGER) AS we
+        FROM st, (SELECT unnest([0, 1]) AS k)),
+d AS ({_DAILY_PARTS}),
+a AS ({_DAILY_ADDR})""")
+
+# the window of slide 1 against the bounds of slides 1 and 0
+_VERDICTS = with_tx(f"""
+SELECT b.against, b.ws AS start_date, b.we AS end_date, c.mn AS min_date_table, c.mx AS max_date_table, c.cnt AS nb_lignes,
+  CAST(date_diff('day', b.ws, c.mn) AS INTEGER) AS start_gap_days, CAST(date_diff('day', c.mx, b.we) AS INTEGER) AS end_gap_days,
+  CAST(c.cnt > 0 AS INTEGER) AS non_empty, CAST(c.mn >= b.ws AND c.mx <= b.we AS INTEGER) AS in_bounds
+FROM b CROSS JOIN c""", O.base_state_cte(BASE_MONTH) + f""",
+b AS (SELECT 'own' AS against, s + {STEP} AS ws, e + {STEP} AS we FROM st UNION ALL SELECT 'base', s, e FROM st),
+c AS (SELECT min(day) AS mn, max(day) AS mx, count(*) AS cnt FROM tx, st WHERE day BETWEEN st.s + {STEP} AND st.e + {STEP})""")
+
+# versions 1 to 3, then 5 (two steps at once), then 6 (a day short)
+_ADVANCED = with_tx(f"""
+SELECT CAST(v.version AS INTEGER) AS version, CAST(st.s + CAST(v.days AS INTEGER) AS DATE) AS start_date,
+  CAST(st.e + CAST(v.days AS INTEGER) AS DATE) AS end_date, CAST(v.moved AS INTEGER) AS start_shift_days,
+  CAST(v.moved AS INTEGER) AS end_shift_days, CAST(v.moved = {STEP} * v.versions AS INTEGER) AS advanced_ok
+FROM st, (VALUES (1, {STEP}, {STEP}, 1), (2, {2 * STEP}, {STEP}, 1), (3, {3 * STEP}, {STEP}, 1),
+  (5, {5 * STEP}, {2 * STEP}, 2), (6, {6 * STEP - 1}, {STEP - 1}, 1)) v(version, days, moved, versions)""",
+    O.base_state_cte(BASE_MONTH))
+
 _EV = """ev AS (
   SELECT CAST(CAST(ts AS TIMESTAMP) AS DATE) AS day, CAST(ROUND(value * 100) AS BIGINT) * 1000000 AS output_value,
     CAST(NULL AS BIGINT) AS input_value, CAST(NULL AS BOOLEAN) AS is_coinbase,
     CAST(NULL AS BIGINT) AS input_count, CAST(NULL AS BIGINT) AS output_count, user_id
   FROM events)"""
-_CLOSED_DAY = "HAVING CAST(day + 1 AS TIMESTAMP) <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY"
 _EV_KEYS = [(k, dict(O.DAILY)[k]) for k in ["count", "volume", "mean", "median", "whale_ratio"]]
 _STREAM_DAILY = ("WITH " + _EV + f"""
-SELECT day AS jour, {O.finish(_EV_KEYS)} FROM (SELECT day, {O.PARTIALS_SQL} FROM ev GROUP BY day {{having}})""")
+SELECT day AS jour, {O.finish(_EV_KEYS)} FROM (SELECT day, {O.PARTIALS_SQL} FROM ev GROUP BY day)""")
 _STREAM_ADDR = "WITH " + _EV + """
 SELECT day AS jour, count(DISTINCT 'A' || CAST(user_id AS VARCHAR)) AS adresses_actives_jour FROM ev
-GROUP BY day """ + _CLOSED_DAY
+GROUP BY day"""
 _STREAM_SLIDING = with_tx(f"""
 SELECT CAST(g.slide AS INTEGER) AS slide, st.s + {STEP} * CAST(g.slide AS INTEGER) AS new_start,
   st.e + {STEP} * CAST(g.slide AS INTEGER) AS new_end, {O.finish(O.GLOBAL)}
-FROM g JOIN st ON TRUE
-WHERE CAST(st.e + {STEP} * CAST(g.slide AS INTEGER) + 1 AS TIMESTAMP)
-      <= (SELECT max(block_timestamp) FROM tx) - INTERVAL 1 DAY""", O.base_state_cte(BASE_MONTH) + f""",
+FROM g JOIN st ON TRUE""", O.base_state_cte(BASE_MONTH) + f""",
 ks AS (SELECT t.*, unnest(generate_series(
           CAST(ceil((date_diff('day', st.s, t.day) - date_diff('day', st.s, st.e)) / {STEP}.0) AS BIGINT),
           CAST(floor(date_diff('day', st.s, t.day) / {STEP}.0) AS BIGINT))) AS slide
@@ -526,9 +675,7 @@ g AS (SELECT slide, {O.PARTIALS_SQL} FROM ks GROUP BY slide)""")
 _STREAM_SLIDING_ADDR = with_tx(f"""
 SELECT CAST(ad.slide AS INTEGER) AS slide, st.s + {STEP} * CAST(ad.slide AS INTEGER) AS new_start,
   st.e + {STEP} * CAST(ad.slide AS INTEGER) AS new_end, ad.na AS adresses_actives_global
-FROM ad JOIN st ON TRUE
-WHERE CAST(st.e + {STEP} * CAST(ad.slide AS INTEGER) + 1 AS TIMESTAMP)
-      <= (SELECT max(block_timestamp) FROM tx) - INTERVAL 1 DAY""", O.base_state_cte(BASE_MONTH) + f""",
+FROM ad JOIN st ON TRUE""", O.base_state_cte(BASE_MONTH) + f""",
 ks AS (SELECT t.k, unnest(generate_series(
           CAST(ceil((date_diff('day', st.s, t.day) - date_diff('day', st.s, st.e)) / {STEP}.0) AS BIGINT),
           CAST(floor(date_diff('day', st.s, t.day) / {STEP}.0) AS BIGINT))) AS slide
@@ -609,23 +756,32 @@ SELECT slide, ws AS new_start, we AS new_end, CAST(date_trunc('month', ws) AS DA
         "window_state": with_tx(
             f"SELECT s + {2 * STEP} AS start_date, e + {2 * STEP} AS end_date, 2 AS version, "
             "CAST(1 AS BIGINT) AS n_rows, 1 AS ok FROM st", O.base_state_cte(BASE_MONTH)),
-        "check_window_contents": f"SELECT slide, min_date_table, max_date_table, nb_lignes FROM ({_CHECKS})",
-        "check_window_verdict": _CHECKS,
-        "check_window_advanced": with_tx(f"""
-SELECT slide AS version, ws AS start_date, we AS end_date, {STEP} AS start_shift_days,
-  {STEP} AS end_shift_days, 1 AS advanced_ok FROM wins""", _SLIDES),
+        "check_slides_contents": f"SELECT slide, min_date_table, max_date_table, nb_lignes FROM ({_CHECKS})",
+        "check_slides_verdict": _CHECKS,
+        "check_slides_outside": _OUTSIDE,
+        "raw_month_reader": None,
+        "kpi_global_roundtrip": None,
+        "pipeline_slide": _KPI_DAILY_PIPELINE,
+        "pipeline_run_slides": f"SELECT * FROM ({_KPI_GLOBAL_SLIDES}) WHERE slide <= 15",
+        "pipeline_refresh": f"SELECT * EXCLUDE (slide) FROM ({_KPI_DAILY_PIPELINE}) WHERE slide = 1",
+        "check_window_contents": with_tx(f"SELECT min(day) AS min_date_table, max(day) AS max_date_table, "
+                                         f"count(*) AS nb_lignes FROM tx, st WHERE day BETWEEN st.s + {STEP} AND st.e + {STEP}",
+                                         O.base_state_cte(BASE_MONTH)),
+        "check_window_verdict": _VERDICTS,
+        "check_window_advanced": _ADVANCED,
     }
+    sql["raw_month_reader"] = sql["window_extract"]
+    sql["kpi_global_roundtrip"] = sql["kpi_global"]
     for key, k in daily_keys.items():
         sql[key] = _daily_one(k)
     sql.update({
-        "stream_kpi_daily": _STREAM_DAILY.format(having=_CLOSED_DAY),
-        "stream_kpi_daily_live": _STREAM_DAILY.format(having=""),
+        "stream_kpi_daily": _STREAM_DAILY,
+        "stream_kpi_daily_live": _STREAM_DAILY,
         "stream_active_addresses": _STREAM_ADDR,
         "stream_kpi_sliding": _STREAM_SLIDING,
         "stream_active_addresses_sliding": _STREAM_SLIDING_ADDR,
         "stream_kpi_daily_tx": with_tx(f"""
-SELECT day AS jour, {O.finish(O.DAILY)} FROM (SELECT day, {O.PARTIALS_SQL} FROM tx GROUP BY day
-  HAVING CAST(day + 1 AS TIMESTAMP) <= (SELECT max(block_timestamp) FROM tx) - INTERVAL 1 DAY)"""),
+SELECT day AS jour, {O.finish(O.DAILY)} FROM (SELECT day, {O.PARTIALS_SQL} FROM tx GROUP BY day)"""),
     })
     sql.update(_llm()[1])
     return sql

@@ -33,10 +33,20 @@ def test_verdict_good_sparse_broken_empty(spark):
 
 def test_per_slide_checks(spark):
     st = state_row(spark, "2020-01-01", "2020-01-03")
-    rows = {r["slide"]: r for r in check_slides(_w(spark, [9, 10, 11, 24]), st, 4).collect()}
+    rows = {r["slide"]: r for r in check_slides(_w(spark, [9, 10, 24]), st, 4).collect()}
     assert rows[1]["nb_lignes"] == 2 and rows[1]["in_bounds"]   # Jan 8-10 holds days 9, 10
     assert rows[2]["nb_lignes"] == 0 and not rows[2]["non_empty"]
     assert rows[3]["nb_lignes"] == 1
+    assert all(r["rows_outside"] == 0 and r["in_bounds"] for r in rows.values())
+
+
+def test_per_slide_checks_see_rows_outside_all_windows(spark):
+    st = state_row(spark, "2020-01-01", "2020-01-03")
+    rows = check_slides(_w(spark, [9, 10, 11, 11, 24]), st, 4).collect()   # Jan 11 lies between two windows
+    assert all(r["rows_outside"] == 2 and not r["in_bounds"] for r in rows)
+    # a table of a month checked as two slides of three days
+    rows = check_slides(_w(spark, list(range(1, 31))), st, 2).collect()
+    assert all(r["rows_outside"] == 24 and not r["in_bounds"] for r in rows)
 
 
 def test_advanced_and_state_checks(spark):
@@ -45,6 +55,10 @@ def test_advanced_and_state_checks(spark):
          .unionByName(state_row(spark, "2020-01-16", "2020-02-13", 2)))
     adv = {r["version"]: r["advanced_ok"] for r in check_window_advanced(h).collect()}
     assert adv == {1: True, 2: False}
+    gap = (state_row(spark, "2020-01-01", "2020-01-30", 0)
+           .unionByName(state_row(spark, "2020-01-22", "2020-02-20", 3))
+           .unionByName(state_row(spark, "2020-01-29", "2020-02-28", 5)))
+    assert {r["version"]: r["advanced_ok"] for r in check_window_advanced(gap).collect()} == {3: True, 5: False}
     ok = check_state(h).first()
     assert ok["version"] == 2 and ok["ok"]
     dup = check_state(h.unionByName(state_row(spark, "2020-01-15", "2020-02-13", 2))).first()

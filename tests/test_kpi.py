@@ -90,20 +90,40 @@ def test_invariants_on_fixture(spark):
     assert bad == 0
 
 
-def test_two_level_sketch_merge(spark):
+def _median_rows(spark, parts, order):
+    """Group 0: 60,000 odd values, group 1: 60,001 even ones, group 2: no value,
+    group 3: negative, huge and repeated values; group NULL: three values."""
+    big = (spark.range(0, 120001, numPartitions=16)
+           .select((F.col("id") % 2).alias("g"), ((F.col("id") * 7919) % 120011 + 2_100_000_000_000_000).alias("out_sat")))
+    some = spark.createDataFrame(
+        [(2, None), (3, -5), (3, -5), (3, 2**62), (3, 1), (3, None), (None, 7), (None, 9), (None, 8)], "g long, out_sat long")
+    rows = big.union(some).select("g", "out_sat", F.col("out_sat").alias("in_sat"), F.lit(False).alias("cb"),
+                                  F.lit(1).cast("bigint").alias("cnt_in"), F.lit(1).cast("bigint").alias("cnt_out"))
+    return rows.repartition(parts, order) if order else rows.repartition(parts)
+
+
+def test_median_is_exact_and_repeatable(spark):
     from tidewatch.operators.kpi import aggregate_kpis
-    rows = (spark.range(0, 20000, numPartitions=16)
-            .select((F.col("id") % 2).alias("g"), (F.col("id") + 1).alias("out_sat"),
-                    F.col("id").alias("in_sat"), F.lit(False).alias("cb"),
-                    F.lit(1).cast("bigint").alias("cnt_in"), F.lit(1).cast("bigint").alias("cnt_out"))
-            .union(spark.createDataFrame([(2, None, 1, False, 1, 1)], "g long, out_sat long, "
-                                         "in_sat long, cb boolean, cnt_in long, cnt_out long")))
-    exact = {r["g"]: r for r in aggregate_kpis(rows, ["g"], k=16384, fanin=64).collect()}
-    one = {r["g"]: r for r in aggregate_kpis(rows, ["g"], k=16384, fanin=1).collect()}
-    # group 0 holds 1,3,...,19999 and group 1 holds 2,4,...,20000: lower middle values
-    assert exact[0]["med_sat"] == 9999 and exact[1]["med_sat"] == 10000
-    assert exact[0]["n"] == 10000 and exact[0]["sum_out"] == sum(range(1, 20001, 2))
-    assert {g: r.asDict() for g, r in exact.items()} == {g: r.asDict() for g, r in one.items()}
-    assert exact[2]["med_sat"] is None and exact[2]["n"] == 1      # no value → NULL median
-    small_k = {r["g"]: r["med_sat"] for r in aggregate_kpis(rows, ["g"], k=200, fanin=8).collect()}
-    assert abs(small_k[0] - 9999) <= 0.02 * 20000                  # rank error ≈ 1.65/k
+    values = {0: [], 1: []}
+    for i in range(120001):
+        values[i % 2].append(i * 7919 % 120011 + 2_100_000_000_000_000)
+    want = {g: sorted(v)[(len(v) - 1) // 2] for g, v in values.items()} | {2: None, 3: -5, None: 8}
+    seen = []
+    for parts, order in ((1, None), (7, "out_sat"), (16, "g"), (5, None), (5, None)):
+        got = {r["g"]: r.asDict() for r in aggregate_kpis(_median_rows(spark, parts, order), ["g"]).collect()}
+        assert {g: r["med_sat"] for g, r in got.items()} == want
+        seen.append(got)
+    assert all(s == seen[0] for s in seen)
+    assert seen[0][0]["n"] == 60001 and seen[0][0]["sum_out"] == sum(values[0])
+    whole = aggregate_kpis(_median_rows(spark, 8, None), []).first()
+    all_values = sorted(values[0] + values[1] + [-5, -5, 2**62, 1, 7, 8, 9])
+    assert whole["med_sat"] == all_values[(len(all_values) - 1) // 2]
+    none = aggregate_kpis(_median_rows(spark, 2, None).where("g = 2"), []).first()
+    assert none["med_sat"] is None and none["n"] == 1
+
+
+def test_whale_threshold_is_a_parameter(spark):
+    from conftest import make_raw
+    w = project_window(make_raw(spark, [{"out_sat": 5}, {"out_sat": 10}]))
+    assert kpi_global(w, whale_sat=10).first()["whale_ratio_global"] == pytest.approx(10 / 15)
+    assert kpi_global(w).first()["whale_ratio_global"] == 0.0

@@ -52,9 +52,14 @@ def test_no_python_udf_in_plan(spark, name):
         assert op not in plan, (name, op)
 
 
-def test_median_is_merged_in_two_levels(spark, stored_raw):
+def test_median_spreads_a_day_over_its_values(spark, stored_raw):
     plan = _plan(kpi_daily(extract_window(stored_raw, "1995-03-04", "1995-04-03")))
     exchanges = [ln for ln in plan.splitlines() if ln.startswith("Arguments: hashpartitioning(")]
-    assert any("jour" in e and "_task" in e for e in exchanges)     # level 1: by (day, map task)
-    assert any(e.startswith("Arguments: hashpartitioning(jour") and "_task" not in e
-               and "adresse" not in e for e in exchanges)           # level 2: by day
+    assert any("jour" in e and "out_sat" in e for e in exchanges)
+    assert "percentile" not in plan and "kll" not in plan
+
+
+def test_address_edges_reads_its_input_once(spark, stored_raw):
+    from tidewatch.operators import address_edges
+    plan = _plan(address_edges(stored_raw))
+    assert sum(ln.startswith("(") and "Scan parquet" in ln for ln in plan.splitlines()) == 1

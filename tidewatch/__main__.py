@@ -19,7 +19,7 @@ import json
 import sys
 
 from tidewatch.plans import Pipeline
-from tidewatch.schema import MEDIAN_SKETCH_K, SLIDE_DAYS
+from tidewatch.schema import SAT_PER_COIN, SLIDE_DAYS, WHALE_THRESHOLD_COINS
 from tidewatch.session import get_session
 from tidewatch.sources import read_raw
 
@@ -34,8 +34,9 @@ def main(argv=None) -> int:
     ap.add_argument("--times", type=int, default=1)
     ap.add_argument("--n", type=int, default=15)
     ap.add_argument("--step-days", type=int, default=SLIDE_DAYS)
-    ap.add_argument("--median-k", type=int, default=MEDIAN_SKETCH_K,
-                    help="KLL sketch size: exact medians up to k values per group")
+    ap.add_argument("--whale-coins", type=int, default=WHALE_THRESHOLD_COINS,
+                    help="least output value, in coins, of a whale transaction")
+    ap.add_argument("--keep", type=int, default=None, help="versions whose tables stay; all by default")
     ap.add_argument("--shuffle-partitions", type=int, default=None,
                     help="initial AQE shuffle partitions, ~1 per 128 MB shuffled")
     ap.add_argument("--master", default=None)
@@ -44,8 +45,8 @@ def main(argv=None) -> int:
         ap.error("--raw or --table is required")
 
     spark = get_session(a.master)
-    p = Pipeline(spark, read_raw(spark, a.raw, a.table), a.root, a.step_days, a.median_k,
-                 a.shuffle_partitions)
+    p = Pipeline(spark, read_raw(spark, a.raw, a.table), a.root, a.step_days,
+                 a.whale_coins * SAT_PER_COIN, a.shuffle_partitions, keep=a.keep)
     if a.command == "setup":
         if not a.month:
             ap.error("setup needs --month")

@@ -28,9 +28,6 @@ def sat_to_coin(c: Column) -> Column:
     return F.try_divide(c, F.lit(float(SAT_PER_COIN)))
 
 
-coin_of_sat = sat_to_coin
-
-
 def sat_of_coin(c: Column) -> Column:
     """Coin DOUBLE → exact satoshi BIGINT (inverse of ``sat_to_coin``)."""
     return F.round(c * F.lit(float(SAT_PER_COIN))).cast("bigint")

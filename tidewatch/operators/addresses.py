@@ -18,15 +18,17 @@ def address_edges(raw: DataFrame) -> DataFrame:
     """JN-2: one row per non-NULL address slot of the raw nested arrays,
     ``(hachage_transaction, side, slot_index, adresse)``; duplicates kept.
 
-    Two chained generators (Spark allows one generator per select)."""
-    def side(col: str, name: str) -> DataFrame:
-        slots = raw.select(F.col("hash").alias("hachage_transaction"),
-                           F.explode(col).alias("slot"))
-        return (slots.select("hachage_transaction", F.lit(name).alias("side"),
-                             F.col("slot.index").alias("slot_index"),
-                             F.explode("slot.addresses").alias("adresse"))
-                .filter(F.col("adresse").isNotNull()))
-    return side("inputs", "in").unionByName(side("outputs", "out"))
+    One pass: both arrays become one array of slots tagged with their side,
+    then two chained generators (Spark allows one generator per select)."""
+    def tagged(col: str, name: str):
+        return F.transform(F.coalesce(F.col(col), F.array().cast(raw.schema[col].dataType)),
+                           lambda s: F.struct(F.lit(name).alias("side"), s["index"].alias("slot_index"),
+                                              s["addresses"].alias("addresses")))
+    slots = raw.select(F.col("hash").alias("hachage_transaction"),
+                       F.explode(F.concat(tagged("inputs", "in"), tagged("outputs", "out"))).alias("slot"))
+    return (slots.select("hachage_transaction", "slot.side", "slot.slot_index",
+                         F.explode("slot.addresses").alias("adresse"))
+            .filter(F.col("adresse").isNotNull()))
 
 
 def explode_addresses(window: DataFrame, column: str = "input_addresses") -> DataFrame:

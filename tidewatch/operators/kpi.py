@@ -10,27 +10,28 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from tidewatch.functions.columns import safe_ratio, sat_of_coin, sat_to_coin
 from tidewatch.operators.addresses import active_addresses_daily, active_addresses_global
 from tidewatch.schema import (
-    DAILY_KPIS, GLOBAL_KPIS, IN_SAT, MEDIAN_ACCURACY, MEDIAN_SKETCH_K, OUT_SAT, SKETCH_FANIN,
-    WHALE_THRESHOLD_SAT, WINDOW_DAY,
+    DAILY_KPIS, GLOBAL_KPIS, IN_SAT, MEDIAN_ACCURACY, MEDIAN_SHIFTS, OUT_SAT, WHALE_THRESHOLD_SAT,
+    WINDOW_DAY,
 )
 
 DEC = "decimal(38,0)"
 
-# name → aggregate over transaction rows (see ``measures``).
+# name → aggregate over transaction rows (see ``measures``), given the whale threshold.
 PARTIALS = {
-    "n": lambda: F.count(F.lit(1)),
-    "sum_out": lambda: F.sum(F.col("out_sat").cast(DEC)),
-    "cnt_out": lambda: F.count("out_sat"),
-    "sum_in": lambda: F.sum(F.col("in_sat").cast(DEC)),
-    "n_cb": lambda: F.count_if(F.col("cb")),
-    "sum_whale": lambda: F.sum(F.when(F.col("out_sat") >= WHALE_THRESHOLD_SAT, F.col("out_sat"))
-                               .otherwise(F.lit(0)).cast(DEC)),
-    "sum_cnt_in": lambda: F.sum("cnt_in"),
-    "sum_cnt_out": lambda: F.sum("cnt_out"),
+    "n": lambda whale: F.count(F.lit(1)),
+    "sum_out": lambda whale: F.sum(F.col("out_sat").cast(DEC)),
+    "cnt_out": lambda whale: F.count("out_sat"),
+    "sum_in": lambda whale: F.sum(F.col("in_sat").cast(DEC)),
+    "n_cb": lambda whale: F.count_if(F.col("cb")),
+    "sum_whale": lambda whale: F.sum(F.when(F.col("out_sat") >= whale, F.col("out_sat"))
+                                     .otherwise(F.lit(0)).cast(DEC)),
+    "sum_cnt_in": lambda whale: F.sum("cnt_in"),
+    "sum_cnt_out": lambda whale: F.sum("cnt_out"),
 }
 
 
@@ -52,8 +53,8 @@ def measures(window: DataFrame, keep=()) -> DataFrame:
     )
 
 
-def partial_aggs(names=None) -> list[Column]:
-    return [PARTIALS[n]().alias(n) for n in (names or PARTIALS)]
+def partial_aggs(names=None, whale_sat: int = WHALE_THRESHOLD_SAT) -> list[Column]:
+    return [PARTIALS[n](whale_sat).alias(n) for n in (names or PARTIALS)]
 
 
 def median_agg(accuracy: int = MEDIAN_ACCURACY) -> Column:
@@ -63,26 +64,66 @@ def median_agg(accuracy: int = MEDIAN_ACCURACY) -> Column:
     return F.percentile_approx("out_sat", 0.5, accuracy).alias("med_sat")
 
 
-def aggregate_kpis(rows: DataFrame, keys: list, k: int = MEDIAN_SKETCH_K,
-                   fanin: int = SKETCH_FANIN) -> DataFrame:
-    """All partials plus the median per ``keys``, as a two-level merge.
-
-    Level 1 groups by (keys, map task mod ``fanin``): every map task
-    pre-aggregates its rows into one partial row (counts, DECIMAL sums, one
-    KLL sketch) per key, and the partials of a key are spread over
-    ``fanin`` reducers.  Level 2 merges at most ``fanin`` rows per key.  A
-    key holding a third of all rows therefore never sends one sketch per
-    map task to a single reducer.  The median is the lower middle value
-    (a member of the group), exact while the key has at most ``k`` values;
-    NULL when the key has no value."""
-    part = rows.select("*", F.pmod(F.spark_partition_id(), F.lit(fanin)).alias("_task"))
-    lvl1 = part.groupBy(*keys, "_task").agg(
-        *partial_aggs(), F.expr(f"kll_sketch_agg_bigint(out_sat, {int(k)})").alias("_sk"))
-    lvl2 = lvl1.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in PARTIALS],
-                                   F.expr("kll_merge_agg_bigint(_sk)").alias("_sk"))
-    has_values = F.expr("kll_sketch_get_n_bigint(_sk)") > 0
-    med = F.when(has_values, F.expr("kll_sketch_get_quantile_bigint(_sk, 0.5)"))
-    return lvl2.select(*keys, *PARTIALS, med.cast("bigint").alias("med_sat"))
+def value_counts(rows: DataFrame, keys: list) -> DataFrame:
+    """How often each output value occurs per ``keys``: ``(keys..., out_sat, c)``.
+
+    Counted before the shuffle, which spreads on (keys, value): a key with a
+    third of all rows reaches every task."""
+    return (rows.where(F.col("out_sat").isNotNull()).groupBy(*keys, "out_sat")
+            .agg(F.count(F.lit(1)).alias("c")))
+
+
+def exact_median(counts: DataFrame, keys: list) -> DataFrame:
+    """The lower middle value per key, ``(keys..., med_sat)``, by slices.
+
+    ``counts`` holds ``(keys..., out_sat, c)``.  Values are counted by their
+    high bits, the slice that holds the middle rank is kept, and its values are
+    counted by the next bits, down to single values.  Every round is a
+    partially aggregated count with one small row per (key, slice); the counts
+    are shuffled once and that exchange is reused.  Exact for any group size
+    and independent of the order and partitioning of the rows.  Keys without
+    a value have no row."""
+    names = keys or ["_all"]
+    if not keys:
+        counts = counts.withColumn("_all", F.lit(0))
+    picked, above = None, None
+    for shift in MEDIAN_SHIFTS:
+        slice_of = F.shiftright("out_sat", shift).alias("_slice")
+        if picked is None:
+            hist = counts.groupBy(*names, slice_of).agg(F.sum("c").alias("_n"))
+            rank = F.ceil(F.sum("_n").over(W.partitionBy(*names)) / 2)
+        else:
+            p = picked.select(*[F.col(k).alias(f"_p_{k}") for k in names], "_kept", "_rank")
+            same = [F.col(k).eqNullSafe(F.col(f"_p_{k}")) for k in names]
+            hist = (counts.join(p, same + [F.shiftright("out_sat", above) == F.col("_kept")])
+                    .groupBy(*names, slice_of).agg(F.sum("c").alias("_n"), F.first("_rank").alias("_rank")))
+            rank = F.col("_rank")
+        upto = F.sum("_n").over(W.partitionBy(*names).orderBy("_slice"))
+        ranked = hist.select(*names, "_slice", "_n", upto.alias("_upto"), rank.alias("_at"))
+        picked = (ranked.where((F.col("_upto") >= F.col("_at")) & (F.col("_upto") - F.col("_n") < F.col("_at")))
+                  .select(*names, F.col("_slice").alias("_kept"),
+                          (F.col("_at") - (F.col("_upto") - F.col("_n"))).alias("_rank")))
+        above = shift
+    return picked.select(*keys, F.col("_kept").alias("med_sat"))
+
+
+def with_median(partials: DataFrame, counts: DataFrame, keys: list) -> DataFrame:
+    """Partial rows with their median; NULL for a key without a value."""
+    med = exact_median(counts, keys)
+    if not keys:   # one row on either side
+        return partials.select("*", F.coalesce(med.scalar(), F.lit(None).cast("bigint")).alias("med_sat"))
+    m = med.select(*[F.col(k).alias(f"_m_{k}") for k in keys], "med_sat")
+    on = [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys]
+    return partials.join(m, on, "left").drop(*[f"_m_{k}" for k in keys])
+
+
+def aggregate_kpis(rows: DataFrame, keys: list, whale_sat: int = WHALE_THRESHOLD_SAT) -> DataFrame:
+    """All partials plus the exact median per ``keys``.
+
+    The partials are one aggregation with a map-side combine: a task sends one
+    row per key, however many rows the key has."""
+    partials = rows.groupBy(*keys).agg(*partial_aggs(whale_sat=whale_sat))
+    return with_median(partials, value_counts(rows, keys), keys).select(*keys, *PARTIALS, "med_sat")
 
 
 # KPI name → expression over the partial columns.
@@ -119,30 +160,48 @@ def global_columns(keys=GLOBAL_NAMES) -> list[Column]:
     return [fin[k].alias(name) for k, name in keys.items()]
 
 
-def day_partials(window: DataFrame, names=None) -> DataFrame:
+def merge_partials(days: DataFrame, keys: list) -> DataFrame:
+    """Partials of larger groups from those of their parts (all are sums)."""
+    return days.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in PARTIALS])
+
+
+def day_partials(window: DataFrame, whale_sat: int = WHALE_THRESHOLD_SAT) -> DataFrame:
     """Additive partials per day: ``(jour, n, sum_out, ...)``."""
-    return measures(window).groupBy("jour").agg(*partial_aggs(names))
+    return measures(window).groupBy("jour").agg(*partial_aggs(whale_sat=whale_sat))
 
 
-def kpi_daily(window: DataFrame, median_k: int = MEDIAN_SKETCH_K) -> DataFrame:
+def kpi_daily(window: DataFrame, whale_sat: int = WHALE_THRESHOLD_SAT) -> DataFrame:
     """The daily KPI table (D1..D9), one row per day that has transactions.
 
     Two aggregations keyed by day (both partial before the shuffle) and a
     left join on day; both sides are one row per day, so AQE broadcasts
     the address side once its measured size allows it."""
-    daily = aggregate_kpis(measures(window), ["jour"], median_k)
-    addrs = active_addresses_daily(window)
-    return (daily.join(addrs, "jour", "left")
+    rows = measures(window)
+    return _daily(rows.groupBy("jour").agg(*partial_aggs(whale_sat=whale_sat)),
+                  value_counts(rows, ["jour"]), active_addresses_daily(window))
+
+
+def kpi_daily_from(days: DataFrame, values: DataFrame, addresses: DataFrame) -> DataFrame:
+    """The daily KPI table from day partials, counts of each day's values and
+    distinct (jour, adresse)."""
+    return _daily(days, values, addresses.groupBy("jour").agg(
+        F.count("adresse").alias("adresses_actives_jour")))
+
+
+def _daily(days: DataFrame, values: DataFrame, addrs: DataFrame) -> DataFrame:
+    a = addrs.select(F.col("jour").alias("_day"), "adresses_actives_jour")
+    return (with_median(days, values, ["jour"])
+            .join(a, F.col("jour").eqNullSafe(F.col("_day")), "left")
             .select("jour", *daily_columns(),
                     F.coalesce(F.col("adresses_actives_jour"), F.lit(0).cast("bigint"))
                      .alias("adresses_actives_jour")))
 
 
-def kpi_global(window: DataFrame, median_k: int = MEDIAN_SKETCH_K) -> DataFrame:
+def kpi_global(window: DataFrame, whale_sat: int = WHALE_THRESHOLD_SAT) -> DataFrame:
     """The global KPI table (G1..G9): exactly one row, also on an empty
     window.  G9 is an uncorrelated scalar subquery (the distinct count over
     the whole window, not a sum of daily counts)."""
-    g = aggregate_kpis(measures(window), [], median_k)
+    g = aggregate_kpis(measures(window), [], whale_sat)
     addr = active_addresses_global(window)
     return g.select(*global_columns(), addr.scalar().alias("adresses_actives_global"))
 
@@ -166,8 +225,10 @@ def avg_value_daily(window: DataFrame) -> DataFrame:
     return _daily_one(window, "mean", ["sum_out", "cnt_out"])
 
 
-def median_value_daily(window: DataFrame, median_k: int = MEDIAN_SKETCH_K) -> DataFrame:
-    return (aggregate_kpis(measures(window), ["jour"], median_k)
+def median_value_daily(window: DataFrame) -> DataFrame:
+    rows = measures(window)
+    days = rows.groupBy("jour").agg(*partial_aggs(["n"]))   # days without a value keep a row
+    return (with_median(days, value_counts(rows, ["jour"]), ["jour"])
             .select("jour", finishers()["median"].alias(DAILY_NAMES["median"])))
 
 
@@ -192,9 +253,9 @@ def whale_volume_global(window: DataFrame) -> DataFrame:
             .select(finishers()["whale_volume"].alias("whale_volume_global")))
 
 
-def whale_transactions(window: DataFrame) -> DataFrame:
+def whale_transactions(window: DataFrame, whale_sat: int = WHALE_THRESHOLD_SAT) -> DataFrame:
     """FLT-6: transactions whose output is at least the whale threshold."""
     m = window.select("hachage_transaction", "valeur_sorties",
                       _col_or(window, OUT_SAT, sat_of_coin(F.col("valeur_sorties"))).alias("out_sat"))
-    return (m.filter(F.col("out_sat") >= WHALE_THRESHOLD_SAT)
+    return (m.filter(F.col("out_sat") >= whale_sat)
             .select("hachage_transaction", "valeur_sorties"))

@@ -1,36 +1,44 @@
-"""End-to-end jobs (PL-1 setup, PL-2 one slide, PL-3 many slides).
+"""End-to-end jobs (PL-1 setup, PL-2 one slide, PL-3 many slides, PL-4 refresh).
 
 Layout under ``root`` (a shared folder; by default inside the session's
 ``spark.checkpoint.dir``)::
 
-    state/version=N/                 one row (start_date, end_date)
-    window/version=N/jour_bloc=D/    window table of state N
-    kpi_daily/version=N/mois=M/      daily KPI table of state N
-    kpi_global/version=N/            one row
-    slides/version=N/...             multi-slide outputs (run_slides)
-
-Tables of version N are written before state N, so the state is the commit
-point: readers follow the state, a failed slide is retried from version
-N-1 and rewrites the same folders.  Every KPI job reads the written window
-table back, which cuts lineage: a lost executor recomputes from Parquet,
-not from the raw scan.
+    state/version=N/          one row: bounds and where the version's tables are
+    build-ID/window/          day-partitioned window table
+    build-ID/kpi_daily/       daily KPI table, by month (one slide) or by slide
+    build-ID/kpi_global/      one row (one row per slide)
+    build-ID/days|values|addresses|checks/   what a many-slide job reads once
+
+Every job writes a build folder of its own and then commits state rows that
+point into it.  Folders that a state points to are never written again, so a
+job that fails, or loses the race for a version, leaves the committed versions
+readable; its folder is removed when it fails in an orderly way.  Every KPI job
+reads the written window table back, which cuts lineage: a lost executor
+recomputes from Parquet, not from the raw scan.
+
+With ``publish``, views of fixed names show the current version: they are
+repointed after each commit.  With ``keep``, builds that none of the last
+``keep`` versions points to are removed after each commit.
 """
 
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.functions.columns import as_date
 from tidewatch.operators.extract import extract_window, project_window
 from tidewatch.operators.kpi import kpi_daily, kpi_global
-from tidewatch.plans.checks import check_slides, check_window_verdict
-from tidewatch.plans.slides import kpi_daily_slides, kpi_global_slides, slides_window
+from tidewatch.plans.checks import check_slide_days, check_window_verdict
+from tidewatch.plans.slides import day_tables, kpi_daily_slides, kpi_global_slides, slides_window
 from tidewatch.plans.state import StateStore
-from tidewatch.plans.windows import advance_state, state_row
-from tidewatch.schema import DAILY_KPIS, GLOBAL_KPIS, MEDIAN_SKETCH_K, SLIDE_DAYS, WINDOW_DAY
-from tidewatch.session import scratch_path, set_initial_shuffle_partitions
+from tidewatch.plans.windows import state_row
+from tidewatch.schema import DAILY_KPIS, SLIDE_DAYS, WHALE_THRESHOLD_SAT, WINDOW_DAY
+from tidewatch.session import remove_path, scratch_path, set_initial_shuffle_partitions
 
 
 def write_window_table(window: DataFrame, path: str) -> None:
@@ -63,124 +71,213 @@ def read_kpi_daily(spark: SparkSession, path: str) -> DataFrame:
 
 def write_kpi_global(glob: DataFrame, path: str) -> None:
     """SNK-3: a few rows; one file."""
-    glob.coalesce(1).write.mode("overwrite").parquet(path)
+    glob.repartition(1).write.mode("overwrite").parquet(path)
 
 
 class Pipeline:
     def __init__(self, spark: SparkSession, raw: DataFrame, root: str | None = None,
-                 step_days: int = SLIDE_DAYS, median_k: int = MEDIAN_SKETCH_K,
-                 shuffle_partitions: int | None = None):
+                 step_days: int = SLIDE_DAYS, whale_sat: int = WHALE_THRESHOLD_SAT,
+                 shuffle_partitions: int | None = None, publish: str | None = None,
+                 keep: int | None = None):
         """``shuffle_partitions``: AQE's initial shuffle partition count for
         the pipeline's jobs (see ``session.set_initial_shuffle_partitions``);
-        None keeps the session's setting."""
+        None keeps the session's setting.  ``publish``: prefix of the views
+        ``<prefix>window``, ``<prefix>kpi_daily`` and ``<prefix>kpi_global`` of
+        the current version.  ``keep``: versions whose tables stay (at least
+        the current one); None keeps all."""
+        if keep is not None and keep < 1:
+            raise ValueError("keep must be at least 1")
         set_initial_shuffle_partitions(spark, shuffle_partitions)
         self.spark = spark
         self.raw = raw
         self.root = (root or scratch_path(spark, "pipeline")).rstrip("/")
         self.step = step_days
-        self.median_k = median_k
+        self.whale_sat = whale_sat
+        self.publish = publish
+        self.keep = keep
         self.state = StateStore(spark, f"{self.root}/state")
 
-    def path(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/version={version}"
-
+    # -- tables -----------------------------------------------------------
     def _schema(self, table: str):
         """Schema of a stored table, derived from the plan (no job).  Reads
         use it, so an empty window (NULL state, month without data) reads
         back as an empty table instead of failing schema inference."""
         w = project_window(self.raw)
         if table == "kpi_daily":
-            return kpi_daily(w).withColumn("mois", F.trunc("jour", "MM")).schema
-        if table == "kpi_global":
-            return kpi_global(w).schema
-        return w.schema
+            return kpi_daily(w).schema
+        return kpi_global(w).schema if table == "kpi_global" else w.schema
 
     def read(self, table: str, version: int | None = None) -> DataFrame:
-        v = self.state.current_version() if version is None else version
-        return self.spark.read.schema(self._schema(table)).parquet(self.path(table, v))
+        """``window``, ``kpi_daily`` or ``kpi_global`` of a version, the
+        current one by default."""
+        return self._table(table, self.state.row(version))
+
+    def _table(self, table: str, row) -> DataFrame:
+        rows = self._load(table, row[f"{table}_path"])
+        if table == "window":   # a many-slide build holds the union of its windows
+            rows = rows.where(F.col(WINDOW_DAY).between(F.lit(row["start_date"]).cast("date"),
+                                                        F.lit(row["end_date"]).cast("date")))
+        return rows
+
+    def _load(self, table: str, path: str) -> DataFrame:
+        schema = self._schema(table)
+        return self.spark.read.schema(schema).parquet(path).select(*schema.names)
+
+    def _build_folder(self) -> str:
+        return f"{self.root}/build-{uuid.uuid4().hex}"
+
+    @contextlib.contextmanager
+    def _building(self):
+        """A new build folder; removed again when the job fails."""
+        folder = self._build_folder()
+        try:
+            yield folder
+        except BaseException:
+            remove_path(self.spark, folder)
+            raise
+
+    def _commit(self, states: DataFrame) -> None:
+        self.state.commit(states)
+        row = self.state.row()
+        if self.publish is not None:
+            for t in ("window", "kpi_daily", "kpi_global"):
+                self._table(t, row).createOrReplaceTempView(f"{self.publish}{t}")
+        if self.keep is not None:
+            self._retain(row["version"])
+
+    def _retain(self, current: int) -> None:
+        """Remove the builds that only versions before the last ``keep`` use."""
+        rows = self.state.rows().select("version", "window_path", "kpi_daily_path", "kpi_global_path")
+        top = [r[0] for r in rows.select("version").orderBy(F.desc("version")).limit(self.keep).collect()]
+        build = F.regexp_extract(F.col("path"), r"/(build-[0-9a-f]+)(?:/|$)", 1)
+        used = rows.select("version", F.explode(F.array("window_path", "kpi_daily_path", "kpi_global_path")).alias("path")) \
+            .select("version", build.alias("build")).where("build <> ''")
+        for r in used.groupBy("build").agg(F.max("version").alias("last")).where(
+                F.col("last") < min(top)).collect():   # one row a build
+            remove_path(self.spark, f"{self.root}/{r['build']}")
+
+    # -- one window -------------------------------------------------------
+    def _write_window(self, folder: str, start, end) -> DataFrame:
+        write_window_table(extract_window(self.raw, start, end), f"{folder}/window")
+        return self._load("window", f"{folder}/window")
+
+    def _write_kpis(self, folder: str, window: DataFrame) -> None:
+        write_kpi_daily(kpi_daily(window, self.whale_sat), f"{folder}/kpi_daily")
+        write_kpi_global(kpi_global(window, self.whale_sat), f"{folder}/kpi_global")
+
+    def _one_state(self, start, end, version: int, folder: str, window_path: str | None = None) -> DataFrame:
+        return state_row(self.spark, start, end, version).select(
+            "*", F.lit(window_path or f"{folder}/window").alias("window_path"),
+            F.lit(f"{folder}/kpi_daily").alias("kpi_daily_path"),
+            F.lit(f"{folder}/kpi_global").alias("kpi_global_path"))
 
     # -- PL-1 -------------------------------------------------------------
     def setup(self, month) -> int:
-        """Base window = the month's days with data; state version 0."""
-        self.state.init(self.raw, month)
-        start, end, _ = self.state.bounds()
-        self._build(0, start, end)
-        return 0
-
-    def _build(self, version: int, start, end) -> None:
-        write_window_table(extract_window(self.raw, start, end), self.path("window", version))
-        window = self.read("window", version)
-        write_kpi_daily(kpi_daily(window, self.median_k), self.path("kpi_daily", version))
-        write_kpi_global(kpi_global(window, self.median_k), self.path("kpi_global", version))
+        """Base window = the month's days with data, as a new version: the
+        first one, or the next on a root that has been used."""
+        last = self.state.current_version()
+        version = 0 if last is None else last + 1
+        first = _dt.date.fromisoformat(str(month)[:10]).replace(day=1)
+        after = (first + _dt.timedelta(days=32)).replace(day=1)
+        with self._building() as folder:
+            window = self._write_window(folder, first, after - _dt.timedelta(days=1))
+            start, end = window.agg(F.min(WINDOW_DAY), F.max(WINDOW_DAY)).first()
+            self._write_kpis(folder, window)
+            self._commit(self._one_state(start, end, version, folder))
+        return version
 
     # -- PL-2 -------------------------------------------------------------
     def slide_once(self) -> int:
         """Shift by ``step`` days, rebuild the window and both KPI tables,
         then commit the new state."""
         start, end, version = self.state.bounds()
-        nxt = version + 1
         # the new bounds are two dates: shift them on the driver (NULL stays NULL)
         shift = _dt.timedelta(days=self.step)
         new_start = start + shift if start is not None else None
         new_end = end + shift if end is not None else None
-        self._build(nxt, new_start, new_end)
-        self.state.write(state_row(self.spark, new_start, new_end, nxt), nxt)
-        return nxt
+        with self._building() as folder:
+            self._write_kpis(folder, self._write_window(folder, new_start, new_end))
+            self._commit(self._one_state(new_start, new_end, version + 1, folder))
+        return version + 1
 
     def run(self, iterations: int) -> int:
         """The sequential loop: ``iterations`` slides, each its own jobs."""
-        v = self.state.current_version()
+        v = self.state.row()["version"]
         for _ in range(iterations):
             v = self.slide_once()
         return v
 
     # -- PL-3 (RW-3) ------------------------------------------------------
     def run_slides(self, n_slides: int) -> int:
-        """Slides 1..n of the current state in one pass: the union of the
-        windows is extracted and written once, then the global KPIs of all
-        slides, the daily KPIs of all slides and the per-slide checks are
-        computed from it.  The last slide's window and KPI tables are then
-        published under the new version (from what was just written, no
-        new scan of the raw table) and the state advances by ``n`` slides."""
+        """Slides 1..n of the current state in one pass.
+
+        The union of the windows is extracted and written once and reduced in
+        three scans to day partials, counts of each day's values and the days
+        of each address; daily and global KPIs and checks of all slides come
+        from these.  One commit adds the versions of all n slides: each points
+        to the shared window table (read within its bounds) and to its own
+        slide's KPI folders."""
+        if n_slides < 1:
+            raise ValueError("n_slides must be at least 1")
         start, end, version = self.state.bounds()
-        state = state_row(self.spark, start, end, version)
         bounds = (start, end)          # literals: pushed to the scan
-        out = self.path("slides", version)
-        write_window_table(slides_window(self.raw, bounds, n_slides, self.step), f"{out}/window")
-        w = self.spark.read.schema(self._schema("window")).parquet(f"{out}/window")
-        glob = kpi_global_slides(self.raw, bounds, n_slides, self.step, self.median_k, window=w)
-        write_kpi_global(glob, f"{out}/kpi_global")
-        daily = kpi_daily_slides(self.raw, bounds, n_slides, self.step, self.median_k, window=w)
-        daily.write.mode("overwrite").partitionBy("slide").parquet(f"{out}/kpi_daily")
-        check_slides(w, bounds, n_slides, self.step).coalesce(1).write.mode("overwrite") \
-            .parquet(f"{out}/checks")
-
-        nxt = version + n_slides
-        shift = _dt.timedelta(days=self.step * n_slides)
-        last_start = start + shift if start is not None else None
-        last_end = end + shift if end is not None else None
-        last_days = F.col(WINDOW_DAY).between(F.lit(last_start).cast("date"),
-                                              F.lit(last_end).cast("date"))
-        write_window_table(w.filter(last_days), self.path("window", nxt))
-        last = F.col("slide") == n_slides
-        write_kpi_global(self.spark.read.schema(glob.schema).parquet(f"{out}/kpi_global")
-                         .filter(last).select(*GLOBAL_KPIS), self.path("kpi_global", nxt))
-        write_kpi_daily(self.spark.read.schema(daily.schema).parquet(f"{out}/kpi_daily")
-                        .filter(last).select(*DAILY_KPIS), self.path("kpi_daily", nxt))
-        self.state.write(advance_state(state, self.step, n_slides), nxt)
-        return nxt
+        with self._building() as out:
+            write_window_table(slides_window(self.raw, bounds, n_slides, self.step), f"{out}/window")
+            w = self._load("window", f"{out}/window")
+            tables = []
+            for name, t in zip(("days", "values", "addresses"), day_tables(w, self.whale_sat)):
+                t.write.parquet(f"{out}/{name}")
+                tables.append(self.spark.read.schema(t.schema).parquet(f"{out}/{name}"))
+            glob = kpi_global_slides(None, bounds, n_slides, self.step, window=w, tables=tables)
+            glob.repartition(1).write.partitionBy("slide").parquet(f"{out}/kpi_global")
+            daily = kpi_daily_slides(None, bounds, n_slides, self.step, window=w, tables=tables)
+            daily.repartition("slide").sortWithinPartitions("slide", "jour").write.partitionBy("slide") \
+                .parquet(f"{out}/kpi_daily")
+            check_slide_days(tables[0].select("jour", "n"), bounds, n_slides, self.step) \
+                .repartition(1).write.parquet(f"{out}/checks")
+            # a slide without days has no folder in the daily table
+            self._empty_folders(daily, f"{out}/kpi_daily", start, n_slides)
+            slide = F.col("id").cast("int")
+            states = self.spark.range(1, n_slides + 1).select(
+                F.date_add(as_date(start), slide * self.step).alias("start_date"),
+                F.date_add(as_date(end), slide * self.step).alias("end_date"),
+                (slide + version).alias("version"), F.lit(f"{out}/window").alias("window_path"),
+                *[F.concat(F.lit(f"{out}/{t}/slide="), slide.cast("string")).alias(f"{t}_path")
+                  for t in ("kpi_daily", "kpi_global")])
+            self._commit(states)
+        return version + n_slides
+
+    def _empty_folders(self, daily: DataFrame, path: str, start, n_slides: int) -> None:
+        """Empty daily tables for the slides that hold no day."""
+        there = set()
+        if start is not None:
+            there = {r[0] for r in self.spark.read.schema(daily.schema).parquet(path)
+                     .select("slide").distinct().collect()}   # one row a slide
+        none = daily.drop("slide").limit(0)
+        for k in range(1, n_slides + 1):
+            if k not in there:
+                none.write.mode("overwrite").parquet(f"{path}/slide={k}")
 
     # -- PL-4 -------------------------------------------------------------
     def refresh_kpis(self, version: int | None = None) -> int:
         """Recompute both KPI tables from a stored window table, without
-        sliding (for instance after a correction of the KPI definitions)."""
-        v = self.state.current_version() if version is None else version
-        window = self.read("window", v)
-        write_kpi_daily(kpi_daily(window, self.median_k), self.path("kpi_daily", v))
-        write_kpi_global(kpi_global(window, self.median_k), self.path("kpi_global", v))
-        return v
+        sliding (for instance after a correction of the KPI definitions), as a
+        new version with the same window."""
+        row = self.state.row(version)
+        nxt = self.state.row()["version"] + 1
+        with self._building() as folder:
+            self._write_kpis(folder, self._table("window", row))
+            self._commit(self._one_state(row["start_date"], row["end_date"], nxt, folder, row["window_path"]))
+        return nxt
 
     # -- checks -----------------------------------------------------------
-    def verdict(self) -> DataFrame:
-        """CK-3 on the current window table."""
-        return check_window_verdict(self.read("window"), self.state.read())
+    def verdict(self, version: int | None = None) -> DataFrame:
+        """CK-3 on a version's window table, as stored."""
+        row = self.state.row(version)
+        return check_window_verdict(self._table("window", row), state_row(
+            self.spark, row["start_date"], row["end_date"], row["version"]))
+
+    def slide_checks(self, version: int | None = None) -> DataFrame:
+        """The checks that the many-slide job of a version has written."""
+        path = self.state.row(version)["window_path"].rsplit("/", 1)[0]
+        return self.spark.read.parquet(f"{path}/checks")

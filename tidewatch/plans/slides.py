@@ -1,17 +1,15 @@
 """Many slides in one job (RW-3), the event-time sliding form (RW-4).
 
-Instead of re-reading the source once per slide, each transaction row is
-expanded into the slides whose window contains its day (``slide_range``:
-at most ceil(width/step) slides per day, pure arithmetic, no range join,
-nothing broadcast):
-
-* counts, satoshi sums and the median sketch: one aggregation keyed by
-  slide over the expanded rows; the partial aggregation collapses each
-  task's rows to one buffer per slide before the shuffle;
+Instead of re-reading the source once per slide, days are expanded into the
+slides whose window contains them (``slide_range``: at most ceil(width/step)
+slides per day, pure arithmetic, no range join, nothing broadcast):
+
+* counts and satoshi sums: one row per day, expanded and summed per slide;
+* median: counts of each day's values, selected by slices per slide;
 * distinct addresses: one shuffle keyed by address carrying the set of
-  days each address is active (map-side de-duplicated, bounded by the
-  calendar), expanded to slides after the shuffle, de-duplicated per
-  (address, slide) on the same partitioning, then counted per slide.
+  days each address is active (bounded by the calendar), expanded to slides
+  after the shuffle, de-duplicated per (address, slide) on the same
+  partitioning, then counted per slide.
 
 Empty windows are kept by a left join from the window list (one row per
 slide).
@@ -25,13 +23,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import as_date, slide_range
-from tidewatch.operators.addresses import daily_address_set
 from tidewatch.operators.extract import extract_window, project_window
 from tidewatch.operators.kpi import (
-    aggregate_kpis, global_columns, kpi_daily, measures,
+    global_columns, kpi_daily, kpi_daily_from, measures, merge_partials, partial_aggs, value_counts, with_median,
 )
 from tidewatch.plans.windows import slides_until, state_bounds, state_row, window_list
-from tidewatch.schema import MEDIAN_SKETCH_K, RAW_MONTH, RAW_TS, SLIDE_DAYS
+from tidewatch.schema import RAW_MONTH, RAW_TS, SLIDE_DAYS, WHALE_THRESHOLD_SAT
 
 
 def _bounds(state):
@@ -69,41 +66,53 @@ def _n(window: DataFrame, state, n_slides, step_days) -> Column:
     return F.lit(n_slides)
 
 
-def _slide_kpis(w: DataFrame, slides_of, median_k: int) -> tuple[DataFrame, DataFrame]:
-    """Per-slide partials + median, and per-slide distinct addresses.
-
-    ``slides_of(day)`` is the array of slides whose window holds ``day``."""
-    tx_rows = measures(w).select(F.explode(slides_of(F.col("jour"))).alias("slide"),
-                                 "out_sat", "in_sat", "cb", "cnt_in", "cnt_out")
-    kpis = aggregate_kpis(tx_rows, ["slide"], median_k)
+def day_addresses(w: DataFrame) -> DataFrame:
+    """Distinct ``(jour, adresse)``, dealt out by address."""
     day = F.col("jour_bloc") if "jour_bloc" in w.columns else F.to_date("horodatage_bloc")
     pairs = w.select(day.alias("jour"),
                      F.explode(F.array_union("input_addresses", "output_addresses")).alias("adresse"))
-    # One shuffle keyed by address carrying each address's set of active
-    # days (map-side de-duplicated; at most one entry per calendar day of
-    # the range, however many rows a hot address has).  The expansion to
-    # slides happens after the shuffle, and the (address, slide)
-    # de-duplication reuses the address partitioning.
-    days = pairs.groupBy("adresse").agg(F.collect_set("jour").alias("days"))
-    addr_slides = (days.select("adresse", F.explode("days").alias("jour"))
-                   .select("adresse", F.explode(slides_of(F.col("jour"))).alias("slide"))
-                   .distinct())
-    addrs = addr_slides.groupBy("slide").agg(F.count(F.lit(1)).alias("n_addr"))
+    # De-duplicated per day before the shuffle by address; whoever counts
+    # addresses of longer windows reuses that partitioning.
+    days = pairs.groupBy("adresse").agg(F.collect_set("jour").alias("days"))   # bounded by the calendar
+    return days.select("adresse", F.explode("days").alias("jour"))
+
+
+def day_tables(w: DataFrame, whale_sat: int = WHALE_THRESHOLD_SAT) -> list[DataFrame]:
+    """What the KPIs of any set of whole days follow from: partials per day,
+    counts of each day's values, distinct (day, address)."""
+    rows = measures(w)
+    return [rows.groupBy("jour").agg(*partial_aggs(whale_sat=whale_sat)),
+            value_counts(rows, ["jour"]), day_addresses(w)]
+
+
+def _slide_kpis(tables: list, slides_of, keys: list) -> tuple[DataFrame, DataFrame]:
+    """Per-slide partials + median, and per-slide distinct addresses.
+
+    ``slides_of(df)`` adds the slide columns ``keys`` to rows with a day, one
+    row for each slide whose window holds it: one row per day, and one per
+    distinct value and per address of a day, are what is expanded."""
+    days, values, addresses = tables
+    partials = merge_partials(slides_of(days), keys)
+    kpis = with_median(partials, slides_of(values).select(*keys, "out_sat", "c"), keys)
+    addrs = slides_of(addresses).select("adresse", *keys).distinct().groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_addr"))
     return kpis, addrs
 
 
 def kpi_global_slides(raw: DataFrame, state, n_slides: int | None = 15,
-                      step_days: int = SLIDE_DAYS, median_k: int = MEDIAN_SKETCH_K,
-                      window: DataFrame | None = None) -> DataFrame:
+                      step_days: int = SLIDE_DAYS, whale_sat: int = WHALE_THRESHOLD_SAT,
+                      window: DataFrame | None = None, tables: list | None = None) -> DataFrame:
     """Global KPIs (G1..G9) of slides 1..n in one job: one row per slide,
     ``slide, new_start, new_end`` + the nine KPI columns.
 
-    ``window`` may be an already materialised ``slides_window`` table."""
+    ``window`` may be an already materialised ``slides_window`` table and
+    ``tables`` its ``day_tables``; with both, ``raw`` is not read."""
     w = window if window is not None else slides_window(raw, state, n_slides, step_days)
     start, end = _bounds(state)
     n = _n(w, state, n_slides, step_days)
-    kpis, addrs = _slide_kpis(w, lambda d: slide_range(d, start, end, step_days, 1, n),
-                              median_k)
+    slides_of = lambda df: df.select("*", F.explode(
+        slide_range(F.col("jour"), start, end, step_days, 1, n)).alias("slide"))
+    kpis, addrs = _slide_kpis(tables or day_tables(w, whale_sat), slides_of, ["slide"])
     wins = window_list(_state_df(state, w.sparkSession), n, step_days).select(
         "slide", "new_start", "new_end")
     return (wins.join(kpis, "slide", "left").join(addrs, "slide", "left")
@@ -112,8 +121,8 @@ def kpi_global_slides(raw: DataFrame, state, n_slides: int | None = 15,
 
 
 def kpi_daily_slides(raw: DataFrame, state, n_slides: int | None = 15,
-                     step_days: int = SLIDE_DAYS, median_k: int = MEDIAN_SKETCH_K,
-                     window: DataFrame | None = None) -> DataFrame:
+                     step_days: int = SLIDE_DAYS, whale_sat: int = WHALE_THRESHOLD_SAT,
+                     window: DataFrame | None = None, tables: list | None = None) -> DataFrame:
     """Daily KPI tables of slides 1..n: ``slide`` + the ten daily columns.
 
     A day's KPIs do not depend on the window, so they are computed once per
@@ -121,13 +130,13 @@ def kpi_daily_slides(raw: DataFrame, state, n_slides: int | None = 15,
     w = window if window is not None else slides_window(raw, state, n_slides, step_days)
     start, end = _bounds(state)
     n = _n(w, state, n_slides, step_days)
-    daily = kpi_daily(w, median_k)
+    daily = kpi_daily_from(*tables) if tables else kpi_daily(w, whale_sat)
     expand = F.explode(slide_range(F.col("jour"), start, end, step_days, 1, n)).alias("slide")
     return daily.select(expand, *daily.columns)
 
 
 def kpi_sliding_eventtime(window: DataFrame, start_day, end_day, step_days: int = SLIDE_DAYS,
-                          median_k: int = MEDIAN_SKETCH_K) -> DataFrame:
+                          whale_sat: int = WHALE_THRESHOLD_SAT) -> DataFrame:
     """RW-4: the same windows through Spark's ``window()`` (width
     ``end-start+1`` days, slide ``step`` days, aligned on ``start``).
 
@@ -135,8 +144,8 @@ def kpi_sliding_eventtime(window: DataFrame, start_day, end_day, step_days: int
     the ones that start before ``start``; ``slide`` numbers them relative to
     the state (0 = the state window).  ``start_day``/``end_day`` must be
     Python dates or ISO strings: ``window()`` takes literal durations.
-    Address pairs are de-duplicated per day before ``window()`` expands
-    them."""
+    Days, values of a day and address days are counted before ``window()``
+    expands them."""
     s = _dt.date.fromisoformat(str(start_day))
     e = _dt.date.fromisoformat(str(end_day))
     width = (e - s).days + 1
@@ -144,10 +153,7 @@ def kpi_sliding_eventtime(window: DataFrame, start_day, end_day, step_days: int
 
     win = F.window(F.col("jour").cast("timestamp"), f"{width} days",
                    f"{step_days} days", f"{offset} days").alias("w")
-    m = measures(window)
-    kpis = aggregate_kpis(m.select(win, *m.columns), ["w"], median_k)
-    pairs = daily_address_set(window)
-    addrs = pairs.groupBy(win).agg(F.count_distinct("adresse").alias("n_addr"))
+    kpis, addrs = _slide_kpis(day_tables(window, whale_sat), lambda df: df.select("*", win), ["w"])
     out = kpis.join(addrs, "w", "left")
     ws = F.to_date(F.col("w.start"))
     return out.select(

@@ -2,9 +2,10 @@
 
 Parquet has no UPDATE and a path cannot be overwritten while it is read, so
 each state is a new folder ``<root>/version=N`` holding one row.  Writing a
-version is the commit point of a slide: the tables of slide N are written
-first, the state row last, so a failed slide leaves version N-1 current and
-a retry rewrites the same tables.
+version is the commit point of a job: its tables are written first, the state
+row last.  A version that exists is never written again: of two jobs that
+built the same version, the second fails at its commit and leaves nothing
+that readers see.
 """
 
 from __future__ import annotations
@@ -16,23 +17,31 @@ from pyspark.sql import functions as F
 from tidewatch.plans.windows import advance_state, latest_state, state_from_data
 from tidewatch.schema import SLIDE_DAYS
 
+#: A state row: the window's bounds, and where the version's tables are (NULL
+#: in a store that only keeps bounds).
+STATE_SCHEMA = ("start_date date, end_date date, window_path string, kpi_daily_path string, "
+                "kpi_global_path string, version int")
+
 
 class StateStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
+    def rows(self) -> DataFrame:
+        """All stored rows; empty when nothing is stored yet.  Any other fault
+        of the store is raised."""
+        try:
+            return self.spark.read.schema(STATE_SCHEMA).parquet(self.root)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], STATE_SCHEMA)
+
     def history(self) -> DataFrame:
         """All versions ``(start_date, end_date, version)`` (``version`` is
         discovered from the folder names); empty when nothing is stored."""
-        reader = self.spark.read.schema("start_date date, end_date date, version int")
-        try:
-            return reader.parquet(self.root).select("start_date", "end_date", "version")
-        except AnalysisException:      # the folder does not exist yet
-            return self.spark.createDataFrame([], "start_date date, end_date date, version int")
-
-    def versions(self) -> list[int]:
-        return sorted(r[0] for r in self.history().select("version").distinct().collect())
+        return self.rows().select("start_date", "end_date", "version")
 
     def current_version(self) -> int | None:
         return self.history().agg(F.max("version")).first()[0]
@@ -41,26 +50,42 @@ class StateStore:
         """The current state: the row of the highest version."""
         return latest_state(self.history())
 
-    def write(self, state: DataFrame, version: int) -> None:
-        (state.select(F.col("start_date").cast("date"), F.col("end_date").cast("date"))
-         .coalesce(1).write.mode("overwrite").parquet(f"{self.root}/version={version}"))
+    def row(self, version: int | None = None):
+        """One stored row, the current one by default."""
+        rows = self.rows() if version is None else self.rows().where(F.col("version") == version)
+        found = rows.orderBy(F.desc("version")).first()
+        if found is None:
+            what = "no state" if version is None else f"no version {version}"
+            raise ValueError(f"{what} under {self.root}; run setup first")
+        return found
+
+    def commit(self, states: DataFrame) -> None:
+        """Add state rows (``start_date, end_date, version`` and, if there are
+        any, the table paths) as new versions, all in one write job; fails when
+        one of them exists."""
+        paths = [c for c in ("window_path", "kpi_daily_path", "kpi_global_path")]
+        rows = states.select(
+            F.col("start_date").cast("date"), F.col("end_date").cast("date"),
+            *[F.col(c) if c in states.columns else F.lit(None).cast("string").alias(c) for c in paths],
+            F.col("version").cast("int"))
+        taken = rows.join(self.history().select("version"), "version").select("version").first()
+        if taken is not None:
+            raise FileExistsError(f"version {taken[0]} exists under {self.root}")
+        rows.repartition(1).write.mode("append").partitionBy("version").parquet(self.root)
 
     def init(self, raw: DataFrame, month) -> int:
-        """SNK-4: version 0 from the base month of the data."""
-        self.write(state_from_data(raw, month), 0)
+        """SNK-4: the first version, from the base month of the data."""
+        self.commit(state_from_data(raw, month))
         return 0
 
     def advance(self, step_days: int = SLIDE_DAYS, times: int = 1) -> int:
         """SNK-5: write version n+times computed from version n."""
-        cur = self.current_version()
-        if cur is None:
-            raise ValueError(f"no state under {self.root}; call init() first")
-        nxt = cur + times
-        self.write(advance_state(self.read(), step_days, times), nxt)
-        return nxt
+        cur = self.row()["version"]
+        self.commit(advance_state(self.read(), step_days, times))
+        return cur + times
 
     def bounds(self):
         """``(start_date, end_date, version)`` of the current state as Python
         values (one row; used to build plans with literal bounds)."""
-        row = self.read().first()
+        row = self.row()
         return row["start_date"], row["end_date"], row["version"]

@@ -12,14 +12,9 @@ WHALE_THRESHOLD_COINS = 100
 WHALE_THRESHOLD_SAT = WHALE_THRESHOLD_COINS * SAT_PER_COIN
 SLIDE_DAYS = 7
 
-# Median, batch: KLL sketch size parameter k.  Exact while a group holds at
-# most k values, normalised rank error about 1.65 / k beyond; the sketch
-# size is bounded by k, not by the group size.
-MEDIAN_SKETCH_K = 16_384
-# Fan-in of the two-level sketch merge: map tasks are spread over this many
-# first-level reducers per key, so no reducer merges one sketch per task of
-# a hot key.
-SKETCH_FANIN = 64
+# Median, batch: exact selection by slices of the satoshi value, from these
+# bit positions down (the first slice holds all bits above).
+MEDIAN_SHIFTS = (32, 16, 0)
 
 # Median, streaming: percentile_approx accuracy (state per open window).
 MEDIAN_ACCURACY = 100_000
@@ -28,18 +23,10 @@ MEDIAN_ACCURACY = 100_000
 RAW_TS = "block_timestamp"
 RAW_MONTH = "block_timestamp_month"
 
-# Window table: the 14 contract columns, in order.
-WINDOW_COLUMNS = [
-    "hachage_transaction", "numero_bloc", "horodatage_bloc", "taille_bytes",
-    "taille_virtuelle_bytes", "version_protocole", "compte_entrees", "compte_sorties",
-    "frais_transaction", "est_coinbase", "valeur_entrees", "valeur_sorties",
-    "input_addresses", "output_addresses",
-]
-# Additions: day partition column and exact satoshi values.
+# Window table: day partition column and exact satoshi values.
 WINDOW_DAY = "jour_bloc"
 IN_SAT = "valeur_entrees_sat"
 OUT_SAT = "valeur_sorties_sat"
-WINDOW_EXTRA = [WINDOW_DAY, IN_SAT, OUT_SAT]
 
 # Daily KPI table (10 columns, in order).
 DAILY_KPIS = [
@@ -56,5 +43,3 @@ GLOBAL_KPIS = [
     "coinbase_inflat_global", "whale_volume_global", "whale_ratio_global",
     "adresses_actives_global",
 ]
-
-STATE_COLUMNS = ["start_date", "end_date", "version"]

@@ -12,6 +12,8 @@ The engine relies on a few session settings for its semantics:
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -59,27 +61,39 @@ def _context(spark: SparkSession):
         return None
 
 
-_LOCAL_FALLBACK: dict[int, str] = {}
+_LOCAL_FALLBACK: dict[str, str] = {}
 
 
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for materialised tables, checkpoints and stream state.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster).  Only when it
-    is unset, as in local tests, a fresh local folder is created (once per
-    session) and registered as the checkpoint folder.
-    """
+    Read from ``spark.checkpoint.dir`` (set by the cluster).  When it is unset
+    on a local master, as in tests, a fresh local folder is made once for the
+    application and removed when the process ends; on a cluster that is an
+    error, since executors and driver share no local folder."""
     sc = _context(spark)
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base and sc is not None:
         base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
-        base = _LOCAL_FALLBACK.setdefault(id(spark), tempfile.mkdtemp(prefix="tidewatch-"))
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
+        base = _LOCAL_FALLBACK.get(sc.applicationId)
+        if base is None:
+            base = _LOCAL_FALLBACK[sc.applicationId] = tempfile.mkdtemp(prefix="tidewatch-")
+            atexit.register(shutil.rmtree, base, ignore_errors=True)
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
     return base
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store, if it is there."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     """Total cores of the cluster (shuffle partitions under Spark Connect)."""
     sc = _context(spark)
@@ -103,5 +117,5 @@ def set_initial_shuffle_partitions(spark: SparkSession, n: int | None) -> None:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
 
 
-__all__ = ["get_session", "configure", "work_dir", "scratch_path", "default_parallelism",
+__all__ = ["get_session", "configure", "work_dir", "scratch_path", "default_parallelism", "remove_path",
            "set_initial_shuffle_partitions"]

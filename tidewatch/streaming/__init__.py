@@ -1,7 +1,8 @@
 from tidewatch.streaming.kpi_stream import (  # noqa: F401
-    EVENT_DAILY_KEYS, active_addresses_stream, daily_kpis_stream, read_file_stream,
-    run_available_now, sliding_active_addresses_stream, sliding_kpis_stream, write_live,
+    EVENT_DAILY_KEYS, active_addresses_stream, count_addresses, daily_address_stream,
+    daily_kpis_stream, read_file_stream, read_live, rows_without_event_time, run_available_now,
+    sliding_active_addresses_stream, sliding_address_stream, sliding_kpis_stream, write_live,
 )
 from tidewatch.streaming.sources import (  # noqa: F401
-    EVENT_TX_SCHEMA, events_as_tx, stage_chunks, tx_as_stream_rows, week_edges, year_edges,
+    EVENT_TX_SCHEMA, events_as_tx, tx_as_stream_rows,
 )

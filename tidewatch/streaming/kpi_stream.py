@@ -1,20 +1,26 @@
 """Structured Streaming forms of the KPIs (RW-5..RW-8).
 
 * ``daily_kpis_stream``: tumbling 1-day event-time windows with a
-  watermark; partials and the median sketch live in the state store.
-* ``active_addresses_stream``: exact distinct addresses per day with two
-  chained stateful operators (de-duplicate (day, address), then count),
-  so state is keyed by (day, address) and spreads over partitions; a
-  ``count_distinct`` is not supported on streams.
+  watermark; the partials live in the state store.  The median of a stream is
+  approximate: one ``percentile_approx`` sketch per open window, exact up to
+  about ``median_accuracy`` values and within a rank of 1/accuracy beyond (the
+  batch KPIs are exact for any size).
 * ``sliding_kpis_stream``: W-day windows sliding by 7 days.
-* ``write_live``: RW-8, an update-mode ``foreachBatch`` sink that rewrites
-  only the days a micro-batch touched (dynamic partition overwrite), so a
-  dashboard sees partial days immediately and a replayed batch rewrites
-  the same rows.
-
-Append mode emits a window once the watermark (max event time − delay)
-passes its end; rows older than the watermark are dropped by the stream and
-are covered by the next batch rebuild of a window that contains them.
+* ``daily_address_stream`` / ``sliding_address_stream``: each (window, address)
+  once, as soon as it is seen (state keyed by both, so it spreads);
+  ``count_addresses`` counts them per window from the sink, exactly.
+  ``active_addresses_stream`` chains the count on the stream, for closed
+  windows only.
+* ``write_live``: RW-8, an update-mode sink.  A micro-batch writes the current
+  values of the windows it changed under its batch number, a replayed batch
+  the same rows again; ``read_live`` shows each window's latest values, open
+  windows included, so the last ones are there when a source ends.
+
+Append mode emits a window once the watermark (max event time − delay) passes
+its end.  Rows older than the watermark are dropped by the stream (Spark counts
+them as ``numRowsDroppedByWatermark``) and rows without an event time belong to
+no window (``rows_without_event_time``); both are covered by the next batch
+rebuild or its checks.
 """
 
 from __future__ import annotations
@@ -34,7 +40,7 @@ EVENT_DAILY_KEYS = ["count", "volume", "mean", "median", "whale_ratio"]
 
 
 def read_file_stream(spark: SparkSession, path: str, schema: str,
-                     max_files_per_trigger: int | None = 1) -> DataFrame:
+                     max_files_per_trigger: int | None = None) -> DataFrame:
     r = spark.readStream.schema(schema).format("parquet")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -56,16 +62,51 @@ def daily_kpis_stream(stream: DataFrame, watermark: str = "1 day", keys=None,
                       *[fin[k].alias(DAILY_NAMES[k]) for k in keys])
 
 
+def _address_pairs(stream: DataFrame, watermark: str, win: Column) -> DataFrame:
+    rows = stream.withWatermark(TS, watermark).select(
+        win.alias("w"), "input_addresses", "output_addresses")
+    return rows.select("w", F.explode(F.array_union("input_addresses", "output_addresses")).alias("adresse")
+                       ).dropDuplicates(["w", "adresse"])
+
+
+def daily_address_stream(stream: DataFrame, watermark: str = "1 day") -> DataFrame:
+    """Each ``(jour, adresse)`` once, inputs ∪ outputs, when it is first seen."""
+    return _address_pairs(stream, watermark, F.window(TS, "1 day")).select(
+        F.to_date("w.start").alias("jour"), "adresse")
+
+
+def sliding_address_stream(stream: DataFrame, width_days: int, step_days: int, offset_days: int,
+                           start_day, watermark: str = "1 day") -> DataFrame:
+    """Each ``(slide, new_start, new_end, adresse)`` once, when it is first seen."""
+    win = F.window(TS, f"{width_days} days", f"{step_days} days", f"{offset_days} days")
+    return _address_pairs(stream, watermark, win).select(
+        *_slide_columns(start_day, step_days), "adresse")
+
+
+def count_addresses(pairs: DataFrame, name: str) -> DataFrame:
+    """RW-6 / G9 from the sink of an address stream: addresses per window."""
+    keys = [c for c in pairs.columns if c != "adresse"]
+    return pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+
+
 def active_addresses_stream(stream: DataFrame, watermark: str = "1 day") -> DataFrame:
-    """RW-6: exact distinct addresses per day (inputs ∪ outputs)."""
-    pairs = (stream.withWatermark(TS, watermark)
-             .select(F.window(TS, "1 day").alias("w"),
-                     F.explode(F.array_union("input_addresses", "output_addresses")).alias("adresse")))
-    firsts = pairs.dropDuplicates(["w", "adresse"])
+    """RW-6 on the stream alone: exact distinct addresses per closed day."""
+    firsts = _address_pairs(stream, watermark, F.window(TS, "1 day"))
     return (firsts.groupBy("w").agg(F.count(F.lit(1)).alias("adresses_actives_jour"))
             .select(F.to_date("w.start").alias("jour"), "adresses_actives_jour"))
 
 
+def _slide_columns(start_day, step_days: int) -> list[Column]:
+    ws = F.to_date("w.start")
+    return [(F.datediff(ws, F.lit(str(start_day)).cast("date")) / F.lit(step_days)).cast("int").alias("slide"),
+            ws.alias("new_start"), F.date_sub(F.to_date("w.end"), 1).alias("new_end")]
+
+
+def rows_without_event_time(rows: DataFrame) -> DataFrame:
+    """One row: how many rows no window can hold."""
+    return rows.agg(F.count_if(F.col(TS).isNull()).alias("rows_without_event_time"))
+
+
 def sliding_kpis_stream(stream: DataFrame, width_days: int, step_days: int, offset_days: int,
                         start_day, watermark: str = "1 day", keys=None,
                         median_accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
@@ -76,10 +117,8 @@ def sliding_kpis_stream(stream: DataFrame, width_days: int, step_days: int, offs
     m = _windowed(stream, watermark, win)
     agg = m.groupBy("w").agg(*partial_aggs(), median_agg(median_accuracy))
     fin = finishers()
-    ws = F.to_date("w.start")
     return agg.select(
-        (F.datediff(ws, F.lit(str(start_day)).cast("date")) / F.lit(step_days)).cast("int").alias("slide"),
-        ws.alias("new_start"), F.date_sub(F.to_date("w.end"), 1).alias("new_end"),
+        *_slide_columns(start_day, step_days),
         *[fin[k].alias(GLOBAL_NAMES[k]) for k in keys])
 
 
@@ -117,20 +156,13 @@ def sliding_active_addresses_stream(stream: DataFrame, width_days: int, step_day
                                     offset_days: int, start_day,
                                     watermark: str = "1 day") -> DataFrame:
     """RW-7 / G9: exact distinct addresses of ``width``-day windows sliding
-    by ``step`` days: each row goes to its ≤ ceil(width/step) windows,
-    (window, address) is de-duplicated in state, then counted per window."""
+    by ``step`` days, closed windows only: each row goes to its ≤
+    ceil(width/step) windows, (window, address) is de-duplicated in state, then
+    counted per window."""
     win = F.window(TS, f"{width_days} days", f"{step_days} days", f"{offset_days} days")
-    rows = stream.withWatermark(TS, watermark).select(
-        win.alias("w"), "input_addresses", "output_addresses")
-    pairs = rows.select("w", F.explode(F.array_union("input_addresses", "output_addresses"))
-                        .alias("adresse"))
-    counts = pairs.dropDuplicates(["w", "adresse"]).groupBy("w").agg(
+    counts = _address_pairs(stream, watermark, win).groupBy("w").agg(
         F.count(F.lit(1)).alias("adresses_actives_global"))
-    ws = F.to_date("w.start")
-    return counts.select(
-        (F.datediff(ws, F.lit(str(start_day)).cast("date")) / F.lit(step_days)).cast("int").alias("slide"),
-        ws.alias("new_start"), F.date_sub(F.to_date("w.end"), 1).alias("new_end"),
-        "adresses_actives_global")
+    return counts.select(*_slide_columns(start_day, step_days), "adresses_actives_global")
 
 
 def run_available_now(df: DataFrame, sink: str, checkpoint: str, mode: str = "append",
@@ -148,15 +180,21 @@ def run_available_now(df: DataFrame, sink: str, checkpoint: str, mode: str = "ap
     return sink
 
 
-def write_live(df: DataFrame, path: str, checkpoint: str, partition_col: str = "jour",
-               state_partitions: int | None = None):
-    """RW-8: update-mode stream into a day-partitioned table.  Each
-    micro-batch holds the current values of the days it changed; only those
-    day partitions are replaced."""
-    def upsert(batch: DataFrame, epoch_id: int) -> None:
-        (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition_col).parquet(path))
+def write_live(df: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None):
+    """RW-8: update-mode stream into a table of changes, one folder a
+    micro-batch (a few rows, one file).  Read it with ``read_live``."""
+    def change(batch: DataFrame, epoch_id: int) -> None:
+        batch.repartition(1).write.mode("overwrite").parquet(f"{path}/epoch={epoch_id}")
 
-    w = (df.writeStream.outputMode("update").foreachBatch(upsert)
+    w = (df.writeStream.outputMode("update").foreachBatch(change)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True))
     return _start(df, w, state_partitions)
+
+
+def read_live(spark: SparkSession, path: str, keys: list, schema=None) -> DataFrame:
+    """The latest values of each window in a ``write_live`` table."""
+    r = spark.read.schema(schema) if schema is not None else spark.read
+    rows = r.parquet(path)
+    cols = [c for c in rows.columns if c != "epoch"]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*cols), "epoch").alias("last"))
+    return last.select("last.*")

@@ -1,11 +1,8 @@
-"""Stream inputs: mapping of ``events`` to transaction rows, and staging of a
-table as an ordered sequence of files for a file-stream source."""
+"""Stream inputs: mapping of ``events`` and raw transactions to stream rows."""
 
 from __future__ import annotations
 
-import datetime as _dt
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.operators.extract import project_window
@@ -46,42 +43,3 @@ def tx_as_stream_rows(raw: DataFrame) -> DataFrame:
     """Raw transactions as flat window rows (the stream carries the window
     table's shape)."""
     return project_window(raw)
-
-
-def stage_chunks(spark: SparkSession, rows: DataFrame, path: str, time_col: str,
-                 edges: list, files_per_chunk: int = 1) -> str:
-    """Write ``rows`` as one file per time chunk ``[edges[i], edges[i+1])``,
-    oldest chunk first.
-
-    A file-stream source takes files in modification-time order; writing
-    chunk by chunk makes that order follow event time, so with
-    ``maxFilesPerTrigger = files_per_chunk`` every micro-batch is one whole
-    chunk and no row arrives behind the watermark because of file order.
-    Each chunk is spread round-robin over ``files_per_chunk`` writer tasks
-    (a chunk needs at least that many rows).  This is test staging: a
-    production stream already lands files or messages in arrival order."""
-    # derive the rows once into a table next to the staging folder; each
-    # chunk is then a filtered read of it (timestamp filter pushed down)
-    whole = path.rstrip("/") + "-rows"
-    rows.write.mode("overwrite").parquet(whole)
-    rows = spark.read.parquet(whole)
-    for i in range(len(edges) - 1):
-        lo, hi = edges[i], edges[i + 1]
-        part = rows.filter((F.col(time_col) >= F.lit(lo).cast("timestamp"))
-                           & (F.col(time_col) < F.lit(hi).cast("timestamp")))
-        part.repartition(files_per_chunk).write.mode("append").parquet(path)
-    return path
-
-
-def week_edges(first_day, n_weeks: int, last_open: bool = True) -> list:
-    """Edges of weekly chunks from ``first_day`` (days 1-7, 8-14, ...); the
-    last chunk is left open-ended when ``last_open``."""
-    d0 = _dt.date.fromisoformat(str(first_day))
-    edges = [_dt.datetime.combine(d0 + _dt.timedelta(days=7 * i), _dt.time()) for i in range(n_weeks)]
-    edges.append(_dt.datetime(9999, 1, 1) if last_open else
-                 _dt.datetime.combine(d0 + _dt.timedelta(days=7 * n_weeks), _dt.time()))
-    return edges
-
-
-def year_edges(first_year: int, last_year: int) -> list:
-    return [_dt.datetime(y, 1, 1) for y in range(first_year, last_year + 2)]
