@@ -30,7 +30,7 @@ from tidewatch.operators import addresses as addr_ops
 from tidewatch.operators import extract as ex
 from tidewatch.operators import kpi as K
 from tidewatch.plans import checks as CK
-from tidewatch.plans import oracle_sql as O
+from oracles import kpi_sql as O
 from tidewatch.plans import slides as SL
 from tidewatch.plans import windows as WN
 from tidewatch.plans.pipeline import (
@@ -42,7 +42,7 @@ from tidewatch.session import configure, default_parallelism, scratch_path
 from tidewatch.sources import load_table as _tbl
 from tidewatch.sources import read_raw, tx, write_raw
 from tidewatch import streaming as ST
-from tidewatch.sources.fixture_sql import with_tx
+from oracles.fixture_sql import with_tx
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 BASE_MONTH = "1995-01-01"   # first month of the fixture (the base window)
