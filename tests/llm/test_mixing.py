@@ -1,0 +1,96 @@
+import math
+
+import pytest
+from helpers import SF0001, awkward, collected, empty
+from pyspark.sql import functions as F
+
+from tidewatch.llm import mixing, queries
+
+SPACE = " \t\n\x0b\x0c\r"
+
+
+def n_words(text):
+    return len((text or "").encode().split())
+
+
+def brute_targets(sizes, share=1.5, cap=2.0, weights=(5, 2, 1)):
+    """By rounds: share out, stop at the cap, share the excess again."""
+    names = sorted(sizes, key=lambda s: (s is None, s))
+    w = {s: weights[i % 3] for i, s in enumerate(names)}
+    target, free, left = dict.fromkeys(names, 0.0), set(names), share * sum(sizes.values())
+    while left > 1e-9 and free:
+        total, over = sum(w[s] for s in free), 0.0
+        for s in list(free):
+            target[s] += left * w[s] / total
+        for s in list(free):
+            if target[s] >= cap * sizes[s] - 1e-9:
+                over += target[s] - cap * sizes[s]
+                target[s] = cap * sizes[s]
+                free.discard(s)
+        left = over
+    return target
+
+
+def check(rows, got):
+    sizes = {}
+    for _, text, source in rows:
+        sizes[source] = sizes.get(source, 0) + n_words(text)
+    target = brute_targets(sizes)
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted(((g["doc_id"], g["size"]) for g in got), key=key) == sorted(((i, n_words(t)) for i, t, _ in rows), key=key)
+    taken = dict.fromkeys(sizes, 0)
+    largest = dict.fromkeys(sizes, 0)
+    for g in got:
+        s = g["source"]
+        assert g["source_size"] == sizes[s] and g["target"] == pytest.approx(target[s], abs=1e-6)
+        assert 0 <= g["taken"] <= 2 * g["size"] and (not g["size"] or g["taken"] % g["size"] == 0)
+        taken[s] += g["taken"]
+        largest[s] = max(largest[s], g["size"])
+    for s in sizes:
+        assert abs(taken[s] - target[s]) <= largest[s] / 2 + 1e-6, s
+
+
+def run(df):
+    return collected(mixing.mix(df))
+
+
+def test_whole_table(spark):
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet")
+    got = run(docs)
+    check([(r["doc_id"], r["text"], r["source"]) for r in docs.collect()], got)
+    again = run(docs.repartition(5))
+    assert [(g["doc_id"], g["taken"], g["positions"]) for g in got] == [(g["doc_id"], g["taken"], g["positions"]) for g in again]
+    first = [g["positions"][0] for g in got if g["positions"]]
+    assert first == sorted(first) and 0 <= first[0] and all(p <= 1 for g in got if g["positions"] for p in g["positions"])
+    query = collected(queries.op9_mixing(spark, SF0001))
+    assert [(q["doc_id"], q["taken"]) for q in query] == [(g["doc_id"], g["taken"]) for g in got]
+
+
+def test_awkward_rows(spark):
+    df = awkward(spark).drop("size", "rank", "slice").withColumn("size", F.lit("x")).withColumn("rank", F.lit(1))
+    check([(r["doc_id"], r["text"], r["source"]) for r in df.collect()], run(df))
+    assert run(empty(spark)) == []
+    assert all(g["taken"] == 0 and g["positions"] is None for g in run(awkward(spark, rows=[(1, None, "a", "a", 1), (2, " ", "a", None, 1)])))
+
+
+def test_one_source_and_a_hot_one(spark):
+    rows = [(i, "w " * (i % 7), "en", "hot" if i % 3 else "s%d" % (i % 11), 1) for i in range(3000)]
+    df = awkward(spark, clash=False, rows=rows)
+    check([(r[0], r[1], r[3]) for r in rows], run(df))
+    one = awkward(spark, clash=False, rows=[r for r in rows if r[3] == "hot"])
+    check([(r[0], r[1], r[3]) for r in rows if r[3] == "hot"], run(one))
+
+
+def test_schedule_is_inverted(spark):
+    """A position is where the integral of the weight has spent the share."""
+    df = spark.range(0, 101).select((F.col("id") / 100).alias("q"))
+    for a, b in mixing.SCHEDULES:
+        t = [(r["q"], r["t"]) for r in df.select("q", mixing._time(F.col("q"), F.lit(a), F.lit(b)).alias("t")).collect()]
+        for q, x in t:
+            assert 0 <= x <= 1 and math.isclose(a * x + (b - a) * x * x / 2, q * (a + b) / 2, abs_tol=1e-9)
+
+
+def test_no_python_on_the_path(spark):
+    df = mixing.mix(spark.read.parquet(f"{SF0001}/documents.parquet"))
+    plan = df._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

@@ -1,0 +1,80 @@
+import numpy as np
+from helpers import SF0001, awkward, awkward_rows, collected, empty, labels_of, prose
+
+from tidewatch.llm import queries, rules
+
+
+def brute(text):
+    text = text or ""
+    words, cur = [], ""
+    for c in text + " ":
+        if c in " \t\n\x0b\x0c\r":
+            if cur:
+                words.append(cur)
+            cur = ""
+        else:
+            cur += c
+    lines, seen, dup = text.split("\n"), set(), 0
+    for line in lines:
+        if line.strip(" \t\x0b\x0c\r"):
+            dup += line in seen
+            seen.add(line)
+    windows = [tuple(words[i:i + 5]) for i in range(len(words) - 4)]
+    marked = {k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(i, i + 5)}
+    n = len(words)
+    return (n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(marked),
+            n < 10 or 100 * len(marked) > 20 * n)
+
+
+def base(r):
+    return tuple(r[c] for c in (*rules.COUNTS, "base_failed"))
+
+
+def test_base_counts_of_the_given_table(spark):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF0001}/documents.parquet").collect()}
+    got = {r["doc_id"]: r for r in collected(queries.op3_quality_rules(spark, SF0001))}
+    assert got.keys() == texts.keys()
+    for i, t in texts.items():
+        if len(t) < 6000:
+            assert base(got[i]) == brute(t), i
+    assert all(r["kept"] == (not r["base_failed"] and r["anomaly"] <= r["threshold"]) for r in got.values())
+
+
+def test_awkward_rows(spark):
+    labels = labels_of(spark, [(6, 1, 0), (9, 1, 0), (None, 1, 0), (4, 1, None), (10, None, 0)])
+    got = collected(rules.judge(awkward(spark), labels))
+    want = [(r[0], *brute(r[1])) for r in awkward_rows() if len(r[1] or "") < 50_000]
+    key = lambda x: (x[0] is None, x[0] or 0, x[1:])
+    assert sorted(((r["doc_id"], *base(r)) for r in got if r["n_words"] < 20_000), key=key) == sorted(want, key=key)
+    assert len(got) == len(awkward_rows())
+    assert all(not r["kept"] for r in got if r["base_failed"])
+    assert rules.judge(empty(spark), labels).count() == 0
+    bare = collected(rules.judge(awkward(spark), labels_of(spark, [])))
+    assert all(r["kept"] == (not r["base_failed"]) for r in bare)
+
+
+def test_odd_texts():
+    for t in ("", "\n\n", "a\n a\na\na ", "a b c d e a b c d e", "x " * 40, "a b c d e f a b c d e g a b c d e", "#*$%&|<> é#\u00a0b", "l\r\nl\r\nl", "q\x0bq\nq\x0bq"):
+        c, _ = rules.counts(t.encode())
+        assert tuple(c) == brute(t)[:5], repr(t)
+
+
+def test_junk_is_found_and_clean_documents_stay(spark):
+    junk = lambda i: " ".join(w.upper() + "$$$" for w in prose(60, i).split())
+    rows = [(i, junk(i) if i % 10 == 0 else prose(60, i), "en", "a", 1) for i in range(1500)]
+    got = {r["doc_id"]: r["kept"] for r in collected(rules.judge(
+        awkward(spark, clash=False, rows=rows), labels_of(spark, [(i, int(i % 10 != 0), 0) for i in range(0, 1500, 2)])))}
+    assert sum(not got[i] for i in range(0, 1500, 10)) >= 148
+    assert sum(not got[i] for i in range(1500) if i % 10) <= 10
+
+
+def test_forest_paths():
+    rng = np.random.default_rng(0)
+    x = np.concatenate([rng.normal(0, 1, (25600, 3)), [[9, 9, 9]]])
+    f = rules.Forest(x[:-1], 100)   # 256 rows a tree
+    x = x[-501:]
+    s = f.scores(x)
+    assert s[-1] > 0.7 > np.quantile(s[:-1], 0.9) and s.min() > 0
+    assert (rules.Forest(np.zeros((0, 3)), 10).scores(x) == 0.5).all()
+    assert len(set(rules.Forest(np.ones((600, 3)), 10).scores(np.ones((4, 3))))) == 1
+    assert rules.mean_path(np.array([1, 2, 256])).round(2).tolist() == [0.0, 1.0, 10.24]

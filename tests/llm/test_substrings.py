@@ -1,0 +1,117 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from helpers import SF0001, awkward, awkward_rows, collected, empty
+from pyspark.sql import functions as F
+
+from tidewatch.llm import queries, substrings, suffix_sort
+
+
+def brute(rows, length=50):
+    """(bytes, removed, spans, rest) by a dictionary of all strings with their smallest id."""
+    raw = [(i, (t or "").encode()) for i, t in rows]
+    order = lambda i: (i is None, i or 0)
+    first = {}
+    for i, b in raw:
+        for k in range(len(b) - length + 1):
+            s = b[k:k + length]
+            if s not in first or order(i) < order(first[s]):
+                first[s] = i
+    out = []
+    for i, b in raw:
+        gone = np.zeros(len(b) + 1, int)
+        for k in range(len(b) - length + 1):
+            if order(first[b[k:k + length]]) < order(i):
+                gone[k:k + length] = 1
+        gone = gone[:len(b)] > 0
+        spans = int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum())
+        out.append((i, len(b), int(gone.sum()), spans, np.frombuffer(b, np.uint8)[~gone].tobytes()))
+    return sorted(out, key=lambda r: (order(r[0]), r))
+
+
+def run(df, **k):
+    return sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in collected(substrings.remove_repeats(df, **k))),
+                  key=lambda r: ((r[0] is None, r[0] or 0), r))
+
+
+def test_query_equals_brute_force(spark, monkeypatch):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF0001}/documents.parquet").collect()]
+    want = brute(rows)
+    got = sorted(collected(queries.op4_repeated_substrings(spark, SF0001)), key=lambda r: r["doc_id"])
+    assert [(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got] == [
+        (*w[:4], hashlib.sha256(w[4]).hexdigest()) for w in want]
+    assert sum(w[2] for w in want) > 10_000
+
+
+def test_small_blocks_and_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "FLUSH", 20_000)   # in this process only; workers keep theirs
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet").select("doc_id", "text")
+    want = brute([(r["doc_id"], r["text"]) for r in docs.collect()])
+    assert run(docs.repartition(9), shards=37) == want
+    assert run(docs.coalesce(1), shards=1) == want
+
+
+def test_awkward_rows(spark):
+    rows = [r for r in awkward_rows() if len(r[1] or "") < 50_000]
+    rows += [(20, "ab" * 200, "", "", 1), (19, "ba" * 40, "", "", 1), (21, "é" * 60, "", "", 1), (22, "x" + "é" * 24 + "y", "", "", 1), (23, "é" * 30 + "z", "", "", 1),
+             (None, "ab" * 30, "", "", 1), (24, "x" * 49, "", "", 1), (25, "x" * 50, "", "", 1), (26, "", "", "", 1)]
+    got = run(awkward(spark, rows=rows), shards=3)
+    assert got == brute([(r[0], r[1]) for r in rows])
+    assert run(empty(spark)) == []
+    assert run(awkward(spark, rows=[(1, None, "", "", 1), (2, "", "", "", 1), (3, "short", "", "", 1)])) == [
+        (1, 0, 0, 0, b""), (2, 0, 0, 0, b""), (3, 5, 0, 0, b"short")]
+
+
+def test_a_passage_in_many_documents(spark):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    passage = text(30)
+    rows = [(i, text(20) + (passage if i % 3 else passage[:70]) + text(rng.randrange(20)), "", "", 1) for i in range(150)]
+    assert run(awkward(spark, clash=False, rows=rows).repartition(5), shards=5) == brute([(r[0], r[1]) for r in rows])
+
+
+@pytest.mark.parametrize("n,symbols,memory", [(40, 2, 1 << 20), (400, 3, 16), (3000, 2, 200), (2500, 1, 64), (4000, 250, 500), (9000, 4, 300)])
+def test_suffix_array(n, symbols, memory):
+    """Queues that spill to disk, recursion, all suffixes against sorting them."""
+    x = np.append(np.random.default_rng(n).integers(1, symbols + 1, n), 0).astype(np.uint16)
+    raw = bytes(x.tolist())
+    assert suffix_sort.suffix_array(x, n + 1, memory).tolist() == sorted(range(n + 1), key=lambda i: raw[i:])
+
+
+def test_suffix_array_with_long_repeats():
+    x = np.array([*([1, 2, 1, 3] * 300), *([5] * 100), *([1, 2, 1, 3] * 300), 0], np.uint16)
+    raw = bytes(x.tolist())
+    assert suffix_sort.suffix_array(x, len(x), 100).tolist() == sorted(range(len(x)), key=lambda i: raw[i:])
+    order = suffix_sort.suffix_array(x, 20, 100)   # a short reach: right by its first symbols
+    cut = [raw[i:i + 20] for i in order]
+    assert cut == sorted(cut)
+
+
+def test_agree():
+    text = np.frombuffer(b"abcdefghijabcdefghizabcdefghij--------", np.uint8)
+    order = np.array([0, 20, 10, 5])
+    assert suffix_sort.agree(text, order, 10).tolist() == [False, True, False, False]
+    assert suffix_sort.agree(text, order, 9).tolist() == [False, True, True, False]
+
+
+def test_stretches_hold_every_string_once():
+    rng = random.Random(1)
+    texts = [bytes(rng.choice(b"abc ") for _ in range(rng.choice([0, 10, 49, 50, 51, 200, 900]))) for _ in range(60)] + [b"le " * 300]
+    s = substrings.Stretches(texts, 50)
+    seen = sorted((d, a - s.first[d] + k) for d, a, n in zip(s.doc.tolist(), s.at.tolist(), s.n.tolist()) for k in range(n))
+    assert seen == [(d, k) for d, t in enumerate(texts) for k in range(len(t) - 49)]
+    anchor = {}
+    for d, a, n, h in zip(s.doc.tolist(), s.at.tolist(), s.n.tolist(), s.anchor.tolist()):
+        for k in range(n):   # equal strings, equal anchors
+            x = s.buf[a + k:a + k + 50].tobytes()
+            assert anchor.setdefault(x, h) == h
+
+
+def test_length_has_a_least(spark):
+    with pytest.raises(ValueError):
+        substrings.remove_repeats(empty(spark), length=20)
+    rows = [(1, "abcdefgh" * 5, "", "", 1), (2, "xx" + "abcdefgh" * 5, "", "", 1)]
+    assert run(awkward(spark, rows=rows).select("doc_id", "text", F.lit(1).alias("row_key")), length=32) == brute([(r[0], r[1]) for r in rows], 32)
