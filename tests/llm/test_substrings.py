@@ -73,28 +73,37 @@ def test_a_passage_in_many_documents(spark):
     assert run(awkward(spark, clash=False, rows=rows).repartition(5), shards=5) == brute([(r[0], r[1]) for r in rows])
 
 
-@pytest.mark.parametrize("n,symbols,memory", [(40, 2, 1 << 20), (400, 3, 16), (3000, 2, 200), (2500, 1, 64), (4000, 250, 500), (9000, 4, 300)])
-def test_suffix_array(n, symbols, memory):
-    """Queues that spill to disk, recursion, all suffixes against sorting them."""
-    x = np.append(np.random.default_rng(n).integers(1, symbols + 1, n), 0).astype(np.uint16)
-    raw = bytes(x.tolist())
-    assert suffix_sort.suffix_array(x, n + 1, memory).tolist() == sorted(range(n + 1), key=lambda i: raw[i:])
+def common(a, b, most):
+    n = 0
+    while n < min(len(a), len(b), most) and a[n] == b[n]:
+        n += 1
+    return n
 
 
-def test_suffix_array_with_long_repeats():
-    x = np.array([*([1, 2, 1, 3] * 300), *([5] * 100), *([1, 2, 1, 3] * 300), 0], np.uint16)
+@pytest.mark.parametrize("reach", [255, 20, 3])
+@pytest.mark.parametrize("n,symbols,memory", [(1, 1, 9), (2, 2, 9), (40, 2, 1 << 20), (400, 3, 16), (3000, 2, 200), (230, 1, 64), (4000, 250, 500), (9000, 4, 300)])
+def test_suffix_array(n, symbols, memory, reach):
+    """Queues that spill to disk, recursion, all suffixes and common prefixes against sorting them."""
+    x = np.append(np.random.default_rng(n).integers(1, symbols + 1, n), 0).astype(np.uint16)
     raw = bytes(x.tolist())
-    assert suffix_sort.suffix_array(x, len(x), 100).tolist() == sorted(range(len(x)), key=lambda i: raw[i:])
-    order = suffix_sort.suffix_array(x, 20, 100)   # a short reach: right by its first symbols
-    cut = [raw[i:i + 20] for i in order]
+    order, prefix = suffix_sort.suffix_array(x, reach, memory)
+    assert sorted(order.tolist()) == list(range(n + 1))
+    cut = [raw[i:i + reach] for i in order]
     assert cut == sorted(cut)
+    if reach == 255:
+        assert order.tolist() == sorted(range(n + 1), key=lambda i: raw[i:])
+    assert prefix.tolist() == [0] + [common(a, b, reach) for a, b in zip(cut, cut[1:])]
 
 
-def test_agree():
-    text = np.frombuffer(b"abcdefghijabcdefghizabcdefghij--------", np.uint8)
-    order = np.array([0, 20, 10, 5])
-    assert suffix_sort.agree(text, order, 10).tolist() == [False, True, False, False]
-    assert suffix_sort.agree(text, order, 9).tolist() == [False, True, True, False]
+def test_suffix_array_with_long_repeats():
+    x = np.array([*([1, 2, 1, 3] * 300), *([5] * 100), *([1, 2, 1, 3] * 300), *([7] * 300), 0], np.uint16)
+    raw = bytes(x.tolist())
+    for reach in (255, 50, 20):
+        order, prefix = suffix_sort.suffix_array(x, reach, 100)
+        cut = [raw[i:i + reach] for i in order]
+        assert cut == sorted(cut)
+        assert prefix.tolist() == [0] + [common(a, b, reach) for a, b in zip(cut, cut[1:])]
+    assert suffix_sort.suffix_array(x, 10**6, 100, carry=False)[0].tolist() == sorted(range(len(x)), key=lambda i: raw[i:])
 
 
 def test_stretches_hold_every_string_once():

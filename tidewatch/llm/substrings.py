@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from tidewatch.llm import shared_files as files
 from tidewatch.llm.common import mix64, prepare, row_key, shuffle_partitions, text_bytes
-from tidewatch.llm.suffix_sort import agree, suffix_array
+from tidewatch.llm.suffix_sort import between, suffix_array
 from tidewatch.session import scratch_path
 
 GRAM = 24
@@ -247,13 +247,13 @@ def repeated(strings: list[bytes], owners: np.ndarray, length: int) -> list[np.n
     x = np.append(text.astype(np.uint16) + 2, 0).astype(np.uint16)
     ends = first + sizes
     x[ends] = 1   # between stretches
-    order = suffix_array(x, length)
+    order, common = suffix_array(x, length)
     of = np.repeat(np.arange(len(strings)), sizes + 1)
     starts = np.zeros(len(x), bool)
     starts[:-1] = np.arange(len(text)) <= np.repeat(first + sizes - length, sizes + 1)
-    order = order[starts[order]].astype(np.int64)
-    same = agree(text, order, length)
-    run = np.flatnonzero(~same)
+    whole = np.flatnonzero(starts[order])   # ranks of the strings; other suffixes stand between them
+    order = order[whole].astype(np.int64)
+    run = np.concatenate([[0], np.flatnonzero(between(common, whole) < length) + 1])
     least = np.minimum.reduceat(owners[of[order]], run)
     found = np.zeros(len(x), np.int64)
     found[order] = np.repeat(least, np.diff(run, append=len(order)))
@@ -364,8 +364,8 @@ def _cut_batches(folder: str, length: int, shards: int, full: frozenset):
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50,
                    shards: int | None = None) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (the bytes left) of every row."""
-    if not GRAM <= length - 8:
-        raise ValueError(f"length must be at least {GRAM + 8}")
+    if not GRAM + 8 <= length <= 255:
+        raise ValueError(f"length must be from {GRAM + 8} to 255")
     spark = docs.sparkSession
     prepare(spark)
     text = F.col(text_col).cast("string")
