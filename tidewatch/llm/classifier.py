@@ -117,7 +117,10 @@ class Model:
         self.prior = float(labels.mean()) if len(labels) else 0.5
 
     def latent(self, counts: np.ndarray) -> np.ndarray:
-        z = weighted(counts, self.idf).astype(np.float32) @ self.projection
+        return self.project(weighted(counts, self.idf).astype(np.float32))
+
+    def project(self, x: np.ndarray) -> np.ndarray:
+        z = x @ self.projection
         norm = np.linalg.norm(z, axis=1, keepdims=True)
         return z / np.where(norm > 0, norm, 1)
 
@@ -137,7 +140,7 @@ class Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-          folds: int = 5, sample: int = 4096, rank: int = 48, neighbours: int = 9) -> Model:
+          folds: int = 5, sample: int = 4096, rank: int = 48, neighbours: int = 5) -> Model:
     """Fit on rows whose ``crc32(id as text) mod folds`` is not 0."""
     prepare(docs.sparkSession)
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -153,15 +156,18 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
               .limit(sample))
     rows = (d.join(F.broadcast(chosen), "doc_id").select("text", "label")   # at most ``sample`` rows
             .mapInArrow(_sparse, "at binary, n binary, label int").orderBy("at", "n", "label").collect())
-    x = np.zeros((len(rows), N_FEATURES), np.float32)
-    for i, r in enumerate(rows):
-        x[i, np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["n"], "<f4")
     y = np.array([r["label"] for r in rows], np.float32)
     if not len(rows):
         return Model(idf, np.zeros((N_FEATURES, 1), np.float32), np.zeros((0, 1), np.float32), y, neighbours)
-    projection = truncated_svd(weighted(x, idf).astype(np.float32), rank)
-    model = Model(idf, projection, None, y, neighbours)
-    model.vectors = np.concatenate([model.latent(x[i:i + 256]) for i in range(0, len(x), 256)])
+    # one matrix of ``sample`` rows, filled in place
+    x = np.zeros((len(rows), N_FEATURES), np.float32)
+    for i in range(0, len(rows), 64):
+        counts = np.zeros((len(rows[i:i + 64]), N_FEATURES), np.float32)
+        for k, r in enumerate(rows[i:i + 64]):
+            counts[k, np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["n"], "<f4")
+        x[i:i + 64] = weighted(counts, idf)
+    model = Model(idf, truncated_svd(x, rank), None, y, neighbours)
+    model.vectors = model.project(x)
     return model
 
 
