@@ -11,15 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm import classifier, mixing, packing, secrets, simhash
-from tidewatch.llm.common import materialise, table
+from tidewatch.llm.common import fresh, materialise, table
 from tidewatch.llm.queries import GOOD_SCORE, tokenizer_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the quality classifier rejects."""
     model = classifier.train(docs, table(spark, sf_dir, "labels"))
-    kept = classifier.with_scores(docs, model, score_col="__score")
-    return kept.where(F.col("__score") >= GOOD_SCORE).select(*docs.columns)
+    score = fresh("score", docs.columns)
+    kept = classifier.with_scores(docs, model, score_col=score)
+    return kept.where(F.col(score) >= GOOD_SCORE).select(*docs.columns)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +41,9 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def clean_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Put a mark in place of every secret; ``n_chars`` follows the text."""
-    found = secrets.with_spans(docs, materialise(secrets.scan(docs), "spans"))
-    spans, text = F.col("secret_spans"), F.col("text")
+    name = fresh("spans", docs.columns)
+    found = secrets.with_spans(docs, materialise(secrets.scan(docs), "spans"), name=name)
+    spans, text = F.col(name), F.col("text")
     out = found.withColumn("text", F.when(spans.isNotNull(), secrets.redacted(text, spans)).otherwise(text))
     if "n_chars" in docs.columns:
         n = F.when(spans.isNotNull(), F.length("text")).otherwise(F.col("n_chars"))
@@ -52,15 +54,14 @@ def clean_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, at the positions of its copies."""
     mixed = mixing.mix(docs, share=1.5, cap=2.0, weights=(5, 2, 1)).where("copies > 0")
-    # rows that repeat each other exactly share a key; pair them up one to one
-    taken = mixed.groupBy("mix_key").agg(F.flatten(F.collect_list("positions")).alias("__positions"),
-                                         F.count("*").alias("__rows"))
-    keyed = docs.withColumn("__key", mixing.mix_key(F.col("doc_id"), F.col("text").cast("string")))
-    rows = keyed.join(taken.withColumnRenamed("mix_key", "__key"), "__key")
-    one = rows.where("__rows = 1")
-    several = rows.where("__rows > 1").dropDuplicates(["__key"])
-    return (one.unionByName(several).withColumn("__position", F.explode("__positions"))
-            .sortWithinPartitions("__position").select(*docs.columns))
+    # rows that repeat each other exactly share a key: one of them stands for all
+    key, positions, position = (fresh(n, docs.columns) for n in ("mix_key", "positions", "position"))
+    taken = mixed.groupBy(F.col("mix_key").alias(key)).agg(
+        F.flatten(F.collect_list("positions")).alias(positions), F.count("*").alias(position))
+    rows = docs.withColumn(key, mixing.mix_key(F.col("doc_id"), F.col("text").cast("string"))).join(taken, key)
+    one, several = rows.where(F.col(position) == 1), rows.where(F.col(position) > 1).dropDuplicates([key])
+    return (one.unionByName(several).withColumn(position, F.explode(positions))
+            .sortWithinPartitions(position).select(*docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

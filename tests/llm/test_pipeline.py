@@ -21,7 +21,7 @@ def rows_of(df):
 def labelled(spark, monkeypatch):
     junk = lambda i: " ".join(w + "***" for w in prose(50, i).split())
     rows = [(i, junk(i) if i % 5 == 0 else prose(50, i) + " end%d" % i, "en", "s%d" % (i % 4), 1) for i in range(200)]
-    rows += [(500, rows[1][1], "en", "s0", 1), (501, rows[1][1] + " more", "en", "s0", 1), (502, prose(50, 99) + " token=abcdef123", "en", "s1", 1)]
+    rows += [(500, rows[1][1], "en", "s0", 1), (501, rows[1][1] + " more", "en", "s0", 1), (502, prose(50, 999) + " token=abcdef123", "en", "s1", 1)]
     labels = labels_of(spark, [(i, int(i % 5 != 0), 0) for i in range(200)])
     monkeypatch.setattr(P, "table", lambda s, d, n: labels if n == "labels" else spark.createDataFrame(rows, SCHEMA))
     return rows

@@ -68,6 +68,14 @@ def remove(df: DataFrame) -> None:
             p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, or a longer one that none of the columns has (in either case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc_mod(id_col: Column, mod: int) -> Column:
     """``crc32(id as text) mod m``; a null id counts as the text ''."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % mod

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tidewatch.llm.common import materialise, row_key
+from tidewatch.llm.common import fresh, materialise, row_key
 
 
 @dataclass(frozen=True)
@@ -146,11 +146,13 @@ def secret_key(doc_id: Column, text: Column) -> Column:
     return row_key(doc_id, F.coalesce(text, F.lit("")))
 
 
-def with_spans(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with a column ``secret_spans`` (null where nothing was found)."""
-    keyed = docs.withColumn("__secret_key", secret_key(F.col(id_col), F.col(text_col).cast("string")))
-    right = found.select(F.col("row_key").alias("__secret_key"), F.col("spans").alias("secret_spans"))
-    return keyed.join(right, "__secret_key", "left").drop("__secret_key")
+def with_spans(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               name: str = "secret_spans") -> DataFrame:
+    """``docs`` with a column ``name`` of spans (null where nothing was found)."""
+    key = fresh("secret_key", docs.columns)
+    keyed = docs.withColumn(key, secret_key(F.col(id_col), F.col(text_col).cast("string")))
+    right = found.select(F.col("row_key").alias(key), F.col("spans").alias(name))
+    return keyed.join(right, key, "left").drop(key)
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
