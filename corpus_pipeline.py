@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import classifier, mixing, packing, secrets, simhash
+from tidewatch.llm import classifier, mixing, packing, secret_scan, simhash
 from tidewatch.llm.common import fresh, materialise, table
 from tidewatch.llm.queries import GOOD_SCORE, tokenizer_path
 
@@ -42,9 +42,9 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def clean_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Put a mark in place of every secret; ``n_chars`` follows the text."""
     name = fresh("spans", docs.columns)
-    found = secrets.with_spans(docs, materialise(secrets.scan(docs), "spans"), name=name)
+    found = secret_scan.with_spans(docs, materialise(secret_scan.scan(docs), "spans"), name=name)
     spans, text = F.col(name), F.col("text")
-    out = found.withColumn("text", F.when(spans.isNotNull(), secrets.redacted(text, spans)).otherwise(text))
+    out = found.withColumn("text", F.when(spans.isNotNull(), secret_scan.redacted(text, spans)).otherwise(text))
     if "n_chars" in docs.columns:
         n = F.when(spans.isNotNull(), F.length("text")).otherwise(F.col("n_chars"))
         out = out.withColumn("n_chars", n.cast(docs.schema["n_chars"].dataType))

@@ -4,14 +4,14 @@ import re
 from helpers import SF0001, awkward, awkward_rows, collected, empty
 from pyspark.sql import functions as F
 
-from tidewatch.llm import queries, secrets
+from tidewatch.llm import queries, secret_scan
 
 BASE = [
     ("assign", re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 1, 6),
     ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 20),
     ("hex", re.compile(r"[0-9a-f]+"), 0, 24),
 ]
-MORE = [(r.kind, re.compile(r.pattern, re.A), 0, 0) for r in secrets.MORE_RULES]
+MORE = [(r.kind, re.compile(r.pattern, re.A), 0, 0) for r in secret_scan.MORE_RULES]
 H40 = "0123456789abcdef0123456789abcdef01234567"
 TEXTS = [
     'password=hunter22 and PassWord : "abcdef"', "token=abc", "token=abcdef", "token:token:abcdefgh", "api_key = 'A-_./+=9'", "APIKEY:123456",
@@ -67,7 +67,7 @@ def test_empty_table(spark, monkeypatch):
 
 
 def test_queries_of_rules():
-    q = {r.kind: r.query() for r in secrets.BASE_RULES}
+    q = {r.kind: r.query() for r in secret_scan.BASE_RULES}
     assert q["hex"] == ()                       # no mandatory trigram: a full scan
     assert q["access"] == (("aki", "kia"),)
     assert ("ecr", "cre", "ret", "sec") != q["assign"][2] and set(q["assign"][2]) == {"sec", "ecr", "cre", "ret"}
@@ -75,17 +75,17 @@ def test_queries_of_rules():
 
 def test_the_index_leaves_out_documents_without_the_trigrams(spark):
     rows = spark.createDataFrame([(1, 1, "to ken oke"), (2, 2, "a token"), (3, 3, "TOKEN"), (4, 4, "akia")], "doc_id long, row_key long, text string")
-    rules = [r for r in secrets.BASE_RULES if r.query()]
-    index = secrets.trigram_index(rows, ["aki", "kia", "tok", "oke", "ken"])
+    rules = [r for r in secret_scan.BASE_RULES if r.query()]
+    index = secret_scan.trigram_index(rows, ["aki", "kia", "tok", "oke", "ken"])
     assert {(r["gram"], r["doc_id"]) for r in index.collect()} == {
         ("ken", 1), ("oke", 1), ("tok", 2), ("oke", 2), ("ken", 2), ("tok", 3), ("oke", 3), ("ken", 3), ("aki", 4), ("kia", 4)}
-    assert {r["doc_id"] for r in secrets.candidates(index, rules).collect()} == {2, 3, 4}
+    assert {r["doc_id"] for r in secret_scan.candidates(index, rules).collect()} == {2, 3, 4}
 
 
 def test_redaction(spark):
     text = f'a token = "{H40}" b {H40} password=zzzzzz'
     df = spark.createDataFrame([(1, text), (2, "clean"), (3, "secret=abcdef"), (4, "")], "doc_id long, text string")
-    found = secrets.with_spans(df, secrets.scan(df))
+    found = secret_scan.with_spans(df, secret_scan.scan(df))
     out = {r["doc_id"]: r["t"] for r in found.select("doc_id", F.when(
-        F.col("secret_spans").isNotNull(), secrets.redacted(F.col("text"), F.col("secret_spans"))).otherwise(F.col("text")).alias("t")).collect()}
+        F.col("secret_spans").isNotNull(), secret_scan.redacted(F.col("text"), F.col("secret_spans"))).otherwise(F.col("text")).alias("t")).collect()}
     assert out == {1: 'a [SECRET]" b [SECRET] [SECRET]', 2: "clean", 3: "[SECRET]", 4: ""}

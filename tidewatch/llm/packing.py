@@ -18,11 +18,12 @@ kept; an empty table gives an empty one.
 
 from __future__ import annotations
 
+import gc
 import json
+import os
 import re
 import zlib
 from functools import lru_cache
-from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -36,26 +37,42 @@ K1, B = 1.2, 0.75
 #: Of a seed's tokens, as many of the rarest ask the index.
 QUERY_TERMS = 24
 #: Words whose ids a Python worker remembers.
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 1_000_000
+
+
+def _byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies write the letters from U+00C0 to U+00FF: a
+    printable byte stands for itself, the others for the characters from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    sign = {b: chr(b) for b in shown}
+    sign |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in sign)}
+    return {c: "".join(sign[b] for b in chr(c).encode()) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7)}
 
 
 class Encoder:
     """Token ids of whole texts, word by word through a cache.
 
     The tokenizer splits at white space before it merges, so a text's ids are
-    those of its words one after the other.  Words of plain letters, digits and
-    punctuation are remembered; unknown ones are encoded many at a time.
-    Everything else goes to the tokenizer as it is.
+    those of its words one after the other.  A word of letters with marks behind
+    it falls into the two (the tokenizer splits there too); unknown runs of
+    letters are encoded many at a time and told apart by the tokens that end a
+    word.  Everything else goes to the tokenizer as it is.
     """
 
-    #: Characters for which lower-casing and normalisation act on each one alone.
-    PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-    LETTERS = re.compile(r"[a-zA-ZÀ-ÖØ-öø-ÿ]+")
+    #: Letters that normalisation and lower-casing change each for itself, then marks; or anything else.
+    WORD = re.compile(r"([a-zA-ZÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)(?: |$)|([^ ]+)(?: |$)")
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # the same model without what runs of letters do not need; only if it gives the same ids
+        self.letters, self.table = Tokenizer(self.tokenizer.model), _byte_letters()
+        self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        probe = [chr(c) * 2 + w for c in [*range(65, 91), *range(97, 123), *self.table] for w in ("", "and", "tion")]
+        if self._letter_ids(probe) != self.tokenizer.encode(" ".join(probe), add_special_tokens=False).ids:
+            self.letters, self.table = self.tokenizer, {}
         spec = json.load(open(path))
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.size = max(vocab.values()) + 1
@@ -65,63 +82,78 @@ class Encoder:
         if end:
             self.word_end[[i for t, i in vocab.items() if t.endswith(end)]] = True
         self.special = [t["content"].encode().lower() for t in spec["added_tokens"]]
+        self.special_start = os.path.commonprefix(self.special)
         self.by_word = bool(end)
         self.cache: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _learn(self, words: list[bytes]) -> None:
-        letters, others = [], []
-        for w in words:
-            (letters if self.LETTERS.fullmatch(w.decode()) else others).append(w)
-        for i in range(0, len(letters), 2000):
-            part = letters[i:i + 2000]
-            ids = np.array(self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids, self.dtype)
-            stops = np.flatnonzero(self.word_end[ids]) + 1
-            if len(stops) != len(part):   # never with this vocabulary; then one at a time
-                others += part
+    def _letter_ids(self, runs: list[str]) -> list[int]:
+        text = " ".join(runs)
+        if self.table:
+            text = text.lower().translate(self.table)
+        return self.letters.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _learn_letters(self, runs: list[str]) -> None:
+        n = self.dtype.itemsize
+        for i in range(0, len(runs), 500):
+            part = runs[i:i + 500]
+            ids = np.array(self._letter_ids(part), self.dtype)
+            stops = (np.flatnonzero(self.word_end[ids]) + 1) * n
+            if len(stops) != len(part):   # not with this vocabulary; then one at a time
+                self.parts.update((w, self._ids(w)) for w in part)
                 continue
-            starts = np.concatenate([[0], stops[:-1]])
-            raw, n = ids.tobytes(), self.dtype.itemsize
-            for w, a, b in zip(part, (starts * n).tolist(), (stops * n).tolist()):
-                self.cache[w] = raw[a:b]
-        for w in others:
-            stem = w.rstrip(b"!,.#$%&*|?;:")
-            if stem != w and stem in self.cache and self.LETTERS.fullmatch(stem.decode()):
-                tail = w[len(stem):]
-                if tail not in self.cache:
-                    self.cache[tail] = self._ids(tail.decode())
-                self.cache[w] = self.cache[stem] + self.cache[tail]
-            else:
-                self.cache[w] = self._ids(w.decode())
+            raw, at = ids.tobytes(), 0
+            for w, stop in zip(part, stops.tolist()):
+                self.parts[w] = raw[at:stop]
+                at = stop
+
+    def _learn(self, words: list[bytes]) -> None:
+        found = self.WORD.findall(b" ".join(words).decode())
+        parts = self.parts
+        self._learn_letters(list({f[0] for f in found}.difference(parts)))
+        for m in {f[1] for f in found}.difference(parts):
+            parts[m] = self._ids(m)
+        for w, (letters, marks, other) in zip(words, found):
+            self.cache[w] = self._ids(other) if other else parts[letters] + parts[marks]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian bytes of ``dtype``."""
-        split, new, cache = [], set(), self.cache
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
+        if len(self.cache) > CACHE_WORDS:
+            self.cache.clear()
+            self.parts = {"": b""}
+        collecting = gc.isenabled()
+        gc.disable()   # many small objects and no cycles
+        try:
+            return self._encode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: list[bytes]) -> list[bytes]:
+        split, new, known = [], set(), self.cache.get
         for t in texts:
             low = t.lower()
-            if not self.by_word or any(s in low for s in self.special):
-                split.append(None)
+            if not self.by_word or self.special_start in low and any(s in low for s in self.special):
+                split.append((t, None, None))
                 continue
             words = low.split()
-            split.append(words)
-            new.update(filterfalse(cache.__contains__, words))
-        plain = [w for w in new if self.PLAIN.fullmatch(w.decode())]
-        # a word with punctuation behind it needs its stem first
-        stems = {w.rstrip(b"!,.#$%&*|?;:") for w in plain} - {b""}
-        self._learn([w for w in stems if w not in cache])
-        self._learn([w for w in plain if w not in cache])
-        for w in new.difference(plain):
-            cache[w] = self._ids(w.decode())
+            ids = list(map(known, words))
+            missing = [i for i, x in enumerate(ids) if x is None] if None in ids else []
+            new.update(map(words.__getitem__, missing))
+            split.append((words, ids, missing))
+        if new:
+            self._learn(list(new))
         out = []
-        for t, words in zip(texts, split):
-            if words is None:
-                out.append(self._ids(t.decode()))
+        for words, ids, missing in split:
+            if ids is None:
+                out.append(self._ids(words.decode()))
                 continue
-            out.append(b"".join(map(cache.__getitem__, words)))
+            for i in missing:
+                ids[i] = self.cache[words[i]]
+            out.append(b"".join(ids))
         return out
 
 
@@ -131,54 +163,63 @@ def encoder(path: str) -> Encoder:
 
 
 def _token_batches(path: str, end_id: int):
+    """Token ids of each row; last a row with ``n = -1`` that holds in how many rows
+    of this task each id occurs."""
     def run(batches):
         enc = encoder(path)
         end = np.array([end_id], enc.dtype).tobytes()
+        names, kinds = ["doc_id", "shard_key", "ids", "n"], None
+        df, place = np.zeros(enc.size, np.int64), np.zeros(enc.size, np.int64)
         for b in batches:
-            ids = [x + end for x in enc.encode(text_bytes(b.column(2)))]
+            rows = [x + end for x in enc.encode(text_bytes(b.column(2)))]
+            for x in rows:
+                ids = np.frombuffer(x, enc.dtype)
+                every = np.arange(len(ids))
+                place[ids] = every
+                df[ids[place[ids] == every]] += 1   # each id where it stands last
+            kinds = b.schema.types[:2]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(rows, pa.binary()),
+                 pa.array([len(x) // enc.dtype.itemsize for x in rows], pa.int64())], names)
+        if kinds:
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(ids, pa.binary()),
-                 pa.array([len(x) // enc.dtype.itemsize for x in ids], pa.int64())],
-                ["doc_id", "shard_key", "ids", "n"])
+                [pa.nulls(1, kinds[0]), pa.nulls(1, kinds[1]), pa.array([df.tobytes()], pa.binary()), pa.array([-1], pa.int64())], names)
     return run
 
 
-def _frequencies(dtype: str, size: int):
-    def run(batches):
-        df = np.zeros(size, np.int64)
-        for b in batches:
-            for x in b.column(0).to_pylist():
-                df[np.unique(np.frombuffer(x, dtype))] += 1
-        at = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], ["term", "df"])
-    return run
+def _frequencies(batches):
+    for b in batches:
+        for x in b.column(0).to_pylist():
+            df = np.frombuffer(x, np.int64)
+            at = np.flatnonzero(df)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], ["term", "df"])
 
 
 class ShardIndex:
     """BM25 over the items of one shard."""
 
     def __init__(self, items: list[np.ndarray], idf: np.ndarray, mean: float):
-        terms, docs, weights = [], [], []
-        for i, ids in enumerate(items):
-            t, tf = np.unique(ids, return_counts=True)
-            terms.append(t)
-            docs.append(np.full(len(t), i))
-            weights.append(idf[t] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean)))
-        t = np.concatenate(terms)
-        order = np.argsort(t, kind="stable")
-        self.docs = np.concatenate(docs)[order]
-        self.weights = np.concatenate(weights)[order]
-        self.at = np.searchsorted(t[order], np.arange(len(idf) + 1))
-        self.terms, self.idf, self.n = terms, idf, len(items)
-        self.ids = None
+        self.items, self.idf, self.n = items, idf, len(items)
+        sizes = np.fromiter(map(len, items), np.int64, self.n)
+        # (term, item) as one number: sorted, its runs are the postings
+        kind = np.uint32 if len(idf) * self.n < 1 << 32 else np.uint64
+        key = np.concatenate(items).astype(kind) * kind(self.n) + np.repeat(np.arange(self.n, dtype=kind), sizes)
+        key.sort()
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        tf = np.diff(first, append=len(key))
+        term, self.docs = np.divmod(key[first], kind(self.n))
+        self.docs = self.docs.astype(np.int64)
+        self.weights = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[self.docs] / mean))
+        self.at = np.searchsorted(term, np.arange(len(idf) + 1))
 
     def neighbours(self, seed: int, unused: np.ndarray, most: int) -> np.ndarray:
         """Unused items by falling score, at most ``most``; unlike ones come last."""
-        t = self.terms[seed]
+        t = np.unique(self.items[seed])
         if len(t) > QUERY_TERMS:
             t = t[np.argpartition(-self.idf[t], QUERY_TERMS)[:QUERY_TERMS]]
-        rows = np.concatenate([np.arange(self.at[x], self.at[x + 1]) for x in t])
-        score = np.bincount(self.docs[rows], self.weights[rows], self.n)
+        spans = list(zip(self.at[t].tolist(), self.at[t.astype(np.int64) + 1].tolist()))
+        score = np.bincount(np.concatenate([self.docs[a:b] for a, b in spans]),
+                            np.concatenate([self.weights[a:b] for a, b in spans]), self.n)
         score = np.where(unused, score, -1.0)
         top = np.argpartition(-score, most)[:most] if most < self.n else np.arange(self.n)
         top = top[unused[top]]
@@ -283,10 +324,11 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     id_type = d.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("shard_key", T.LongType()),
                            T.StructField("ids", T.BinaryType()), T.StructField("n", T.LongType())])
-    tokens = materialise(d.mapInArrow(_token_batches(tokenizer_path, end_id), schema), "tokens")
+    tokens = materialise(d.mapInArrow(_token_batches(tokenizer_path, end_id), schema), "tokens", "snappy")
+    counted, tokens = tokens.where("n < 0"), tokens.where("n > 0")
     rows, total = tokens.agg(F.count("*"), F.sum("n")).first()
     df = np.zeros(size)
-    for term, n in (tokens.select("ids").mapInArrow(_frequencies(dtype, size), "term long, df long")
+    for term, n in (counted.select("ids").mapInArrow(_frequencies, "term long, df long")
                     .groupBy("term").agg(F.sum("df")).collect()):   # at most the vocabulary
         df[term] = n
     rows = rows or 0

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import classifier, kneser_ney, mixing, packing, prefixes, rules, secrets, simhash, substrings, urls
+from tidewatch.llm import classifier, kneser_ney, mixing, packing, prefixes, rules, secret_scan, simhash, substrings, urls
 from tidewatch.llm.common import crc_mod, table
 
 #: File of the tokenizer that packing uses.
@@ -68,9 +68,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secrets.with_spans(docs, secrets.scan(docs))
+    found = secret_scan.with_spans(docs, secret_scan.scan(docs))
     spans = F.coalesce("secret_spans", F.expr("array()").cast("array<struct<start:int,ord:int,end:int,kind:string>>"))
-    base = [r.kind for r in secrets.BASE_RULES]
+    base = [r.kind for r in secret_scan.BASE_RULES]
     listed = lambda a: F.concat_ws(",", F.transform(a, lambda s: F.concat_ws(
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
     count = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
