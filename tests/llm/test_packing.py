@@ -118,3 +118,54 @@ def test_like_documents_share_a_window():
     for d, _, _, s, _ in pieces:
         by_window.setdefault(s, []).append(d % 6)
     assert len(by_window) == 12 and all(len(set(v)) == 1 for v in by_window.values())
+
+
+def topic_rows(n, topics, seed):
+    rng = np.random.default_rng(seed)
+    words = [[f"{chr(97 + t % 26)}{chr(97 + t // 26)}word{w}" for w in range(60)] for t in range(topics)]
+    return [(i, " ".join(rng.choice(words[i % topics], 40)), "en", "a", 1) for i in range(n)]
+
+
+def test_neighbours_over_several_shards(spark):
+    """Of a document's neighbours over the whole table, most are in its shard; a random deal has 1 / shards of them."""
+    rows = topic_rows(1200, 24, 3)
+    got = collected(packing.pack(awkward(spark, clash=False, rows=rows), PATH, shard_rows=100))
+    check([r[:2] for r in rows], got)
+    shard = {g["doc_id"]: g["sequence_id"] >> 32 for g in got}
+    assert len(set(shard.values())) >= 10
+    tok = Tokenizer.from_file(PATH)
+    items = [ids_of(tok, r[1]).astype(np.uint16) for r in rows]
+    df = np.zeros(int(max(x.max() for x in items)) + 1)
+    for x in items:
+        df[np.unique(x)] += 1
+    index = packing.ShardIndex(items, np.log1p((1200 - df + 0.5) / (df + 0.5)), float(np.mean([len(x) for x in items])))
+    recall = []
+    for seed in range(0, 1200, 37):
+        unused = np.ones(1200, bool)
+        unused[seed] = False
+        recall += [shard[i] == shard[seed] for i in index.neighbours(seed, unused, 10).tolist()]
+    assert np.mean(recall) > 0.6
+
+
+def test_copies_of_one_text_are_dealt_out(spark):
+    """A group that no tree can halve does not make one shard."""
+    rows = [(i, "the same text again and again", "en", "a", 1) for i in range(600)] + topic_rows(1200, 24, 4)[600:]
+    got = collected(packing.pack(awkward(spark, clash=False, rows=rows), PATH, shard_rows=50))
+    check([r[:2] for r in rows], got)
+    held = {}
+    for g in got:
+        held.setdefault(g["sequence_id"] >> 32, set()).add(g["doc_id"])
+    assert max(map(len, held.values())) < 150
+
+
+def test_all_terms_of_a_seed_ask():
+    rng = np.random.default_rng(6)
+    items = [rng.choice(5000, 60, replace=False).astype(np.uint16) for _ in range(30)]
+    items.append(items[0].copy())
+    idf = np.ones(6000)
+    index = packing.ShardIndex(items, idf, 60.0)
+    unused = np.ones(31, bool)
+    unused[0] = False
+    k = (packing.K1 + 1) / (1 + packing.K1)
+    score = sum(index.weights[index.at[t]:index.at[t + 1]][index.docs[index.at[t]:index.at[t + 1]] == 30].sum() for t in items[0].astype(int))
+    assert index.neighbours(0, unused, 1).tolist() == [30] and score == pytest.approx(60 * k)

@@ -1,12 +1,20 @@
 """Operator 5: packing by lexical retrieval.
 
-Texts become token ids.  Documents are dealt by a hash into shards of about
-``shard_rows`` rows; a shard has its own BM25 inverted index over token ids,
-with document frequencies and mean length taken over all documents.  Whole
+Texts become token ids.  Like documents are dealt together into shards of about
+``shard_rows`` rows, so that a shard's index finds a seed's neighbours however
+many shards there are: a document's BM25 weights are projected onto ``AXES``
+random signs, a tree grown on a sample of the projections halves them along
+their widest direction, and a leaf is a shard.  A leaf that cannot be halved
+(copies of one text) or holds very long documents is dealt out by a hash into as
+many shards as its rows and tokens need.  Neighbours that the tree parts do not
+meet; a table of one shard is searched as a whole.
+
+A shard has its own BM25 inverted index over token ids, with document
+frequencies and mean length taken over all documents.  Whole
 windows of a long document are sequences of their own.  What is left of each
 document is an item of its shard: the first unused item seeds a window, the
 index returns the unused items most like it, and these fill the window
-greedily.  When no item that fits whole is left among those returned, the best
+greedily; all distinct tokens of the seed ask.  When no item that fits whole is left among those returned, the best
 one is cut to fill the rest and its remainder goes back as an item.  The last
 window of a shard is cut into sequences whose lengths are powers of two, which
 need no padding.
@@ -31,11 +39,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import materialise, prepare, row_key, text_bytes
+from tidewatch.llm.common import materialise, mix64, prepare, row_key, text_bytes
 
 K1, B = 1.2, 0.75
-#: Of a seed's tokens, as many of the rarest ask the index.
-QUERY_TERMS = 24
+#: Distinct tokens of a seed that ask the index: all, whatever the vocabulary.
+QUERY_TERMS = 1 << 32
+#: A token of more than one item in so many has a row of weights for all of the shard.
+COMMON = 8
+#: Dimensions of a document's projection; projections a shard and at most that the tree is grown on.
+AXES, SAMPLE_A_SHARD, SAMPLE = 64, 16, 1 << 17
 #: Words whose ids a Python worker remembers.
 CACHE_WORDS = 1_000_000
 
@@ -168,22 +180,22 @@ def _token_batches(path: str, end_id: int):
     def run(batches):
         enc = encoder(path)
         end = np.array([end_id], enc.dtype).tobytes()
-        names, kinds = ["doc_id", "shard_key", "ids", "n"], None
+        names, kinds = ["doc_id", "shard_key", "place", "ids", "n"], None
         df, place = np.zeros(enc.size, np.int64), np.zeros(enc.size, np.int64)
         for b in batches:
-            rows = [x + end for x in enc.encode(text_bytes(b.column(2)))]
+            rows = [x + end for x in enc.encode(text_bytes(b.column(3)))]
             for x in rows:
                 ids = np.frombuffer(x, enc.dtype)
                 every = np.arange(len(ids))
                 place[ids] = every
                 df[ids[place[ids] == every]] += 1   # each id where it stands last
-            kinds = b.schema.types[:2]
+            kinds = b.schema.types[:3]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(rows, pa.binary()),
+                [*b.columns[:3], pa.array(rows, pa.binary()),
                  pa.array([len(x) // enc.dtype.itemsize for x in rows], pa.int64())], names)
         if kinds:
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, kinds[0]), pa.nulls(1, kinds[1]), pa.array([df.tobytes()], pa.binary()), pa.array([-1], pa.int64())], names)
+                [*[pa.nulls(1, k) for k in kinds], pa.array([df.tobytes()], pa.binary()), pa.array([-1], pa.int64())], names)
     return run
 
 
@@ -195,6 +207,83 @@ def _frequencies(batches):
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], ["term", "df"])
 
 
+@lru_cache(maxsize=2)
+def _signs(size: int) -> np.ndarray:
+    return np.random.default_rng(5).integers(0, 2, (size, AXES)).astype(np.float32) * 2 - 1
+
+
+def project(ids: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """A document's token weights on the random axes, of length 1.  The weights are
+    whole numbers, so that the sums are exact in any order."""
+    t, tf = np.unique(ids, return_counts=True)
+    w = np.rint(8 * idf[t] * tf * (K1 + 1) / (tf + K1)).astype(np.float32)
+    x = (w @ _signs(len(idf))[t]).astype(np.float64)
+    return x / max(np.sqrt((x * x).sum()), 1.0)
+
+
+class Tree:
+    """Leaves of like documents, grown on a sample of projections."""
+
+    def __init__(self):
+        self.axis, self.cut, self.child, self.parts = [], [], [], []
+
+    def grow(self, points: np.ndarray, rows: np.ndarray, tokens: np.ndarray, shard_rows: float, shard_tokens: float) -> int:
+        """Add a tree for points that stand for so many rows and tokens each; its root."""
+        leaves = int(-(-rows.sum() // shard_rows))
+        if leaves > 1:
+            mid = points - points.mean(axis=0)
+            axis = np.linalg.eigh(mid.T @ mid)[1][:, -1]
+            at = (points * axis).sum(axis=1)
+            order = np.argsort(at, kind="stable")
+            below = np.cumsum(rows[order])
+            cut = at[order[min(np.searchsorted(below, below[-1] * (leaves // 2) / leaves, side="right"), len(at) - 1)]]
+            if cut - at.min() < 1e-9:
+                cut = at[at - at.min() > 1e-9].min(initial=np.inf)
+            up = at >= cut
+            if up.any():
+                node = len(self.cut)
+                self.axis.append(axis), self.cut.append(cut), self.child.append(None)
+                self.child[node] = [self.grow(points[k], rows[k], tokens[k], shard_rows, shard_tokens) for k in (~up, up)]
+                return node
+        self.parts.append(max(1, round(rows.sum() / shard_rows), int(-(-tokens.sum() // shard_tokens))))
+        return -len(self.parts)
+
+    def close(self, roots: list[int]) -> Tree:
+        self.roots = np.array(roots)
+        self.axis, self.cut = np.array(self.axis).reshape(-1, AXES), np.array(self.cut)
+        self.child, self.parts = np.array(self.child, np.int64).reshape(-1, 2), np.array(self.parts, np.int64)
+        self.base = np.cumsum(self.parts) - self.parts
+        return self
+
+    def shards(self, points: np.ndarray, turns: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        node = self.roots[turns]
+        while len(go := np.flatnonzero(node >= 0)):
+            at = node[go]
+            node[go] = self.child[at, ((points[go] * self.axis[at]).sum(axis=1) >= self.cut[at]).astype(np.int64)]
+        leaf = -node - 1
+        return self.base[leaf] + (mix64(keys.view(np.uint64)) % self.parts[leaf].astype(np.uint64)).astype(np.int64)
+
+
+def _projections(dtype: str, idf: np.ndarray):
+    def run(batches):
+        for b in batches:
+            x = [project(np.frombuffer(i, dtype), idf).tobytes() for i in b.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(x, pa.binary())], ["turn", "shard_key", "n", "point"])
+    return run
+
+
+def _deal_batches(dtype: str, idf: np.ndarray, tree):
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            points = np.array([project(np.frombuffer(i, dtype), idf) for i in b.column(3).to_pylist()])
+            turns, keys = (b.column(k).to_numpy(zero_copy_only=False) for k in (4, 1))
+            shard = tree.value.shards(points, turns.astype(np.int64), keys)
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(shard)], ["doc_id", "shard_key", "place", "ids", "shard"])
+    return run
+
+
 class ShardIndex:
     """BM25 over the items of one shard."""
 
@@ -211,15 +300,26 @@ class ShardIndex:
         self.docs = self.docs.astype(np.int64)
         self.weights = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[self.docs] / mean))
         self.at = np.searchsorted(term, np.arange(len(idf) + 1))
+        # tokens of many items also have their weights in a row, an item a column
+        common = np.flatnonzero(np.diff(self.at) * COMMON > self.n)
+        self.row = np.full(len(idf), -1)
+        self.row[common] = np.arange(len(common))
+        self.rows = np.zeros((len(common), self.n))
+        held = self.row[term] >= 0
+        self.rows[self.row[term[held]], self.docs[held]] = self.weights[held]
 
     def neighbours(self, seed: int, unused: np.ndarray, most: int) -> np.ndarray:
         """Unused items by falling score, at most ``most``; unlike ones come last."""
         t = np.unique(self.items[seed])
-        if len(t) > QUERY_TERMS:
-            t = t[np.argpartition(-self.idf[t], QUERY_TERMS)[:QUERY_TERMS]]
+        row = self.row[t]
+        t = t[row < 0]
         spans = list(zip(self.at[t].tolist(), self.at[t.astype(np.int64) + 1].tolist()))
-        score = np.bincount(np.concatenate([self.docs[a:b] for a, b in spans]),
-                            np.concatenate([self.weights[a:b] for a, b in spans]), self.n)
+        score = np.zeros(self.n)
+        if spans:
+            score += np.bincount(np.concatenate([self.docs[a:b] for a, b in spans]),
+                                 np.concatenate([self.weights[a:b] for a, b in spans]), self.n)
+        for k in row[row >= 0].tolist():
+            score += self.rows[k]
         score = np.where(unused, score, -1.0)
         top = np.argpartition(-score, most)[:most] if most < self.n else np.arange(self.n)
         top = top[unused[top]]
@@ -299,7 +399,7 @@ def pack_shard(lengths: list[int], ids: list[np.ndarray], idf: np.ndarray, mean:
 
 def _pack_batches(dtype: str, idf: np.ndarray, mean: float, window: int):
     def run(key, table):
-        table = table.sort_by([("doc_id", "ascending"), ("shard_key", "ascending")])
+        table = table.sort_by([("place", "ascending"), ("doc_id", "ascending"), ("shard_key", "ascending")])
         raw = table.column("ids").to_pylist()
         ids = [np.frombuffer(x, dtype) for x in raw]
         p = np.array(pack_shard([len(x) for x in ids], ids, idf, mean, window), np.int64).reshape(-1, 5)
@@ -312,6 +412,23 @@ def _pack_batches(dtype: str, idf: np.ndarray, mean: float, window: int):
     return run
 
 
+def _tree(tokens: DataFrame, dtype: str, idf: np.ndarray, rows: int, total: int, turns: int, shard_rows: int) -> Tree:
+    """A tree for each turn.  Its sample is chosen by a hash of the rows, so a table gives one tree."""
+    shards = -(-rows // shard_rows)
+    tree = Tree()
+    if shards <= turns:
+        return tree.close([tree.grow(np.zeros((1, AXES)), np.ones(1), np.ones(1), 2, 2) for _ in range(turns)])
+    share = min(1.0, min(max(SAMPLE_A_SHARD * shards, 4096), SAMPLE) / rows)
+    picked = (tokens.where(F.pmod(F.xxhash64("shard_key", F.lit(7)), F.lit(1 << 20)) < round(share * (1 << 20)))
+              .select("turn", "shard_key", "n", "ids").mapInArrow(_projections(dtype, idf), "turn long, shard_key long, n long, point binary")
+              .groupBy("turn", "shard_key").agg(F.first("point").alias("point"), F.count("*").alias("rows"), F.sum("n").alias("tokens"))
+              .orderBy("turn", "shard_key").collect())   # at most about SAMPLE rows
+    of = np.array([r["turn"] for r in picked], np.int64)
+    points = np.frombuffer(b"".join(r["point"] for r in picked), np.float64).reshape(-1, AXES)
+    n, long = (np.array([r[c] for r in picked], np.float64) / share for c in ("rows", "tokens"))
+    return tree.close([tree.grow(points[of == k], n[of == k], long[of == k], shard_rows, 3 * shard_rows * total / rows) for k in range(turns)])
+
+
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", window: int = 2048,
          end_id: int = 1, shard_rows: int = 1500) -> DataFrame:
     """One row a piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``."""
@@ -320,9 +437,10 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     enc = encoder(tokenizer_path)
     dtype, size = enc.dtype.str, enc.size
     text = F.col(text_col).cast("string")
-    d = docs.select(F.col(id_col).alias("doc_id"), row_key(F.col(id_col), text).alias("shard_key"), text.alias("text"))
+    d = docs.select(F.col(id_col).alias("doc_id"), row_key(F.col(id_col), text).alias("shard_key"),
+                    F.lit(0).cast("long").alias("place"), text.alias("text"))
     id_type = d.schema["doc_id"].dataType
-    schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("shard_key", T.LongType()),
+    schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("shard_key", T.LongType()), T.StructField("place", T.LongType()),
                            T.StructField("ids", T.BinaryType()), T.StructField("n", T.LongType())])
     tokens = materialise(d.mapInArrow(_token_batches(tokenizer_path, end_id), schema), "tokens", "snappy")
     counted, tokens = tokens.where("n < 0"), tokens.where("n > 0")
@@ -331,10 +449,12 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     for term, n in (counted.select("ids").mapInArrow(_frequencies, "term long, df long")
                     .groupBy("term").agg(F.sum("df")).collect()):   # at most the vocabulary
         df[term] = n
-    rows = rows or 0
+    rows, total = rows or 0, total or 1
     idf = np.log1p((rows - df + 0.5) / (df + 0.5))
-    shards = max(1, -(-rows // shard_rows))
+    tokens = tokens.withColumn("turn", F.lit(0).cast("long"))
+    tree = spark.sparkContext.broadcast(_tree(tokens, dtype, idf, rows, total, 1, shard_rows))
     out = T.StructType([T.StructField("doc_id", id_type)] + [T.StructField(c, T.LongType()) for c in (
         "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
-    return (tokens.select("doc_id", "shard_key", "ids", F.pmod("shard_key", F.lit(shards)).alias("shard"))
-            .groupBy("shard").applyInArrow(_pack_batches(dtype, idf, (total or 1) / max(rows, 1), window), out))
+    dealt = T.StructType([*schema.fields[:4], T.StructField("shard", T.LongType())])
+    return (tokens.select("doc_id", "shard_key", "place", "ids", "turn").mapInArrow(_deal_batches(dtype, idf, tree), dealt)
+            .groupBy("shard").applyInArrow(_pack_batches(dtype, idf, total / max(rows, 1), window), out))
