@@ -124,3 +124,36 @@ def test_length_has_a_least(spark):
         substrings.remove_repeats(empty(spark), length=20)
     rows = [(1, "abcdefgh" * 5, "", "", 1), (2, "xx" + "abcdefgh" * 5, "", "", 1)]
     assert run(awkward(spark, rows=rows).select("doc_id", "text", F.lit(1).alias("row_key")), length=32) == brute([(r[0], r[1]) for r in rows], 32)
+
+
+def passage_rows(n):
+    rng = random.Random(9)
+    own = lambda: "".join(rng.choice("abcdefghij klmnop") for _ in range(150))
+    passage = "the common passage that stands in a third of all rows, with text of their own on both sides of it; " * 2
+    return [(n - i, own() + (passage if i % 3 == 0 else "") + own(), "en", "a", 1) for i in range(n)]
+
+
+def test_hot_anchors_are_dealt_out_by_their_strings(spark):
+    rows = passage_rows(300)
+    df = awkward(spark, rows=rows)
+    want = brute([r[:2] for r in rows])
+    assert run(df.repartition(5), shards=4, hot=20) == want == run(df, shards=4)
+    assert run(df, shards=3, hot=0) == want   # every anchor
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet").select("doc_id", "text")
+    assert run(docs.repartition(4), hot=3) == brute([(r["doc_id"], r["text"]) for r in docs.collect()])
+
+
+def test_no_shard_holds_the_edges_of_a_common_passage(spark):
+    """Strings at the edges of a passage in a third of all rows go to all shards alike."""
+    df = awkward(spark, clash=False, rows=passage_rows(900)).select("doc_id", F.xxhash64("doc_id").alias("row_key"), "text").repartition(4)
+
+    def largest(hot):
+        folder = substrings.scratch_path(spark, "repeats")
+        made = (df.mapInArrow(substrings._anchor_runs(50, 16), "shard long, anchors binary, counts binary").groupBy("shard")
+                .applyInArrow(substrings._keep_anchors(folder, hot), "shard long, n long, hot long").collect())
+        full, often = (frozenset(r["shard"] for r in made if r[c]) for c in ("n", "hot"))
+        sent = df.mapInArrow(substrings._stretch_runs(folder, 50, 16, full, often), substrings._SENT).where("kind <> 1")
+        n = [r[1] for r in sent.groupBy("shard").agg(F.sum(F.octet_length("places"))).collect()]
+        return max(n) / (sum(n) / 16)
+
+    assert largest(40) < 2 < largest(1 << 40)

@@ -17,8 +17,12 @@ texts:
 3. What goes, filed by document in the shared folder, is looked up, and the texts
    are cut.
 
-All strings of an anchor meet in one shard, so nothing is missed; a passage in a
-third of all documents reaches its shard once from each task.
+All strings of an anchor meet in one shard, so nothing is missed.  An anchor of more
+than ``HOT`` stretches is no group of its own: its stretches (those at the edges of
+a common passage run into each document's own text and differ) are dealt out as
+single strings by a hash of the string, of equal ones of a task only those of the
+smallest id.  Equal strings still meet, and a string in a third of all documents
+reaches its shard once from each part of a task.
 
 Cases: null text counts as empty; texts shorter than ``length`` stay; ids are
 integers, a null id counts as larger than all others; rows of one id do not make
@@ -45,6 +49,8 @@ GRAM = 24
 STRETCH = 32
 #: Bytes of text that a task holds at a time, and that a shard is sized for.
 FLUSH, SHARD_BYTES = 4 << 20, 4 << 20
+#: Stretches of an anchor above which they are dealt out by their strings, and how many a task cuts up at a time.
+HOT, CUT_UP = 4096, 4096
 _LAST = np.iinfo(np.int64).max
 _CODE = np.random.default_rng(4242).integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
@@ -142,42 +148,94 @@ def _anchor_runs(length: int, shards: int):
             a, owner = s.anchor[order], owner[order]
             first = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
             several = np.minimum.reduceat(owner, first) != np.maximum.reduceat(owner, first)
+            many = np.minimum(np.diff(first, append=len(a)), 65535).astype(np.uint16)
             a = a[first]
             cut = np.searchsorted(_shard_of(a, shards), np.arange(shards + 1))
             a = (a & ~np.uint64(1)) | several
             full = np.flatnonzero(np.diff(cut))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(full), pa.array([a[cut[k]:cut[k + 1]].tobytes() for k in full], pa.binary())], names=["shard", "anchors"])
+                [pa.array(full), pa.array([a[cut[k]:cut[k + 1]].tobytes() for k in full], pa.binary()),
+                 pa.array([many[cut[k]:cut[k + 1]].tobytes() for k in full], pa.binary())], names=["shard", "anchors", "counts"])
     return run
 
 
-def _keep_anchors(folder: str):
-    """Anchors of several flushes or documents; equal ids in two flushes only cost a look."""
+def _keep_anchors(folder: str, hot: int):
+    """Anchors of several flushes or documents; equal ids in two flushes only cost a look.  Of these, the hot ones."""
     def run(key, table):
-        a = np.sort(np.frombuffer(b"".join(table.column("anchors").to_pylist()), np.uint64))
+        a, counts = _joined(table, "anchors", np.uint64), _joined(table, "counts", np.uint16)
+        order = np.argsort(a)
+        a, counts = a[order], counts[order]
         h = a >> np.uint64(1)
         first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         many = (np.diff(first, append=len(h)) > 1) | ((a[first] & np.uint64(1)) > 0)
         many |= (np.maximum.reduceat(a, first) & np.uint64(1)) > 0
         kept = h[first[many]]
         files.put(folder, f"anchors-{key[0].as_py()}", kept)
-        return pa.table({"shard": [key[0].as_py()], "n": [len(kept)]})
+        often = h[first[many & (np.add.reduceat(counts, first, dtype=np.int64) > hot)]]
+        if len(often):
+            files.put(folder, f"hot-{key[0].as_py()}", often)
+        return pa.table({"shard": [key[0].as_py()], "n": [len(kept)], "hot": [len(often)]})
     return run
 
 
 @lru_cache(maxsize=4)
-def _anchors(folder: str, shards: frozenset) -> dict[int, np.ndarray]:
-    return {s: files.mapped(folder, f"anchors-{s}", np.uint64) for s in shards}
+def _anchors(folder: str, shards: frozenset, name: str = "anchors") -> dict[int, np.ndarray]:
+    return {s: files.mapped(folder, f"{name}-{s}", np.uint64) for s in shards}
+
+
+def _listed(anchors: np.ndarray, cut: np.ndarray, lists: dict[int, np.ndarray]) -> np.ndarray:
+    """Which of the sorted anchors are in the list of their shard; ``cut`` is where shards begin."""
+    found = np.zeros(len(anchors), bool)
+    for k, own in lists.items():
+        if len(own) and cut[k + 1] > cut[k]:
+            h = anchors[cut[k]:cut[k + 1]] >> np.uint64(1)
+            found[cut[k]:cut[k + 1]] = own[np.minimum(np.searchsorted(own, h), len(own) - 1)] == h
+    return found
+
+
+def _single_strings(s: Stretches, pick: np.ndarray, owner: np.ndarray, row: np.ndarray, length: int, shards: int):
+    """The strings of some stretches for the shard of the string (kind 2); those of larger ids, by document (kind 1)."""
+    grams = _gram_hashes(s.buf)
+    windows = np.lib.stride_tricks.sliding_window_view(s.buf, length)
+    for i in range(0, len(pick), CUT_UP):
+        p = pick[i:i + CUT_UP]
+        n = s.n[p]
+        at = np.repeat(s.at[p] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        doc = np.repeat(s.doc[p], n)
+        own, key, place = owner[doc], row[doc], at - s.first[doc]
+        data = np.ascontiguousarray(windows[at]).view(f"S{length}").ravel()
+        later = own > _least_of_equal(data, own)
+        if later.any():
+            yield from _filed(key[later], place[later], np.ones(later.sum(), np.uint32), shards)
+        go = np.flatnonzero(~later)
+        h = np.zeros(len(go), np.uint64)
+        for k in {*range(0, length - GRAM, GRAM), length - GRAM}:
+            h = mix64(h ^ grams[at[go] + k])
+        to = _shard_of(h, shards)
+        order = np.argsort(to, kind="stable")
+        go, cut = go[order], np.searchsorted(to[order], np.arange(shards + 1))
+        rows = [(2, k, own[go[a:b]].tobytes(), key[go[a:b]].tobytes(), place[go[a:b]].astype(np.uint32).tobytes(), b"", data[go[a:b]].tobytes())
+                for k, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if b > a]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _SENT_TYPES)], names=_SENT_NAMES)
+
+
+def _least_of_equal(data: np.ndarray, owners: np.ndarray) -> np.ndarray:
+    """For each string, the smallest owner of its equals."""
+    distinct, back = np.unique(data, return_inverse=True)
+    least = np.full(len(distinct), _LAST)
+    np.minimum.at(least, back, owners)
+    return least[back]
 
 
 _SENT = "kind int, shard long, owners binary, keys binary, places binary, strings binary, bytes binary"
 _SENT_NAMES = ["kind", "shard", "owners", "keys", "places", "strings", "bytes"]
 
 
-def _stretch_runs(folder: str, length: int, shards: int, full: frozenset):
-    """Stretches for their shard (kind 0); what a task found by itself, by document (kind 1)."""
+def _stretch_runs(folder: str, length: int, shards: int, full: frozenset, hot: frozenset):
+    """Stretches for their shard (kind 0); what a task found by itself, by document (kind 1);
+    strings of hot anchors for theirs (kind 2)."""
     def run(batches):
-        kept = _anchors(folder, full)
+        kept, often = _anchors(folder, full), _anchors(folder, hot, "hot")
         for held, texts in _flushes(batches, 2):
             s = Stretches(texts, length)
             if not len(s.at):
@@ -185,12 +243,8 @@ def _stretch_runs(folder: str, length: int, shards: int, full: frozenset):
             owner, row = _column(held, 0, _LAST), _column(held, 1, 0).view(np.uint64)
             anchors, back = np.unique(s.anchor, return_inverse=True)
             shard = _shard_of(anchors, shards)
-            known = np.zeros(len(anchors), bool)
             cut = np.searchsorted(shard, np.arange(shards + 1))
-            for k, own in kept.items():
-                if len(own) and cut[k + 1] > cut[k]:
-                    h = anchors[cut[k]:cut[k + 1]] >> np.uint64(1)
-                    known[cut[k]:cut[k + 1]] = own[np.minimum(np.searchsorted(own, h), len(own) - 1)] == h
+            known, single = _listed(anchors, cut, kept), _listed(anchors, cut, often)[back]
             pick = np.flatnonzero(known[back])
             if not len(pick):
                 continue
@@ -210,7 +264,10 @@ def _stretch_runs(folder: str, length: int, shards: int, full: frozenset):
             here = np.flatnonzero(later)
             if len(here):
                 yield from _filed(row[doc[here]], place[here], np.array(_ALL, np.uint32)[n[here]], shards)
-            go = np.flatnonzero(~later)
+            alone = single[pick] & ~later
+            if alone.any():
+                yield from _single_strings(s, pick[alone], owner, row, length, shards)
+            go = np.flatnonzero(~later & ~alone)
             cut = np.searchsorted(to[go], np.arange(shards + 1))
             rows = [(0, k, own[go[a:b]].tobytes(), row[doc[go[a:b]]].tobytes(), place[go[a:b]].astype(np.uint32).tobytes(),
                      n[go[a:b]].astype(np.uint8).tobytes(), b"".join([data[i] for i in go[a:b].tolist()]))
@@ -284,6 +341,11 @@ def _sort_shard(length: int, shards: int):
         kind = table.column("kind").to_pylist()
         if kind[0] == 1:   # kinds do not share a group
             return table
+        if kind[0] == 2:
+            owners, data = _joined(table, "owners", np.int64), _joined(table, "bytes", f"S{length}")
+            hit = np.flatnonzero(owners > _least_of_equal(data, owners))
+            found = _filed(_joined(table, "keys", np.uint64)[hit], _joined(table, "places", np.uint32)[hit], np.ones(len(hit), np.uint32), shards)
+            return pa.Table.from_batches(list(found) if len(hit) else [], schema=pa.schema(list(zip(_SENT_NAMES, _SENT_TYPES))))
         owners, rows = _joined(table, "owners", np.int64), _joined(table, "keys", np.uint64)
         places, n = _joined(table, "places", np.uint32), _joined(table, "strings", np.uint8).astype(np.int64)
         raw = b"".join(table.column("bytes").to_pylist())
@@ -362,7 +424,7 @@ def _cut_batches(folder: str, length: int, shards: int, full: frozenset):
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50,
-                   shards: int | None = None) -> DataFrame:
+                   shards: int | None = None, hot: int = HOT) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (the bytes left) of every row."""
     if not GRAM + 8 <= length <= 255:
         raise ValueError(f"length must be from {GRAM + 8} to 255")
@@ -374,10 +436,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         shards = max(shuffle_partitions(spark), -(-size // SHARD_BYTES))
     folder = scratch_path(spark, "repeats")
-    made = (d.mapInArrow(_anchor_runs(length, shards), "shard long, anchors binary").groupBy("shard")
-            .applyInArrow(_keep_anchors(folder), "shard long, n long").collect())   # a row a shard
+    made = (d.mapInArrow(_anchor_runs(length, shards), "shard long, anchors binary, counts binary").groupBy("shard")
+            .applyInArrow(_keep_anchors(folder, hot), "shard long, n long, hot long").collect())   # a row a shard
     anchors = frozenset(r["shard"] for r in made if r["n"])
-    sent = d.mapInArrow(_stretch_runs(folder, length, shards, anchors), _SENT)
+    often = frozenset(r["shard"] for r in made if r["hot"])
+    sent = d.mapInArrow(_stretch_runs(folder, length, shards, anchors, often), _SENT)
     marked = sent.groupBy("kind", "shard").applyInArrow(_sort_shard(length, shards), _SENT)
     made = marked.groupBy("shard").applyInArrow(_file_documents(folder), "shard long, n long").collect()   # a row a shard
     full = frozenset(r["shard"] for r in made)
