@@ -52,7 +52,7 @@ def clean_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, at the positions of its copies."""
+    """Each document as often as the mix takes it, all rows sorted by the positions of the copies."""
     mixed = mixing.mix(docs, share=1.5, cap=2.0, weights=(5, 2, 1)).where("copies > 0")
     # rows that repeat each other exactly share a key: one of them stands for all
     key, positions, position = (fresh(n, docs.columns) for n in ("mix_key", "positions", "position"))
@@ -61,11 +61,31 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = docs.withColumn(key, mixing.mix_key(F.col("doc_id"), F.col("text").cast("string"))).join(taken, key)
     one, several = rows.where(F.col(position) == 1), rows.where(F.col(position) > 1).dropDuplicates([key])
     return (one.unionByName(several).withColumn(position, F.explode(positions))
-            .sortWithinPartitions(position).select(*docs.columns))
+            .orderBy(position, key).select(*docs.columns))
+
+
+def placed(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with each row's place in its table: files by name, rows as they stand in a file.
+
+    Spark reads files in any order; a sorted table's order is that of its files.
+    """
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        docs = materialise(docs, "ordered")
+    rows = docs.select(*docs.columns, F.col("_metadata.file_path").alias(f"{name}_file"), F.col("_metadata.row_index").alias(f"{name}_row"))
+    sizes = rows.groupBy(f"{name}_file").agg((F.max(f"{name}_row") + 1).alias("n")).collect()   # a row a file
+    before, first = 0, []
+    for file, n in sorted(tuple(r) for r in sizes):
+        first.append((file, before))
+        before += n
+    first = docs.sparkSession.createDataFrame(first, f"{name}_file string, {name}_first long")
+    return rows.join(F.broadcast(first), f"{name}_file").select(
+        *docs.columns, (F.col(f"{name}_first") + F.col(f"{name}_row")).alias(name))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, tokenizer_path(), window=2048, end_id=1)
+    """Sequences in the order of the mixed table."""
+    place = fresh("place", docs.columns)
+    return packing.pack(placed(docs, place), tokenizer_path(), window=2048, end_id=1, order_col=place)
 
 
 STAGES = [

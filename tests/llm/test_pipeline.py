@@ -115,3 +115,28 @@ def test_queries_have_their_columns(spark):
         assert list(types)[:1] == columns.split()[:1] and set(columns.split()) <= set(types), name
         assert all(types[c] == "bigint" for c in columns.split() if c in longs), (name, types)
 
+
+
+def test_positions_rise_through_the_mixed_table_and_its_packing(spark):
+    """The curriculum's order is that of the written files, and packing keeps it."""
+    docs = spark.createDataFrame([(i, prose(30 + i % 7, i), "en", "s%d" % (i % 3), 1) for i in range(300)], SCHEMA)
+    want = sorted((t, r["mix_key"], r["doc_id"]) for r in P.mixing.mix(docs).where("copies > 0").collect() for t in r["positions"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")   # several files
+    try:
+        stored = materialise(P.mix(spark, docs, ""), "mixed")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(stored.inputFiles()) > 3
+    rows = sorted(P.placed(stored, "place").collect(), key=lambda r: r["place"])
+    assert [r["place"] for r in rows] == list(range(len(want)))
+    assert [r["doc_id"] for r in rows] == [i for _, _, i in want]
+    own = stored.select("*", "_metadata.file_name", "_metadata.row_index").collect()
+    assert [r["doc_id"] for r in sorted(own, key=lambda r: (r["file_name"], r["row_index"]))] == [i for _, _, i in want]
+    # ids of rows, to follow each copy
+    each = spark.createDataFrame([(r["place"], r["text"], r["place"]) for r in rows], "doc_id long, text string, place long")
+    shards = {}
+    for r in P.packing.pack(each, queries.tokenizer_path(), shard_rows=20, order_col="place", turns=4).collect():
+        shards.setdefault(r["sequence_id"] >> 32, set()).add(r["doc_id"])
+    turn = [{4 * i // len(rows) for i in shards[s]} for s in sorted(shards)]
+    assert len(shards) >= 12 and all(len(t) == 1 for t in turn)
+    assert [min(t) for t in turn] == sorted(min(t) for t in turn) and {min(t) for t in turn} == {0, 1, 2, 3}

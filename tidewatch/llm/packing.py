@@ -19,6 +19,11 @@ one is cut to fill the rest and its remainder goes back as an item.  The last
 window of a shard is cut into sequences whose lengths are powers of two, which
 need no padding.
 
+Documents that come in an order of training are first cut into turns, ranges of
+that order: a turn has shards and a tree of its own, a shard's seeds are taken in
+the order, and sequence ids rise from turn to turn.  Neighbours are those of the
+same turn.
+
 Cases: null text counts as empty; every document ends with ``end_id``, so an
 empty one is one token; repeated rows are documents of their own; null ids are
 kept; an empty table gives an empty one.
@@ -430,29 +435,33 @@ def _tree(tokens: DataFrame, dtype: str, idf: np.ndarray, rows: int, total: int,
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", window: int = 2048,
-         end_id: int = 1, shard_rows: int = 1500) -> DataFrame:
-    """One row a piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``."""
+         end_id: int = 1, shard_rows: int = 1500, order_col: str | None = None, turns: int = 16) -> DataFrame:
+    """One row a piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
+
+    With ``order_col`` (places from 0 on) sequences follow that order, see above.
+    """
     spark = docs.sparkSession
     prepare(spark)
     enc = encoder(tokenizer_path)
     dtype, size = enc.dtype.str, enc.size
     text = F.col(text_col).cast("string")
     d = docs.select(F.col(id_col).alias("doc_id"), row_key(F.col(id_col), text).alias("shard_key"),
-                    F.lit(0).cast("long").alias("place"), text.alias("text"))
+                    (F.lit(0) if order_col is None else F.coalesce(F.col(order_col), F.lit(0))).cast("long").alias("place"), text.alias("text"))
     id_type = d.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("shard_key", T.LongType()), T.StructField("place", T.LongType()),
                            T.StructField("ids", T.BinaryType()), T.StructField("n", T.LongType())])
     tokens = materialise(d.mapInArrow(_token_batches(tokenizer_path, end_id), schema), "tokens", "snappy")
     counted, tokens = tokens.where("n < 0"), tokens.where("n > 0")
-    rows, total = tokens.agg(F.count("*"), F.sum("n")).first()
+    rows, total, last = tokens.agg(F.count("*"), F.sum("n"), F.max("place")).first()
     df = np.zeros(size)
     for term, n in (counted.select("ids").mapInArrow(_frequencies, "term long, df long")
                     .groupBy("term").agg(F.sum("df")).collect()):   # at most the vocabulary
         df[term] = n
     rows, total = rows or 0, total or 1
     idf = np.log1p((rows - df + 0.5) / (df + 0.5))
-    tokens = tokens.withColumn("turn", F.lit(0).cast("long"))
-    tree = spark.sparkContext.broadcast(_tree(tokens, dtype, idf, rows, total, 1, shard_rows))
+    turns = 1 if order_col is None else max(1, min(turns, -(-rows // shard_rows)))
+    tokens = tokens.withColumn("turn", F.floor(F.col("place") * F.lit(turns) / F.lit((last or 0) + 1)).cast("long"))
+    tree = spark.sparkContext.broadcast(_tree(tokens, dtype, idf, rows, total, turns, shard_rows))
     out = T.StructType([T.StructField("doc_id", id_type)] + [T.StructField(c, T.LongType()) for c in (
         "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
     dealt = T.StructType([*schema.fields[:4], T.StructField("shard", T.LongType())])
