@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import classifier, kneser_ney, mixing, packing, prefixes, rules, secret_scan, simhash, substrings, urls
+from tidewatch.llm import centroids, classifier, kneser_ney, mixing, packing, prefixes, rules, secret_scan, simhash, substrings, urls
 from tidewatch.llm.common import crc_mod, table
 
 #: File of the tokenizer that packing uses.
@@ -80,6 +80,13 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         listed(spans).alias("spans"))
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, size=64, scale=1024, seed=3)
+    listed = F.concat_ws(",", F.col("centroid").cast("array<string>"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                        F.sha2(listed.cast("binary"), 256).alias("centroid_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_lm_scoring": op2_lm_scoring,
@@ -91,5 +98,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_mixing": op9_mixing,
     "op10_secret_scan": op10_secret_scan,
+    "op12_centroids": op12_centroids,
 }
-ORACLE_SQL: dict[str, str] = {"op7_url_filters": urls.oracle_sql()}
+ORACLE_SQL: dict[str, str] = {"op7_url_filters": urls.oracle_sql(), "op12_centroids": centroids.oracle_sql()}
