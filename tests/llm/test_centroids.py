@@ -86,6 +86,6 @@ def test_a_component_beyond_exact_distances_is_an_error(spark):
 def test_one_cluster_with_all_rows_sends_one_row_a_task(spark):
     """The sums of a round are partial before they are shuffled, and no Python runs."""
     df = centroids.integer_vectors(spark.read.parquet(f"{SF0001}/embeddings.parquet"), "vec_id", "embedding", 64, 1024)
-    sums = df.select(centroids.nearest(F.col("v"), [(0,) * 64, (5,) * 64])["number"].alias("n"), "v").groupBy("n").agg(F.sum(F.get("v", F.lit(0))))
+    sums = df.select(centroids.nearest([(0,) * 64, (5,) * 64])["number"].alias("n"), "v").groupBy("n").agg(F.sum(F.get("v", F.lit(0))))
     plan = sums._jdf.queryExecution().toString()
     assert "partial_sum" in plan and "Python" not in plan and "Arrow" not in plan

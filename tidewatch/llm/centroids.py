@@ -53,27 +53,26 @@ def start(vectors: DataFrame, k: int, seed: int) -> Centroids:
     return [tuple(r["v"]) for r in first]
 
 
-def _array(values) -> Column:
-    return F.expr("array(" + ",".join(f"{v}L" if v > -2**63 else f"({v + 1}L-1L)" for v in values) + ")")
+def _array(values) -> str:
+    return "array(" + ",".join(f"{v}L" for v in values) + ")"
 
 
-def nearest(v: Column, centroids: Centroids) -> Column:
+def nearest(centroids: Centroids, vector: str = "v") -> Column:
     """``struct(distance, number)`` of the nearest centroid."""
-    zero = F.lit(0).cast("bigint")
-    apart = lambda a, b: (a - b) * (a - b)
-    return F.array_min(F.array(*[
-        F.struct(F.aggregate(F.zip_with(v, _array(c), apart), zero, lambda s, d: s + d).alias("distance"),
-                 F.lit(i).alias("number")) for i, c in enumerate(centroids)]))
+    apart = "zip_with({v}, {c}, (a, b) -> (a - b) * (a - b))"
+    each = [f"named_struct('distance', aggregate({apart.format(v=vector, c=_array(c))}, 0L, (s, d) -> s + d), 'number', {i})"
+            for i, c in enumerate(centroids)]
+    return F.expr(f"array_min(array({','.join(each)}))")
 
 
 def moved(vectors: DataFrame, centroids: Centroids) -> Centroids:
     """The centroids after one round."""
     size = len(centroids[0])
-    sums = (vectors.select(nearest(F.col("v"), centroids)["number"].alias("number"), "v").groupBy("number")
-            .agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.get("v", F.lit(i))).alias(f"s{i}") for i in range(size)]).collect())
+    sums = (vectors.select(nearest(centroids)["number"].alias("number"), "v").groupBy("number")
+            .agg(F.count(F.lit(1)).alias("n"), *[F.expr(f"sum(v[{i}])") for i in range(size)]).collect())
     after = list(centroids)
     for r in sums:   # one row a centroid
-        after[r["number"]] = tuple(r[f"s{i}"] // r["n"] for i in range(size))
+        after[r["number"]] = tuple(r[2 + i] // r["n"] for i in range(size))
     return after
 
 
@@ -87,13 +86,13 @@ def cluster(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
             "distance", "cluster_inertia", "inertia")], F.col("v").alias("centroid"))
     for _ in range(rounds):
         centroids = moved(vectors, centroids)
-    near = vectors.select("vec_id", nearest(F.col("v"), centroids).alias("near")).select(
+    near = vectors.select("vec_id", nearest(centroids).alias("near")).select(
         "vec_id", F.col("near.number").alias("cluster"), F.col("near.distance").alias("distance"))
     sums = {r["cluster"]: r["s"] for r in near.groupBy("cluster").agg(F.sum("distance").alias("s")).collect()}
     each = [sums.get(i, 0) for i in range(len(centroids))]
-    return near.select("vec_id", "cluster", "distance", F.get(_array(each), F.col("cluster")).alias("cluster_inertia"),
+    return near.select("vec_id", "cluster", "distance", F.expr(_array(each))[F.col("cluster")].alias("cluster_inertia"),
                        F.lit(sum(each)).cast("bigint").alias("inertia"),
-                       F.get(F.array(*map(_array, centroids)), F.col("cluster")).alias("centroid"))
+                       F.expr(f"array({','.join(map(_array, centroids))})")[F.col("cluster")].alias("centroid"))
 
 
 def oracle_sql(k: int = 8, rounds: int = 10, size: int = 64, scale: int = 1024, seed: int = 3) -> str:
