@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import centroids, classifier, kneser_ney, mixing, packing, prefixes, rules, secret_scan, simhash, substrings, urls
+from tidewatch.llm import centroids, classifier, kneser_ney, manifest, mixing, packing, prefixes, rules, secret_scan, simhash, substrings, urls
 from tidewatch.llm.common import crc_mod, table
 
 #: File of the tokenizer that packing uses.
@@ -87,6 +87,11 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(listed.cast("binary"), 256).alias("centroid_sha256"))
 
 
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(table(spark, sf_dir, "documents"), tampered=crc_mod(F.col("doc_id"), 3) == 0,
+                             audited={"text": manifest.lowered(F.col("text"))})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_lm_scoring": op2_lm_scoring,
@@ -99,5 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_secret_scan": op10_secret_scan,
     "op12_centroids": op12_centroids,
+    "op13_manifest": op13_manifest,
 }
-ORACLE_SQL: dict[str, str] = {"op7_url_filters": urls.oracle_sql(), "op12_centroids": centroids.oracle_sql()}
+ORACLE_SQL: dict[str, str] = {"op7_url_filters": urls.oracle_sql(), "op12_centroids": centroids.oracle_sql(),
+                              "op13_manifest": manifest.oracle_sql()}
