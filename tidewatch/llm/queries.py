@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import centroids, classifier, kneser_ney, manifest, mixing, packing, prefixes, rules, secret_scan, simhash, substrings, urls
+from tidewatch.llm import (
+    centroids, classifier, kneser_ney, manifest, mixing, packing, page_text, prefixes, rules, secret_scan, simhash, substrings, urls,
+)
 from tidewatch.llm.common import crc_mod, table
 
 #: File of the tokenizer that packing uses.
@@ -80,6 +82,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         listed(spans).alias("spans"))
 
 
+def op11_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(table(spark, sf_dir, "pages"), min_pages=3)
+
+
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = centroids.cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, size=64, scale=1024, seed=3)
     listed = F.concat_ws(",", F.col("centroid").cast("array<string>"))
@@ -103,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_mixing": op9_mixing,
     "op10_secret_scan": op10_secret_scan,
+    "op11_page_text": op11_page_text,
     "op12_centroids": op12_centroids,
     "op13_manifest": op13_manifest,
 }
