@@ -33,6 +33,8 @@ from tidewatch.plans import checks as CK
 from oracles import kpi_sql as O
 from tidewatch.plans import slides as SL
 from tidewatch.plans import windows as WN
+from tidewatch.plans.address_bitmaps import AddressBitmaps
+from tidewatch.plans.incremental import IncrementalPipeline
 from tidewatch.plans.pipeline import (
     Pipeline, read_kpi_daily, write_kpi_daily, write_kpi_global, write_window_table,
 )
@@ -447,6 +449,68 @@ def q_check_window_advanced(spark, d):
     return _flags(CK.check_window_advanced(p.state.history(), STEP), "advanced_ok")
 
 
+# -- many slides by runs and bitmaps, commits, rebuilds of what changed -----------
+
+def q_active_addresses_slides_sweep(spark, d):
+    """RW-3 / G9: every slide's distinct addresses from the runs of slides of each address."""
+    raw = _tx(spark, d)
+    st = _state(raw)
+    w = SL.slides_window(raw, st, None, STEP)
+    n = WN.slides_until(w, st, STEP, ts_col="horodatage_bloc")
+    counts = SL.active_addresses_slides(SL.address_days(w), *WN.state_bounds(st), STEP, n)
+    return WN.window_list(st, n, STEP).join(counts, "slide", "left").select(
+        "slide", F.coalesce("n_addr", F.lit(0).cast("bigint")).alias("adresses_actives_global"))
+
+
+def q_active_addresses_bitmap(spark, d):
+    """AG-11, AG-12: the whole table in two appends; every day, then every slide."""
+    raw = _tx(spark, d)
+    window, st = ex.project_window(raw), _state(raw)
+    bitmaps = AddressBitmaps(spark)
+    early = F.col("horodatage_bloc") < F.lit("1996-07-01").cast("timestamp")
+    bitmaps.append(window.where(early))
+    bitmaps.append(window.where(~early))
+    n = WN.slides_until(raw, st, STEP)
+    slides = WN.window_list(st, n, STEP).join(bitmaps.slides(*WN.state_bounds(st), STEP, n), "slide", "left")
+    days = bitmaps.daily().select(F.lit("jour").alias("periode"), "jour", F.lit(None).cast("int").alias("slide"),
+                                  F.col("n_addr").alias("adresses_actives"))
+    return days.unionByName(slides.select(
+        F.lit("slide").alias("periode"), F.lit(None).cast("date").alias("jour"), "slide",
+        F.coalesce("n_addr", F.lit(0).cast("bigint")).alias("adresses_actives")))
+
+
+def q_state_commit_log(spark, d):
+    """SNK-5: which commit added which version; a late writer of version 1 adds none."""
+    store = StateStore(spark, scratch_path(spark, "state"))
+    store.init(_tx(spark, d), BASE_MONTH)
+    stale = WN.advance_state(store.read(), STEP)
+    store.advance(STEP)
+    try:
+        store.commit(stale)
+    except FileExistsError:
+        pass
+    store.advance(STEP, 2)
+    return store.commits()
+
+
+def q_window_incremental(spark, d):
+    """RW-2: a table that gets half of the rows of some days later.  Setup and a slide
+    see the first part; then the rest arrives, and the daily KPIs of the next slide, and
+    of the same window looked at again, are those of the whole table."""
+    path = scratch_path(spark, "raw")
+    raw = _tx(spark, d)
+    late = F.dayofmonth("block_timestamp").between(8, 24) & (F.col("block_number") % 2 == 1)
+    write_raw(raw.where(~late), path)
+    p = IncrementalPipeline(spark, path)
+    p.setup(BASE_MONTH)
+    p.slide_once()
+    write_raw(raw.where(late), path, mode="append")
+    p.slide_once()
+    p.refresh_window()
+    tables = [p.read("kpi_daily", v).select(F.lit(v).alias("version"), "*") for v in (2, 3)]
+    return tables[0].unionByName(tables[1])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q = {
         "tx_window": q_tx_window,
@@ -496,6 +560,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_window_advanced": q_check_window_advanced,
         "window_table_roundtrip": q_window_table_roundtrip,
         "kpi_daily_roundtrip": q_kpi_daily_roundtrip,
+        "active_addresses_slides_sweep": q_active_addresses_slides_sweep,
+        "active_addresses_bitmap": q_active_addresses_bitmap,
+        "state_commit_log": q_state_commit_log,
+        "window_incremental": q_window_incremental,
     }
     q.update({
         "stream_kpi_daily": q_stream_kpi_daily,
@@ -771,6 +839,25 @@ SELECT slide, ws AS new_start, we AS new_end, CAST(date_trunc('month', ws) AS DA
         "check_window_advanced": _ADVANCED,
     }
     sql["raw_month_reader"] = sql["window_extract"]
+    sql["active_addresses_slides_sweep"] = f"SELECT slide, adresses_actives_global FROM ({_KPI_GLOBAL_SLIDES})"
+    sql["active_addresses_bitmap"] = with_tx("""
+SELECT 'jour' AS periode, jour, CAST(NULL AS INTEGER) AS slide, na AS adresses_actives FROM a
+UNION ALL SELECT 'slide', CAST(NULL AS DATE), w.slide, coalesce(ad.na, 0)
+FROM wins w LEFT JOIN ad ON ad.slide = w.slide""", _SLIDES + f""",
+a AS ({_DAILY_ADDR}),
+ad AS (SELECT w.slide, count(DISTINCT x.addr) AS na FROM wins w JOIN tx t ON t.day BETWEEN w.ws AND w.we
+       JOIN {O.ADDR_UNION} x ON x.k = t.k GROUP BY w.slide)""")
+    sql["state_commit_log"] = with_tx(f"""
+SELECT CAST(v.number AS INTEGER) AS "commit", CAST(v.version AS INTEGER) AS version,
+  CAST(st.s + {STEP} * CAST(v.version AS INTEGER) AS DATE) AS start_date,
+  CAST(st.e + {STEP} * CAST(v.version AS INTEGER) AS DATE) AS end_date
+FROM st, (VALUES (0, 0), (1, 1), (2, 3)) v(number, version)""", O.base_state_cte(BASE_MONTH))
+    sql["window_incremental"] = with_tx(f"""
+SELECT v.version, d.jour, {O.finish(O.DAILY)}, coalesce(a.na, 0) AS adresses_actives_jour
+FROM (SELECT unnest([2, 3]) AS version) v, st JOIN d ON d.jour BETWEEN st.s + {2 * STEP} AND st.e + {2 * STEP}
+LEFT JOIN a ON a.jour = d.jour""", O.base_state_cte(BASE_MONTH) + f""",
+d AS ({_DAILY_PARTS}),
+a AS ({_DAILY_ADDR})""")
     sql["kpi_global_roundtrip"] = sql["kpi_global"]
     for key, k in daily_keys.items():
         sql[key] = _daily_one(k)

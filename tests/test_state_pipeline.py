@@ -40,8 +40,8 @@ def test_state_store_versions(spark, raw):
 
 
 def test_state_store_raises_on_a_broken_store(spark, tmp_path):
-    (tmp_path / "version=0").mkdir()
-    (tmp_path / "version=0" / "part-0.parquet").write_text("not parquet")
+    (tmp_path / "log").mkdir()
+    (tmp_path / "log" / "000000000").write_text("not a row\n")
     with pytest.raises(Exception):  # noqa: B017 - whatever the reader raises, not an empty store
         StateStore(spark, str(tmp_path)).history().collect()
 

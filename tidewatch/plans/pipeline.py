@@ -3,7 +3,7 @@
 Layout under ``root`` (a shared folder; by default inside the session's
 ``spark.checkpoint.dir``)::
 
-    state/version=N/          one row: bounds and where the version's tables are
+    state/log/                one entry a commit: bounds of its versions and where their tables are
     build-ID/window/          day-partitioned window table
     build-ID/kpi_daily/       daily KPI table, by month (one slide) or by slide
     build-ID/kpi_global/      one row (one row per slide)
@@ -147,10 +147,12 @@ class Pipeline:
 
     def _retain(self, current: int) -> None:
         """Remove the builds that only versions before the last ``keep`` use."""
-        rows = self.state.rows().select("version", "window_path", "kpi_daily_path", "kpi_global_path")
+        paths = F.array("window_path", "kpi_daily_path", "kpi_global_path", "files_path")
+        days = F.coalesce(F.map_values(F.from_json("window_days", "map<string,string>")), F.array().cast("array<string>"))
+        rows = self.state.rows().select("version", F.concat(paths, days).alias("paths"))   # a window's days at most
         top = [r[0] for r in rows.select("version").orderBy(F.desc("version")).limit(self.keep).collect()]
         build = F.regexp_extract(F.col("path"), r"/(build-[0-9a-f]+)(?:/|$)", 1)
-        used = rows.select("version", F.explode(F.array("window_path", "kpi_daily_path", "kpi_global_path")).alias("path")) \
+        used = rows.select("version", F.explode("paths").alias("path")) \
             .select("version", build.alias("build")).where("build <> ''")
         for r in used.groupBy("build").agg(F.max("version").alias("last")).where(
                 F.col("last") < min(top)).collect():   # one row a build
@@ -187,9 +189,18 @@ class Pipeline:
         return version
 
     # -- PL-2 -------------------------------------------------------------
-    def slide_once(self) -> int:
+    def slide_once(self, retries: int = 0) -> int:
         """Shift by ``step`` days, rebuild the window and both KPI tables,
-        then commit the new state."""
+        then commit the new state.  A job that loses its version to another
+        removes its build and, at most ``retries`` times, slides the newest state."""
+        try:
+            return self._slide()
+        except FileExistsError:
+            if retries < 1:
+                raise
+        return self.slide_once(retries - 1)
+
+    def _slide(self) -> int:
         start, end, version = self.state.bounds()
         # the new bounds are two dates: shift them on the driver (NULL stays NULL)
         shift = _dt.timedelta(days=self.step)

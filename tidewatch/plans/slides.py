@@ -7,9 +7,11 @@ slides per day, pure arithmetic, no range join, nothing broadcast):
 * counts and satoshi sums: one row per day, expanded and summed per slide;
 * median: counts of each day's values, selected by slices per slide;
 * distinct addresses: one shuffle keyed by address carrying the set of
-  days each address is active (bounded by the calendar), expanded to slides
-  after the shuffle, de-duplicated per (address, slide) on the same
-  partitioning, then counted per slide.
+  days each address is active (bounded by the calendar).  The sorted days become
+  disjoint runs of slides that hold the address; a run adds 1 at its first slide
+  and takes 1 off behind its last, and the running sum over the slides is
+  their count (``address_changes``, ``sweep``).  An address has two rows a run,
+  however many slides a run spans.
 
 Empty windows are kept by a left join from the window list (one row per
 slide).
@@ -21,6 +23,7 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from tidewatch.functions.columns import as_date, slide_range
 from tidewatch.operators.extract import extract_window, project_window
@@ -66,15 +69,58 @@ def _n(window: DataFrame, state, n_slides, step_days) -> Column:
     return F.lit(n_slides)
 
 
-def day_addresses(w: DataFrame) -> DataFrame:
-    """Distinct ``(jour, adresse)``, dealt out by address."""
+def address_days(w: DataFrame) -> DataFrame:
+    """``adresse, days``: the days on which each address is active."""
     day = F.col("jour_bloc") if "jour_bloc" in w.columns else F.to_date("horodatage_bloc")
     pairs = w.select(day.alias("jour"),
                      F.explode(F.array_union("input_addresses", "output_addresses")).alias("adresse"))
     # De-duplicated per day before the shuffle by address; whoever counts
     # addresses of longer windows reuses that partitioning.
-    days = pairs.groupBy("adresse").agg(F.collect_set("jour").alias("days"))   # bounded by the calendar
-    return days.select("adresse", F.explode("days").alias("jour"))
+    return pairs.groupBy("adresse").agg(F.collect_set("jour").alias("days"))   # bounded by the calendar
+
+
+def day_addresses(w: DataFrame) -> DataFrame:
+    """Distinct ``(jour, adresse)``, dealt out by address."""
+    return address_days(w).select("adresse", F.explode("days").alias("jour"))
+
+
+def address_changes(days: DataFrame, start: Column, end: Column, step_days: int, n: Column) -> DataFrame:
+    """``slide, change`` from ``address_days`` rows: +1 at the first slide of each run
+    of slides whose windows hold the address, -1 behind the last one.
+
+    Day d lies in the slides from ceil((d - end) / step) to floor((d - start) /
+    step), cut to 1..n; both ends rise with the day, so in day order a run ends
+    where the next day's first slide is not the one behind the last day's, nor
+    before it."""
+    ends = F.transform(F.array_sort("days"), lambda d: F.struct(
+        F.greatest(F.ceil(F.datediff(d, end) / F.lit(step_days)).cast("int"), F.lit(1)).alias("first"),
+        F.least(F.floor(F.datediff(d, start) / F.lit(step_days)).cast("int"), n).alias("last")))
+    rows = days.select(F.filter(ends, lambda s: s["first"] <= s["last"]).alias("ends"))
+    before = lambda i: F.get("ends", i - 1)["last"]
+    after = lambda i: F.get("ends", i + 1)["first"]
+    starts = F.filter("ends", lambda s, i: before(i).isNull() | (s["first"] > before(i) + 1))
+    stops = F.filter("ends", lambda s, i: after(i).isNull() | (after(i) > s["last"] + 1))
+    one = F.lit(1).cast("bigint")
+    changes = F.concat(F.transform(starts, lambda s: F.struct(s["first"].alias("slide"), one.alias("change"))),
+                       F.transform(stops, lambda s: F.struct((s["last"] + 1).alias("slide"), (-one).alias("change"))))
+    return rows.select(F.inline(changes))
+
+
+def sweep(changes: DataFrame, n: Column) -> DataFrame:
+    """``slide, n_addr``: the running sum of the changes at each slide that has one,
+    held until the next.  The sums per slide are partial in every task; what the
+    window runs over is one row a slide."""
+    sums = changes.groupBy("slide").agg(F.sum("change").alias("change"))
+    order = W.orderBy("slide")
+    held = sums.select("slide", F.sum("change").over(order).alias("n_addr"), F.lead("slide").over(order).alias("next"))
+    upto = F.least(F.coalesce(F.col("next") - 1, n), n)
+    return held.where(F.col("slide") <= upto).select(F.explode(F.sequence("slide", upto)).alias("slide"), "n_addr")
+
+
+def active_addresses_slides(days: DataFrame, start: Column, end: Column, step_days: int, n: Column) -> DataFrame:
+    """G9 of slides 1..n from ``address_days`` rows: ``slide, n_addr`` (none for a slide
+    before the first or behind the last with an address)."""
+    return sweep(address_changes(days, start, end, step_days, n), n)
 
 
 def day_tables(w: DataFrame, whale_sat: int = WHALE_THRESHOLD_SAT) -> list[DataFrame]:
@@ -85,18 +131,14 @@ def day_tables(w: DataFrame, whale_sat: int = WHALE_THRESHOLD_SAT) -> list[DataF
             value_counts(rows, ["jour"]), day_addresses(w)]
 
 
-def _slide_kpis(tables: list, slides_of, keys: list) -> tuple[DataFrame, DataFrame]:
-    """Per-slide partials + median, and per-slide distinct addresses.
+def _slide_kpis(days: DataFrame, values: DataFrame, slides_of, keys: list) -> DataFrame:
+    """Per-slide partials + median.
 
     ``slides_of(df)`` adds the slide columns ``keys`` to rows with a day, one
     row for each slide whose window holds it: one row per day, and one per
-    distinct value and per address of a day, are what is expanded."""
-    days, values, addresses = tables
+    distinct value of a day, are what is expanded."""
     partials = merge_partials(slides_of(days), keys)
-    kpis = with_median(partials, slides_of(values).select(*keys, "out_sat", "c"), keys)
-    addrs = slides_of(addresses).select("adresse", *keys).distinct().groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_addr"))
-    return kpis, addrs
+    return with_median(partials, slides_of(values).select(*keys, "out_sat", "c"), keys)
 
 
 def kpi_global_slides(raw: DataFrame, state, n_slides: int | None = 15,
@@ -112,7 +154,10 @@ def kpi_global_slides(raw: DataFrame, state, n_slides: int | None = 15,
     n = _n(w, state, n_slides, step_days)
     slides_of = lambda df: df.select("*", F.explode(
         slide_range(F.col("jour"), start, end, step_days, 1, n)).alias("slide"))
-    kpis, addrs = _slide_kpis(tables or day_tables(w, whale_sat), slides_of, ["slide"])
+    days, values, *addresses = tables or day_tables(w, whale_sat)[:2]
+    kpis = _slide_kpis(days, values, slides_of, ["slide"])
+    active = addresses[0].groupBy("adresse").agg(F.collect_set("jour").alias("days")) if addresses else address_days(w)
+    addrs = active_addresses_slides(active, start, end, step_days, n)
     wins = window_list(_state_df(state, w.sparkSession), n, step_days).select(
         "slide", "new_start", "new_end")
     return (wins.join(kpis, "slide", "left").join(addrs, "slide", "left")
@@ -153,7 +198,10 @@ def kpi_sliding_eventtime(window: DataFrame, start_day, end_day, step_days: int
 
     win = F.window(F.col("jour").cast("timestamp"), f"{width} days",
                    f"{step_days} days", f"{offset} days").alias("w")
-    kpis, addrs = _slide_kpis(day_tables(window, whale_sat), lambda df: df.select("*", win), ["w"])
+    slides_of = lambda df: df.select("*", win)
+    days, values, addresses = day_tables(window, whale_sat)
+    kpis = _slide_kpis(days, values, slides_of, ["w"])
+    addrs = slides_of(addresses).select("adresse", "w").distinct().groupBy("w").agg(F.count(F.lit(1)).alias("n_addr"))
     out = kpis.join(addrs, "w", "left")
     ws = F.to_date(F.col("w.start"))
     return out.select(

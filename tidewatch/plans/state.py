@@ -1,48 +1,49 @@
-"""Versioned rolling state on plain Parquet (SNK-4, SNK-5, SRC-3).
+"""Versioned rolling state on a commit log (SNK-4, SNK-5, SRC-3).
 
 Parquet has no UPDATE and a path cannot be overwritten while it is read, so
-each state is a new folder ``<root>/version=N`` holding one row.  Writing a
-version is the commit point of a job: its tables are written first, the state
-row last.  A version that exists is never written again: of two jobs that
-built the same version, the second fails at its commit and leaves nothing
-that readers see.
+states are rows of a log, ``<root>/log``, one entry a commit.  Writing the entry is
+the commit point of a job: its tables are written first, the state rows last, all
+rows of one commit at once.  A version that exists is never written again: of
+two jobs that built the same version, however close, one commits; the other
+fails at its commit and leaves nothing that readers see.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.plans.windows import advance_state, latest_state, state_from_data
+from tidewatch.plans.commit_log import CommitLog
+from tidewatch.plans.windows import advance_state, latest_state, state_from_data, state_row
 from tidewatch.schema import SLIDE_DAYS
 
-#: A state row: the window's bounds, and where the version's tables are (NULL
-#: in a store that only keeps bounds).
-STATE_SCHEMA = ("start_date date, end_date date, window_path string, kpi_daily_path string, "
-                "kpi_global_path string, version int")
+#: Where a version's tables are (NULL in a store that only keeps bounds).  Windows
+#: built from changes also have the folder of each day (JSON) and the manifest of
+#: the source files.
+PATHS = ("window_path", "kpi_daily_path", "kpi_global_path", "window_days", "files_path")
+#: A state row: the window's bounds and these.
+STATE_SCHEMA = "start_date date, end_date date, " + ", ".join(f"{c} string" for c in PATHS) + ", version int"
 
 
 class StateStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.log = CommitLog(spark, f"{self.root}/log", STATE_SCHEMA)
 
     def rows(self) -> DataFrame:
         """All stored rows; empty when nothing is stored yet.  Any other fault
         of the store is raised."""
-        try:
-            return self.spark.read.schema(STATE_SCHEMA).parquet(self.root)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], STATE_SCHEMA)
+        return self.log.rows().drop("commit")
 
     def history(self) -> DataFrame:
-        """All versions ``(start_date, end_date, version)`` (``version`` is
-        discovered from the folder names); empty when nothing is stored."""
+        """All versions ``(start_date, end_date, version)``; empty when nothing is stored."""
         return self.rows().select("start_date", "end_date", "version")
 
+    def commits(self) -> DataFrame:
+        """``commit, version, start_date, end_date``: which commit added which versions."""
+        return self.log.rows().select("commit", "version", "start_date", "end_date")
+
     def current_version(self) -> int | None:
         return self.history().agg(F.max("version")).first()[0]
 
@@ -59,30 +60,42 @@ class StateStore:
             raise ValueError(f"{what} under {self.root}; run setup first")
         return found
 
-    def commit(self, states: DataFrame) -> None:
+    def commit(self, states: DataFrame) -> int:
         """Add state rows (``start_date, end_date, version`` and, if there are
-        any, the table paths) as new versions, all in one write job; fails when
-        one of them exists."""
-        paths = [c for c in ("window_path", "kpi_daily_path", "kpi_global_path")]
-        rows = states.select(
+        any, the table paths) as new versions, all in one commit, whose number is
+        returned; fails when one of the versions exists."""
+        rows = [r.asDict() for r in states.select(
             F.col("start_date").cast("date"), F.col("end_date").cast("date"),
-            *[F.col(c) if c in states.columns else F.lit(None).cast("string").alias(c) for c in paths],
-            F.col("version").cast("int"))
-        taken = rows.join(self.history().select("version"), "version").select("version").first()
-        if taken is not None:
-            raise FileExistsError(f"version {taken[0]} exists under {self.root}")
-        rows.repartition(1).write.mode("append").partitionBy("version").parquet(self.root)
+            *[F.col(c) if c in states.columns else F.lit(None).cast("string").alias(c) for c in PATHS],
+            F.col("version").cast("int")).collect()]   # one row a version
+        versions = [r["version"] for r in rows]
+
+        def check() -> None:
+            taken = self.history().where(F.col("version").isin(versions)).select("version").first()
+            if taken is not None:
+                raise FileExistsError(f"version {taken[0]} exists under {self.root}")
+
+        return self.log.commit(rows, check)
 
     def init(self, raw: DataFrame, month) -> int:
         """SNK-4: the first version, from the base month of the data."""
         self.commit(state_from_data(raw, month))
         return 0
 
-    def advance(self, step_days: int = SLIDE_DAYS, times: int = 1) -> int:
-        """SNK-5: write version n+times computed from version n."""
-        cur = self.row()["version"]
-        self.commit(advance_state(self.read(), step_days, times))
-        return cur + times
+    def advance(self, step_days: int = SLIDE_DAYS, times: int = 1, retries: int = 0) -> int:
+        """SNK-5: write version n+times computed from version n.  A writer that
+        loses that version to another starts again from the newest state, at most
+        ``retries`` times."""
+        while True:
+            cur = self.row()
+            state = state_row(self.spark, cur["start_date"], cur["end_date"], cur["version"])
+            try:
+                self.commit(advance_state(state, step_days, times))
+                return cur["version"] + times
+            except FileExistsError:
+                if retries < 1:
+                    raise
+                retries -= 1
 
     def bounds(self):
         """``(start_date, end_date, version)`` of the current state as Python
