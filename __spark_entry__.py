@@ -267,14 +267,15 @@ def q_kpi_daily_roundtrip(spark, d):
 
 # -- streaming ---------------------------------------------------------------
 
-def _replay(spark, rows, period, run):
-    """Feed a table to a stream in the order of event time: ``run`` is called
-    with the file stream each time another period (a truncated event time) has
-    arrived, and goes on from its checkpoint.  A period's files are written by
-    all tasks; rows without an event time arrive first."""
+def _replay(spark, rows, period, run, arrival=None):
+    """Feed a table to a stream in the order of event time (or of another time of
+    ``arrival``): ``run`` is called with the file stream each time another period
+    (a truncated time) has arrived, and goes on from its checkpoint.  A period's
+    files are written by all tasks; rows without an event time arrive first."""
     whole, src = scratch_path(spark, "replay-rows"), scratch_path(spark, "replay-src")
     schema = rows.schema
-    rows.withColumn("_period", F.date_trunc(period, "horodatage_bloc")).write.partitionBy("_period").parquet(whole)
+    rows.withColumn("_period", F.date_trunc(
+        period, "horodatage_bloc" if arrival is None else arrival)).write.partitionBy("_period").parquet(whole)
     staged = spark.read.parquet(whole)
     periods = [r[0] for r in staged.select("_period").distinct().orderBy("_period").collect()]   # a handful
     for p in periods:
@@ -362,6 +363,46 @@ def q_stream_active_addresses_sliding(spark, d):
     return ST.count_addresses(pairs, "adresses_actives_global")
 
 
+def q_stream_median_daily(spark, d):
+    """RW-5 / D4 on ``tx``, a year at a time: the exact median of every day."""
+    rows = ST.tx_as_stream_rows(_tx(spark, d))
+    table, ckpt = scratch_path(spark, "values"), scratch_path(spark, "ckpt")
+    _replay(spark, rows, "year", lambda stream: ST.write_live(
+        ST.daily_value_counts_stream(stream), table, ckpt, _state_partitions(spark), files=None).awaitTermination())
+    return ST.read_median_daily(spark, table)
+
+
+def q_stream_active_addresses_runs(spark, d):
+    """RW-7 / G9 on the ``tx`` stream, one state row an address."""
+    raw = _tx(spark, d)
+    width, step, _, start = _sliding_args(raw)
+    sink, ckpt = scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+    _replay(spark, ST.tx_as_stream_rows(raw), "year", lambda stream: ST.run_available_now(
+        ST.sliding_address_runs(stream, width, step, start), sink, ckpt, "append", _state_partitions(spark)))
+    return ST.slide_counts(spark.read.parquet(sink), width, step, start)
+
+
+def q_stream_kpi_daily_repaired(spark, d):
+    """RW-5, RW-8 on ``events`` out of order: a tenth of the rows comes two weeks late,
+    far behind the watermark of a day; every week is taken in, streamed and repaired."""
+    rows = _event_rows(spark, d)
+    late = F.col("hachage_transaction").endswith("7")
+    arrival = F.when(late, F.col("horodatage_bloc") + F.expr("INTERVAL 14 DAYS")).otherwise(F.col("horodatage_bloc"))
+    live, ckpt = scratch_path(spark, "live"), scratch_path(spark, "ckpt")
+    intake = ST.Intake(spark, scratch_path(spark, "intake"), rows.schema)
+    repairs = ST.daily_repairs(intake, live, ["jour"], lambda own: K.kpi_daily(own).select(
+        "jour", *[K.DAILY_NAMES[k] for k in ST.EVENT_DAILY_KEYS]))
+
+    def week(stream):
+        intake.run(stream)
+        ST.write_live(ST.daily_kpis_stream(intake.stream(), "1 day", ST.EVENT_DAILY_KEYS), live, ckpt,
+                      _state_partitions(spark)).awaitTermination()
+        repairs.run()
+
+    _replay(spark, rows, "week", week, arrival)
+    return repairs.read()
+
+
 # -- the pipeline on a stored raw table -----------------------------------------
 
 def _stored_raw(spark, d):
@@ -572,6 +613,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_kpi_daily_live": q_stream_kpi_daily_live,
         "stream_kpi_daily_tx": q_stream_kpi_daily_tx,
         "stream_active_addresses_sliding": q_stream_active_addresses_sliding,
+        "stream_median_daily": q_stream_median_daily,
+        "stream_active_addresses_runs": q_stream_active_addresses_runs,
+        "stream_kpi_daily_repaired": q_stream_kpi_daily_repaired,
     })
     q.update(_llm()[0])
     return {name: _configured(fn) for name, fn in q.items()}
@@ -867,6 +911,9 @@ a AS ({_DAILY_ADDR})""")
         "stream_active_addresses": _STREAM_ADDR,
         "stream_kpi_sliding": _STREAM_SLIDING,
         "stream_active_addresses_sliding": _STREAM_SLIDING_ADDR,
+        "stream_active_addresses_runs": _STREAM_SLIDING_ADDR,
+        "stream_median_daily": _daily_one("median"),
+        "stream_kpi_daily_repaired": _STREAM_DAILY,
         "stream_kpi_daily_tx": with_tx(f"""
 SELECT day AS jour, {O.finish(O.DAILY)} FROM (SELECT day, {O.PARTIALS_SQL} FROM tx GROUP BY day)"""),
     })

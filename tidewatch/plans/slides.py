@@ -92,10 +92,12 @@ def address_changes(days: DataFrame, start: Column, end: Column, step_days: int,
     step), cut to 1..n; both ends rise with the day, so in day order a run ends
     where the next day's first slide is not the one behind the last day's, nor
     before it."""
+    # the bounds may be subqueries, which lambdas do not take
+    bounded = days.select("days", start.alias("_start"), end.alias("_end"), n.alias("_n"))
     ends = F.transform(F.array_sort("days"), lambda d: F.struct(
-        F.greatest(F.ceil(F.datediff(d, end) / F.lit(step_days)).cast("int"), F.lit(1)).alias("first"),
-        F.least(F.floor(F.datediff(d, start) / F.lit(step_days)).cast("int"), n).alias("last")))
-    rows = days.select(F.filter(ends, lambda s: s["first"] <= s["last"]).alias("ends"))
+        F.greatest(F.ceil(F.datediff(d, F.col("_end")) / F.lit(step_days)).cast("int"), F.lit(1)).alias("first"),
+        F.least(F.floor(F.datediff(d, F.col("_start")) / F.lit(step_days)).cast("int"), F.col("_n")).alias("last")))
+    rows = bounded.select(F.filter(ends, lambda s: s["first"] <= s["last"]).alias("ends"))
     before = lambda i: F.get("ends", i - 1)["last"]
     after = lambda i: F.get("ends", i + 1)["first"]
     starts = F.filter("ends", lambda s, i: before(i).isNull() | (s["first"] > before(i) + 1))

@@ -13,6 +13,7 @@ The engine relies on a few session settings for its semantics:
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -94,6 +95,22 @@ def remove_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by the executors' Python workers: Spark
+    distributes it, once for each application."""
+    sc = _context(spark)
+    if sc is None or sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="tidewatch-code-")   # the driver serves it while it lives
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    sc.addPyFile(shutil.make_archive(os.path.join(folder, "tidewatch"), "zip", os.path.dirname(package), os.path.basename(package)))
+    _SHIPPED.add(sc.applicationId)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     """Total cores of the cluster (shuffle partitions under Spark Connect)."""
     sc = _context(spark)
@@ -117,5 +134,5 @@ def set_initial_shuffle_partitions(spark: SparkSession, n: int | None) -> None:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
 
 
-__all__ = ["get_session", "configure", "work_dir", "scratch_path", "default_parallelism", "remove_path",
+__all__ = ["get_session", "configure", "work_dir", "scratch_path", "ship_package", "default_parallelism", "remove_path",
            "set_initial_shuffle_partitions"]

@@ -180,11 +180,13 @@ def run_available_now(df: DataFrame, sink: str, checkpoint: str, mode: str = "ap
     return sink
 
 
-def write_live(df: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None):
+def write_live(df: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None,
+               files: int | None = 1):
     """RW-8: update-mode stream into a table of changes, one folder a
-    micro-batch (a few rows, one file).  Read it with ``read_live``."""
+    micro-batch (a few rows, one file; ``files=None``: as many as there are
+    partitions, for larger changes).  Read it with ``read_live``."""
     def change(batch: DataFrame, epoch_id: int) -> None:
-        batch.repartition(1).write.mode("overwrite").parquet(f"{path}/epoch={epoch_id}")
+        (batch.repartition(files) if files else batch).write.mode("overwrite").parquet(f"{path}/epoch={epoch_id}")
 
     w = (df.writeStream.outputMode("update").foreachBatch(change)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True))
