@@ -169,3 +169,31 @@ def test_all_terms_of_a_seed_ask():
     k = (packing.K1 + 1) / (1 + packing.K1)
     score = sum(index.weights[index.at[t]:index.at[t + 1]][index.docs[index.at[t]:index.at[t + 1]] == 30].sum() for t in items[0].astype(int))
     assert index.neighbours(0, unused, 1).tolist() == [30] and score == pytest.approx(60 * k)
+
+
+def test_encoder_over_blocks_and_a_full_table(monkeypatch):
+    """Known and new words mixed, and a table that is given up and learned again."""
+    tok, enc = Tokenizer.from_file(PATH), packing.Encoder(PATH)
+    rng = np.random.default_rng(7)
+    words = ["".join(rng.choice(list("abcéßÑxyz'.,!9"), rng.integers(1, 9))) for _ in range(400)]
+    monkeypatch.setattr(packing, "CACHE_WORDS", 150)
+    monkeypatch.setattr(packing, "CACHE_PARTS", 60)
+    for k in range(8):
+        texts = [" ".join(rng.choice(words[:50 * (k + 1)], 30)) for _ in range(6)] + ["", "x<|endoftext|>Y"]
+        for t, x in zip(texts, enc.encode([t.encode() for t in texts])):
+            assert np.frombuffer(x, enc.dtype).tolist() == tok.encode(t, add_special_tokens=False).ids, t
+    assert len(enc.known) < 400
+
+
+def test_projections_are_those_of_each_document():
+    """All documents of a batch at once equal one at a time, whatever the vocabulary's size."""
+    rng = np.random.default_rng(8)
+    rows = [rng.integers(0, 500, n).astype(np.uint16) for n in (1, 40, 300, 7)]
+    idf = rng.random(500)
+    got = packing.projections(rows, idf)
+    for x, p in zip(rows, got):
+        t, tf = np.unique(x, return_counts=True)
+        w = np.rint(8 * idf[t] * tf * (packing.K1 + 1) / (tf + packing.K1))
+        want = (w[:, None] * packing._signs(500)[t]).sum(axis=0)
+        assert p == pytest.approx(want / max(np.sqrt((want**2).sum()), 1.0))
+        assert (packing.projections([x], idf)[0] == p).all()

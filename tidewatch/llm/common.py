@@ -129,14 +129,15 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the lower-cased (A-Z) words of each text.
+def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of the lower-cased (A-Z) words of each text, and where they stand.
 
-    Returns the hashes of all texts one after the other and the number of
-    words of each text.
+    Returns the hashes of all texts one after the other, the number of words of
+    each text, the bytes of all texts, and the words' starts and lengths there.
     """
+    none = np.empty(0, np.int64)
     if not texts:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), none, np.empty(0, np.uint8), none, none
     buf = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
     ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
     space = _SPACE[buf]
@@ -147,7 +148,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     per_text = np.searchsorted(starts, ends)
     per_text = np.diff(per_text, prepend=0)
     if not len(starts):
-        return np.empty(0, np.uint64), per_text
+        return np.empty(0, np.uint64), per_text, buf, none, none
     stop = space.copy()
     stop[1:] &= word[:-1]
     stop[0] = False
@@ -157,4 +158,10 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     first = np.repeat(np.cumsum(lengths) - lengths, lengths)
     inside = np.arange(len(at)) - first
     codes = _BYTE_CODE[_LOWER[buf[at]]] * _powers(int(lengths.max()))[inside]
-    return mix64(np.add.reduceat(codes, np.cumsum(lengths) - lengths) + lengths.astype(np.uint64)), per_text
+    return (mix64(np.add.reduceat(codes, np.cumsum(lengths) - lengths) + lengths.astype(np.uint64)), per_text, buf,
+            starts, lengths)
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes and counts of :func:`hashed_words`."""
+    return hashed_words(texts)[:2]

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import materialise, mix64, prepare, row_key, text_bytes
+from tidewatch.llm.common import hashed_words, materialise, mix64, prepare, row_key, text_bytes
 
 K1, B = 1.2, 0.75
 #: Distinct tokens of a seed that ask the index: all, whatever the vocabulary.
@@ -53,24 +53,27 @@ QUERY_TERMS = 1 << 32
 COMMON = 8
 #: Dimensions of a document's projection; projections a shard and at most that the tree is grown on.
 AXES, SAMPLE_A_SHARD, SAMPLE = 64, 16, 1 << 17
-#: Words whose ids a Python worker remembers.
-CACHE_WORDS = 1_000_000
+#: Words, and runs of letters or marks, whose ids a Python worker remembers; bytes of text that it takes at once.
+CACHE_WORDS, CACHE_PARTS, BLOCK = 3_000_000, 600_000, 1 << 22
 
 
-def _byte_letters() -> dict[int, str]:
-    """How byte-level vocabularies write the letters from U+00C0 to U+00FF: a
-    printable byte stands for itself, the others for the characters from 256 on."""
+def _byte_letters() -> dict[str, str]:
+    """How byte-level vocabularies write the lower-case letters up to U+00FF: a
+    printable byte stands for itself, the others for the characters from 256 on.
+    (No sign is such a letter itself, so they can be put in one after the other.)"""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     sign = {b: chr(b) for b in shown}
     sign |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in sign)}
-    return {c: "".join(sign[b] for b in chr(c).encode()) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7)}
+    return {chr(c): "".join(sign[b] for b in chr(c).encode()) for c in range(0xDF, 0x100) if c != 0xF7}
 
 
 class Encoder:
-    """Token ids of whole texts, word by word through a cache.
+    """Token ids of whole texts, word by word through a table of known words.
 
     The tokenizer splits at white space before it merges, so a text's ids are
-    those of its words one after the other.  A word of letters with marks behind
+    those of its words one after the other.  The words of many texts are hashed at
+    once (64 bits); the table has, by hash, where a word's ids lie in one array, from which
+    the texts' ids are gathered.  A word of letters with marks behind
     it falls into the two (the tokenizer splits there too); unknown runs of
     letters are encoded many at a time and told apart by the tokens that end a
     word.  Everything else goes to the tokenizer as it is.
@@ -87,7 +90,7 @@ class Encoder:
         # the same model without what runs of letters do not need; only if it gives the same ids
         self.letters, self.table = Tokenizer(self.tokenizer.model), _byte_letters()
         self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        probe = [chr(c) * 2 + w for c in [*range(65, 91), *range(97, 123), *self.table] for w in ("", "and", "tion")]
+        probe = [chr(c) * 2 + w for c in [*range(65, 91), *range(97, 123), *range(0xC0, 0x100)] if c not in (0xD7, 0xF7) for w in ("", "and", "tion")]
         if self._letter_ids(probe) != self.tokenizer.encode(" ".join(probe), add_special_tokens=False).ids:
             self.letters, self.table = self.tokenizer, {}
         spec = json.load(open(path))
@@ -101,7 +104,12 @@ class Encoder:
         self.special = [t["content"].encode().lower() for t in spec["added_tokens"]]
         self.special_start = os.path.commonprefix(self.special)
         self.by_word = bool(end)
-        self.cache: dict[bytes, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = np.empty(0, np.uint64)   # hashes in order, and where their ids are
+        self.first, self.length = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.pool = np.empty(0, self.dtype)
         self.parts: dict[str, bytes] = {"": b""}
 
     def _ids(self, text: str) -> bytes:
@@ -110,7 +118,9 @@ class Encoder:
     def _letter_ids(self, runs: list[str]) -> list[int]:
         text = " ".join(runs)
         if self.table:
-            text = text.lower().translate(self.table)
+            text = text.lower()
+            for letter, signs in self.table.items():
+                text = text.replace(letter, signs)
         return self.letters.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _learn_letters(self, runs: list[str]) -> None:
@@ -127,20 +137,26 @@ class Encoder:
                 self.parts[w] = raw[at:stop]
                 at = stop
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        """Add words to the table, by their hashes in order."""
         found = self.WORD.findall(b" ".join(words).decode())
+        if len(self.parts) > CACHE_PARTS:
+            self.parts = {"": b""}
         parts = self.parts
         self._learn_letters(list({f[0] for f in found}.difference(parts)))
         for m in {f[1] for f in found}.difference(parts):
             parts[m] = self._ids(m)
-        for w, (letters, marks, other) in zip(words, found):
-            self.cache[w] = self._ids(other) if other else parts[letters] + parts[marks]
+        new = [self._ids(other) if other else parts[letters] + parts[marks] for letters, marks, other in found]
+        length = np.fromiter(map(len, new), np.int64, len(new)) // self.dtype.itemsize
+        at = np.searchsorted(self.known, hashes)
+        self.first = np.insert(self.first, at, len(self.pool) + np.cumsum(length) - length)
+        self.length, self.known = np.insert(self.length, at, length), np.insert(self.known, at, hashes)
+        self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(new), self.dtype)])
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian bytes of ``dtype``."""
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-            self.parts = {"": b""}
+        if len(self.known) > CACHE_WORDS:
+            self._forget()
         collecting = gc.isenabled()
         gc.disable()   # many small objects and no cycles
         try:
@@ -149,28 +165,36 @@ class Encoder:
             if collecting:
                 gc.enable()
 
+    def _whole(self, text: bytes) -> bool:
+        """Whether a text cannot go word by word."""
+        if not self.by_word:
+            return True
+        low = text.lower()
+        return self.special_start in low and any(s in low for s in self.special)
+
     def _encode(self, texts: list[bytes]) -> list[bytes]:
-        split, new, known = [], set(), self.cache.get
-        for t in texts:
-            low = t.lower()
-            if not self.by_word or self.special_start in low and any(s in low for s in self.special):
-                split.append((t, None, None))
-                continue
-            words = low.split()
-            ids = list(map(known, words))
-            missing = [i for i, x in enumerate(ids) if x is None] if None in ids else []
-            new.update(map(words.__getitem__, missing))
-            split.append((words, ids, missing))
-        if new:
-            self._learn(list(new))
-        out = []
-        for words, ids, missing in split:
-            if ids is None:
-                out.append(self._ids(words.decode()))
-                continue
-            for i in missing:
-                ids[i] = self.cache[words[i]]
-            out.append(b"".join(ids))
+        whole = {i for i, t in enumerate(texts) if self._whole(t)}
+        h, per_text, buf, starts, lengths = hashed_words([b"" if i in whole else t for i, t in enumerate(texts)])
+        distinct, of = np.unique(h, return_inverse=True)
+        at = np.searchsorted(self.known, distinct)
+        there = at < len(self.known)
+        there[there] = self.known[at[there]] == distinct[there]
+        new = np.flatnonzero(~there)
+        if len(new):
+            where = np.empty(len(distinct), np.int64)
+            where[of] = np.arange(len(of))   # some place of each word
+            spans = zip(starts[where[new]].tolist(), lengths[where[new]].tolist())
+            raw = buf.tobytes()
+            self._learn(distinct[new], [raw[a:a + n].lower() for a, n in spans])
+            at = np.searchsorted(self.known, distinct)
+        n = self.length[at][of]
+        shift = self.first[at][of] - (np.cumsum(n) - n)
+        ids = self.pool[np.repeat(shift, n) + np.arange(int(n.sum()))].tobytes()
+        stops = np.concatenate([[0], np.cumsum(n)])[np.cumsum(per_text)] * self.dtype.itemsize
+        out, before = [], 0
+        for i, stop in enumerate(stops.tolist()):
+            out.append(self._ids(texts[i].decode()) if i in whole else ids[before:stop])
+            before = stop
         return out
 
 
@@ -179,6 +203,21 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def _blocks(batches, column: int):
+    """Lists of whole batches with some ``BLOCK`` bytes of text, and their texts."""
+    held, texts, size = [], [], 0
+    for b in batches:
+        own = text_bytes(b.column(column))
+        held.append(b)
+        texts += own
+        size += sum(map(len, own))
+        if size >= BLOCK:
+            yield held, texts
+            held, texts, size = [], [], 0
+    if held:
+        yield held, texts
+
+
 def _token_batches(path: str, end_id: int):
     """Token ids of each row; last a row with ``n = -1`` that holds in how many rows
     of this task each id occurs."""
@@ -187,17 +226,20 @@ def _token_batches(path: str, end_id: int):
         end = np.array([end_id], enc.dtype).tobytes()
         names, kinds = ["doc_id", "shard_key", "place", "ids", "n"], None
         df, place = np.zeros(enc.size, np.int64), np.zeros(enc.size, np.int64)
-        for b in batches:
-            rows = [x + end for x in enc.encode(text_bytes(b.column(3)))]
-            for x in rows:
-                ids = np.frombuffer(x, enc.dtype)
-                every = np.arange(len(ids))
-                place[ids] = every
-                df[ids[place[ids] == every]] += 1   # each id where it stands last
-            kinds = b.schema.types[:3]
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns[:3], pa.array(rows, pa.binary()),
-                 pa.array([len(x) // enc.dtype.itemsize for x in rows], pa.int64())], names)
+        for held, texts in _blocks(batches, 3):
+            encoded, at = enc.encode(texts), 0
+            for b in held:
+                rows = [x + end for x in encoded[at:at + b.num_rows]]
+                at += b.num_rows
+                for x in rows:
+                    ids = np.frombuffer(x, enc.dtype)
+                    every = np.arange(len(ids))
+                    place[ids] = every
+                    df[ids[place[ids] == every]] += 1   # each id where it stands last
+                kinds = b.schema.types[:3]
+                yield pa.RecordBatch.from_arrays(
+                    [*b.columns[:3], pa.array(rows, pa.binary()),
+                     pa.array([len(x) // enc.dtype.itemsize for x in rows], pa.int64())], names)
         if kinds:
             yield pa.RecordBatch.from_arrays(
                 [*[pa.nulls(1, k) for k in kinds], pa.array([df.tobytes()], pa.binary()), pa.array([-1], pa.int64())], names)
@@ -217,13 +259,19 @@ def _signs(size: int) -> np.ndarray:
     return np.random.default_rng(5).integers(0, 2, (size, AXES)).astype(np.float32) * 2 - 1
 
 
-def project(ids: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """A document's token weights on the random axes, of length 1.  The weights are
-    whole numbers, so that the sums are exact in any order."""
-    t, tf = np.unique(ids, return_counts=True)
+def projections(rows: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
+    """The documents' token weights on the random axes, each of length 1.  The weights
+    are whole numbers, so that the sums are exact in any order."""
+    kind = np.uint32 if len(idf) * len(rows) < 1 << 32 else np.uint64
+    key = np.concatenate(rows).astype(kind) + np.repeat(np.arange(len(rows), dtype=kind) * kind(len(idf)), list(map(len, rows)))
+    key.sort()   # (document, token): a token's run is its count
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    tf = np.diff(first, append=len(key))
+    row, t = np.divmod(key[first], kind(len(idf)))
     w = np.rint(8 * idf[t] * tf * (K1 + 1) / (tf + K1)).astype(np.float32)
-    x = (w @ _signs(len(idf))[t]).astype(np.float64)
-    return x / max(np.sqrt((x * x).sum()), 1.0)
+    at, signs = np.searchsorted(row, np.arange(len(rows) + 1)).tolist(), _signs(len(idf))
+    x = np.array([w[i:j] @ signs[t[i:j]] for i, j in zip(at[:-1], at[1:])]).astype(np.float64)
+    return x / np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1.0)
 
 
 class Tree:
@@ -272,7 +320,8 @@ class Tree:
 def _projections(dtype: str, idf: np.ndarray):
     def run(batches):
         for b in batches:
-            x = [project(np.frombuffer(i, dtype), idf).tobytes() for i in b.column(3).to_pylist()]
+            rows = [np.frombuffer(i, dtype) for i in b.column(3).to_pylist()]
+            x = [p.tobytes() for p in projections(rows, idf)] if rows else []
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(x, pa.binary())], ["turn", "shard_key", "n", "point"])
     return run
 
@@ -282,7 +331,7 @@ def _deal_batches(dtype: str, idf: np.ndarray, tree):
         for b in batches:
             if not b.num_rows:
                 continue
-            points = np.array([project(np.frombuffer(i, dtype), idf) for i in b.column(3).to_pylist()])
+            points = projections([np.frombuffer(i, dtype) for i in b.column(3).to_pylist()], idf)
             turns, keys = (b.column(k).to_numpy(zero_copy_only=False) for k in (4, 1))
             shard = tree.value.shards(points, turns.astype(np.int64), keys)
             yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(shard)], ["doc_id", "shard_key", "place", "ids", "shard"])
