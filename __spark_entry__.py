@@ -35,6 +35,7 @@ from tidewatch.plans import slides as SL
 from tidewatch.plans import windows as WN
 from tidewatch.plans.address_bitmaps import AddressBitmaps
 from tidewatch.plans.incremental import IncrementalPipeline
+from tidewatch.plans.lookup import lookup_by_hash
 from tidewatch.plans.pipeline import (
     Pipeline, read_kpi_daily, write_kpi_daily, write_kpi_global, write_window_table,
 )
@@ -42,7 +43,7 @@ from tidewatch.plans.state import StateStore
 from tidewatch.schema import SLIDE_DAYS
 from tidewatch.session import configure, default_parallelism, scratch_path
 from tidewatch.sources import load_table as _tbl
-from tidewatch.sources import read_raw, tx, write_raw
+from tidewatch.sources import read_raw, register_raw, tx, write_raw
 from tidewatch import streaming as ST
 from oracles.fixture_sql import with_tx
 
@@ -552,6 +553,43 @@ def q_window_incremental(spark, d):
     return tables[0].unionByName(tables[1])
 
 
+def q_tx_lookup_by_hash(spark, d):
+    """SNK-1: the stored table of all transactions, looked up by the first hash of each month."""
+    path = scratch_path(spark, "window")
+    write_window_table(_window(spark, d), path)
+    table = spark.read.parquet(path)
+    months = table.groupBy(F.trunc("jour_bloc", "MM").alias("m")).agg(F.min("hachage_transaction").alias("h"))
+    return _canonical(lookup_by_hash(table, [r["h"] for r in months.collect()] + ["unknown"]))   # a row a month
+
+
+def q_check_window_observed(spark, d):
+    """CK-2, CK-3 of the windows of setup and slide 1, from what their writes have seen."""
+    p = _pipeline(spark, d)
+    p.slide_once()
+    seen = [p.observed(v).select(F.lit(v).alias("version"), "*") for v in (0, 1)]
+    return _flags(seen[0].unionByName(seen[1]), "non_empty", "in_bounds")
+
+
+def q_raw_catalog_reader(spark, d):
+    """SRC-1: slide 1 from a catalog table, its months pruned in the catalog."""
+    path = scratch_path(spark, "raw")
+    write_raw(_tx(spark, d), path)
+    name = "raw_" + path.rsplit("-", 1)[-1]
+    raw = register_raw(spark, path, name)
+    s = _state(raw).first()
+    step = _dt.timedelta(days=STEP)
+    return _canonical(ex.extract_window(raw, s["start_date"] + step, s["end_date"] + step))
+
+
+def q_stream_kpi_daily_compacted(spark, d):
+    """RW-8 on ``events``, a week at a time; the live table is compacted every two micro-batches."""
+    live, ckpt = scratch_path(spark, "live"), scratch_path(spark, "ckpt")
+    _replay(spark, _event_rows(spark, d), "week", lambda stream: ST.write_live(
+        ST.daily_kpis_stream(stream, "1 day", ST.EVENT_DAILY_KEYS), live, ckpt, _state_partitions(spark),
+        keys=["jour"], compact_every=2).awaitTermination())
+    return ST.read_live(spark, live, ["jour"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q = {
         "tx_window": q_tx_window,
@@ -605,6 +643,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "active_addresses_bitmap": q_active_addresses_bitmap,
         "state_commit_log": q_state_commit_log,
         "window_incremental": q_window_incremental,
+        "tx_lookup_by_hash": q_tx_lookup_by_hash,
+        "check_window_observed": q_check_window_observed,
+        "raw_catalog_reader": q_raw_catalog_reader,
     }
     q.update({
         "stream_kpi_daily": q_stream_kpi_daily,
@@ -616,6 +657,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_median_daily": q_stream_median_daily,
         "stream_active_addresses_runs": q_stream_active_addresses_runs,
         "stream_kpi_daily_repaired": q_stream_kpi_daily_repaired,
+        "stream_kpi_daily_compacted": q_stream_kpi_daily_compacted,
     })
     q.update(_llm()[0])
     return {name: _configured(fn) for name, fn in q.items()}
@@ -883,6 +925,16 @@ SELECT slide, ws AS new_start, we AS new_end, CAST(date_trunc('month', ws) AS DA
         "check_window_advanced": _ADVANCED,
     }
     sql["raw_month_reader"] = sql["window_extract"]
+    sql["raw_catalog_reader"] = sql["window_extract"]
+    sql["tx_lookup_by_hash"] = with_tx(_CANON_SQL.format(src="(SELECT * FROM tx WHERE hash IN ("
+                                       "SELECT min(hash) FROM tx GROUP BY date_trunc('month', day)))"))
+    sql["check_window_observed"] = with_tx("""
+SELECT b.version, b.ws AS start_date, b.we AS end_date, c.mn AS min_date_table, c.mx AS max_date_table, c.cnt AS nb_lignes,
+  CAST(date_diff('day', b.ws, c.mn) AS INTEGER) AS start_gap_days, CAST(date_diff('day', c.mx, b.we) AS INTEGER) AS end_gap_days,
+  CAST(c.cnt > 0 AS INTEGER) AS non_empty, CAST(c.mn >= b.ws AND c.mx <= b.we AS INTEGER) AS in_bounds
+FROM b JOIN c ON c.version = b.version""", O.base_state_cte(BASE_MONTH) + f""",
+b AS (SELECT 0 AS version, s AS ws, e AS we FROM st UNION ALL SELECT 1, s + {STEP}, e + {STEP} FROM st),
+c AS (SELECT b.version, min(day) AS mn, max(day) AS mx, count(*) AS cnt FROM tx JOIN b ON day BETWEEN b.ws AND b.we GROUP BY b.version)""")
     sql["active_addresses_slides_sweep"] = f"SELECT slide, adresses_actives_global FROM ({_KPI_GLOBAL_SLIDES})"
     sql["active_addresses_bitmap"] = with_tx("""
 SELECT 'jour' AS periode, jour, CAST(NULL AS INTEGER) AS slide, na AS adresses_actives FROM a
@@ -914,6 +966,7 @@ a AS ({_DAILY_ADDR})""")
         "stream_active_addresses_runs": _STREAM_SLIDING_ADDR,
         "stream_median_daily": _daily_one("median"),
         "stream_kpi_daily_repaired": _STREAM_DAILY,
+        "stream_kpi_daily_compacted": _STREAM_DAILY,
         "stream_kpi_daily_tx": with_tx(f"""
 SELECT day AS jour, {O.finish(O.DAILY)} FROM (SELECT day, {O.PARTIALS_SQL} FROM tx GROUP BY day)"""),
     })

@@ -28,7 +28,7 @@ def same(spark, p, path):
     full = Pipeline(spark, read_raw(spark, path))
     start, end, _ = p.state.bounds()
     with full._building() as folder:
-        full._write_kpis(folder, full._write_window(folder, start, end))
+        full._write_kpis(folder, full._write_window(folder, start, end)[0])
         full._commit(full._one_state(start, end, 0, folder))
     rows = lambda q, t, cols: sorted((tuple(r[c] for c in cols) for r in q.read(t).collect()), key=str)
     flat = [c for c in full.read("window").columns if not c.endswith("addresses")]

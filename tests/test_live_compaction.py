@@ -1,0 +1,88 @@
+import datetime as dt
+import os
+
+import pytest
+from conftest import make_raw
+
+import tidewatch.streaming as ST
+from tidewatch.operators import kpi_daily, project_window
+from tidewatch.operators.kpi import DAILY_NAMES
+from tidewatch.session import scratch_path
+from tidewatch.streaming import kpi_stream as KS
+
+
+def rows_of(spark, days, hour, tag):
+    return project_window(make_raw(spark, [{"ts": dt.datetime(2020, 1, 1, hour) + dt.timedelta(days=d), "hash": f"{tag}-{i}", "out_sat": 10**8 * (i + hour + 1)}
+                                           for i, d in enumerate(days)]))
+
+
+def folders(path):
+    return sorted(int(n.split("=")[1]) for n in os.listdir(path.removeprefix("file:")) if n.startswith("epoch="))
+
+
+def values(df):
+    cols = ["jour", *DAILY_NAMES.values()]
+    return sorted(tuple(r[c] for c in cols) for r in df.select(*cols).collect())
+
+
+def test_fifty_batches_leave_a_few_folders(spark):
+    src, live, ckpt = (scratch_path(spark, n) for n in ("src", "live", "ckpt"))
+    everything = None
+    for k in range(50):   # a file and a micro-batch each; every day is touched by several of them
+        part = rows_of(spark, [k // 3, k // 3, max(0, k // 3 - 1)], k % 3 * 5 + 1, f"b{k}").coalesce(1)
+        part.write.mode("append").parquet(src)
+        everything = part if everything is None else everything.unionByName(part)
+    stream = ST.read_file_stream(spark, src, everything.schema, max_files_per_trigger=1)
+    q = ST.write_live(ST.daily_kpis_stream(stream, "5 days"), live, ckpt, 2, keys=["jour"], compact_every=5)
+    q.awaitTermination()
+    assert max(p["batchId"] for p in q.recentProgress) >= 49
+    assert len(folders(live)) <= 5 + 5 + 2
+    assert values(ST.read_live(spark, live, ["jour"])) == values(kpi_daily(everything))
+    snapshots = [n for n in os.listdir(live.removeprefix("file:") + "/_snapshots") if n.startswith("upto=")]
+    assert len(snapshots) == 2
+
+
+@pytest.fixture
+def live(spark):
+    """Ten epochs as a stream leaves them: epoch k changes the windows k and k - 1."""
+    path = scratch_path(spark, "live")
+    for k in range(10):
+        write_epoch(spark, path, k)
+    return path
+
+
+def write_epoch(spark, path, k, extra=0):
+    spark.createDataFrame([(k, 10 * k + extra), (k - 1, 10 * k + 5 + extra)], "w int, v int").repartition(1) \
+        .write.mode("overwrite").parquet(f"{path}/epoch={k}")
+
+
+def newest(spark, path):
+    return dict(ST.read_live(spark, path, ["w"]).collect())
+
+
+def test_compaction_changes_no_value_and_replays_do_no_harm(spark, live):
+    want = newest(spark, live)
+    assert want[9] == 90 and want[8] == 95 and len(want) == 11
+    assert KS.compact_live(spark, live, ["w"]) == 7
+    assert folders(live) == list(range(10)) and newest(spark, live) == want    # merged, not yet removed
+    write_epoch(spark, live, 9)                                                # the last batch again
+    write_epoch(spark, live, 3, extra=1000)                                    # and one that is merged: ignored
+    assert newest(spark, live) == want
+    assert KS.compact_live(spark, live, ["w"]) is None                         # nothing new to merge
+    for k in (10, 11, 12):
+        write_epoch(spark, live, k)
+    want = newest(spark, live)
+    assert KS.compact_live(spark, live, ["w"]) == 10
+    assert folders(live) == [8, 9, 10, 11, 12] and newest(spark, live) == want
+    write_epoch(spark, live, 12, extra=7)                                      # a replayed batch with other values counts
+    assert newest(spark, live)[12] == 127
+
+
+def test_a_failed_compaction_leaves_the_table(spark, live, monkeypatch):
+    want = newest(spark, live)
+    with monkeypatch.context() as m:
+        m.setattr(KS.CommitLog, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("injected")))
+        with pytest.raises(RuntimeError):
+            KS.compact_live(spark, live, ["w"])
+    assert newest(spark, live) == want
+    assert KS.compact_live(spark, live, ["w"]) == 7 and newest(spark, live) == want

@@ -41,6 +41,12 @@ def _verdict(df: DataFrame, start: str, end: str) -> list:
     ]
 
 
+def verdict_columns(contents: DataFrame) -> list:
+    """The columns of CK-3 behind bounds and contents, ``start_date, end_date,
+    min_date_table, max_date_table, nb_lignes``."""
+    return _verdict(contents, "start_date", "end_date")
+
+
 def check_window_verdict(window: DataFrame, state: DataFrame) -> DataFrame:
     """CK-3: contents against the state bounds.  Gaps are reported in days
     (a sparse first or last day is legitimate); ``non_empty`` and

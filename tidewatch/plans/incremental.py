@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from tidewatch.functions.columns import as_date
 from tidewatch.operators.kpi import kpi_daily, kpi_global
 from tidewatch.operators.extract import project_window
-from tidewatch.plans.pipeline import Pipeline, read_kpi_daily, write_kpi_daily, write_kpi_global, write_window_table
+from tidewatch.plans.pipeline import Pipeline, checked, read_kpi_daily, write_kpi_daily, write_kpi_global, write_window_table
+from tidewatch.plans.state import PATHS
 from tidewatch.schema import DAILY_KPIS, RAW_MONTH, RAW_TS, WINDOW_DAY
 from tidewatch.sources import read_raw
 
@@ -94,7 +95,7 @@ class IncrementalPipeline(Pipeline):
         names = {f"{t}_path": f"{folder}/{t}" for t in ("window", "kpi_daily", "kpi_global")}
         if start is None:
             empty = project_window(self.raw.limit(0))
-            write_window_table(empty, f"{folder}/window")
+            names["observed"] = checked(write_window_table(empty, f"{folder}/window"), start, end)
             self._write_kpis(folder, empty)
             return names
         folders = json.loads(row["window_days"]) if row is not None and row["window_days"] else {}
@@ -110,7 +111,7 @@ class IncrementalPipeline(Pipeline):
         self.spark.createDataFrame(files, MANIFEST).coalesce(1).write.parquet(f"{folder}/files")
         day = F.to_date(RAW_TS)
         rows = self._source(self.files_read).where(day.isin(self.rebuilt_days) if wanted else F.lit(False))
-        write_window_table(project_window(rows), f"{folder}/window")
+        checked(write_window_table(project_window(rows), f"{folder}/window"), start, end)
         schema = self._schema("window")
         new = self.spark.read.schema(schema).parquet(f"{folder}/window").select(*schema.names)
         written = {r[0] for r in new.select(WINDOW_DAY).distinct().collect()}   # a window's days at most
@@ -143,9 +144,8 @@ class IncrementalPipeline(Pipeline):
 
     def _state_of(self, start, end, version: int, names: dict) -> DataFrame:
         return self.spark.createDataFrame(
-            [(start, end, version, *[names.get(c) for c in ("window_path", "kpi_daily_path", "kpi_global_path", "window_days", "files_path")])],
-            "start_date date, end_date date, version int, window_path string, kpi_daily_path string, kpi_global_path string, "
-            "window_days string, files_path string")
+            [(start, end, version, *map(names.get, PATHS))],
+            "start_date date, end_date date, version int, " + ", ".join(f"{c} string" for c in PATHS))
 
     # -- jobs ------------------------------------------------------------------------
 

@@ -25,15 +25,17 @@ from __future__ import annotations
 
 import contextlib
 import datetime as _dt
+import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import as_date
 from tidewatch.operators.extract import extract_window, project_window
 from tidewatch.operators.kpi import kpi_daily, kpi_global
-from tidewatch.plans.checks import check_slide_days, check_window_verdict
+from tidewatch.plans.checks import check_slide_days, check_window_verdict, verdict_columns
+from tidewatch.plans.lookup import lookup_by_hash
 from tidewatch.plans.slides import day_tables, kpi_daily_slides, kpi_global_slides, slides_window
 from tidewatch.plans.state import StateStore
 from tidewatch.plans.windows import state_row
@@ -41,15 +43,39 @@ from tidewatch.schema import DAILY_KPIS, SLIDE_DAYS, WHALE_THRESHOLD_SAT, WINDOW
 from tidewatch.session import remove_path, scratch_path, set_initial_shuffle_partitions
 
 
-def write_window_table(window: DataFrame, path: str) -> None:
+def write_window_table(window: DataFrame, path: str, bloom: bool = True) -> dict:
     """SNK-1: day-partitioned, hash-clustered window table.
 
     ``rebalance`` on the day lets AQE split a heavy day over several tasks
     (and merge light days) instead of one task per day; sorting by hash
-    inside each file gives row-group min/max skipping on the hash."""
-    (window.hint("rebalance", F.col(WINDOW_DAY))
-     .sortWithinPartitions(WINDOW_DAY, "hachage_transaction")
-     .write.mode("overwrite").partitionBy(WINDOW_DAY).parquet(path))
+    inside each file gives row-group min/max skipping on the hash, and a Bloom
+    filter on it (sized by what a row group holds) tells the files that have a hash
+    from those that do not (``plans.lookup``).
+
+    Returns what was written, as the write has seen it: ``min_day``, ``max_day``
+    and ``rows``.  They are observed where rows go to the writer, in the
+    last stage, whose tasks count once however often one is tried."""
+    seen = Observation()
+    rows = window.hint("rebalance", F.col(WINDOW_DAY)).sortWithinPartitions(WINDOW_DAY, "hachage_transaction").observe(
+        seen, F.min(WINDOW_DAY).alias("min_day"), F.max(WINDOW_DAY).alias("max_day"), F.count(F.lit(1)).alias("rows"))
+    writer = rows.write.mode("overwrite").partitionBy(WINDOW_DAY)
+    if bloom:
+        writer = writer.option("parquet.bloom.filter.enabled#hachage_transaction", "true").option(
+            "parquet.bloom.filter.adaptive.enabled", "true")
+    writer.parquet(path)
+    return {"min_day": None, "max_day": None, "rows": 0} | dict(seen.get)   # an empty plan observes nothing
+
+
+class BrokenWindow(ValueError):
+    """A window table holds days outside its bounds; it is not committed."""
+
+
+def checked(seen: dict, start, end) -> str:
+    """What a write has seen, as a JSON column of the state; raises when days lie
+    outside ``[start, end]`` (CK-3 on the way, without a scan)."""
+    if seen["rows"] and (start is None or seen["min_day"] is None or not start <= seen["min_day"] <= seen["max_day"] <= end):
+        raise BrokenWindow(f"days {seen['min_day']} to {seen['max_day']} in a window of {start} to {end}")
+    return json.dumps(seen, default=str)
 
 
 def write_kpi_daily(daily: DataFrame, path: str) -> None:
@@ -159,17 +185,19 @@ class Pipeline:
             remove_path(self.spark, f"{self.root}/{r['build']}")
 
     # -- one window -------------------------------------------------------
-    def _write_window(self, folder: str, start, end) -> DataFrame:
-        write_window_table(extract_window(self.raw, start, end), f"{folder}/window")
-        return self._load("window", f"{folder}/window")
+    def _write_window(self, folder: str, start, end) -> tuple[DataFrame, str]:
+        """The window table as written, and what its write has seen."""
+        seen = write_window_table(extract_window(self.raw, start, end), f"{folder}/window")
+        return self._load("window", f"{folder}/window"), checked(seen, start, end)
 
     def _write_kpis(self, folder: str, window: DataFrame) -> None:
         write_kpi_daily(kpi_daily(window, self.whale_sat), f"{folder}/kpi_daily")
         write_kpi_global(kpi_global(window, self.whale_sat), f"{folder}/kpi_global")
 
-    def _one_state(self, start, end, version: int, folder: str, window_path: str | None = None) -> DataFrame:
+    def _one_state(self, start, end, version: int, folder: str, observed: str | None = None,
+                   window_path: str | None = None) -> DataFrame:
         return state_row(self.spark, start, end, version).select(
-            "*", F.lit(window_path or f"{folder}/window").alias("window_path"),
+            "*", F.lit(window_path or f"{folder}/window").alias("window_path"), F.lit(observed).alias("observed"),
             F.lit(f"{folder}/kpi_daily").alias("kpi_daily_path"),
             F.lit(f"{folder}/kpi_global").alias("kpi_global_path"))
 
@@ -182,10 +210,10 @@ class Pipeline:
         first = _dt.date.fromisoformat(str(month)[:10]).replace(day=1)
         after = (first + _dt.timedelta(days=32)).replace(day=1)
         with self._building() as folder:
-            window = self._write_window(folder, first, after - _dt.timedelta(days=1))
-            start, end = window.agg(F.min(WINDOW_DAY), F.max(WINDOW_DAY)).first()
+            window, observed = self._write_window(folder, first, after - _dt.timedelta(days=1))
+            start, end = (None if d is None else _dt.date.fromisoformat(d) for d in map(json.loads(observed).get, ("min_day", "max_day")))
             self._write_kpis(folder, window)
-            self._commit(self._one_state(start, end, version, folder))
+            self._commit(self._one_state(start, end, version, folder, observed))
         return version
 
     # -- PL-2 -------------------------------------------------------------
@@ -207,8 +235,9 @@ class Pipeline:
         new_start = start + shift if start is not None else None
         new_end = end + shift if end is not None else None
         with self._building() as folder:
-            self._write_kpis(folder, self._write_window(folder, new_start, new_end))
-            self._commit(self._one_state(new_start, new_end, version + 1, folder))
+            window, observed = self._write_window(folder, new_start, new_end)
+            self._write_kpis(folder, window)
+            self._commit(self._one_state(new_start, new_end, version + 1, folder, observed))
         return version + 1
 
     def run(self, iterations: int) -> int:
@@ -233,7 +262,9 @@ class Pipeline:
         start, end, version = self.state.bounds()
         bounds = (start, end)          # literals: pushed to the scan
         with self._building() as out:
-            write_window_table(slides_window(self.raw, bounds, n_slides, self.step), f"{out}/window")
+            seen = write_window_table(slides_window(self.raw, bounds, n_slides, self.step), f"{out}/window")
+            shift = lambda day, k: None if day is None else day + _dt.timedelta(days=self.step * k)
+            checked(seen, shift(start, 1), shift(end, n_slides))
             w = self._load("window", f"{out}/window")
             tables = []
             for name, t in zip(("days", "values", "addresses"), day_tables(w, self.whale_sat)):
@@ -278,7 +309,7 @@ class Pipeline:
         nxt = self.state.row()["version"] + 1
         with self._building() as folder:
             self._write_kpis(folder, self._table("window", row))
-            self._commit(self._one_state(row["start_date"], row["end_date"], nxt, folder, row["window_path"]))
+            self._commit(self._one_state(row["start_date"], row["end_date"], nxt, folder, row["observed"], row["window_path"]))
         return nxt
 
     # -- checks -----------------------------------------------------------
@@ -288,6 +319,23 @@ class Pipeline:
         return check_window_verdict(self._table("window", row), state_row(
             self.spark, row["start_date"], row["end_date"], row["version"]))
 
+    def observed(self, version: int | None = None) -> DataFrame:
+        """CK-3 of a version's window from what its write has seen: no table is read.
+        Windows of a many-slide build share a table; ``slide_checks`` has theirs."""
+        row = self.state.row(version)
+        if row["observed"] is None:
+            raise ValueError(f"version {row['version']} was not observed when it was written")
+        seen = json.loads(row["observed"])
+        contents = self.spark.range(1).select(
+            F.lit(row["start_date"]).cast("date").alias("start_date"), F.lit(row["end_date"]).cast("date").alias("end_date"),
+            F.lit(seen["min_day"]).cast("date").alias("min_date_table"), F.lit(seen["max_day"]).cast("date").alias("max_date_table"),
+            F.lit(seen["rows"]).cast("bigint").alias("nb_lignes"))
+        return contents.select("*", *verdict_columns(contents))
+
+    def lookup(self, hashes: list[str], version: int | None = None) -> DataFrame:
+        """The transactions of a version's window with these hashes (``plans.lookup``)."""
+        return lookup_by_hash(self.read("window", version), hashes)
+
     def slide_checks(self, version: int | None = None) -> DataFrame:
         """The checks that the many-slide job of a version has written."""
         path = self.state.row(version)["window_path"].rsplit("/", 1)[0]

@@ -19,8 +19,8 @@ from tidewatch.schema import SLIDE_DAYS
 
 #: Where a version's tables are (NULL in a store that only keeps bounds).  Windows
 #: built from changes also have the folder of each day (JSON) and the manifest of
-#: the source files.
-PATHS = ("window_path", "kpi_daily_path", "kpi_global_path", "window_days", "files_path")
+#: the source files; ``observed`` is what the write of the window has seen (JSON).
+PATHS = ("window_path", "kpi_daily_path", "kpi_global_path", "window_days", "files_path", "observed")
 #: A state row: the window's bounds and these.
 STATE_SCHEMA = "start_date date, end_date date, " + ", ".join(f"{c} string" for c in PATHS) + ", version int"
 

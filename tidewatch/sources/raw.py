@@ -26,3 +26,20 @@ def write_raw(raw: DataFrame, path: str, mode: str = "overwrite") -> None:
     (raw.hint("rebalance", F.col(RAW_MONTH))
         .sortWithinPartitions(RAW_MONTH, RAW_TS)
         .write.mode(mode).partitionBy(RAW_MONTH).parquet(path))
+
+
+def register_raw(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Make a month-partitioned folder a table of the session's catalog, with the
+    columns found there and its months as catalog partitions; a month predicate then
+    prunes in the catalog, before any folder is listed.  Months that arrive later
+    are added by ``refresh_raw``."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet PARTITIONED BY ({RAW_MONTH}) LOCATION '{path}'")
+    return refresh_raw(spark, table)
+
+
+def refresh_raw(spark: SparkSession, table: str) -> DataFrame:
+    """The catalog table with the months that its folder holds now."""
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(table)
+    return read_raw(spark, table=table)

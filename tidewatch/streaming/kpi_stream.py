@@ -25,13 +25,17 @@ rebuild or its checks.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.operators.kpi import (
     DAILY_NAMES, GLOBAL_NAMES, finishers, measures, median_agg, partial_aggs,
 )
+from tidewatch.plans.commit_log import CommitLog
 from tidewatch.schema import MEDIAN_ACCURACY
+from tidewatch.session import remove_path
 
 TS = "horodatage_bloc"
 
@@ -181,22 +185,86 @@ def run_available_now(df: DataFrame, sink: str, checkpoint: str, mode: str = "ap
 
 
 def write_live(df: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None,
-               files: int | None = 1):
+               files: int | None = 1, keys: list | None = None, compact_every: int | None = None, **trigger):
     """RW-8: update-mode stream into a table of changes, one folder a
     micro-batch (a few rows, one file; ``files=None``: as many as there are
-    partitions, for larger changes).  Read it with ``read_live``."""
+    partitions, for larger changes).  Read it with ``read_live``.
+
+    With ``compact_every`` (and the windows' ``keys``) the table is compacted after
+    every so many micro-batches (``compact_live``).  ``trigger``: by default
+    everything available."""
     def change(batch: DataFrame, epoch_id: int) -> None:
         (batch.repartition(files) if files else batch).write.mode("overwrite").parquet(f"{path}/epoch={epoch_id}")
+        if compact_every and (epoch_id + 1) % compact_every == 0:
+            compact_live(batch.sparkSession, path, keys, files=files)
 
     w = (df.writeStream.outputMode("update").foreachBatch(change)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True))
+         .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})))
     return _start(df, w, state_partitions)
 
 
-def read_live(spark: SparkSession, path: str, keys: list, schema=None) -> DataFrame:
-    """The latest values of each window in a ``write_live`` table."""
+def _snapshots(spark: SparkSession, path: str) -> CommitLog:
+    return CommitLog(spark, f"{path}/_snapshots/log", "path string, upto bigint")
+
+
+def live_rows(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """All values that a live table holds, with their ``epoch``: those of the
+    newest snapshot and of the epochs behind it."""
     r = spark.read.schema(schema) if schema is not None else spark.read
-    rows = r.parquet(path)
+    last = _snapshots(spark, path).rows().orderBy(F.desc("commit")).first()
+    if last is None:
+        rows = r.parquet(path)
+        return rows.withColumn("epoch", F.col("epoch").cast("bigint"))
+    old = spark.read.parquet(last["path"])
+    if not _epochs(spark, path, behind=last["upto"]):
+        return old
+    rows = spark.read.schema(old.schema).parquet(path).where(F.col("epoch") > last["upto"])
+    return old.unionByName(rows.select(*old.columns))
+
+
+def _epochs(spark: SparkSession, path: str, behind: int = -1) -> list[int]:
+    """The epoch folders of a live table."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [f.getPath().getName() for f in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
+    return sorted(k for k in (int(n.split("=")[1]) for n in names if n.startswith("epoch=")) if k > behind)
+
+
+def _latest(rows: DataFrame, keys: list) -> DataFrame:
     cols = [c for c in rows.columns if c != "epoch"]
-    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*cols), "epoch").alias("last"))
-    return last.select("last.*")
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*cols), "epoch").alias("last"), F.max("epoch").alias("epoch"))
+
+
+def compact_live(spark: SparkSession, path: str, keys: list, keep: int = 2, files: int | None = 1) -> int | None:
+    """Merge the epochs up to a safe one into a snapshot; its last epoch, or None
+    when there is nothing to merge.
+
+    The newest ``keep`` epochs stay: the last one may be written again when a
+    stream restarts.  The snapshot holds each window's latest values with their
+    epoch.  It counts from the one entry in a log on; readers take the snapshot and the
+    epochs behind it, so an older epoch that is there twice, or appears again,
+    changes nothing.  Folders that an earlier snapshot has merged are removed now,
+    those that this one has with the next: a reader that listed them just before
+    still finds them."""
+    log = _snapshots(spark, path)
+    last = log.rows().orderBy(F.desc("commit")).first()
+    merged = -1 if last is None else last["upto"]
+    there = _epochs(spark, path)
+    todo = [e for e in there if e > merged][:-keep]
+    if not todo:
+        return None
+    snapshot = f"{path}/_snapshots/upto={todo[-1]}-{uuid.uuid4().hex}"
+    rows = _latest(live_rows(spark, path).where(F.col("epoch") <= todo[-1]), keys).select("last.*", "epoch")
+    (rows.repartition(files) if files else rows).write.parquet(snapshot)
+    log.commit([{"path": snapshot, "upto": todo[-1]}], lambda: None)
+    for e in there:
+        if e <= merged:
+            remove_path(spark, f"{path}/epoch={e}")
+    older = log.rows().orderBy(F.desc("commit")).offset(2).collect()   # one row a compaction
+    for r in older:
+        remove_path(spark, r["path"])
+    return todo[-1]
+
+
+def read_live(spark: SparkSession, path: str, keys: list, schema=None) -> DataFrame:
+    """The latest values of each window in a ``write_live`` table."""
+    return _latest(live_rows(spark, path, schema), keys).select("last.*")

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.plans.commit_log import CommitLog
 from tidewatch.session import remove_path
-from tidewatch.streaming.kpi_stream import TS, _start
+from tidewatch.streaming.kpi_stream import TS, _start, live_rows
 
 DAY = _dt.timedelta(days=1)
 
@@ -108,7 +108,7 @@ class Repairs:
         days = late.select(F.to_date(TS).alias("jour")).where("jour IS NOT NULL").distinct()
         closed = F.date_add("end_day", 1).cast("timestamp") <= F.timestamp_micros(F.lit(self.intake.watermark_us()))
         touched = self.windows(days).where(closed).select(*self.keys).distinct()
-        epoch = self.spark.read.parquet(self.live).agg(F.max("epoch")).first()[0]
+        epoch = live_rows(self.spark, self.live).agg(F.max("epoch")).first()[0]
         path = f"{self.intake.root}/repaired-{uuid.uuid4().hex}"
         self.compute(self.intake.rows(), touched).repartition(1).write.parquet(path)   # a row a window
         self.log.commit([{"path": path, "live_epoch": epoch, "late_upto": upto}], lambda: None)
@@ -116,7 +116,7 @@ class Repairs:
 
     def read(self) -> DataFrame:
         """The newest values of each window, streamed or repaired."""
-        live = self.spark.read.parquet(self.live)
+        live = live_rows(self.spark, self.live)
         cols = [c for c in live.columns if c != "epoch"]
         rows = live.select(F.struct(F.col("epoch").cast("bigint").alias("epoch"), F.lit(-1).alias("commit")).alias("at"), *cols)
         for r in self.log.rows().collect():   # one row a repair
