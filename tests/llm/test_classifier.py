@@ -72,4 +72,17 @@ def test_awkward_rows(spark):
     assert classifier.with_scores(empty(spark), model, score_col="good").count() == 0
     assert classifier.train(empty(spark), labels).prior == 0.5
     bounded = classifier.train(df, labels, sample=2)
-    assert len(bounded.labels) <= 3   # rows of two labels; a repeated row of one id counts each
+    assert len(bounded.labels) <= 2
+    twice = classifier.train(df.unionByName(df), labels)   # repeated rows are one
+    assert len(twice.labels) == len(model.labels)
+
+
+def test_sample_is_bounded_with_repeated_ids(spark):
+    """Copies of rows, and one id with thousands of texts: no more rows than asked for are fitted."""
+    rows = [(i % 20, prose(20, i % 20), "en", "a", 1) for i in range(4000)] + [(30, f"{prose(10, 1)} {i}", "en", "a", 1) for i in range(3000)]
+    docs = awkward(spark, clash=False, rows=rows).repartition(8)
+    labels = labels_of(spark, [(i, i % 2, 0) for i in range(20)] + [(30, 1, 0)])
+    model = classifier.train(docs, labels, sample=50)
+    assert len(model.labels) == 50
+    few = classifier.train(docs.where("doc_id < 20"), labels, sample=50)
+    assert len(few.labels) == sum(fold(i) != 0 for i in range(20))

@@ -4,6 +4,7 @@ import re
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 from helpers import SCHEMA, awkward, empty, labels_of, prose
 
 import corpus_pipeline as P
@@ -76,7 +77,7 @@ def test_awkward_rows_through_each_stage(spark, labelled, k):
     assert n > 0
     if name == "simhash near-dedup":
         got = [r["doc_id"] for r in out.collect()]
-        assert got.count(7) + got.count(6) == 1 and got.count(1) == 1 and 2 not in got and got.count(None) == 2
+        assert got.count(7) + got.count(6) == 1 and got.count(1) == 1 and 2 not in got and got.count(None) == 1
     if name == "secret scans":
         assert rows_of(out.select(COLUMNS)) == rows_of(df.select(COLUMNS))   # nothing to find
     if name == "mixing":
@@ -90,7 +91,7 @@ def test_entry_without_the_package(monkeypatch):
     """The entry file imports and lists its other queries when these folders are gone."""
     import __spark_entry__ as E
 
-    assert {f"op{n}" for n in range(1, 11)} <= {q.split("_")[0] for q in E.queries()} and "pipeline" in E.queries()
+    assert {f"op{n}" for n in range(1, 14)} <= {q.split("_")[0] for q in E.queries()} and "pipeline" in E.queries()
     real = importlib.util.find_spec
     monkeypatch.setattr(importlib.util, "find_spec", lambda name, *a: None if re.match(r"tidewatch\.llm|corpus_pipeline", name) else real(name, *a))
     assert not any(q.startswith("op") or q == "pipeline" for q in E.queries()) and "kpi_daily" in E.queries()
@@ -106,6 +107,8 @@ def test_queries_have_their_columns(spark):
         "op6_document_fingerprints": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
         "op7_url_filters": "page_id host path rule verdict", "op8_quality_classifier": "doc_id held_out score predicted",
         "op9_mixing": "doc_id size source_size target taken", "op10_secret_scan": "doc_id n_assign n_access n_hex base_sha256 spans",
+        "op11_page_text": "page_id url text n_chars", "op12_centroids": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
+        "op13_manifest": "doc_id leaf subroot root proof_sha256 folded_root verified",
     }
     assert set(queries.QUERIES) == set(want)
     longs = {"n_tokens", "n_known", "train_tokens", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_bytes", "n_removed", "n_spans",
@@ -140,3 +143,20 @@ def test_positions_rise_through_the_mixed_table_and_its_packing(spark):
     turn = [{4 * i // len(rows) for i in shards[s]} for s in sorted(shards)]
     assert len(shards) >= 12 and all(len(t) == 1 for t in turn)
     assert [min(t) for t in turn] == sorted(min(t) for t in turn) and {min(t) for t in turn} == {0, 1, 2, 3}
+
+
+def test_duplicates_are_dropped_by_row(spark):
+    """An id with two texts loses only the copy; a row without an id goes beside a kept copy; of equal rows one stays."""
+    a, b, c = (prose(40, k) for k in (21, 22, 23))
+    rows = [(3, a, "en", "s", 1), (5, a, "en", "s", 1), (5, b, "en", "s", 1), (None, a, "en", "s", 1), (None, c, "en", "s", 1),
+            (None, c, "en", "t", 1), (9, "", "en", "s", 1), (8, None, "en", "s", 1)]
+    rows += [(77, "copy " + c, "en", "s", 1)] * 10_000
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(8).withColumn("fp", F.lit(1)).withColumn("row_of", F.lit("x"))
+    out = P.deduplicate(spark, docs, "")
+    assert out.columns == docs.columns
+    got = [(r["doc_id"], r["text"]) for r in out.collect()]
+    expected = {(3, a), (5, b), (8, None)}
+    assert expected <= set(got) and len(got) == len(set(got))
+    near = [x for x in got if x not in expected]
+    assert (77, "copy " + c) in near and all(x[0] in (77, None) for x in near) and len(near) <= 2
+    assert P.deduplicate(spark, docs.limit(0), "").count() == 0

@@ -78,3 +78,76 @@ def test_forest_paths():
     assert (rules.Forest(np.zeros((0, 3)), 10).scores(x) == 0.5).all()
     assert len(set(rules.Forest(np.ones((600, 3)), 10).scores(np.ones((4, 3))))) == 1
     assert rules.mean_path(np.array([1, 2, 256])).round(2).tolist() == [0.0, 1.0, 10.24]
+
+
+def brute_threshold(good, bad, loss):
+    """Every threshold of a fine grid tried on the scores themselves."""
+    best = None
+    for t in range(rules._BINS, -1, -1):
+        lost = sum(x > t for x in good) / len(good)
+        gain = sum(x > t for x in bad) / len(bad) - lost
+        if lost <= loss and (best is None or gain > best[0] + 1e-12):
+            best = gain, t / rules._BINS
+    return best[1]
+
+
+def test_threshold_from_both_labels():
+    rng = np.random.default_rng(3)
+    bins = lambda good, bad: [(k, good.count(k), bad.count(k)) for k in sorted({*good, *bad})]
+    for loss in (0.0, 0.01, 0.2):
+        for shift in (0, 100, 400, 900):
+            good = rng.integers(300, 900, 60).tolist()
+            bad = (rng.integers(300, 900, 30) + shift).tolist()
+            assert rules.threshold(bins(good, bad), loss) == brute_threshold(good, bad, loss)
+    good = [500] * 99 + [700]
+    apart = rules.threshold(bins(good, [1200] * 5), 0.05)
+    assert 700 / rules._BINS <= apart < 1200 / rules._BINS
+    assert rules.threshold(bins(good, [600] * 5), 0.05) < 600 / rules._BINS      # only the bad labels have moved
+    assert rules.threshold(bins(good, []), 0.05) == 500 / rules._BINS
+    assert rules.threshold([], 0.05) == 1.0 and rules.threshold([(5, 0, 3)], 0.05) == 1.0
+
+
+def test_verdicts_equal_plain_walks_of_the_trees(spark):
+    """Scores and verdicts of the whole table by one walk a row and tree."""
+    docs, labels = (spark.read.parquet(f"{SF0001}/{t}.parquet") for t in ("documents", "labels"))
+    got = {r["doc_id"]: r for r in collected(rules.judge(docs, labels, trees=8))}
+    stats = rules.statistics(docs).collect()
+    passing = [r for r in stats if not (r["n_words"] < 10 or 100 * r["n_repeat_words"] > 20 * r["n_words"])]
+    sample = sorted((r["order_key"], *[r[s] for s in rules.STATISTICS]) for r in passing)[:8 * 256]
+    forest = rules.Forest(np.array([r[1:] for r in sample]), 8)
+    assert forest.size > 15
+
+    def walk(tree, x):
+        feature, split, child, depth = tree
+        at = 0
+        while feature[at] >= 0:
+            at = child[at] + (x[feature[at]] >= split[at])
+        return depth[at]
+
+    mean = 2 * (np.log(forest.size - 1) + np.euler_gamma) - 2 * (forest.size - 1) / forest.size
+    scores = {}
+    for r in stats:
+        x = [r[s] for s in rules.STATISTICS]
+        scores[r["doc_id"]] = 2.0 ** -(sum(walk(t, x) for t in forest.trees) / len(forest.trees) / mean)
+    assert all(abs(got[i]["anomaly"] - s) < 1e-12 for i, s in scores.items())
+    quality = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    ids = {r["doc_id"] for r in passing}
+    bin_of = lambda i: int(np.ceil(got[i]["anomaly"] * rules._BINS))
+    limit = brute_threshold([bin_of(i) for i in ids if quality.get(i) == 1], [bin_of(i) for i in ids if quality.get(i) == 0], 0.003)
+    assert {r["threshold"] for r in got.values()} == {limit}
+    assert {i for i, r in got.items() if r["kept"]} == {i for i in ids if scores[i] <= limit}
+
+
+def test_the_sample_is_bounded_whatever_repeats(spark):
+    """The rows with the least keys, repeated ones as often as they are there, and no more than asked for."""
+    from tidewatch.llm.common import least_rows
+
+    rows = spark.range(20_000).selectExpr("xxhash64(id) AS key", "id % 7 AS v").repartition(16)
+    want = sorted((r["key"], r["v"]) for r in rows.collect())
+    assert [tuple(r) for r in least_rows(rows, "key", 300)] == want[:300]
+    assert [tuple(r) for r in least_rows(rows, "key", 30_000)] == want
+    hot = rows.unionByName(spark.range(20_000).selectExpr("xxhash64(1000000L) AS key", "CAST(1 AS BIGINT) AS v"))
+    want = sorted((r["key"], r["v"]) for r in hot.collect())
+    for n in (1, 5_000, 15_000, 39_999):
+        assert [tuple(r) for r in least_rows(hot, "key", n)] == want[:n]
+    assert least_rows(rows.limit(0), "key", 5) == [] and least_rows(rows, "key", 0) == []

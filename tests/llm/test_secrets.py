@@ -70,7 +70,26 @@ def test_queries_of_rules():
     q = {r.kind: r.query() for r in secret_scan.BASE_RULES}
     assert q["hex"] == ()                       # no mandatory trigram: a full scan
     assert q["access"] == (("aki", "kia"),)
-    assert ("ecr", "cre", "ret", "sec") != q["assign"][2] and set(q["assign"][2]) == {"sec", "ecr", "cre", "ret"}
+    grams = lambda w: tuple(sorted({w[i:i + 3] for i in range(len(w) - 2)}))
+    assert set(q["assign"]) == {grams(w) for w in ("password", "passwd", "secret", "token", "apikey", "api_key")}
+
+
+def test_no_python_on_the_path(spark):
+    found = secret_scan.scan(spark.read.parquet(f"{SF0001}/documents.parquet"))
+    plan = found._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_rules_of_the_caller(spark):
+    """Rules with alternatives, optional parts and nothing mandatory, against plain searches."""
+    rules = tuple(secret_scan.Rule(f"r{i}", p) for i, p in enumerate((
+        r"(?:key|pass)word-(?:id)?[0-9]{3}", r"x?yz[0-9]+", r"(?i:Bearer) [a-z]+", r"[0-9]{4}-[0-9]{4}", r"(?:ab|cd){2}e")))
+    texts = ["keyword-id123 password-456 keyword-12", "xyz1 yz22 Yz3", "BEARER abc bearer X bEaReR q", "1234-5678 123-4567", "ababe abcde cdabe abe", "", "zz"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: [(s["start"], s["end"], s["kind"]) for s in r["spans"]] for r in secret_scan.scan(df, rules=rules).collect()}
+    for i, t in enumerate(texts):
+        want = sorted((m.start(), int(r.kind[1:]), m.end(), r.kind) for r in rules for m in re.finditer(r.pattern, t, re.A))
+        assert got.get(i, []) == [(a, b, k) for a, _, b, k in want], t
 
 
 def test_the_index_leaves_out_documents_without_the_trigrams(spark):

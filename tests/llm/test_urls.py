@@ -67,5 +67,7 @@ def test_rules_are_filed_under_their_rarest_token(spark):
 
 def test_a_rule_without_a_token_is_tried_everywhere(spark):
     df = spark.createDataFrame([(1, "http://a.net/x9y"), (2, "http://b.net/xy")], "page_id long, url string")
-    rules = (urls.UrlRule("digits", "block", "[0-9]", ()),)
+    rules = (urls.UrlRule("digits", "block", "[0-9]"), urls.UrlRule("x", "block", "zz$"))
     assert {r["page_id"]: r["verdict"] for r in urls.judge(df, rules=rules).collect()} == {1: "block", 2: "allow"}
+    plan = urls.judge(df, rules=rules)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 2      # one for the index, one for all rules without a token

@@ -4,7 +4,7 @@ Features are counts of neighbouring byte pairs, bytes folded into classes
 (letters, digits, each ASCII mark, white space, bytes of other scripts), and the
 number of words equal to the one before.  Inverse
 document frequencies come from all documents.  A bounded sample of the labelled
-training rows (``sample``, the least hashes of their ids) gives a truncated
+training rows (``sample``: the least hashes of their ids, and of these ids' texts) gives a truncated
 singular value decomposition; its rows in the latent space, scaled to length
 one, and their labels are broadcast (``sample * rank`` floats).  Every document
 is projected, and in blocks its cosine with every labelled vector is computed;
@@ -13,8 +13,9 @@ the ``neighbours`` most alike vote with their similarity as weight.
 Cases: null text counts as empty; a text without a pair (and any text if there
 are no labelled rows) gets the share of label 1 among the sample, 0.5 if there
 is none; labels that are null or not 0/1 are ignored; an id labelled several
-times counts as often; repeated rows are scored alike; an empty table gives an
-empty one.
+times counts as often; rows that repeat an id and a text are one row of the
+sample, and several texts of one id count each, as far as the sample has room;
+repeated rows are scored alike; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import crc_mod, prepare, text_bytes, word_hashes
+from tidewatch.llm.common import crc_mod, least_rows, prepare, text_bytes, word_hashes
 
 
 def _classes() -> tuple[np.ndarray, int]:
@@ -152,10 +153,18 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
     marked = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).where(
         F.col("label").isin(0, 1) & (crc_mod(F.col("doc_id"), folds) != 0))
-    chosen = (marked.join(d.select("doc_id").distinct(), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "label")
-              .limit(sample))
-    rows = (d.join(F.broadcast(chosen), "doc_id").select("text", "label")   # at most ``sample`` rows
-            .mapInArrow(_sparse, "at binary, n binary, label int").orderBy("at", "n", "label").collect())
+    there = marked.join(d.select("doc_id").distinct(), "doc_id").select(F.xxhash64("doc_id").alias("key"), "doc_id", "label")
+    chosen = least_rows(there, "key", sample)
+    if not chosen:
+        return Model(idf, np.zeros((N_FEATURES, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0, np.float32), neighbours)
+    ids = docs.sparkSession.createDataFrame([tuple(r[1:]) for r in chosen], there.select("doc_id", "label").schema)
+    # an id may have any number of rows: each text once, and no more of them than the sample holds
+    texts = d.join(F.broadcast(ids.select("doc_id").distinct()), "doc_id").select(   # at most ``sample`` ids
+        F.xxhash64("doc_id", "text").alias("key"), "doc_id")
+    keys = docs.sparkSession.createDataFrame(sorted({r[0] for r in least_rows(texts.distinct(), "key", sample)}), "bigint")
+    own = d.withColumn("key", F.xxhash64("doc_id", "text")).join(F.broadcast(keys.withColumnRenamed("value", "key")), "key")
+    rows = (own.dropDuplicates(["key"]).join(F.broadcast(ids), "doc_id").select("text", "label")
+            .mapInArrow(_sparse, "at binary, n binary, label int").orderBy("at", "n", "label").limit(sample).collect())
     y = np.array([r["label"] for r in rows], np.float32)
     if not len(rows):
         return Model(idf, np.zeros((N_FEATURES, 1), np.float32), np.zeros((0, 1), np.float32), y, neighbours)

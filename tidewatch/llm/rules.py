@@ -5,12 +5,15 @@ windows.  Ratios of such counts are a document's statistics.  Each tree of the
 forest splits its own ``tree_rows`` rows (a bounded sample, part of the method:
 the rows with the least hashes) at random until they are alone; a document's
 mean path length gives its anomaly score in (0, 1).  The threshold comes from
-the scores of all labelled rows: the least one above which at most ``good_loss``
-of the good rows lie.  A document is kept when it passes the base rules and its
-score is not above the threshold.
+the scores of all labelled rows that pass the base rules, good and bad: of those above which at
+most ``good_loss`` of the good rows lie, the one that parts the two best (the
+share of the bad rows above it less that of the good ones), the highest at a tie.
+Without bad rows it is the least of them.  A document is kept when it passes the
+base rules and its score is not above the threshold.
 
 Cases: null text has no words and fails the base rules, like an empty one; no
-labelled good row: no threshold, the base rules decide alone; repeated rows are
+labelled good row: no threshold, the base rules decide alone; labels that are null
+or not 0/1 are ignored, an id labelled both ways counts for both; repeated rows are
 judged alike; a text of any length is taken whole; an empty table gives an empty
 one.
 """
@@ -23,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import materialise, prepare, row_key, text_bytes
+from tidewatch.llm.common import least_rows, materialise, prepare, row_key, text_bytes
 
 WINDOW = 5
 # The symbols and white space of the contract.
@@ -45,6 +48,23 @@ _IS_CAPITAL, _IS_LETTER = _table(bytes(range(65, 91))), _table(bytes([*range(65,
 _IS_MARK = _table(bytes(c for c in range(33, 127) if not chr(c).isalnum()))
 
 
+def threshold(scored: list[tuple[int, int, int]], good_loss: float) -> float:
+    """The threshold from ``(bin, good rows, bad rows)``; a bin's rows score at most
+    ``bin / _BINS``."""
+    good, bad = sum(r[1] for r in scored), sum(r[2] for r in scored)
+    if not good:
+        return 1.0
+    best, out, above_good, above_bad, last = None, 1.0, 0, 0, _BINS + 1
+    for k, g, b in sorted(scored, reverse=True):   # what lies above bin k goes: the bins from ``last`` on
+        if above_good > good_loss * good:
+            break
+        gain = above_bad / bad - above_good / good if bad else -k
+        if best is None or gain > best:
+            best, out = gain, (last - 1 if bad else k) / _BINS
+        above_good, above_bad, last = above_good + g, above_bad + b, k
+    return out
+
+
 def repeated_words(words: list[bytes], width: int = WINDOW) -> int:
     """Words inside windows that occur twice or more, the first one included."""
     windows = list(zip(*[words[i:] for i in range(width)]))
@@ -169,9 +189,8 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """``doc_id``, the base counts, ``base_failed, anomaly, threshold, kept`` of every row."""
     spark = docs.sparkSession
     stats = materialise(statistics(docs, id_col, text_col), "statistics")
-    sample = (stats.where(~base_failed()).select("order_key", *STATISTICS).orderBy("order_key", *STATISTICS)
-              .limit(trees * tree_rows).collect())   # bounded by the two parameters
-    rows = np.array([r[1:] for r in sample], np.float64).reshape(-1, len(STATISTICS))
+    rows = np.array([r[1:] for r in least_rows(   # bounded by the two parameters
+        stats.where(~base_failed()).select("order_key", *STATISTICS), "order_key", trees * tree_rows)], np.float64).reshape(-1, len(STATISTICS))
     shared = spark.sparkContext.broadcast(Forest(rows, trees))
     names = stats.columns
 
@@ -181,15 +200,11 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(shared.value.scores(x))], names=[*names, "anomaly"])
 
     scored = materialise(stats.mapInArrow(run, T.StructType([*stats.schema.fields, T.StructField("anomaly", T.DoubleType())])), "anomalies")
-    good = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("doc_id")).distinct()
-    bins = (scored.where(~base_failed()).join(good, "doc_id").groupBy(F.ceil(F.col("anomaly") * _BINS).alias("bin"))
-            .count().orderBy("bin").collect())   # at most _BINS rows
-    total, above, threshold = sum(r["count"] for r in bins), 0, 1.0
-    for r in reversed(bins):
-        if above + r["count"] > good_loss * total:
-            threshold = r["bin"] / _BINS
-            break
-        above += r["count"]
+    label = F.col(label_col).cast("int")
+    marked = labels.select(F.col(id_col).alias("doc_id"), label.alias("label")).where(F.col("label").isin(0, 1)).distinct()
+    bins = (scored.where(~base_failed()).join(marked, "doc_id").groupBy(F.ceil(F.col("anomaly") * _BINS).alias("bin"))
+            .agg(F.count_if(F.col("label") == 1).alias("good"), F.count_if(F.col("label") == 0).alias("bad")).collect())   # at most _BINS rows
+    limit = threshold([tuple(r) for r in bins], good_loss)
     failed = base_failed()
-    return scored.select("doc_id", *COUNTS, failed.alias("base_failed"), "anomaly", F.lit(threshold).alias("threshold"),
-                         (~failed & (F.col("anomaly") <= threshold)).alias("kept"))
+    return scored.select("doc_id", *COUNTS, failed.alias("base_failed"), "anomaly", F.lit(limit).alias("threshold"),
+                         (~failed & (F.col("anomaly") <= limit)).alias("kept"))

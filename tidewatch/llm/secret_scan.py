@@ -1,9 +1,8 @@
 """Operator 10: secret scans over a trigram inverted index, in DataFrame functions only.
 
-Each rule is a regular expression, of which the literal words it cannot match
-without are stated (``literals``: alternatives of words that must all occur).
-From them follows a Boolean query over trigrams: an OR over the alternatives of
-an AND over the trigrams of their words, lower-cased.  The inverted index holds
+Each rule is a regular expression.  From the expression itself follows a Boolean query
+over trigrams, lower-cased, that every match satisfies (``literals.trigram_query``): an
+OR over alternatives of an AND over their trigrams.  The inverted index holds
 a posting (trigram, document) for every trigram that some query asks for.
 Intersecting postings gives the candidates, and only their texts meet the
 regular expression.  Rules without a mandatory trigram (runs of hexadecimal
@@ -27,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from tidewatch.llm.common import fresh, materialise, row_key
+from tidewatch.llm.literals import trigram_query
 
 
 @dataclass(frozen=True)
@@ -36,35 +36,25 @@ class Rule:
     #: Least number of code points of what ``measured`` (a regex group) matches.
     least: int = 0
     measured: int = 0
-    #: Alternatives of words that a match must hold (letters in either case).
-    literals: tuple[tuple[str, ...], ...] = ()
 
     def query(self) -> tuple[tuple[str, ...], ...]:
         """The Boolean trigram query: an OR of ANDs; empty when nothing is mandatory."""
-        out = []
-        for words in self.literals:
-            grams = tuple(sorted({w.lower()[i:i + 3] for w in words for i in range(len(w) - 2)}))
-            if not grams:
-                return ()   # an alternative without a trigram may occur anywhere
-            out.append(grams)
-        return tuple(out)
+        return trigram_query(self.pattern)
 
 
 # The base rules of the contract, then the rules that this operator adds.
 BASE_RULES = (
-    Rule("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6, 1,
-         (("password",), ("passwd",), ("secret",), ("token",), ("api_key",), ("apikey",))),
+    Rule("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6, 1),
     # A run shorter than the least length holds no longer one, so the length can stand in the pattern.
-    Rule("access", r"AKIA[A-Z0-9]{16,}", literals=(("AKIA",),)),
+    Rule("access", r"AKIA[A-Z0-9]{16,}"),
     Rule("hex", r"[0-9a-f]{24,}"),
 )
 MORE_RULES = (
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", literals=(("-----BEGIN ", "PRIVATE KEY-----"),)),
-    Rule("github", r"\bgh[pousr]_[A-Za-z0-9]{36,}", literals=(("ghp_",), ("gho_",), ("ghu_",), ("ghs_",), ("ghr_",))),
-    Rule("slack", r"\bxox[abprs]-[A-Za-z0-9-]{10,}",
-         literals=(("xoxa-",), ("xoxb-",), ("xoxp-",), ("xoxr-",), ("xoxs-",))),
-    Rule("jwt", r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", literals=(("eyJ", ".eyJ"),)),
-    Rule("google", r"\bAIza[A-Za-z0-9_-]{35}", literals=(("AIza",),)),
+    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("github", r"\bgh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("slack", r"\bxox[abprs]-[A-Za-z0-9-]{10,}"),
+    Rule("jwt", r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("google", r"\bAIza[A-Za-z0-9_-]{35}"),
 )
 
 

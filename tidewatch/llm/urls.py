@@ -1,10 +1,11 @@
 """Operator 7: URL filters by pattern rules, indexed by their rarest literal token.
 
 A rule is a regular expression over ``host + path``.  Of the literal tokens
-(runs of ASCII letters and digits) that a match must hold whole, the one that
+(runs of ASCII letters and digits) that every match holds whole, as they follow
+from the expression (``literals.whole_tokens``), the one that
 the fewest pages have becomes the rule's key.  A URL's tokens fetch the rules
 filed under them, and only those run their expression.  Rules without such a
-token are tried on every URL.
+token are tried on every URL, all in one pass.
 
 Host rules (``host, path``) fit their host and all subdomains when the path
 starts with the rule's; the longest fitting one wins.  Where none fits, the
@@ -24,9 +25,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import row_key
+from tidewatch.llm.literals import whole_tokens
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_TOKEN = re.compile(r"[A-Za-z0-9]+")
 
 
 @dataclass(frozen=True)
@@ -35,17 +36,19 @@ class UrlRule:
     verdict: str
     #: Expression over ``host + path``, for Java and RE2 alike.
     pattern: str
-    #: Tokens that every match holds whole.
-    tokens: tuple[str, ...]
     #: Whether ``name`` is a host rule's; among these the longest wins.
     hosted: bool = False
 
+    @property
+    def tokens(self) -> tuple[str, ...]:
+        """Tokens that every match holds whole."""
+        return whole_tokens(self.pattern)
+
 
 def host_rule(verdict: str, host: str, path: str) -> UrlRule:
     """A rule for a host, its subdomains and the paths that start with ``path``."""
     quoted = re.sub(r"([^A-Za-z0-9/])", r"\\\1", host + path)
-    tokens = [m for m in _TOKEN.finditer(host + path) if m.end() < len(host + path)]
-    return UrlRule(host + path, verdict, rf"^(?:[^/]*\.)?{quoted}", tuple(m.group() for m in tokens), True)
+    return UrlRule(host + path, verdict, rf"^(?:[^/]*\.)?{quoted}", True)
 
 
 # The host rules of the contract, then the words of spam hosts that this operator blocks.
@@ -58,7 +61,7 @@ HOST_RULES = (
 )
 SPAM_HOSTS = ("spam-farm", "cheap-pills", "free-casino", "win-prize", "adult-cams", "link-exchange")
 PATTERN_RULES = tuple(
-    UrlRule(words, "block", rf"^(?:[^/]*[.-])?{words}(?:[.-][^/]*)?(?:/|$)", tuple(words.split("-"))) for words in SPAM_HOSTS)
+    UrlRule(words, "block", rf"^(?:[^/]*[.-])?{words}(?:[.-][^/]*)?(?:/|$)") for words in SPAM_HOSTS)
 
 
 def host_of(url: Column) -> Column:
@@ -100,15 +103,15 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                                   "token string, number int, pattern string")
     everywhere = [i for i, r in enumerate(rules) if not keys[r.name]]
     distinct = rows.select("url_key", "address").distinct()
-    # one row a rule at most: the rule list is the caller's and stays small
+    # the rule list is the caller's; Spark broadcasts it while it is small
     fetched = (distinct.select("url_key", "address", F.explode(_tokens(F.col("address"))).alias("token"))
-               .join(F.broadcast(filed), "token").where(F.expr("regexp_like(address, pattern)")).select("url_key", "number"))
-    for i in everywhere:
-        fetched = fetched.unionByName(distinct.where(F.regexp_like("address", F.lit(rules[i].pattern)))
-                                      .select("url_key", F.lit(i).alias("number")))
+               .join(filed, "token").where(F.expr("regexp_like(address, pattern)")).select("url_key", "number"))
+    if everywhere:
+        tried = [F.when(F.regexp_like("address", F.lit(rules[i].pattern)), F.lit(i)) for i in everywhere]
+        fetched = fetched.unionByName(distinct.select("url_key", F.explode(F.array_compact(F.array(*tried))).alias("number")))
     facts = spark.createDataFrame([(i, r.name, r.verdict, r.hosted, len(r.name)) for i, r in enumerate(rules)],
                                   "number int, name string, verdict string, hosted boolean, size int")
-    hits = fetched.join(F.broadcast(facts), "number").groupBy("url_key").agg(
+    hits = fetched.join(facts, "number").groupBy("url_key").agg(
         F.max(F.when(F.col("hosted"), F.struct("size", "name", "verdict"))).alias("best"),
         F.min(F.when(~F.col("hosted"), F.struct("name", "verdict"))).alias("other"))
     return rows.join(hits, "url_key", "left").select(
