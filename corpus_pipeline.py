@@ -24,19 +24,26 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document, that of the least id, of each group of near-duplicates.
+    """Keep one row of each group of near-duplicates: that of the least id, rows
+    without an id last, then the one with the least hash of all its columns.
 
-    Of several rows with that id one stays; rows without an id stay as they are.
+    Other rows of an id stay when they are of another group.  Of rows that repeat
+    each other exactly one stays.
     """
-    found = simhash.near_duplicates(docs, width=3, radius=3)
-    dropped = materialise(found.where("doc_id <> component_id").select("doc_id").distinct(), "dropped")
-    kept = docs.join(dropped, "doc_id", "left_anti")
-    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null")
+    key, h = fresh("row_of", docs.columns), F.xxhash64(*docs.columns)
+    named = docs.select(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), h.alias("hash")).alias(key), "text")
+    found = simhash.near_duplicates(named, id_col=key, width=3, radius=3)
+    dropped = found.where(F.col("doc_id") != F.col("component_id")).select(
+        F.col("doc_id.id").alias(f"{key}_id"), F.col("doc_id.hash").alias(key)).distinct()
+    same = [h == F.col(key), F.col("doc_id").eqNullSafe(F.col(f"{key}_id"))]
+    kept = docs.join(materialise(dropped, "dropped"), same, "left_anti")
+    repeated = found.groupBy(F.col("doc_id.id").alias(f"{key}_id"), F.col("doc_id.hash").alias(key)).count().where("count > 1").drop("count")
+    repeated = materialise(repeated, "repeated")
     if repeated.isEmpty():
         return kept
-    repeated = materialise(repeated.select("doc_id"), "repeated")
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
+    once = kept.withColumn(f"{key}_hash", h).join(repeated, [F.col(f"{key}_hash") == F.col(key), same[1]], "left_semi")
+    once = once.dropDuplicates([f"{key}_hash", "doc_id"])
+    return kept.join(repeated, same, "left_anti").unionByName(once.select(*docs.columns)).select(*docs.columns)
 
 
 def clean_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
