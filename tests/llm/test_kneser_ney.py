@@ -99,3 +99,34 @@ def test_discounts_stay_inside_the_counts():
     for n in ((0, 0, 0, 0), (5, 0, 0, 0), (1, 9, 9, 9), (100, 40, 20, 10), (0, 3, 1, 0)):
         d = kneser_ney.discounts(*n)
         assert d[0] == 0 and all(0 < x < k for k, x in enumerate(d[1:], 1))
+
+
+def test_many_shards_and_few_descriptors(spark):
+    """A thousand shards are read through a fixed number of files: 256 descriptors do."""
+    import resource
+
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF0001}/documents.parquet").collect()][:60]
+    df = awkward(spark, clash=False, rows=[(i, t, "en", "a", 1) for i, t in rows])
+    model = kneser_ney.train(df.where("doc_id % 10 >= 0").select("text"), shards=1000)
+    scorer = kneser_ney.Scorer(*model)
+    soft, hard = resource.getrlimit(resource.RLIMIT_NOFILE)
+    import os
+    used = len(os.listdir("/proc/self/fd"))
+    resource.setrlimit(resource.RLIMIT_NOFILE, (used + 256, hard))
+    try:
+        n, known, base, score = scorer.scores([(t or "").encode() for _, t in rows])
+    finally:
+        resource.setrlimit(resource.RLIMIT_NOFILE, (soft, hard))
+    assert (n == known).all() and len(os.listdir("/proc/self/fd")) - used <= 8 * kneser_ney.FILES
+    few = kneser_ney.Scorer(*kneser_ney.train(df.select("text"), shards=2))
+    for a, b in zip(few.scores([(t or "").encode() for _, t in rows]), (n, known, base, score)):
+        assert a == pytest.approx(b, rel=1e-12)
+
+
+def test_pairs_are_mixed_and_back():
+    import numpy as np
+
+    keys = np.random.default_rng(0).integers(0, 2**64, 1000, dtype=np.uint64)
+    for by_word in (False, True):
+        assert (kneser_ney._unmixed(kneser_ney._mixed(keys, by_word), by_word) == keys).all()
+    assert len(set((kneser_ney._mixed(keys[:1] + np.arange(50, dtype=np.uint64), False) >> np.uint64(32)).tolist())) == 1   # one context, one place

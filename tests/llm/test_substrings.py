@@ -149,11 +149,44 @@ def test_no_shard_holds_the_edges_of_a_common_passage(spark):
 
     def largest(hot):
         folder = substrings.scratch_path(spark, "repeats")
-        made = (df.mapInArrow(substrings._anchor_runs(50, 16), "shard long, anchors binary, counts binary").groupBy("shard")
-                .applyInArrow(substrings._keep_anchors(folder, hot), "shard long, n long, hot long").collect())
-        full, often = (frozenset(r["shard"] for r in made if r[c]) for c in ("n", "hot"))
-        sent = df.mapInArrow(substrings._stretch_runs(folder, 50, 16, full, often), substrings._SENT).where("kind <> 1")
+        (df.mapInArrow(substrings._anchor_runs(50, 16), "shard long, anchors binary, counts binary").groupBy("shard")
+         .applyInArrow(substrings._keep_anchors(folder, hot), "shard long, n long, hot long").collect())
+        for name in ("anchors", "hot"):
+            substrings.join(spark, folder, name, 16)
+        sent = df.mapInArrow(substrings._stretch_runs(folder, 50, 16), substrings._SENT).where("kind <> 1")
         n = [r[1] for r in sent.groupBy("shard").agg(F.sum(F.octet_length("places"))).collect()]
         return max(n) / (sum(n) / 16)
 
     assert largest(40) < 2 < largest(1 << 40)
+
+
+def test_many_shards_and_few_descriptors(spark):
+    """A thousand shards leave a fixed number of files, and give the results of a few."""
+    import os
+    import resource
+
+    import numpy as np
+
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet").select("doc_id", "text")
+    want = brute([(r["doc_id"], r["text"]) for r in docs.collect()])
+    assert run(docs, shards=1000) == want
+    folder = substrings.scratch_path(spark, "many")
+    keys = np.sort(np.random.default_rng(2).integers(0, 2**64, 40_000, dtype=np.uint64))
+    shard = substrings._shard_of(keys, 1000)
+    for s in range(1000):
+        if s % 7:   # some shards have no file
+            for name, a in (("keys", keys), ("places", keys.astype(np.uint32)), ("masks", keys.astype(np.uint32))):
+                substrings.files.put(folder, f"{name}-{s}", a[shard == s])
+    sizes = [substrings.join(spark, folder, name, 1000) for name in ("keys", "places", "masks")]
+    assert sum(sizes[0]) == 8 * (shard % 7 > 0).sum() and sizes == [substrings.join(spark, folder, n, 1000) for n in ("keys", "places", "masks")]
+    local = substrings.files.local_path(folder)
+    assert len(os.listdir(local)) == 3 * 16
+    found = substrings.Arrays(folder, {"keys": np.uint64, "places": np.uint32, "masks": np.uint32}, 1000)
+    used, (soft, hard) = len(os.listdir("/proc/self/fd")), resource.getrlimit(resource.RLIMIT_NOFILE)
+    resource.setrlimit(resource.RLIMIT_NOFILE, (used + 64, hard))
+    try:
+        got = substrings._marks(keys[::3], 1000, found)
+    finally:
+        resource.setrlimit(resource.RLIMIT_NOFILE, (soft, hard))
+    for key, s, m in zip(keys[::3], shard[::3], got):
+        assert (m is None) == (s % 7 == 0) and (m is None or m[0].tolist() == [int(key) & 0xFFFFFFFF])

@@ -10,8 +10,8 @@ context's total and its numbers of followers seen once, twice and more often,
 and each word's number of distinct left neighbours.
 
 Model.  Sorted arrays in the shared folder: word hashes with counts and left
-neighbours, context weights, bigram pairs with counts.  Workers map them into
-memory and look up whole blocks of sorted queries.
+neighbours, context weights, bigram pairs with counts, each in a fixed number of files
+(``sorted_files``).  Workers map them into memory and look up whole blocks of sorted queries.
 
     p(w|v) = (c(vw) - D) / c(v) + weight(v) * p(w)
     p(w)   = (n(.w) - D') / n(..) + weight' / (V + 1)
@@ -38,6 +38,7 @@ from pyspark.sql import types as T
 
 from tidewatch.llm import shared_files as files
 from tidewatch.llm.common import crc_mod, materialise, prepare, remove, shuffle_partitions, text_bytes, word_hashes
+from tidewatch.llm.sorted_files import FILES, Arrays, file_of, join
 from tidewatch.session import scratch_path
 
 #: Hash of the end mark: no word hashes to it but by chance.
@@ -117,30 +118,28 @@ def _merge_words(folder: str):
 class Words:
     """The mapped word table: number and count of words by their hash."""
 
-    def __init__(self, folder: str, shards: int, offsets: tuple[int, ...]):
-        self.shards, self.offsets = shards, offsets
-        self.size = offsets[-1]
-        self.parts = [(files.mapped(folder, f"words-{s}", np.uint64), files.mapped(folder, f"counts-{s}", np.int64))
-                      if offsets[s + 1] > offsets[s] else None for s in range(shards)]
+    def __init__(self, folder: str, shards: int, bases: tuple[int, ...]):
+        self.shards, self.bases, self.size = shards, bases, bases[-1]
+        self.table = Arrays(folder, {"words": np.uint64, "counts": np.int64}, shards)
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers (``size + 1`` for unknown words) and counts of sorted hashes."""
         number, count = np.full(len(h), self.size + 1, np.int64), np.zeros(len(h), np.int64)
-        cuts = np.searchsorted(_shard_of(h, self.shards), np.arange(self.shards + 1))
-        for s, part in enumerate(self.parts):
-            a, b = cuts[s], cuts[s + 1]
-            if part is None or a == b:
-                continue
-            at = np.minimum(np.searchsorted(part[0], h[a:b]), len(part[0]) - 1)
-            known = part[0][at] == h[a:b]
-            number[a:b] = np.where(known, self.offsets[s] + at, self.size + 1)
-            count[a:b] = np.where(known, part[1][at], 0)
+        if not self.size:
+            return number, count
+        for k, a, b in self.table.parts(_shard_of(h, self.shards)):
+            words, counts = self.table.file(k)
+            if len(words):
+                at = np.minimum(np.searchsorted(words, h[a:b]), len(words) - 1)
+                known = words[at] == h[a:b]
+                number[a:b] = np.where(known, self.bases[k] + at, self.size + 1)
+                count[a:b] = np.where(known, counts[at], 0)
         return number, count
 
 
 @lru_cache(maxsize=2)
-def words_of(folder: str, shards: int, offsets: tuple[int, ...]) -> Words:
-    return Words(folder, shards, offsets)
+def words_of(folder: str, shards: int, bases: tuple[int, ...]) -> Words:
+    return Words(folder, shards, bases)
 
 
 def _pairs(number: np.ndarray, lengths: np.ndarray, start: int) -> np.ndarray:
@@ -151,15 +150,32 @@ def _pairs(number: np.ndarray, lengths: np.ndarray, start: int) -> np.ndarray:
     return before.astype(np.uint64) << np.uint64(32) | number.astype(np.uint64)
 
 
-def _pair_shard(keys: np.ndarray, shards: int, large: np.ndarray) -> np.ndarray:
-    """Shards of bigrams by context; of those in ``large`` (sorted) by both words."""
+# Odd multipliers, which mix the upper bits and can be undone.
+_MIX32, _MIX64 = 0x9E3779B1, 0x9E3779B97F4A7C15
+_BACK32, _BACK64 = pow(_MIX32, -1, 1 << 32), pow(_MIX64, -1, 1 << 64)
+_LOW = np.uint64(0xFFFFFFFF)
+
+
+def _mixed(keys: np.ndarray, by_word: bool) -> np.ndarray:
+    """Pairs as keys whose ranges are the shards: all pairs of a context together,
+    or, ``by_word``, each for itself."""
+    if by_word:
+        return keys * np.uint64(_MIX64)
+    return ((keys >> np.uint64(32)) * np.uint64(_MIX32) & _LOW) << np.uint64(32) | keys & _LOW
+
+
+def _unmixed(mixed: np.ndarray, by_word: bool) -> np.ndarray:
+    if by_word:
+        return mixed * np.uint64(_BACK64)
+    return ((mixed >> np.uint64(32)) * np.uint64(_BACK32) & _LOW) << np.uint64(32) | mixed & _LOW
+
+
+def _of_large(keys: np.ndarray, large: np.ndarray) -> np.ndarray:
+    """Whether the pairs' contexts are in ``large`` (sorted)."""
+    if not len(large):
+        return np.zeros(len(keys), bool)
     context = keys >> np.uint64(32)
-    by_word = np.zeros(len(keys), bool)
-    if len(large):
-        at = np.minimum(np.searchsorted(large, context), len(large) - 1)
-        by_word = large[at] == context
-    mixed = np.where(by_word, keys, context) * np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+    return large[np.minimum(np.searchsorted(large, context), len(large) - 1)] == context
 
 
 def _pair_runs(args, large: np.ndarray):
@@ -169,21 +185,33 @@ def _pair_runs(args, large: np.ndarray):
             h, n = _sequences(texts)
             distinct, at = np.unique(h, return_inverse=True)
             keys, c = np.unique(_pairs(words.find(distinct)[0][at], n, words.size), return_counts=True)
-            shard = _pair_shard(keys, words.shards, large)
-            order = np.argsort(shard, kind="stable")
-            yield _runs(shard[order], words.shards, keys[order], c[order].astype(np.uint32))
+            of_large = _of_large(keys, large)
+            for by_word in (False, True):
+                own = np.flatnonzero(of_large == by_word)
+                mixed = _mixed(keys[own], by_word)
+                order = np.argsort(mixed, kind="stable")
+                runs = _runs(_shard_of(mixed[order], words.shards), words.shards, mixed[order], c[own][order].astype(np.uint32))
+                yield runs.append_column("by_word", pa.array(np.full(runs.num_rows, by_word)))
     return run
 
 
-def _merge_pairs(folder: str, shards: int, offsets: tuple[int, ...]):
+def _merge_pairs(folder: str, shards: int, offsets: np.ndarray):
     """Write a shard of bigrams; send what its contexts and words get from it."""
-    ranges = np.array(offsets[1:-1])
+    ranges = offsets[1:-1]
 
     def run(key, table):
         shard = key[0].as_py()
-        keys, c = _merged(table, np.uint64)
-        files.put(folder, f"pairs-{shard}", keys)
-        files.put(folder, f"pair_counts-{shard}", c.astype(np.uint32))
+        by_word = np.array(table.column("by_word").to_pylist(), bool)
+        parts = []
+        for kind, name in ((False, "pairs"), (True, "large")):
+            if (by_word == kind).any():
+                keys, c = _merged(table.filter(pa.array(by_word == kind)), np.uint64)
+                files.put(folder, f"{name}-{shard}", keys)
+                files.put(folder, f"{name}_counts-{shard}", c.astype(np.uint32))
+                parts.append((_unmixed(keys, kind), c))
+        keys, c = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(keys, kind="stable")   # by context, then word
+        keys, c = keys[order], c[order]
         context = keys >> np.uint64(32)
         first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
         left = context[first].astype(np.uint32)
@@ -191,12 +219,11 @@ def _merge_pairs(folder: str, shards: int, offsets: tuple[int, ...]):
         right, neighbours = np.unique((keys & np.uint64(0xFFFFFFFF)).astype(np.uint32), return_counts=True)
         rows = []
         own = np.searchsorted(ranges, left, side="right"), np.searchsorted(ranges, right, side="right")
-        for s in range(shards):
-            a, b = np.searchsorted(own[0], [s, s + 1])
-            d, e = np.searchsorted(own[1], [s, s + 1])
-            if b > a or e > d:
-                rows.append((s, left[a:b].tobytes(), np.stack([x[a:b] for x in sums]).astype(np.int64).tobytes(),
-                             right[d:e].tobytes(), neighbours[d:e].astype(np.uint32).tobytes()))
+        there = np.unique(np.concatenate(own))
+        cuts = [np.searchsorted(x, there, side=side).tolist() for x in own for side in ("left", "right")]
+        for s, a, b, d, e in zip(there.tolist(), *cuts):
+            rows.append((s, left[a:b].tobytes(), np.stack([x[a:b] for x in sums]).astype(np.int64).tobytes(),
+                         right[d:e].tobytes(), neighbours[d:e].astype(np.uint32).tobytes()))
         seen = [int((c == k).sum()) for k in (1, 2, 3, 4)]
         cols = list(zip(*rows))
         n = len(rows)
@@ -207,18 +234,18 @@ def _merge_pairs(folder: str, shards: int, offsets: tuple[int, ...]):
     return run
 
 
-def _merge_words_again(folder: str, shards: int, offsets: tuple[int, ...]):
+def _merge_words_again(folder: str, shards: int, offsets: np.ndarray):
     """Write the totals of a range's contexts and the left neighbours of its words."""
     def run(key, table):
         s = key[0].as_py()
-        low = offsets[s]
-        size = offsets[s + 1] - low + (s == shards - 1)   # the start mark stands behind the last word
+        low = int(offsets[s])
+        size = int(offsets[s + 1]) - low + (s == shards - 1)   # the start mark stands behind the last word
         sums, neighbours = np.zeros((4, size), np.int64), np.zeros(size, np.int64)
         for left, x, right, n in zip(*[table.column(c).to_pylist() for c in ("left", "sums", "right", "neighbours")]):
             at = np.frombuffer(left, np.uint32).astype(np.int64) - low
             sums[:, at] += np.frombuffer(x, np.int64).reshape(4, -1)
             neighbours[np.frombuffer(right, np.uint32).astype(np.int64) - low] += np.frombuffer(n, np.uint32)
-        files.put(folder, f"contexts-{s}", sums)
+        files.put(folder, f"contexts-{s}", sums.T)   # four numbers a word
         files.put(folder, f"neighbours-{s}", neighbours)
         return pa.table({"shard": [s], "seen": [[int((neighbours == k).sum()) for k in (1, 2, 3, 4)]]},
                         schema=pa.schema([("shard", pa.int64()), ("seen", pa.list_(pa.int64()))]))
@@ -235,51 +262,45 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
 class Scorer:
     """The mapped model of one job."""
 
-    def __init__(self, folder, shards, offsets, large, seen_pairs, seen_words, pairs, tokens):
-        self.words = words_of(folder, shards, offsets)
+    def __init__(self, folder, shards, bases, large, seen_pairs, seen_words, pairs, tokens):
+        self.words = words_of(folder, shards, bases)
         self.large = np.array(large, np.uint64)
         self.pair_discount, self.word_discount = discounts(*seen_pairs), discounts(*seen_words)
         self.pairs_total, self.tokens = pairs, tokens
-        self.pairs = {}
-        self.folder = folder
+        self.pairs = [Arrays(folder, {name: np.uint64, f"{name}_counts": np.uint32}, shards) for name in ("pairs", "large")]
+        # contexts and neighbours in the order of the numbers
+        self.numbers = Arrays(folder, {"neighbours": np.int64, "contexts": np.int64}, shards, {"contexts": 4})
         size = self.words.size
-        # contexts and neighbours in the order of the numbers, mapped range by range
-        self.ranges = [(files.mapped(folder, f"contexts-{s}", np.int64).reshape(4, -1), files.mapped(folder, f"neighbours-{s}", np.int64))
-                       if offsets[s + 1] > offsets[s] or s == shards - 1 else None for s in range(shards)] if size else []
         words_with = seen_words[0], seen_words[1], max(0, size - seen_words[0] - seen_words[1])
         self.rest = float(np.dot(self.word_discount[1:], words_with) / pairs) if pairs else 1.0
 
     def _of_numbers(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Context sums (4 rows) and left neighbours of sorted known numbers."""
         sums, near = np.zeros((4, len(number)), np.int64), np.zeros(len(number), np.int64)
-        offsets = self.words.offsets
-        cuts = np.searchsorted(number, [*offsets[:-1], self.words.size + 1])
-        for s, part in enumerate(self.ranges):
-            a, b = cuts[s], cuts[s + 1]
-            if part is not None and b > a:
-                at = number[a:b] - offsets[s]
-                sums[:, a:b], near[a:b] = part[0][:, at], part[1][at]
+        # the start mark's number is behind the last word's, in the last shard's file
+        of = np.minimum(np.searchsorted(self.words.bases[:-1], number, side="right") - 1, file_of(self.words.shards - 1, self.words.shards))
+        cuts = np.searchsorted(of, np.arange(FILES + 1))
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
+            a, b = int(cuts[k]), int(cuts[k + 1])
+            neighbours, contexts = self.numbers.file(k)
+            at = number[a:b] - self.words.bases[k]
+            sums[:, a:b], near[a:b] = contexts[at].T, neighbours[at]
         return sums, near
 
     def _pair_counts(self, keys: np.ndarray) -> np.ndarray:
         """Counts of distinct sorted pairs."""
         out = np.zeros(len(keys), np.int64)
-        shard = _pair_shard(keys, self.words.shards, self.large)
-        order = np.argsort(shard, kind="stable")
-        cuts = np.searchsorted(shard[order], np.arange(self.words.shards + 1))
-        for s in range(self.words.shards):
-            own = order[cuts[s]:cuts[s + 1]]
-            if not len(own):
-                continue
-            if s not in self.pairs:
-                try:
-                    self.pairs[s] = (files.mapped(self.folder, f"pairs-{s}", np.uint64), files.mapped(self.folder, f"pair_counts-{s}", np.uint32))
-                except FileNotFoundError:   # no bigram fell into this shard
-                    self.pairs[s] = (np.empty(0, np.uint64), np.empty(0, np.uint32))
-            k, c = self.pairs[s]
-            if len(k):
-                at = np.minimum(np.searchsorted(k, keys[own]), len(k) - 1)
-                out[own] = np.where(k[at] == keys[own], c[at], 0)
+        of_large = _of_large(keys, self.large)
+        for by_word, table in zip((False, True), self.pairs):
+            own = np.flatnonzero(of_large == by_word)
+            mixed = _mixed(keys[own], by_word)
+            order = np.argsort(mixed, kind="stable")
+            own, mixed = own[order], mixed[order]
+            for k, a, b in table.parts(_shard_of(mixed, self.words.shards)):
+                pairs, counts = table.file(k)
+                if len(pairs):
+                    at = np.minimum(np.searchsorted(pairs, mixed[a:b]), len(pairs) - 1)
+                    out[own[a:b]] = np.where(pairs[at] == mixed[a:b], counts[at], 0)
         return out
 
     def scores(self, texts: list[bytes]) -> tuple[np.ndarray, ...]:
@@ -351,24 +372,28 @@ def train(texts: DataFrame, shards: int | None = None) -> tuple:
     words = np.zeros(shards, np.int64)
     for r in made:
         words[r["shard"]] = r["words"]
-    offsets = tuple([0, *np.cumsum(words).tolist()])
-    tokens = sum(r["tokens"] for r in made)
-    if offsets[-1] >= 2**32 - 2:
+    offsets = np.concatenate([[0], np.cumsum(words)])
+    tokens, size = sum(r["tokens"] for r in made), int(offsets[-1])
+    if size >= 2**32 - 2:
         raise ValueError("the vocabulary has more words than 32-bit numbers")
-    if not offsets[-1]:
-        return folder, shards, offsets, (), (0,) * 4, (0,) * 4, 0, 0
-    args = (folder, shards, offsets)
+    if not size:
+        return folder, shards, (0,) * (FILES + 1), (), (0,) * 4, (0,) * 4, 0, 0
+    bases = tuple([0, *np.cumsum([n // 8 for n in join(spark, folder, "words", shards)]).tolist()])
+    join(spark, folder, "counts", shards)
     # contexts with a large part of a shard's tokens, spread over all shards; and the start mark
-    large = sorted([offsets[-1], *[offsets[r["shard"]] + i for r in made for i, c in zip(r["common"], r["counts"])
-                                   if c > tokens // (4 * shards)]])
-    sent = (texts.mapInArrow(_pair_runs(args, np.array(large, np.uint64)), "shard long, a0 binary, a1 binary").groupBy("shard")
-            .applyInArrow(_merge_pairs(*args), "shard long, left binary, sums binary, right binary, neighbours binary, seen array<long>, pairs long"))
+    large = sorted([size, *[int(offsets[r["shard"]]) + i for r in made for i, c in zip(r["common"], r["counts"])
+                            if c > tokens // (4 * shards)]])
+    sent = (texts.mapInArrow(_pair_runs((folder, shards, bases), np.array(large, np.uint64)), "shard long, a0 binary, a1 binary, by_word boolean")
+            .groupBy("shard").applyInArrow(_merge_pairs(folder, shards, offsets),
+                                           "shard long, left binary, sums binary, right binary, neighbours binary, seen array<long>, pairs long"))
     sent = materialise(sent, "neighbours")
     facts = sent.agg(F.sum("pairs"), *[F.sum(F.col("seen")[k]) for k in range(4)]).first()
-    again = sent.groupBy("shard").applyInArrow(_merge_words_again(*args), "shard long, seen array<long>")
+    again = sent.groupBy("shard").applyInArrow(_merge_words_again(folder, shards, offsets), "shard long, seen array<long>")
     near = again.agg(*[F.sum(F.col("seen")[k]) for k in range(4)]).first()
     remove(sent)
-    return folder, shards, offsets, tuple(large), tuple(facts[1:]), tuple(near), facts[0], tokens
+    for name in ("pairs", "pairs_counts", "large", "large_counts", "contexts", "neighbours"):
+        join(spark, folder, name, shards)
+    return folder, shards, bases, tuple(large), tuple(facts[1:]), tuple(near), facts[0], tokens
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, shards: int | None = None) -> DataFrame:

@@ -41,6 +41,7 @@ from pyspark.sql import types as T
 
 from tidewatch.llm import shared_files as files
 from tidewatch.llm.common import mix64, prepare, row_key, shuffle_partitions, text_bytes
+from tidewatch.llm.sorted_files import Arrays, join
 from tidewatch.llm.suffix_sort import between, suffix_array
 from tidewatch.session import scratch_path
 
@@ -150,12 +151,11 @@ def _anchor_runs(length: int, shards: int):
             several = np.minimum.reduceat(owner, first) != np.maximum.reduceat(owner, first)
             many = np.minimum(np.diff(first, append=len(a)), 65535).astype(np.uint16)
             a = a[first]
-            cut = np.searchsorted(_shard_of(a, shards), np.arange(shards + 1))
+            runs = list(_runs_of(_shard_of(a, shards)))
             a = (a & ~np.uint64(1)) | several
-            full = np.flatnonzero(np.diff(cut))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(full), pa.array([a[cut[k]:cut[k + 1]].tobytes() for k in full], pa.binary()),
-                 pa.array([many[cut[k]:cut[k + 1]].tobytes() for k in full], pa.binary())], names=["shard", "anchors", "counts"])
+                [pa.array([k for k, _, _ in runs], pa.int64()), pa.array([a[i:j].tobytes() for _, i, j in runs], pa.binary()),
+                 pa.array([many[i:j].tobytes() for _, i, j in runs], pa.binary())], names=["shard", "anchors", "counts"])
     return run
 
 
@@ -179,20 +179,28 @@ def _keep_anchors(folder: str, hot: int):
 
 
 @lru_cache(maxsize=4)
-def _anchors(folder: str, shards: frozenset, name: str = "anchors") -> dict[int, np.ndarray]:
-    return {s: files.mapped(folder, f"{name}-{s}", np.uint64) for s in shards}
+def _anchors(folder: str, shards: int, name: str = "anchors") -> Arrays:
+    return Arrays(folder, {name: np.uint64}, shards)
 
 
-def _listed(anchors: np.ndarray, cut: np.ndarray, lists: dict[int, np.ndarray]) -> np.ndarray:
-    """Which of the sorted anchors are in the list of their shard; ``cut`` is where shards begin."""
+def _listed(anchors: np.ndarray, shard: np.ndarray, lists: Arrays) -> np.ndarray:
+    """Which of the sorted anchors (and their shards) are listed."""
     found = np.zeros(len(anchors), bool)
-    for k, own in lists.items():
-        if len(own) and cut[k + 1] > cut[k]:
-            h = anchors[cut[k]:cut[k + 1]] >> np.uint64(1)
-            found[cut[k]:cut[k + 1]] = own[np.minimum(np.searchsorted(own, h), len(own) - 1)] == h
+    for k, a, b in lists.parts(shard):
+        own = lists.file(k)[0]
+        if len(own):
+            h = anchors[a:b] >> np.uint64(1)
+            found[a:b] = own[np.minimum(np.searchsorted(own, h), len(own) - 1)] == h
     return found
 
 
+def _runs_of(shard: np.ndarray):
+    """``(shard, first, behind the last)`` of the runs of a sorted array."""
+    if len(shard):
+        first = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]]))
+        yield from zip(shard[first].tolist(), first.tolist(), [*first[1:].tolist(), len(shard)])
+
+
 def _single_strings(s: Stretches, pick: np.ndarray, owner: np.ndarray, row: np.ndarray, length: int, shards: int):
     """The strings of some stretches for the shard of the string (kind 2); those of larger ids, by document (kind 1)."""
     grams = _gram_hashes(s.buf)
@@ -213,9 +221,9 @@ def _single_strings(s: Stretches, pick: np.ndarray, owner: np.ndarray, row: np.n
             h = mix64(h ^ grams[at[go] + k])
         to = _shard_of(h, shards)
         order = np.argsort(to, kind="stable")
-        go, cut = go[order], np.searchsorted(to[order], np.arange(shards + 1))
+        go = go[order]
         rows = [(2, k, own[go[a:b]].tobytes(), key[go[a:b]].tobytes(), place[go[a:b]].astype(np.uint32).tobytes(), b"", data[go[a:b]].tobytes())
-                for k, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if b > a]
+                for k, a, b in _runs_of(to[order])]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _SENT_TYPES)], names=_SENT_NAMES)
 
 
@@ -231,11 +239,11 @@ _SENT = "kind int, shard long, owners binary, keys binary, places binary, string
 _SENT_NAMES = ["kind", "shard", "owners", "keys", "places", "strings", "bytes"]
 
 
-def _stretch_runs(folder: str, length: int, shards: int, full: frozenset, hot: frozenset):
+def _stretch_runs(folder: str, length: int, shards: int):
     """Stretches for their shard (kind 0); what a task found by itself, by document (kind 1);
     strings of hot anchors for theirs (kind 2)."""
     def run(batches):
-        kept, often = _anchors(folder, full), _anchors(folder, hot, "hot")
+        kept, often = _anchors(folder, shards), _anchors(folder, shards, "hot")
         for held, texts in _flushes(batches, 2):
             s = Stretches(texts, length)
             if not len(s.at):
@@ -243,8 +251,7 @@ def _stretch_runs(folder: str, length: int, shards: int, full: frozenset, hot: f
             owner, row = _column(held, 0, _LAST), _column(held, 1, 0).view(np.uint64)
             anchors, back = np.unique(s.anchor, return_inverse=True)
             shard = _shard_of(anchors, shards)
-            cut = np.searchsorted(shard, np.arange(shards + 1))
-            known, single = _listed(anchors, cut, kept), _listed(anchors, cut, often)[back]
+            known, single = _listed(anchors, shard, kept), _listed(anchors, shard, often)[back]
             pick = np.flatnonzero(known[back])
             if not len(pick):
                 continue
@@ -268,10 +275,9 @@ def _stretch_runs(folder: str, length: int, shards: int, full: frozenset, hot: f
             if alone.any():
                 yield from _single_strings(s, pick[alone], owner, row, length, shards)
             go = np.flatnonzero(~later & ~alone)
-            cut = np.searchsorted(to[go], np.arange(shards + 1))
             rows = [(0, k, own[go[a:b]].tobytes(), row[doc[go[a:b]]].tobytes(), place[go[a:b]].astype(np.uint32).tobytes(),
                      n[go[a:b]].astype(np.uint8).tobytes(), b"".join([data[i] for i in go[a:b].tolist()]))
-                    for k, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if b > a]
+                    for k, a, b in _runs_of(to[go])]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _SENT_TYPES)], names=_SENT_NAMES)
     return run
@@ -285,9 +291,8 @@ def _filed(key: np.ndarray, place: np.ndarray, mask: np.ndarray, shards: int):
     """Rows of kind 1: places and masks of documents, by ranges of their keys."""
     order = np.argsort(key, kind="stable")
     key, place, mask = key[order], place[order].astype(np.uint32), mask[order].astype(np.uint32)
-    cut = np.searchsorted(_shard_of(key, shards), np.arange(shards + 1))
     rows = [(1, k, b"", key[a:b].tobytes(), place[a:b].tobytes(), b"", mask[a:b].tobytes())
-            for k, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if b > a]
+            for k, a, b in _runs_of(_shard_of(key, shards))]
     if rows:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _SENT_TYPES)], names=_SENT_NAMES)
 
@@ -383,9 +388,8 @@ def _file_documents(folder: str):
 
 
 @lru_cache(maxsize=4)
-def _found(folder: str, shards: frozenset) -> dict[int, tuple]:
-    return {s: tuple(files.mapped(folder, f"{name}-{s}", t) for name, t in (("keys", np.uint64), ("places", np.uint32), ("masks", np.uint32)))
-            for s in shards}
+def _found(folder: str, shards: int) -> Arrays:
+    return Arrays(folder, {"keys": np.uint64, "places": np.uint32, "masks": np.uint32}, shards)
 
 
 def covered(size: int, places: np.ndarray, masks: np.ndarray, length: int) -> np.ndarray:
@@ -398,22 +402,30 @@ def covered(size: int, places: np.ndarray, masks: np.ndarray, length: int) -> np
     return np.cumsum(step)[:size] > 0
 
 
-def _cut_batches(folder: str, length: int, shards: int, full: frozenset):
+def _marks(keys: np.ndarray, shards: int, found: Arrays) -> list[tuple[np.ndarray, np.ndarray] | None]:
+    """Places and masks of each document's marked strings, None without any."""
+    order = np.argsort(keys, kind="stable")
+    out: list = [None] * len(keys)
+    for k, a, b in found.parts(_shard_of(keys[order], shards)):
+        own, places, masks = found.file(k)
+        lo, hi = (np.searchsorted(own, keys[order[a:b]], side=x) for x in ("left", "right"))
+        for i in np.flatnonzero(hi > lo).tolist():
+            out[order[a + i]] = places[lo[i]:hi[i]], masks[lo[i]:hi[i]]
+    return out
+
+
+def _cut_batches(folder: str, length: int, shards: int):
     def run(batches):
-        found = _found(folder, full)
+        found = _found(folder, shards)
         for b in batches:
             texts = text_bytes(b.column(2))
             keys = b.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
-            shard = _shard_of(keys, shards)
             gone, runs, kept = [], [], []
-            for t, key, s in zip(texts, keys, shard.tolist()):
-                lo = hi = 0
-                if s in found:
-                    lo, hi = np.searchsorted(found[s][0], key), np.searchsorted(found[s][0], key, side="right")
-                if lo == hi:
+            for t, marks in zip(texts, _marks(keys, shards, found)):
+                if marks is None:
                     gone.append(0), runs.append(0), kept.append(t)
                     continue
-                cover = covered(len(t), found[s][1][lo:hi], found[s][2][lo:hi], length)
+                cover = covered(len(t), *marks, length)
                 gone.append(int(cover.sum()))
                 runs.append(int(cover[0]) + int((cover[1:] & ~cover[:-1]).sum()))
                 kept.append(np.frombuffer(t, np.uint8)[~cover].tobytes())
@@ -436,14 +448,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         shards = max(shuffle_partitions(spark), -(-size // SHARD_BYTES))
     folder = scratch_path(spark, "repeats")
-    made = (d.mapInArrow(_anchor_runs(length, shards), "shard long, anchors binary, counts binary").groupBy("shard")
-            .applyInArrow(_keep_anchors(folder, hot), "shard long, n long, hot long").collect())   # a row a shard
-    anchors = frozenset(r["shard"] for r in made if r["n"])
-    often = frozenset(r["shard"] for r in made if r["hot"])
-    sent = d.mapInArrow(_stretch_runs(folder, length, shards, anchors, often), _SENT)
+    (d.mapInArrow(_anchor_runs(length, shards), "shard long, anchors binary, counts binary").groupBy("shard")
+     .applyInArrow(_keep_anchors(folder, hot), "shard long, n long, hot long").agg(F.sum("n")).first())
+    for name in ("anchors", "hot"):
+        join(spark, folder, name, shards)
+    sent = d.mapInArrow(_stretch_runs(folder, length, shards), _SENT)
     marked = sent.groupBy("kind", "shard").applyInArrow(_sort_shard(length, shards), _SENT)
-    made = marked.groupBy("shard").applyInArrow(_file_documents(folder), "shard long, n long").collect()   # a row a shard
-    full = frozenset(r["shard"] for r in made)
+    marked.groupBy("shard").applyInArrow(_file_documents(folder), "shard long, n long").agg(F.sum("n")).first()
+    for name in ("keys", "places", "masks"):
+        join(spark, folder, name, shards)
     out = T.StructType([T.StructField("doc_id", T.LongType()), *[T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")],
                         T.StructField("kept", T.BinaryType())])
-    return d.mapInArrow(_cut_batches(folder, length, shards, full), out)
+    return d.mapInArrow(_cut_batches(folder, length, shards), out)
