@@ -6,14 +6,26 @@ from tidewatch.llm import prefixes, queries
 
 
 def like(a, b):
+    """Character by character."""
     if not max(len(a), len(b)):
         return 1.0
-    f = s = 0
-    while f < min(len(a), len(b)) and a[f] == b[f]:
-        f += 1
-    while s < min(len(a), len(b)) - f and a[-1 - s] == b[-1 - s]:
-        s += 1
-    return (f + s) / max(len(a), len(b))
+    i = back = 0
+    while i < min(len(a), len(b)) and a[i] == b[i]:
+        i += 1
+    while back < min(len(a), len(b)) - i and a[-1 - back] == b[-1 - back]:
+        back += 1
+    n = max(len(a), len(b))
+    alike, j, a, b = i + back, i, a[:len(a) - back], b[:len(b) - back]
+    for _ in range(prefixes.JUMPS):
+        near = min(((x + y, x, y) for x in range(prefixes.SKIP + 1) for y in range(prefixes.SKIP + 1)
+                    if len(a) - i - x >= prefixes.LEAST and len(b) - j - y >= prefixes.LEAST
+                    and a[i + x:i + x + prefixes.LEAST] == b[j + y:j + y + prefixes.LEAST]), default=None)
+        if near is None:
+            break
+        i, j = i + near[1], j + near[2]
+        while i < len(a) and j < len(b) and a[i] == b[j]:
+            i, j, alike = i + 1, j + 1, alike + 1
+    return alike / n
 
 
 def expected(texts):
@@ -70,3 +82,26 @@ def test_spans_and_extensions():
     spliced = x.spliced(37, y, 91)
     assert spliced.fingerprint() == prefixes.Prefix.of(a[:37] + b[:91]).fingerprint()
     assert prefixes.Prefix.of("").fingerprint() != prefixes.Prefix.of("\x00").fingerprint()
+
+
+def test_likeness_over_several_edits():
+    """Differences at both ends and between; the arrays alone tell."""
+    import random
+
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(300)]
+    text = " ".join(rng.choice(words) for _ in range(250))
+    of = prefixes.Prefix.of
+    both = "X" + text[1:-1] + "Y"
+    assert of(text).likeness(of(both)) == (len(text) - 2) / len(text)
+    for edits in range(1, 9):
+        other = text
+        for _ in range(edits):
+            at = rng.randrange(len(other))
+            other = other[:at] + rng.choice(["", "é", "some other words", "zz"]) + other[at + rng.randrange(12):]
+        got = of(text).likeness(of(other))
+        assert got == like(text, other) == of(text).likeness(of(other)) and got > 0.8
+        assert of(other).likeness(of(text)) == like(other, text)
+    unlike = " ".join(rng.choice(words)[::-1] for _ in range(250))
+    assert of(text).likeness(of(unlike)) == like(text, unlike) < 0.1
+    assert of("").likeness(of("a")) == 0.0 and of("").likeness(of("")) == 1.0 and of("ab").likeness(of("ab")) == 1.0

@@ -8,7 +8,10 @@ binary search over span equalities.  A text made from pieces of others gets its
 array from theirs without a look at its characters.
 
 Two fingerprints' likeness: the code points of the longest common extension from
-the starts, and of that from the ends behind it, over the longer length.
+the starts, of that from the ends, and of those between that follow a difference of at
+most ``SKIP`` code points on either side, up to ``JUMPS`` of them, over the longer
+length.  Behind a difference the arrays give the hashes of all spans of ``LEAST``
+code points that begin in reach; the two nearest equal ones are where the texts go on.
 
 Neighbours: rows are dealt by ranges of the id and sorted inside them; each
 range also gets the first row of the one behind it.
@@ -33,6 +36,8 @@ from tidewatch.llm.common import prepare, text_bytes
 
 PRIMES = (2147483647, 2147483629)
 BASES = (1103515245, 1403630843)
+#: Code points that a difference has at most, and that must agree behind it; differences that are passed.
+SKIP, LEAST, JUMPS = 32, 16, 16
 _POWERS = [np.ones(1, np.uint64) for _ in PRIMES]
 
 
@@ -82,16 +87,20 @@ class Prefix:
                 return False
         return True
 
-    def common_prefix(self, other: Prefix) -> int:
-        low, high = 0, min(self.n, other.n)
+    def extension(self, a: int, other: Prefix, b: int, most: int) -> int:
+        """The longest common extension of two places, up to ``most``."""
+        low, high = 0, most
         while low < high:
             mid = (low + high + 1) // 2
-            if self.same(0, other, 0, mid):
+            if self.same(a, other, b, mid):
                 low = mid
             else:
                 high = mid - 1
         return low
 
+    def common_prefix(self, other: Prefix) -> int:
+        return self.extension(0, other, 0, min(self.n, other.n))
+
     def common_suffix(self, other: Prefix, most: int) -> int:
         low, high = 0, most
         while low < high:
@@ -102,12 +111,35 @@ class Prefix:
                 high = mid - 1
         return low
 
+    def _spans(self, at: int, n: int, top: int) -> np.ndarray:
+        """The hashes of the spans of ``LEAST`` from ``n`` places on, as if all began at ``top``."""
+        out = []
+        for k, p in enumerate(PRIMES):
+            h, q = self.arrays[k], np.uint64(p)
+            powers = _powers(k, top + 1)[top - at - n + 1:top - at + 1][::-1]   # B^(top - place)
+            out.append((h[at + LEAST:at + LEAST + n] + q - h[at:at + n]) % q * powers % q)
+        return out[0] << np.uint64(32) | out[1]
+
     def likeness(self, other: Prefix) -> float:
         if not max(self.n, other.n):
             return 1.0
-        front = self.common_prefix(other)
-        back = self.common_suffix(other, min(self.n, other.n) - front)
-        return (front + back) / max(self.n, other.n)
+        i = j = self.common_prefix(other)
+        back = self.common_suffix(other, min(self.n, other.n) - i)
+        ends, alike = (self.n - back, other.n - back), i + back
+        for _ in range(JUMPS):
+            n = [min(SKIP + 1, end - at - LEAST + 1) for at, end in zip((i, j), ends)]
+            if min(n) < 1:
+                break
+            top = max(i + n[0], j + n[1])
+            x, y = self._spans(i, n[0], top), other._spans(j, n[1], top)
+            a, b = np.nonzero(x[:, None] == y[None, :])
+            if not len(a):
+                break
+            near = np.lexsort((a, a + b))[0]
+            i, j = i + int(a[near]), j + int(b[near])
+            run = self.extension(i, other, j, min(ends[0] - i, ends[1] - j))
+            i, j, alike = i + run, j + run, alike + run
+        return alike / max(self.n, other.n)
 
 
 def _buckets(ids: np.ndarray, null: np.ndarray, bounds: np.ndarray) -> np.ndarray:
