@@ -105,3 +105,32 @@ def test_likeness_over_several_edits():
     unlike = " ".join(rng.choice(words)[::-1] for _ in range(250))
     assert of(text).likeness(of(unlike)) == like(text, unlike) < 0.1
     assert of("").likeness(of("a")) == 0.0 and of("").likeness(of("")) == 1.0 and of("ab").likeness(of("ab")) == 1.0
+
+
+def test_ids_with_many_rows(spark):
+    """Most rows have one id or none, and many of these are equal: they are spread, and every row is there once."""
+    import collections
+
+    from pyspark.sql import functions as F
+
+    rows = [(7, f"text {i % 40} of the one id " * 3) for i in range(400)] + [(None, f"no id {i % 30}") for i in range(300)]
+    rows += [(i, f"other {i}" * 5) for i in range(-20, 60)] + [(7, None), (7, ""), (None, "")] + [(None, "copy")] * 500
+    df = awkward(spark, clash=False, rows=[(i, t, "en", "a", 1) for i, t in rows]).repartition(6)
+    h = {r["t"]: r["h"] for r in spark.createDataFrame([(t,) for t in {t or "" for _, t in rows}], "t string").select("t", F.xxhash64("t").alias("h")).collect()}
+    ordered = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is None, -(r[0] or 0), h[r[1]]))
+    want = collections.Counter(expected(ordered))
+    for size in (25, 100, 5000):
+        assert collections.Counter(rows_of(prefixes.fingerprint_edits(df, range_rows=size))) == want, size
+    once = [(None, "alone")] * 9   # one row that repeats is its own neighbour
+    only = awkward(spark, clash=False, rows=[(i, t, "en", "a", 1) for i, t in once])
+    assert rows_of(prefixes.fingerprint_edits(only, range_rows=2)) == expected(once)
+
+
+def test_a_hot_id_is_spread_over_ranges(spark):
+    rows = spark.range(4000).selectExpr("CAST(5 AS BIGINT) AS doc_id", "xxhash64(id) AS h").unionByName(
+        spark.range(2000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "xxhash64(id, 1) AS h"))
+    import numpy as np
+
+    ranges = prefixes.Ranges(np.array([0, 9]), {5: 4000}, 2000, 100, lambda x: x + 1)
+    n = [r["count"] for r in rows.mapInArrow(prefixes._ranges(ranges), "bucket long, doc_id long, h long").groupBy("bucket").count().collect()]
+    assert len(n) == 60 and max(n) < 200

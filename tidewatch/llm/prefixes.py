@@ -13,11 +13,14 @@ most ``SKIP`` code points on either side, up to ``JUMPS`` of them, over the long
 length.  Behind a difference the arrays give the hashes of all spans of ``LEAST``
 code points that begin in reach; the two nearest equal ones are where the texts go on.
 
-Neighbours: rows are dealt by ranges of the id and sorted inside them; each
-range also gets the first row of the one behind it.
+Neighbours: rows are dealt by ranges of the id, in falling order, and sorted inside
+them; each range also gets the first row of the one behind it.  Rows of one id, or
+without one, that are more than a range holds are dealt by ranges of a hash of
+their texts, and of equal ones a task sends one with a count: a copy's next row is
+a copy, but for the last.
 
 Cases: null text counts as empty; two empty texts are alike (1.0), an empty and
-another are not (0.0); rows of one id stand in the order of their texts; null ids
+another are not (0.0); rows of one id stand in the order of that hash; null ids
 come last; a single row is its own neighbour; an empty table gives an empty one.
 """
 
@@ -32,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import prepare, text_bytes
+from tidewatch.llm.common import materialise, prepare, shuffle_partitions, text_bytes
 
 PRIMES = (2147483647, 2147483629)
 BASES = (1103515245, 1403630843)
@@ -142,66 +145,139 @@ class Prefix:
         return alike / max(self.n, other.n)
 
 
-def _buckets(ids: np.ndarray, null: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """0 for the largest ids; null ids are in the last bucket."""
-    return np.where(null, len(bounds), len(bounds) - np.searchsorted(bounds, ids, side="right"))
+class Ranges:
+    """Numbered ranges of (id, hash of the text), in the order of the rows."""
 
+    def __init__(self, bounds: np.ndarray, hot: dict, nulls: int, rows: int, step):
+        # an id with many rows has a range of its own, in as many parts as its rows need
+        self.bounds = np.array(sorted({*bounds.tolist(), *hot, *map(step, hot)}))
+        parts = np.ones(len(self.bounds) + 2, np.int64)
+        if hot:
+            ids = np.array(sorted(hot))
+            parts[self._base(ids, np.zeros(len(ids), bool))] = [-(-hot[i] // rows) for i in ids.tolist()]
+        parts[-1] = max(1, -(-nulls // rows))
+        self.many = parts > 1
+        self.parts, self.first = parts.astype(np.uint64), np.cumsum(parts) - parts
 
-def _ids(column) -> tuple[np.ndarray, np.ndarray]:
-    null = column.is_null().to_numpy(zero_copy_only=False)
-    return column.fill_null(0).to_numpy(zero_copy_only=False), null
+    def _base(self, ids: np.ndarray, null: np.ndarray) -> np.ndarray:
+        """0 for the largest ids; null ids behind all others."""
+        return np.where(null, len(self.bounds) + 1, len(self.bounds) - np.searchsorted(self.bounds, ids, side="right"))
 
+    def of(self, column, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each row's range, and whether its id has many rows."""
+        null = column.is_null().to_numpy(zero_copy_only=False)
+        ids = column.fill_null(0).to_numpy(zero_copy_only=False)
+        base = self._base(ids, null)
+        high = (h.view(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(32)   # in the order of the signed hashes
+        return self.first[base] + (high * self.parts[base] >> np.uint64(32)).astype(np.int64), self.many[base]
 
-def _ranges(bounds: np.ndarray):
+
+def _ranges(ranges: Ranges):
     def run(batches):
         for b in batches:
-            ids, null = _ids(b.column(0))
-            yield pa.RecordBatch.from_arrays([pa.array(_buckets(ids, null, bounds).astype(np.int64)), b.column(0)], ["bucket", "doc_id"])
+            h = b.column(1).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array(ranges.of(b.column(0), h)[0]), b.column(0), b.column(1)], names=["bucket", "doc_id", "h"])
     return run
 
 
-def _deal(bounds: np.ndarray, first: dict[int, object], before: dict[int, int]):
-    """Rows to their ranges, compressed; a range's first row also to the one before it."""
+DEALT = ["bucket", "doc_id", "h", "raw", "n", "kind"]
+#: A row of the range; the row behind the range; further copies of a row, ``raw`` being a digest of its text.
+ROW, EDGE, COPIES = range(3)
+
+
+def _digest(text: bytes) -> bytes:
+    return hashlib.blake2b(text, digest_size=16).digest()
+
+
+def _deal(ranges: Ranges, first: dict[int, tuple], before: dict[int, int]):
+    """Rows to their ranges, compressed; a range's first row also to the one before it.
+    Of equal rows of an id with many, the first one goes, and at last how many more there were."""
     def run(batches):
-        pack = zstandard.ZstdCompressor(level=1)
+        pack, more, kind = zstandard.ZstdCompressor(level=1), {}, None
         for b in batches:
-            ids, null = _ids(b.column(0))
-            at = _buckets(ids, null, bounds).astype(np.int64)
-            raw = [pack.compress(t) for t in text_bytes(b.column(1))]
-            edge = [i for i, (k, x) in enumerate(zip(at.tolist(), b.column(0).to_pylist())) if x == first[k]]
-            take = pa.array([*range(len(raw)), *edge])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([*at.tolist(), *[before[int(at[i])] for i in edge]], pa.int64()), b.column(0).take(take),
-                 pa.array([*raw, *[raw[i] for i in edge]], pa.binary()),
-                 pa.array([False] * len(raw) + [True] * len(edge))], ["bucket", "doc_id", "raw", "edge"])
+            kind = b.column(0).type
+            h = b.column(1).to_numpy(zero_copy_only=False)
+            at, many = ranges.of(b.column(0), h)
+            ids, rows = b.column(0).to_pylist(), []
+            for i, (k, x, y, hot, t) in enumerate(zip(at.tolist(), ids, h.tolist(), many.tolist(), text_bytes(b.column(2)))):
+                if hot:
+                    own = (k, x, y, _digest(t))
+                    if own in more:
+                        more[own] += 1
+                        continue
+                    more[own] = 0
+                raw = pack.compress(t)
+                rows.append((k, x, y, raw, 1, ROW))
+                if first[k] == (x, y):
+                    rows.append((before[k], x, y, raw, 1, EDGE))
+            if rows:
+                yield _rows(rows, kind)
+        rest = [(k, x, y, digest, n, COPIES) for (k, x, y, digest), n in more.items() if n]
+        for i in range(0, len(rest), 4096):
+            yield _rows(rest[i:i + 4096], kind)
     return run
 
 
-def _compare(key, table):
+def _rows(rows: list[tuple], kind) -> pa.RecordBatch:
+    kinds = [pa.int64(), kind, pa.int64(), pa.binary(), pa.int64(), pa.int32()]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=DEALT)
+
+
+def _distinct(table) -> tuple[list, tuple | None]:
+    """A range's rows in order as ``[id, text, count]``, and the row behind them."""
     unpack = zstandard.ZstdDecompressor()
-    text = lambda raw: unpack.decompress(raw).decode("utf-8", "surrogatepass")
-    rows = sorted(zip(table.column("edge").to_pylist(), table.column("doc_id").to_pylist(), table.column("raw").to_pylist()),
-                  key=lambda r: (r[0], r[1] is None, -(r[1] or 0), r[2]))
-    own = sum(not r[0] for r in rows)
-    rows = rows[:own + 1]   # the row behind this range's last
-    out = []
-    nxt = text(rows[0][2]) if own else ""
-    nxt_prefix = Prefix.of(nxt)
-    for i in range(own):
-        here, prefix = nxt, nxt_prefix
-        nxt = text(rows[i + 1][2])
+    found, more, edges = {}, [], []
+    for x, y, raw, n, kind in zip(*[table.column(c).to_pylist() for c in DEALT[1:]]):
+        if kind == COPIES:
+            more.append((x, y, raw, n))
+            continue
+        t = unpack.decompress(raw)
+        if kind == EDGE:
+            edges.append((x is None, -(x or 0), y, t, x))
+            continue
+        key = (x is None, -(x or 0), y, t)
+        found[key] = [x, t, found[key][2] + n if key in found else n]
+    if more:
+        by_digest = {(r[0], key[2], _digest(r[1])): r for key, r in found.items()}
+        for x, y, digest, n in more:
+            by_digest[x, y, digest][2] += n
+    return [found[k] for k in sorted(found)], min(edges, default=None, key=lambda e: e[:4])
+
+
+def _compared(most: int):
+    """Compare a range's rows; a row of the result stands for up to ``most`` copies."""
+    def run(key, table):
+        rows, edge = _distinct(table)
+        text = lambda t: t.decode("utf-8", "surrogatepass")
+        out = []
+        nxt = text(rows[0][1]) if rows else ""
         nxt_prefix = Prefix.of(nxt)
-        keep = prefix.n - prefix.n // 2
-        take = min(prefix.n // 2, nxt_prefix.n)
-        edited = prefix.spliced(keep, nxt_prefix, take)
-        out.append((rows[i][1], prefix.n, hashlib.sha256((here[:keep] + nxt[:take]).encode("utf-8", "surrogatepass")).hexdigest(),
-                    prefix.fingerprint(), edited.fingerprint(), prefix.likeness(edited), prefix.likeness(nxt_prefix)))
-    cols = list(zip(*out)) if out else [[]] * 7
-    kinds = [table.schema.field("doc_id").type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-    return pa.Table.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds)], names=COLUMNS)
+
+        def judge(doc_id, here, prefix, behind, behind_prefix, repeats):
+            keep, take = prefix.n - prefix.n // 2, min(prefix.n // 2, behind_prefix.n)
+            edited = prefix.spliced(keep, behind_prefix, take)
+            out.append((doc_id, prefix.n, hashlib.sha256((here[:keep] + behind[:take]).encode("utf-8", "surrogatepass")).hexdigest(),
+                        prefix.fingerprint(), edited.fingerprint(), prefix.likeness(edited), prefix.likeness(behind_prefix), repeats))
+
+        for i, (doc_id, _, n) in enumerate(rows):
+            here, prefix = nxt, nxt_prefix
+            nxt = text(rows[i + 1][1] if i + 1 < len(rows) else edge[3])
+            nxt_prefix = Prefix.of(nxt)
+            judge(doc_id, here, prefix, nxt, nxt_prefix, 1)
+            for done in range(0, n - 1, most):   # copies stand before a copy
+                if not done:
+                    judge(doc_id, here, prefix, here, prefix, min(most, n - 1))
+                else:
+                    out.append((*out[-1][:-1], min(most, n - 1 - done)))
+        cols = list(zip(*out)) if out else [[]] * 8
+        kinds = [table.schema.field("doc_id").type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64()]
+        return pa.Table.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds)], names=[*COLUMNS, "repeats"])
+    return run
 
 
 COLUMNS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+#: Copies that one row of the result stands for until they are written out.
+REPEATS = 4096
 
 
 def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", range_rows: int = 4000) -> DataFrame:
@@ -212,20 +288,36 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     behind the last row comes the first.
     """
     prepare(docs.sparkSession)
-    d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    d = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"), text.alias("text"))
     id_type = d.schema["doc_id"].dataType
-    n = d.count()
+    fractional = isinstance(id_type, T.FractionalType)
+    many = d.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).groupBy(
+        F.when(F.col("n") > range_rows, F.struct("doc_id", "n")).alias("hot")).agg(F.sum("n").alias("n")).collect()   # a row a hot id
+    n = sum(r["n"] for r in many)
+    hot = {r["hot"]["doc_id"]: r["hot"]["n"] for r in many if r["hot"] is not None}
+    nulls = hot.pop(None, 0)
     parts = -(-n // range_rows) if n else 1
     cuts = d.select(F.col("doc_id").cast("double").alias("x")).approxQuantile(
         "x", [i / parts for i in range(1, parts)], 0.2 / parts) if parts > 1 else []
-    bounds = np.array(sorted({int(x) if not isinstance(id_type, T.FractionalType) else x for x in cuts}))
-    ends = (d.select("doc_id").mapInArrow(_ranges(bounds), T.StructType([T.StructField("bucket", T.LongType()), T.StructField("doc_id", id_type)]))
-            .groupBy("bucket").agg(F.max("doc_id").alias("first")).orderBy("bucket").collect())   # one row a range
-    first = {r["bucket"]: r["first"] for r in ends}
+    bounds = np.array(sorted({int(x) if not fractional else x for x in cuts}))
+    step = (lambda x: float(np.nextafter(x, np.inf))) if fractional else (lambda x: x + 1)
+    ranges = Ranges(bounds, hot, nulls, range_rows, step)
+    bucketed = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("doc_id", id_type), T.StructField("h", T.LongType())])
+    ends = (d.select("doc_id", "h").mapInArrow(_ranges(ranges), bucketed).groupBy("bucket")
+            .agg(F.max(F.struct("doc_id", F.bitwise_not("h").alias("h"))).alias("first")).orderBy("bucket").collect())   # one row a range
+    first = {r["bucket"]: (r["first"]["doc_id"], ~r["first"]["h"]) for r in ends}
     order = [r["bucket"] for r in ends]
     before = {b: order[i - 1] for i, b in enumerate(order)}
-    dealt = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("doc_id", id_type),
-                          T.StructField("raw", T.BinaryType()), T.StructField("edge", T.BooleanType())])
+    dealt = T.StructType([*bucketed.fields, T.StructField("raw", T.BinaryType()), T.StructField("n", T.LongType()), T.StructField("kind", T.IntegerType())])
     out = T.StructType([T.StructField("doc_id", id_type), T.StructField("n_chars", T.LongType())] + [
-        T.StructField(c, T.StringType()) for c in COLUMNS[2:5]] + [T.StructField(c, T.DoubleType()) for c in COLUMNS[5:]])
-    return d.mapInArrow(_deal(bounds, first, before), dealt).groupBy("bucket").applyInArrow(_compare, out)
+        T.StructField(c, T.StringType()) for c in COLUMNS[2:5]] + [T.StructField(c, T.DoubleType()) for c in COLUMNS[5:]]
+        + [T.StructField("repeats", T.LongType())])
+    spread = bool(hot or nulls)
+    found = d.mapInArrow(_deal(ranges, first, before), dealt).groupBy("bucket").applyInArrow(_compared(REPEATS if spread else 1), out)
+    if not spread:
+        return found.select(*COLUMNS)   # no row stands for copies
+    found = materialise(found, "compared")
+    copies = found.where("repeats > 1").repartition(shuffle_partitions(docs.sparkSession)).withColumn(
+        "copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "repeats")))
+    return found.where("repeats = 1").select(*COLUMNS).unionByName(copies.select(*COLUMNS))
