@@ -62,6 +62,17 @@ def test_a_lookup_opens_the_row_groups_that_hold_a_hash(spark, stored):
     assert lookup_by_hash(stored, []).count() == 0 and lookup_by_hash(stored, [None]).count() == 0
 
 
+def test_every_file_is_sorted_by_hash(spark, stored):
+    import pyarrow.parquet as pq
+
+    files = [f.removeprefix("file://") for f in stored.inputFiles()]
+    assert len(files) >= 3
+    for f in files:
+        own = pq.ParquetFile(f)
+        hashes = own.read(columns=["hachage_transaction"]).column(0).to_pylist()
+        assert hashes == sorted(hashes) and own.num_row_groups > 1
+
+
 def test_files_without_a_bloom_filter_are_searched_too(spark, stored):
     path = scratch_path(spark, "plain")
     write_window_table(stored.limit(1000), path, bloom=False)

@@ -169,6 +169,10 @@ class IncrementalPipeline(Pipeline):
             self._commit(self._state_of(start, end, row["version"] + 1, names))
         return row["version"] + 1
 
+    def run_slides(self, n_slides: int) -> int:
+        self.raw = read_raw(self.spark, self.raw_root)   # the files as they are now
+        return super().run_slides(n_slides)
+
     def refresh_window(self) -> int:
         """The same window again from the files as they are now, as a new version:
         days with late rows and corrected files are rebuilt, the others stay."""

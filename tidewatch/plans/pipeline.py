@@ -53,12 +53,13 @@ def write_window_table(window: DataFrame, path: str, bloom: bool = True) -> dict
     from those that do not (``plans.lookup``).
 
     Returns what was written, as the write has seen it: ``min_day``, ``max_day``
-    and ``rows``.  They are observed where rows go to the writer, in the
-    last stage, whose tasks count once however often one is tried."""
+    and ``rows``.  They are observed in the last stage, whose tasks count once
+    however often one is tried."""
     seen = Observation()
-    rows = window.hint("rebalance", F.col(WINDOW_DAY)).sortWithinPartitions(WINDOW_DAY, "hachage_transaction").observe(
+    # observed below the sort, which the writer then finds as it needs it
+    rows = window.hint("rebalance", F.col(WINDOW_DAY)).observe(
         seen, F.min(WINDOW_DAY).alias("min_day"), F.max(WINDOW_DAY).alias("max_day"), F.count(F.lit(1)).alias("rows"))
-    writer = rows.write.mode("overwrite").partitionBy(WINDOW_DAY)
+    writer = rows.sortWithinPartitions(WINDOW_DAY, "hachage_transaction").write.mode("overwrite").partitionBy(WINDOW_DAY)
     if bloom:
         writer = writer.option("parquet.bloom.filter.enabled#hachage_transaction", "true").option(
             "parquet.bloom.filter.adaptive.enabled", "true")

@@ -87,7 +87,8 @@ class Intake:
 
 
 class Repairs:
-    """Repaired windows beside a ``write_live`` table.
+    """Repaired windows beside a ``write_live`` table.  ``compute`` should narrow the
+    stored rows by time (``in_days``), so that a repair reads what it repairs.
 
     ``windows(rows)``: the distinct windows (columns ``keys`` and ``end_day``, their
     last day) that rows with a day column ``jour`` fall into.  ``compute(rows, windows)``: the live table's
@@ -127,11 +128,24 @@ class Repairs:
         return last.select("last.*")
 
 
+def in_days(rows: DataFrame, days: list[_dt.date]) -> DataFrame:
+    """The rows of some days, by ranges of the event time that reach the scan: files
+    and row groups of other times are not read."""
+    at, wanted = F.col(TS), F.lit(False)
+    days = sorted(set(days))
+    first = None
+    for k, day in enumerate(days):
+        first = first or day
+        if k + 1 == len(days) or days[k + 1] != day + DAY:
+            start, end = (F.lit(str(d)).cast("timestamp") for d in (first, day + DAY))
+            wanted = wanted | ((at >= start) & (at < end))
+            first = None
+    return rows.where(wanted)
+
+
 def daily_repairs(intake: Intake, live: str, keys: list[str], kpis: Callable[[DataFrame], DataFrame]) -> Repairs:
     """Repairs of a daily KPI table: ``kpis(rows)`` gives its columns by day."""
     def compute(rows: DataFrame, days: DataFrame) -> DataFrame:
-        day = F.to_date(TS)
-        own = rows.join(days.select(F.col("jour").alias("_day")), day == F.col("_day"), "left_semi")
-        return kpis(own)
+        return kpis(in_days(rows, [r["jour"] for r in days.select("jour").collect()]))   # touched days, at most the calendar's
 
     return Repairs(intake, live, keys, lambda days: days.select("jour", F.col("jour").alias("end_day")), compute)
