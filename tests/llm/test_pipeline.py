@@ -160,3 +160,14 @@ def test_duplicates_are_dropped_by_row(spark):
     near = [x for x in got if x not in expected]
     assert (77, "copy " + c) in near and all(x[0] in (77, None) for x in near) and len(near) <= 2
     assert P.deduplicate(spark, docs.limit(0), "").count() == 0
+
+
+def test_places_of_rows_that_are_no_stored_table(spark):
+    """A plan is written first; its places are the order of its partitions."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(2000).repartition(5).selectExpr("id AS doc_id", "CAST(id AS STRING) AS text").orderBy("doc_id")
+        rows = P.placed(df, "place").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted((r["place"], r["doc_id"]) for r in rows) == [(i, i) for i in range(2000)]

@@ -18,6 +18,9 @@ Positions.  A source's weight changes linearly over training, from ``a`` to
 starts at the share q of its source's taken words is read at the t at which the
 demand reaches q.  Documents are range-sorted by that position.
 
+The windows over the sources (ranks, water filling) run in one task, with one row a
+source; sources are few against documents (some hundred thousand are no burden).
+
 Cases: null text has size 0; a document of size 0 is taken 0 words and has no
 position (sorted last); null sources are one source; repeated rows are rows like
 any other; an empty table gives an empty one.

@@ -15,6 +15,10 @@ one is dealt out again by a covering code over the positions its mask leaves
 free, which keeps the guarantee; 64 free positions become about 30, 14, 6, so
 this ends after a few rounds whatever the data.
 
+A fingerprint that very many rows have is one key of the join that gives rows their
+class: a sort-merge join whose large partitions Spark splits at run time (AQE), the
+classes being one row each.
+
 Cases: null text counts as empty; no word gives fingerprint zero, linked like
 any other; a null id gets no say in a component's id (null if there is no
 other); repeated rows stay, each with the same result; an empty table gives an
