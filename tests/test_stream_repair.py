@@ -240,3 +240,20 @@ def test_one_state_row_an_address(spark):
     runs = state_rows(ST.sliding_address_runs(ST.read_file_stream(spark, src, rows.schema), 31, 7, "2020-01-01"))
     pairs = state_rows(ST.sliding_address_stream(ST.read_file_stream(spark, src, rows.schema), 31, 7, 0, "2020-01-01"))
     assert runs == 20 and pairs >= 5 * runs
+
+
+def test_a_group_of_addresses_is_one_call_and_one_state_row(spark):
+    """Many addresses in few groups: the same counts as one address at a time, and as many state rows as groups."""
+    rng = random.Random(5)
+    active = sorted({(rng.randrange(60), f"a{rng.randrange(300)}") for _ in range(1500)})
+    src, sink = scratch_path(spark, "src"), scratch_path(spark, "sink")
+    rows = rows_of(spark, active)
+    rows.write.parquet(src)
+    q = (ST.sliding_address_runs(ST.read_file_stream(spark, src, rows.schema), 31, 7, "2020-01-01", groups=3)
+         .writeStream.format("parquet").outputMode("append").option("path", sink)
+         .option("checkpointLocation", scratch_path(spark, "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert max(s["numRowsTotal"] for p in q.recentProgress for s in p["stateOperators"]) == 3
+    got = {r["slide"]: r["adresses_actives_global"] for r in ST.slide_counts(spark.read.parquet(sink), 31, 7, "2020-01-01").collect()}
+    want = {s: len({a for d, a in active if 7 * s <= d <= 7 * s + 30}) for s in range(-4, 9)}
+    assert got == {s: n for s, n in want.items() if n}
