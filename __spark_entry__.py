@@ -272,16 +272,21 @@ def _replay(spark, rows, period, run, arrival=None):
     """Feed a table to a stream in the order of event time (or of another time of
     ``arrival``): ``run`` is called with the file stream each time another period
     (a truncated time) has arrived, and goes on from its checkpoint.  A period's
-    files are written by all tasks; rows without an event time arrive first."""
+    files are written once, by all tasks, and moved into the stream's folder when it
+    arrives; rows without an event time arrive first."""
     whole, src = scratch_path(spark, "replay-rows"), scratch_path(spark, "replay-src")
-    schema = rows.schema
     rows.withColumn("_period", F.date_trunc(
         period, "horodatage_bloc" if arrival is None else arrival)).write.partitionBy("_period").parquet(whole)
-    staged = spark.read.parquet(whole)
-    periods = [r[0] for r in staged.select("_period").distinct().orderBy("_period").collect()]   # a handful
-    for p in periods:
-        staged.where(F.col("_period").eqNullSafe(F.lit(p))).select(*schema.names).write.mode("append").parquet(src)
-        run(ST.read_file_stream(spark, src, schema))
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(whole).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(src))
+    periods = sorted((f.getPath().getName() for f in fs.listStatus(path(whole)) if f.isDirectory()),
+                     key=lambda name: (not name.endswith("__HIVE_DEFAULT_PARTITION__"), name))   # a handful
+    for k, name in enumerate(periods):
+        for f in fs.listStatus(path(whole, name)):
+            if not fs.rename(f.getPath(), path(src, f"{k:04d}-{f.getPath().getName()}")):   # a task's files share a name
+                raise OSError(f"could not move {f.getPath()}")
+        run(ST.read_file_stream(spark, src, rows.schema))
 
 
 def _state_partitions(spark) -> int:

@@ -257,3 +257,28 @@ def test_a_group_of_addresses_is_one_call_and_one_state_row(spark):
     got = {r["slide"]: r["adresses_actives_global"] for r in ST.slide_counts(spark.read.parquet(sink), 31, 7, "2020-01-01").collect()}
     want = {s: len({a for d, a in active if 7 * s <= d <= 7 * s + 30}) for s in range(-4, 9)}
     assert got == {s: n for s, n in want.items() if n}
+
+
+@pytest.mark.parametrize("width, step", [(31, 7), (9, 4)])
+def test_pairs_of_sliding_windows_once_with_few_state_rows(spark, width, step):
+    """Two runs from one checkpoint, rows out of order: each pair once; a state row holds a group of addresses."""
+    rng = random.Random(width)
+    active = sorted({(rng.randrange(90), f"a{rng.randrange(200)}") for _ in range(1500)})
+    chunks = [[r for r in active if k * 45 <= r[0] < k * 45 + 45] for k in range(2)]
+    for c in chunks:
+        rng.shuffle(c)
+    sink, ckpt, held = scratch_path(spark, "sink"), scratch_path(spark, "ckpt"), []
+    offset = (dt.date(2020, 1, 1) - dt.date(1970, 1, 1)).days % step
+
+    def run(stream):
+        q = (ST.sliding_address_stream(stream, width, step, offset, "2020-01-01", groups=3).writeStream.format("parquet")
+             .option("path", sink).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        q.awaitTermination()
+        held.extend(s["numRowsTotal"] for p in q.recentProgress for s in p["stateOperators"])
+
+    feed(spark, [rows_of(spark, c) for c in chunks], run)
+    got = [tuple(r) for r in spark.read.parquet(sink).collect()]
+    day = lambda d: dt.date(2020, 1, 1) + dt.timedelta(days=d)
+    want = {(s, day(s * step), day(s * step + width - 1), a) for d, a in active for s in range(-20, 40) if s * step <= d < s * step + width}
+    assert sorted(got) == sorted(want)
+    assert max(held) < len(want) / 20 and held[-1] < max(held)

@@ -6,8 +6,8 @@
   about ``median_accuracy`` values and within a rank of 1/accuracy beyond (the
   batch KPIs are exact for any size).
 * ``sliding_kpis_stream``: W-day windows sliding by 7 days.
-* ``daily_address_stream`` / ``sliding_address_stream``: each (window, address)
-  once, as soon as it is seen (state keyed by both, so it spreads);
+* ``daily_address_stream``: each (window, address) once, as soon as it is seen
+  (state keyed by both, so it spreads; of sliding windows: ``address_pairs``);
   ``count_addresses`` counts them per window from the sink, exactly.
   ``active_addresses_stream`` chains the count on the stream, for closed
   windows only.
@@ -79,14 +79,6 @@ def daily_address_stream(stream: DataFrame, watermark: str = "1 day") -> DataFra
         F.to_date("w.start").alias("jour"), "adresse")
 
 
-def sliding_address_stream(stream: DataFrame, width_days: int, step_days: int, offset_days: int,
-                           start_day, watermark: str = "1 day") -> DataFrame:
-    """Each ``(slide, new_start, new_end, adresse)`` once, when it is first seen."""
-    win = F.window(TS, f"{width_days} days", f"{step_days} days", f"{offset_days} days")
-    return _address_pairs(stream, watermark, win).select(
-        *_slide_columns(start_day, step_days), "adresse")
-
-
 def count_addresses(pairs: DataFrame, name: str) -> DataFrame:
     """RW-6 / G9 from the sink of an address stream: addresses per window."""
     keys = [c for c in pairs.columns if c != "adresse"]
