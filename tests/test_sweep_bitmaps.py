@@ -109,3 +109,17 @@ def test_two_appends_at_once_cannot_both_commit(spark, monkeypatch):
     with pytest.raises(FileExistsError):
         b.append(rows)
     assert {r["adresse"] for r in a.dictionary().collect()} == {"x", "y"} and counts(a.slides(day(0), day(0), 1, 1), "slide") == {1: 1}
+
+
+def test_all_slides_without_bounds_equal_brute_force(spark):
+    """Slides before the first window too; address days are not expanded into their windows."""
+    rng = random.Random(11)
+    active = {(rng.randrange(150), f"a{rng.randrange(20)}") for _ in range(120)} | {(0, "old"), (149, "old")}
+    raw = make_raw(spark, [{"ts": dt.datetime(2020, 1, 1, 6) + dt.timedelta(days=d), "inputs": [slot(a)], "outputs": []} for d, a in sorted(active)])
+    out = SL.kpi_sliding_eventtime(project_window(raw), "2020-01-01", "2020-01-31", 7)
+    got = {r["slide"]: r["adresses_actives_global"] for r in out.collect()}
+    want = {s: len({a for d, a in active if 7 * s <= d <= 7 * s + 30}) for s in range(-6, 30)}
+    assert got == {s: n for s, n in want.items() if n} and min(got) < 0
+    runs = SL.active_addresses_slides(SL.address_days(project_window(raw)), F.lit("2020-01-01").cast("date"),
+                                      F.lit("2020-01-31").cast("date"), 7, None)
+    assert {r["slide"]: r["n_addr"] for r in runs.collect() if r["n_addr"]} == {s: n for s, n in want.items() if n}

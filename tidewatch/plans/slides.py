@@ -84,19 +84,21 @@ def day_addresses(w: DataFrame) -> DataFrame:
     return address_days(w).select("adresse", F.explode("days").alias("jour"))
 
 
-def address_changes(days: DataFrame, start: Column, end: Column, step_days: int, n: Column) -> DataFrame:
+def address_changes(days: DataFrame, start: Column, end: Column, step_days: int, n: Column | None) -> DataFrame:
     """``slide, change`` from ``address_days`` rows: +1 at the first slide of each run
     of slides whose windows hold the address, -1 behind the last one.
 
     Day d lies in the slides from ceil((d - end) / step) to floor((d - start) /
-    step), cut to 1..n; both ends rise with the day, so in day order a run ends
+    step), cut to 1..n (with ``n=None`` not cut); both ends rise with the day, so in day order a run ends
     where the next day's first slide is not the one behind the last day's, nor
     before it."""
     # the bounds may be subqueries, which lambdas do not take
-    bounded = days.select("days", start.alias("_start"), end.alias("_end"), n.alias("_n"))
+    bounded = days.select("days", start.alias("_start"), end.alias("_end"), *([] if n is None else [n.alias("_n")]))
+    first = lambda d: F.ceil(F.datediff(d, F.col("_end")) / F.lit(step_days)).cast("int")
+    last = lambda d: F.floor(F.datediff(d, F.col("_start")) / F.lit(step_days)).cast("int")
     ends = F.transform(F.array_sort("days"), lambda d: F.struct(
-        F.greatest(F.ceil(F.datediff(d, F.col("_end")) / F.lit(step_days)).cast("int"), F.lit(1)).alias("first"),
-        F.least(F.floor(F.datediff(d, F.col("_start")) / F.lit(step_days)).cast("int"), F.col("_n")).alias("last")))
+        (first(d) if n is None else F.greatest(first(d), F.lit(1))).alias("first"),
+        (last(d) if n is None else F.least(last(d), F.col("_n"))).alias("last")))
     rows = bounded.select(F.filter(ends, lambda s: s["first"] <= s["last"]).alias("ends"))
     before = lambda i: F.get("ends", i - 1)["last"]
     after = lambda i: F.get("ends", i + 1)["first"]
@@ -108,20 +110,20 @@ def address_changes(days: DataFrame, start: Column, end: Column, step_days: int,
     return rows.select(F.inline(changes))
 
 
-def sweep(changes: DataFrame, n: Column) -> DataFrame:
+def sweep(changes: DataFrame, n: Column | None) -> DataFrame:
     """``slide, n_addr``: the running sum of the changes at each slide that has one,
-    held until the next.  The sums per slide are partial in every task; what the
+    held until the next (the last one until ``n``).  The sums per slide are partial in every task; what the
     window runs over is one row a slide."""
     sums = changes.groupBy("slide").agg(F.sum("change").alias("change"))
     order = W.orderBy("slide")
     held = sums.select("slide", F.sum("change").over(order).alias("n_addr"), F.lead("slide").over(order).alias("next"))
-    upto = F.least(F.coalesce(F.col("next") - 1, n), n)
+    upto = F.col("next") - 1 if n is None else F.least(F.coalesce(F.col("next") - 1, n), n)
     return held.where(F.col("slide") <= upto).select(F.explode(F.sequence("slide", upto)).alias("slide"), "n_addr")
 
 
-def active_addresses_slides(days: DataFrame, start: Column, end: Column, step_days: int, n: Column) -> DataFrame:
-    """G9 of slides 1..n from ``address_days`` rows: ``slide, n_addr`` (none for a slide
-    before the first or behind the last with an address)."""
+def active_addresses_slides(days: DataFrame, start: Column, end: Column, step_days: int, n: Column | None) -> DataFrame:
+    """G9 of slides 1..n, or with ``n=None`` of all, from ``address_days`` rows: ``slide,
+    n_addr`` (none for a slide before the first or behind the last with an address)."""
     return sweep(address_changes(days, start, end, step_days, n), n)
 
 
@@ -191,8 +193,9 @@ def kpi_sliding_eventtime(window: DataFrame, start_day, end_day, step_days: int
     the ones that start before ``start``; ``slide`` numbers them relative to
     the state (0 = the state window).  ``start_day``/``end_day`` must be
     Python dates or ISO strings: ``window()`` takes literal durations.
-    Days, values of a day and address days are counted before ``window()``
-    expands them."""
+    Days and values of a day are counted before ``window()`` expands them;
+    an address's days become runs of slides (``active_addresses_slides``), so
+    that a day of an address is not expanded."""
     s = _dt.date.fromisoformat(str(start_day))
     e = _dt.date.fromisoformat(str(end_day))
     width = (e - s).days + 1
@@ -201,14 +204,13 @@ def kpi_sliding_eventtime(window: DataFrame, start_day, end_day, step_days: int
     win = F.window(F.col("jour").cast("timestamp"), f"{width} days",
                    f"{step_days} days", f"{offset} days").alias("w")
     slides_of = lambda df: df.select("*", win)
-    days, values, addresses = day_tables(window, whale_sat)
+    days, values, _ = day_tables(window, whale_sat)
     kpis = _slide_kpis(days, values, slides_of, ["w"])
-    addrs = slides_of(addresses).select("adresse", "w").distinct().groupBy("w").agg(F.count(F.lit(1)).alias("n_addr"))
-    out = kpis.join(addrs, "w", "left")
+    addrs = active_addresses_slides(address_days(window), as_date(s), as_date(e), step_days, None)
     ws = F.to_date(F.col("w.start"))
-    return out.select(
-        (F.datediff(ws, as_date(s)) / F.lit(step_days)).cast("int").alias("slide"),
-        ws.alias("new_start"), F.date_sub(F.to_date(F.col("w.end")), 1).alias("new_end"),
+    slide = (F.datediff(ws, as_date(s)) / F.lit(step_days)).cast("int").alias("slide")
+    return kpis.select("*", slide).join(addrs, "slide", "left").select(
+        "slide", ws.alias("new_start"), F.date_sub(F.to_date(F.col("w.end")), 1).alias("new_end"),
         *global_columns(),
         F.coalesce("n_addr", F.lit(0).cast("bigint")).alias("adresses_actives_global"))
 
