@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from conftest import SF0001, make_raw
@@ -71,3 +72,21 @@ def test_live_table_over_restarts_and_replays(spark):
     again.count()
     again.repartition(1).write.mode("overwrite").parquet(f"{table}/epoch=0")   # what a replay does
     assert {r["jour"].day: r["nombre_transactions_jour"] for r in ST.read_live(spark, table, ["jour"]).collect()} == n
+
+
+def test_replay_moves_rows_instead_of_writing_them_again(spark, monkeypatch):
+    """Periods arrive in order, a row without a time first; each row once, in one file."""
+    paths, upto = [], []
+    monkeypatch.setattr(E, "scratch_path", lambda s, name: paths.append(scratch_path(s, name)) or paths[-1])
+    rows = project_window(make_raw(spark, [{"ts": dt.datetime(y, 1, d, 5), "hash": f"{y}-{d}"} for y in (2021, 2019, 2020) for d in (1, 2)]))
+    rows = rows.unionByName(rows.limit(1).withColumn("horodatage_bloc", F.lit(None).cast("timestamp")).withColumn("hachage_transaction", F.lit("none")))
+    sink, ckpt = scratch_path(spark, "sink"), scratch_path(spark, "ck")
+
+    def run(stream):
+        ST.run_available_now(stream.select("hachage_transaction"), sink, ckpt)
+        upto.append(sorted(r[0] for r in spark.read.parquet(sink).collect()))
+
+    E._replay(spark, rows, "year", run)
+    names = ["none", *(f"{y}-{d}" for y in (2019, 2020, 2021) for d in (1, 2))]
+    assert upto == [sorted(names[:n]) for n in (1, 3, 5, 7)]
+    assert not [f for _, _, fs in os.walk(paths[0]) for f in fs if f.endswith(".parquet")]
