@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -185,6 +186,34 @@ def test_encoder_over_blocks_and_a_full_table(monkeypatch):
     assert len(enc.known) < 400
 
 
+def test_encoder_memory_is_bounded():
+    """Many texts at once go a block at a time, and a worker that has met many words holds few of them."""
+    tok, enc = Tokenizer.from_file(PATH), packing.Encoder(PATH)
+    text = ("the packing of like documents into windows, " * 50).encode()
+    want = np.array(tok.encode(text.decode(), add_special_tokens=False).ids, enc.dtype).tobytes()
+    enc.encode([text])
+    tracemalloc.start()
+    got = enc.encode([text] * 3000)   # 6.6 MB
+    peak = tracemalloc.get_traced_memory()[1] - sum(map(len, got))
+    tracemalloc.stop()
+    assert all(x == want for x in got)
+    assert peak < 150e6, peak
+    assert packing.CACHE_WORDS <= 1_000_000 and packing.CACHE_PARTS <= 100_000
+
+
+def test_full_table_keeps_words_that_came_again(monkeypatch):
+    """Frequent words stay known when rare ones fill the table; all ids are right."""
+    monkeypatch.setattr(packing, "CACHE_WORDS", 200)
+    tok, enc = Tokenizer.from_file(PATH), packing.Encoder(PATH)
+    often, learned, learn = ["alpha", "beta,", "Gamma"], [], enc._learn
+    monkeypatch.setattr(enc, "_learn", lambda h, words: (learned.extend(words), learn(h, words)))
+    for k in range(30):
+        text = " ".join(often + [f"w{k}x{i}" for i in range(40)])
+        assert np.frombuffer(enc.encode([text.encode()])[0], enc.dtype).tolist() == tok.encode(text, add_special_tokens=False).ids
+        assert len(enc.known) <= 200 + 43
+    assert learned.count(b"alpha") == 1
+
+
 def test_projections_are_those_of_each_document():
     """All documents of a batch at once equal one at a time, whatever the vocabulary's size."""
     rng = np.random.default_rng(8)

@@ -53,8 +53,9 @@ QUERY_TERMS = 1 << 32
 COMMON = 8
 #: Dimensions of a document's projection; projections a shard and at most that the tree is grown on.
 AXES, SAMPLE_A_SHARD, SAMPLE = 64, 16, 1 << 17
-#: Words, and runs of letters or marks, whose ids a Python worker remembers; bytes of text that it takes at once.
-CACHE_WORDS, CACHE_PARTS, BLOCK = 3_000_000, 600_000, 1 << 22
+#: Words, and runs of letters or marks, whose ids a Python worker remembers (it keeps them between
+#: tasks and stages, a worker a core); bytes of text that it takes at once, unless one text has more.
+CACHE_WORDS, CACHE_PARTS, BLOCK = 1_000_000, 100_000, 1 << 20
 
 
 def _byte_letters() -> dict[str, str]:
@@ -73,7 +74,8 @@ class Encoder:
     The tokenizer splits at white space before it merges, so a text's ids are
     those of its words one after the other.  The words of many texts are hashed at
     once (64 bits); the table has, by hash, where a word's ids lie in one array, from which
-    the texts' ids are gathered.  A word of letters with marks behind
+    the texts' ids are gathered.  A full table keeps the words that came again since
+    they were learned, or since it was full before.  A word of letters with marks behind
     it falls into the two (the tokenizer splits there too); unknown runs of
     letters are encoded many at a time and told apart by the tokens that end a
     word.  Everything else goes to the tokenizer as it is.
@@ -104,14 +106,22 @@ class Encoder:
         self.special = [t["content"].encode().lower() for t in spec["added_tokens"]]
         self.special_start = os.path.commonprefix(self.special)
         self.by_word = bool(end)
-        self._forget()
-
-    def _forget(self) -> None:
         self.known = np.empty(0, np.uint64)   # hashes in order, and where their ids are
-        self.first, self.length = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.first, self.length = np.empty(0, np.int64), np.empty(0, np.int32)
+        self.again = np.empty(0, bool)
         self.pool = np.empty(0, self.dtype)
         self.parts: dict[str, bytes] = {"": b""}
 
+    def _forget(self) -> None:
+        """Keep the words that came again, none of them if they fill half the table."""
+        keep = np.flatnonzero(self.again)
+        keep = keep[:0] if 2 * len(keep) > CACHE_WORDS else keep
+        n = self.length[keep]
+        before = np.cumsum(n, dtype=np.int64) - n
+        self.pool = self.pool[np.repeat(self.first[keep] - before, n) + np.arange(int(n.sum()))]
+        self.known, self.first, self.length = self.known[keep], before, n
+        self.again = np.zeros(len(keep), bool)
+
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
@@ -151,16 +161,21 @@ class Encoder:
         at = np.searchsorted(self.known, hashes)
         self.first = np.insert(self.first, at, len(self.pool) + np.cumsum(length) - length)
         self.length, self.known = np.insert(self.length, at, length), np.insert(self.known, at, hashes)
+        self.again = np.insert(self.again, at, False)
         self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(new), self.dtype)])
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian bytes of ``dtype``."""
-        if len(self.known) > CACHE_WORDS:
-            self._forget()
         collecting = gc.isenabled()
         gc.disable()   # many small objects and no cycles
         try:
-            return self._encode(texts)
+            out, first, size = [], 0, 0
+            for i, t in enumerate(texts):
+                if size and size + len(t) > BLOCK:
+                    out += self._encode(texts[first:i])
+                    first, size = i, 0
+                size += len(t)
+            return out + self._encode(texts[first:])
         finally:
             if collecting:
                 gc.enable()
@@ -173,12 +188,15 @@ class Encoder:
         return self.special_start in low and any(s in low for s in self.special)
 
     def _encode(self, texts: list[bytes]) -> list[bytes]:
+        if len(self.known) > CACHE_WORDS:
+            self._forget()
         whole = {i for i, t in enumerate(texts) if self._whole(t)}
         h, per_text, buf, starts, lengths = hashed_words([b"" if i in whole else t for i, t in enumerate(texts)])
         distinct, of = np.unique(h, return_inverse=True)
         at = np.searchsorted(self.known, distinct)
         there = at < len(self.known)
         there[there] = self.known[at[there]] == distinct[there]
+        self.again[at[there]] = True
         new = np.flatnonzero(~there)
         if len(new):
             where = np.empty(len(distinct), np.int64)
