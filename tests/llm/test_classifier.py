@@ -1,6 +1,8 @@
+import tracemalloc
 import zlib
 
 import numpy as np
+import pytest
 from helpers import SF0001, awkward, awkward_rows, collected, empty, labels_of, prose
 
 from tidewatch.llm import classifier, queries
@@ -86,3 +88,27 @@ def test_sample_is_bounded_with_repeated_ids(spark):
     assert len(model.labels) == 50
     few = classifier.train(docs.where("doc_id < 20"), labels, sample=50)
     assert len(few.labels) == sum(fold(i) != 0 for i in range(20))
+
+
+def test_sample_is_no_matrix_on_the_driver():
+    """Singular vectors and labelled vectors are those of the whole matrix, built a block at a time."""
+    rng = np.random.default_rng(3)
+    idf = (rng.random(classifier.N_FEATURES) + 1).astype(np.float32)
+    rows = []
+    for k in range(4096):
+        at = np.unique(np.append(rng.integers(0, 300, 60), rng.integers(0, classifier.N_FEATURES, 40)))
+        rows.append({"at": at.astype("<u2").tobytes(), "n": rng.integers(1, 9, len(at)).astype("<f4").tobytes()})
+    tracemalloc.start()
+    x = classifier.SparseRows(rows, idf)
+    got = classifier.truncated_svd(x, 8)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6, peak   # the matrix takes 130 MB
+    counts = np.zeros((300, classifier.N_FEATURES), np.float32)
+    for k, r in enumerate(rows[:300]):
+        counts[k, np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["n"], "<f4")
+    whole = classifier.weighted(counts, idf)
+    assert (np.concatenate(list(classifier.SparseRows(rows[:300], idf).blocks())) == whole).all()
+    mine = classifier.truncated_svd(classifier.SparseRows(rows[:300], idf), 300)
+    assert np.linalg.norm(whole @ mine) == pytest.approx(np.linalg.norm(whole), rel=1e-4)
+    assert got.T @ got == pytest.approx(np.eye(8), abs=1e-4)

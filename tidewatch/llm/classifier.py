@@ -99,13 +99,37 @@ def _sparse(batches):
                                          ["at", "n", "label"])
 
 
-def truncated_svd(x: np.ndarray, rank: int, seed: int = 7) -> np.ndarray:
+class SparseRows:
+    """Weighted feature rows, of which only a block at a time is a matrix."""
+
+    def __init__(self, rows, idf: np.ndarray, block: int = 64):
+        self.block, self.at, self.values = block, [], []
+        for i in range(0, len(rows), block):
+            part = rows[i:i + block]
+            counts = np.zeros((len(part), N_FEATURES), np.float32)
+            at = [np.frombuffer(r["at"], "<u2") for r in part]
+            for k, r in enumerate(part):
+                counts[k, at[k]] = np.frombuffer(r["n"], "<f4")
+            x = weighted(counts, idf)
+            self.at += at
+            self.values += [x[k, c] for k, c in enumerate(at)]
+
+    def blocks(self):
+        for i in range(0, len(self.at), self.block):
+            x = np.zeros((len(self.at[i:i + self.block]), N_FEATURES), np.float32)
+            for k in range(len(x)):
+                x[k, self.at[i + k]] = self.values[i + k]
+            yield x
+
+
+def truncated_svd(rows: SparseRows, rank: int, seed: int = 7) -> np.ndarray:
     """The first ``rank`` right singular vectors as columns (randomised, three power steps)."""
-    rank = min(rank, *x.shape)
-    basis = np.random.default_rng(seed).standard_normal((x.shape[1], min(rank + 16, min(x.shape)))).astype(x.dtype)
+    shape = len(rows.at), N_FEATURES
+    rank = min(rank, *shape)
+    basis = np.random.default_rng(seed).standard_normal((N_FEATURES, min(rank + 16, min(shape)))).astype(np.float32)
     for _ in range(4):
-        basis, _ = np.linalg.qr(x.T @ (x @ basis))
-    _, _, vt = np.linalg.svd(x @ basis, full_matrices=False)
+        basis, _ = np.linalg.qr(sum(x.T @ (x @ basis) for x in rows.blocks()))
+    _, _, vt = np.linalg.svd(np.concatenate([x @ basis for x in rows.blocks()]), full_matrices=False)
     return (basis @ vt[:rank].T).astype(np.float32)
 
 
@@ -168,15 +192,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     y = np.array([r["label"] for r in rows], np.float32)
     if not len(rows):
         return Model(idf, np.zeros((N_FEATURES, 1), np.float32), np.zeros((0, 1), np.float32), y, neighbours)
-    # one matrix of ``sample`` rows, filled in place
-    x = np.zeros((len(rows), N_FEATURES), np.float32)
-    for i in range(0, len(rows), 64):
-        counts = np.zeros((len(rows[i:i + 64]), N_FEATURES), np.float32)
-        for k, r in enumerate(rows[i:i + 64]):
-            counts[k, np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["n"], "<f4")
-        x[i:i + 64] = weighted(counts, idf)
+    x = SparseRows(rows, idf)   # as a matrix: 130 MB of the driver
     model = Model(idf, truncated_svd(x, rank), None, y, neighbours)
-    model.vectors = model.project(x)
+    model.vectors = np.concatenate([model.project(b) for b in x.blocks()])
     return model
 
 
