@@ -63,3 +63,16 @@ def test_address_edges_reads_its_input_once(spark, stored_raw):
     from tidewatch.operators import address_edges
     plan = _plan(address_edges(stored_raw))
     assert sum(ln.startswith("(") and "Scan parquet" in ln for ln in plan.splitlines()) == 1
+
+
+def test_tx_lines_meet_once_and_own_address_is_made_before_the_join(spark):
+    """Lines are shuffled as they are; an order's address is no work for each of its lines."""
+    plan = tx(spark, SF0001)._jdf.queryExecution().executedPlan().toString()
+    lines = plan[plan.index("ObjectHashAggregate"):]
+    assert "Aggregate" not in lines[lines.index("Exchange"):]
+    assert "o_custkey" not in plan[plan.index("transform("):plan.index("Join")]
+
+
+def test_tx_state_reads_orders_alone(spark):
+    plan = E._state(tx(spark, SF0001))._jdf.queryExecution().executedPlan().toString()
+    assert "orders.parquet" in plan and "lineitem" not in plan

@@ -90,3 +90,28 @@ def test_replay_moves_rows_instead_of_writing_them_again(spark, monkeypatch):
     names = ["none", *(f"{y}-{d}" for y in (2019, 2020, 2021) for d in (1, 2))]
     assert upto == [sorted(names[:n]) for n in (1, 3, 5, 7)]
     assert not [f for _, _, fs in os.walk(paths[0]) for f in fs if f.endswith(".parquet")]
+
+
+def test_sketches_come_from_a_task_a_core_however_many_files(spark):
+    """A window's sketches are merged by one task: there are no more of them than cores."""
+    rows = project_window(make_raw(spark, [{"ts": dt.datetime(2020, 1, 1 + i % 5, 1), "out_sat": i} for i in range(40)]))
+    src, cores = scratch_path(spark, "src"), spark.sparkContext.defaultParallelism
+    rows.repartition(3 * cores).write.parquet(src)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")   # a split a file
+    try:
+        for make, key in ((lambda s: ST.daily_kpis_stream(s), "jour"),
+                          (lambda s: ST.sliding_kpis_stream(s, 3, 1, 0, dt.date(2020, 1, 1)), "slide")):
+            table = scratch_path(spark, "live")
+            stream = ST.read_file_stream(spark, src, rows.schema)
+            q = ST.write_live(make(stream), table, scratch_path(spark, "ck"), cores)
+            q.awaitTermination()
+            tracker = spark.sparkContext.statusTracker()
+            stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(str(q.runId))
+                      for s in tracker.getJobInfo(j).stageIds]
+            assert stages and max(s.numTasks for s in stages if s) <= cores
+            got = ST.read_live(spark, table, [key])
+            assert got.where("nombre_transactions_%s IS NULL" % ("jour" if key == "jour" else "total")).count() == 0
+            assert got.count() == (5 if key == "jour" else 7)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)

@@ -36,26 +36,30 @@ def _addr(prefix_col) -> F.Column:
 
 
 def tx_from(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """The order's own address and its NULL rule are computed before the join, not in the
+    arrays' functions: those have no generated code and run once a line."""
     lines = (lineitem
+             .repartition("l_orderkey")   # lists are not combined before the shuffle: they are as large as their rows
              .groupBy("l_orderkey")
              .agg(F.count(F.lit(1)).alias("n"),
                   F.collect_list(F.struct(F.col("l_linenumber").alias("no"),
                                           F.col("l_suppkey").alias("sk"),
                                           F.col("l_partkey").alias("pk"))).alias("ls")))
-    o = orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    day = F.to_date("o_orderdate")
+    bn = F.datediff(day, F.lit(EPOCH_DAY).cast("date"))
+    o = orders.select("o_orderkey", "o_totalprice", "o_orderdate",
+                      _addr(F.col("o_custkey")).alias("custaddr"),
+                      ((bn % NULL_ADDR_BLOCK_EVERY) == 0).alias("null_block"))
     j = o.join(lines, o["o_orderkey"] == lines["l_orderkey"], "left")
 
     key = F.col("o_orderkey")
-    day = F.to_date("o_orderdate")
     cb = (key % COINBASE_EVERY) == 0
-    bn = F.datediff(day, F.lit(EPOCH_DAY).cast("date"))
-    null_block = (bn % NULL_ADDR_BLOCK_EVERY) == 0
+    custaddr, null_block = F.col("custaddr"), F.col("null_block")
     ov = (F.when(key % NULL_VALUE_EVERY == 0, F.lit(None).cast("bigint"))
           .otherwise(F.round(F.col("o_totalprice") * 100).cast("bigint") * SAT_PER_CENT))
     n = F.coalesce(F.col("n"), F.lit(0)).cast("bigint")
     fee_part = (key % 800) + 200
     ls = F.coalesce(F.col("ls"), F.array().cast("array<struct<no:int,sk:bigint,pk:bigint>>"))
-    custaddr = _addr(F.col("o_custkey"))
     inputs = F.transform(ls, lambda x: F.struct(
         x["no"].alias("index"),
         F.when(null_block, F.lit(None).cast("array<string>"))

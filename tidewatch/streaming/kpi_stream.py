@@ -35,7 +35,7 @@ from tidewatch.operators.kpi import (
 )
 from tidewatch.plans.commit_log import CommitLog
 from tidewatch.schema import MEDIAN_ACCURACY
-from tidewatch.session import remove_path
+from tidewatch.session import default_parallelism, remove_path
 
 TS = "horodatage_bloc"
 
@@ -51,16 +51,22 @@ def read_file_stream(spark: SparkSession, path: str, schema: str,
     return r.load(path)
 
 
-def _windowed(stream: DataFrame, watermark: str, win: Column) -> DataFrame:
-    return measures(stream.withWatermark(TS, watermark), keep=(win.alias("w"),))
+def _partials(stream: DataFrame, watermark: str, win: Column, median_accuracy: int) -> DataFrame:
+    """Partials and median sketch per window, from at most one task a core.
+
+    Every task sends a sketch of up to about ``median_accuracy`` values for each window,
+    and one task merges a window's sketches: with as many tasks as a batch has file
+    splits, that would grow with the splits."""
+    few = stream.coalesce(default_parallelism(stream.sparkSession))
+    m = measures(few.withWatermark(TS, watermark), keep=(win.alias("w"),))
+    return m.groupBy("w").agg(*partial_aggs(), median_agg(median_accuracy))
 
 
 def daily_kpis_stream(stream: DataFrame, watermark: str = "1 day", keys=None,
                       median_accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
     """RW-5: daily KPIs (D1..D8, or the subset ``keys``) per closed day."""
     keys = keys or list(DAILY_NAMES)
-    m = _windowed(stream, watermark, F.window(TS, "1 day"))
-    agg = m.groupBy("w").agg(*partial_aggs(), median_agg(median_accuracy))
+    agg = _partials(stream, watermark, F.window(TS, "1 day"), median_accuracy)
     fin = finishers()
     return agg.select(F.to_date("w.start").alias("jour"),
                       *[fin[k].alias(DAILY_NAMES[k]) for k in keys])
@@ -110,8 +116,7 @@ def sliding_kpis_stream(stream: DataFrame, width_days: int, step_days: int, offs
     ``step`` days, numbered by slide relative to ``start_day``."""
     keys = keys or list(GLOBAL_NAMES)
     win = F.window(TS, f"{width_days} days", f"{step_days} days", f"{offset_days} days")
-    m = _windowed(stream, watermark, win)
-    agg = m.groupBy("w").agg(*partial_aggs(), median_agg(median_accuracy))
+    agg = _partials(stream, watermark, win, median_accuracy)
     fin = finishers()
     return agg.select(
         *_slide_columns(start_day, step_days),
